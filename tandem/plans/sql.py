@@ -1,26 +1,21 @@
 """Shared DuckDB SQL fragments for the oracles (1-based lists)."""
 
-# Pair fixture: consecutive document lines, first 10 pairs per document,
-# score from events (left join), whitespace word counts.
+# Pair fixture: every consecutive line pair of every document; the first
+# ten pairs of a document carry a score from events (left join); whitespace
+# word counts.
 PAIRS_CTE = """
 l AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
-lk AS (SELECT doc_id, a, unnest(range(0, least(10, len(a) // 2))) AS k FROM l),
-p AS (SELECT doc_id*10 + k AS id, a[2*k+1] AS en, a[2*k+2] AS vi FROM lk),
+lk AS (SELECT doc_id, a, unnest(range(0, len(a) // 2)) AS k FROM l),
+p AS (SELECT doc_id*100000 + k AS id, a[2*k+1] AS en, a[2*k+2] AS vi,
+             CASE WHEN k < 10 THEN doc_id*10 + k END AS score_key FROM lk),
 ps AS (SELECT p.id, p.en, p.vi, CAST(e.value/50 AS FLOAT) AS score
-       FROM p LEFT JOIN events e ON e.event_id = p.id),
+       FROM p LEFT JOIN events e ON e.event_id = p.score_key),
 pl AS (SELECT ps.*,
               CAST(len(regexp_extract_all(coalesce(en, ''), '\\S+')) AS BIGINT) AS len_en,
               CAST(len(regexp_extract_all(coalesce(vi, ''), '\\S+')) AS BIGINT) AS len_vi
        FROM ps)
 """
 
-# All consecutive line pairs of every document (bench-scale variant).
-ALL_PAIRS_CTE = """
-l AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
-lk AS (SELECT doc_id, a, unnest(range(0, len(a) // 2)) AS k FROM l),
-p AS (SELECT doc_id*10000 + k AS id, a[2*k+1] AS en, a[2*k+2] AS vi FROM lk)
-"""
-
 LEN_OK = "len_en BETWEEN 3 AND 150 AND len_vi BETWEEN 3 AND 150"
 RATIO_OK = "len_en > 0 AND len_vi > 0 AND len_en*2.0 >= len_vi AND len_vi*2.0 >= len_en"
 SCORE_OK = "NOT isnan(score) AND score > CAST(1.0872 AS FLOAT)"

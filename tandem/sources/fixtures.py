@@ -12,40 +12,40 @@ from pyspark.sql import functions as F
 
 from tandem.session import read_table
 
-PAIRS_PER_DOC = 10
+# Pair ids: doc_id * PAIR_ID_STRIDE + k (k = 0-based pair index in the doc).
+PAIR_ID_STRIDE = 100_000
+# Scores: pair k of document d reads event ``d * SCORED_PER_DOC + k``; only
+# the first SCORED_PER_DOC pairs of a document have one (the others are
+# unscored, which the cleaner treats as failing the score test).
+SCORED_PER_DOC = 10
 
 
-def pairs(spark: SparkSession, sf_dir: str, per_doc: int | None = PAIRS_PER_DOC,
-          with_score: bool = True) -> DataFrame:
-    """Pair table ``id, en, vi[, score]`` (FIXTURES B1).
+def pairs(spark: SparkSession, sf_dir: str, with_score: bool = True) -> DataFrame:
+    """Pair table ``id, en, vi[, score]`` over every document (FIXTURES B1).
 
-    Consecutive lines of a document form a pair; ``per_doc`` limits to the
-    first N pairs of each document (None = all pairs, id = doc_id*10000+k).
-    The score comes from ``events`` by a left join on ``event_id = id``; the
-    events side is projected to two columns and AQE broadcasts it only when
-    its runtime size is below the threshold, otherwise both sides shuffle.
+    All consecutive line pairs of every document (whole texts).  The score
+    comes from ``events`` by a left join; the events side is projected to two
+    columns and AQE broadcasts it only when its runtime size is below the
+    threshold, otherwise both sides shuffle.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.split(F.col("text"), "\n")
     n_pairs = F.floor(F.size(lines) / 2).cast("int")
-    if per_doc is not None:
-        n_pairs = F.least(n_pairs, F.lit(per_doc))
-        mult = 10
-    else:
-        mult = 10000
     p = (docs
          .select("doc_id", lines.alias("a"), n_pairs.alias("n"))
          .select("doc_id", "a", F.explode(
              F.when(F.col("n") >= 1, F.sequence(F.lit(0), F.col("n") - 1))).alias("k"))
-         .select((F.col("doc_id") * mult + F.col("k")).cast("long").alias("id"),
+         .select((F.col("doc_id") * PAIR_ID_STRIDE + F.col("k")).cast("long").alias("id"),
                  F.get(F.col("a"), 2 * F.col("k")).alias("en"),
-                 F.get(F.col("a"), 2 * F.col("k") + 1).alias("vi")))
+                 F.get(F.col("a"), 2 * F.col("k") + 1).alias("vi"),
+                 F.when(F.col("k") < SCORED_PER_DOC,
+                        F.col("doc_id") * SCORED_PER_DOC + F.col("k")).alias("score_key")))
     if not with_score:
-        return p
+        return p.drop("score_key")
     ev = (read_table(spark, sf_dir, "events")
-          .select(F.col("event_id").alias("id"),
+          .select(F.col("event_id").alias("score_key"),
                   (F.col("value") / 50).cast("float").alias("score")))
-    return p.join(ev, "id", "left")
+    return p.join(ev, "score_key", "left").drop("score_key")
 
 
 def as_translation(df: DataFrame, keep=("id",)) -> DataFrame:
