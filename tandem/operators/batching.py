@@ -1,10 +1,124 @@
-"""Batching: split sizes (A20) — extended below."""
+"""Batching: ordered row index, batch assignment, seeded shuffle, teacher
+forcing shift, per-batch padding and attention masks (W1, W3, O5, A18, A20,
+F7-F10).
+
+No single-partition window is used: a global order is a range-partitioned
+sort, checkpointed (reliably) so its partitions are stable, plus a prefix sum
+over per-partition counts (one row per partition).
+"""
+
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tandem.config import EVAL_BATCH_SIZE, TRAIN_BATCH_SIZE
+from tandem.config import EVAL_BATCH_SIZE, PAD_ID, SEED, TRAIN_BATCH_SIZE
+
+
+def ordered_index(df: DataFrame, order_cols: list, name: str = "row_idx") -> DataFrame:
+    """Contiguous 0-based index in ``order_cols`` order (distributed)."""
+    from tandem.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    srt = df.orderBy(*order_cols).checkpoint(eager=True)
+    pid = F.spark_partition_id()
+    counts = srt.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    by_pid = {r["p"]: r["n"] for r in counts}
+    offsets, acc = [], 0
+    for p in range(srt.rdd.getNumPartitions()):
+        offsets.append(acc)
+        acc += by_pid.get(p, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
+                       pid + 1)
+    mono = F.monotonically_increasing_id()
+    return srt.withColumn(name, off + mono - F.shiftleft(pid.cast("long"), 33))
+
+
+def index_within(df: DataFrame, part: str, order: list, name: str = "row_idx") -> DataFrame:
+    """Index restarting at 0 for every value of ``part``."""
+    g = ordered_index(df, [F.col(part)] + order, "_gidx")
+    starts = g.groupBy(part).agg(F.min("_gidx").alias("_start"))  # one row per part value
+    return (g.join(F.broadcast(starts), part, "inner")
+            .withColumn(name, F.col("_gidx") - F.col("_start")).drop("_gidx", "_start"))
+
+
+def batch_size_col(split: Column, train_batch: int = TRAIN_BATCH_SIZE,
+                   eval_batch: int = EVAL_BATCH_SIZE) -> Column:
+    return F.when(split == "train", F.lit(train_batch)).otherwise(F.lit(eval_batch))
+
+
+def batch_assign(df: DataFrame, train_batch: int = TRAIN_BATCH_SIZE,
+                 eval_batch: int = EVAL_BATCH_SIZE, shuffle_train: bool = False,
+                 seed: int = SEED, epoch: int = 0) -> DataFrame:
+    """Consecutive rows in groups of the split's batch size, last partial
+    batch kept (W3).  ``shuffle_train`` orders train rows by a seeded hash
+    of (seed, epoch, id) first (O5); validation / test stay in id order."""
+    if shuffle_train:
+        key = F.when(F.col("split") == "train", F.xxhash64(F.lit(seed), F.lit(epoch), F.col("id"))) \
+               .otherwise(F.lit(0).cast("long"))
+        df = df.withColumn("_order", key)
+        idx = index_within(df, "split", [F.col("_order"), F.col("id")], "pos").drop("_order")
+    else:
+        idx = index_within(df, "split", [F.col("id")], "pos")
+    bs = batch_size_col(F.col("split"), train_batch, eval_batch)
+    return idx.withColumn("batch_id", F.floor(F.col("pos") / bs).cast("long"))
+
+
+def seeded_shuffle(df: DataFrame, seed: int = SEED, epoch: int = 0) -> DataFrame:
+    """Deterministic random order of the rows."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.lit(epoch), F.col("id")), F.col("id"))
+
+
+def shifted_targets(tgt: str = "tgt_ids"):
+    """Teacher forcing: decoder input = tgt[:-1], labels = tgt[1:]."""
+    n = F.greatest(F.size(tgt) - 1, F.lit(0))
+    return F.slice(tgt, 1, n).alias("dec_input_ids"), F.slice(tgt, 2, n).alias("labels")
+
+
+def pad_to(col: str, length: Column, pad: int = PAD_ID) -> Column:
+    """Right-pad an id array with ``pad`` up to ``length``."""
+    return F.concat(F.col(col), F.array_repeat(F.lit(pad), F.greatest(length - F.size(col), F.lit(0))))
+
+
+def padding_mask(col) -> Column:
+    """True where the id is not padding (F8)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.transform(c, lambda x: x != PAD_ID)
+
+
+def look_ahead_mask(t: Column) -> Column:
+    """T×T lower-triangular mask incl. the diagonal."""
+    rng = F.sequence(F.lit(0), t - 1)
+    return F.when(t > 0, F.transform(rng, lambda q: F.transform(rng, lambda k: k <= q))) \
+            .otherwise(F.array().cast("array<array<boolean>>"))
+
+
+def target_mask(col) -> Column:
+    """Padding mask AND look-ahead: m[q][k] = pm[k] ∧ k ≤ q."""
+    pm = padding_mask(col)
+    c = F.col(col) if isinstance(col, str) else col
+    return F.transform(F.sequence(F.lit(0), F.size(c) - 1),
+                       lambda q: F.transform(pm, lambda v, k: v & (k <= q)))
+
+
+def collate(batched: DataFrame, masks: bool = False) -> DataFrame:
+    """Per-batch dynamic padding (A18, F7) and masks.
+
+    ``batched`` has ``split, batch_id, src_ids, tgt_ids``.  Batch maxima come
+    from a window partitioned by (split, batch_id): small groups spread over
+    all tasks (one shuffle)."""
+    dec, lab = shifted_targets("tgt_ids")
+    b = batched.select("*", dec, lab)
+    w = Window.partitionBy("split", "batch_id")
+    b = (b.withColumn("T_src", F.max(F.size("src_ids")).over(w))
+          .withColumn("T_tgt", F.max(F.size("dec_input_ids")).over(w)))
+    out = b.select("*",
+                   pad_to("src_ids", F.col("T_src")).alias("src_padded"),
+                   pad_to("dec_input_ids", F.col("T_tgt")).alias("tgt_input_padded"),
+                   pad_to("labels", F.col("T_tgt")).alias("labels_padded"))
+    out = out.withColumn("src_mask", padding_mask("src_padded"))
+    if masks:
+        out = out.withColumn("tgt_mask", target_mask("tgt_input_padded"))
+    return out
 
 
 def split_sizes(df: DataFrame, train_batch: int = TRAIN_BATCH_SIZE,
@@ -13,3 +127,28 @@ def split_sizes(df: DataFrame, train_batch: int = TRAIN_BATCH_SIZE,
     bs = F.when(F.col("split") == "train", F.lit(float(train_batch))).otherwise(F.lit(float(eval_batch)))
     return (df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
             .select("split", "n_rows", F.ceil(F.col("n_rows") / bs).cast("long").alias("n_batches")))
+
+
+def head_n(df: DataFrame, n: int, order: str = "id") -> DataFrame:
+    """First ``n`` rows by storage order (O1).  With a contiguous line index
+    this is a pushed-down filter; otherwise a bounded top-n."""
+    if order == "line_id":
+        return df.filter(F.col("line_id") < n)
+    return df.orderBy(order).limit(n)
+
+
+def context_windows(df: DataFrame, key: str, text: str, c: int = 3) -> DataFrame:
+    """Every language-model window: X = words[i:i+c], Y = words[i+1:i+1+c]
+    for i in [0, n−c), words split on single spaces (W2).  Rows with n ≤ c
+    give none."""
+    w = F.split(F.col(text), " ")
+    base = df.select(key, w.alias("w"))
+    starts = F.when(F.size("w") > c, F.sequence(F.lit(0), F.size("w") - c - 1))
+    ex = base.select(key, "w", F.explode(starts).alias("i"))
+    return ex.select(key, "i", F.slice("w", F.col("i") + 1, c).alias("x"),
+                     F.slice("w", F.col("i") + 2, c).alias("y"))
+
+
+def sample_windows(windows: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """A seeded sample of ``n`` windows (the batch of the LM demo)."""
+    return windows.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in windows.columns[:2]])).limit(n)

@@ -1,11 +1,28 @@
-"""Encoding: direction selection, BPE / word-level encode, truncation,
-SOS/EOS framing, id→token lookup and the round-tripped reference
-(P12, F4-F6, J4, F11-F13)."""
+"""Encoding: direction selection, BPE / word-level encoding, truncation,
+SOS/EOS framing, id→token lookup, detokenising and the round-tripped
+reference (P12, F4-F6, F11-F13, J4).
+
+Encoding runs on *distinct words*: texts are split on the special tokens,
+normalised (ASCII in the JVM, the rest through Arrow), pre-tokenised and
+exploded with positions; each distinct word is encoded once (BPE through a
+small Arrow helper, or a word-level vocabulary join) and joined back; ids
+are reassembled per row in position order by one aggregation.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tandem.config import EOS_ID, MAX_SEQ_LEN, SOS_ID, SPECIAL_TOKENS, UNK_ID
+from tandem.functions.text import detokenize, normalize_frame, pretokenize
+
+_SPECIAL_ALT = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
+SEGMENT_PATTERN = f"(?s){_SPECIAL_ALT}|(?:(?!{_SPECIAL_ALT}).)+"
 
 
 def direction_select(df: DataFrame, src_lang: str = "en", tgt_lang: str = "vi",
@@ -13,3 +30,165 @@ def direction_select(df: DataFrame, src_lang: str = "en", tgt_lang: str = "vi",
     """Pick source and target sides from the translation struct."""
     return df.withColumn("src", F.col(col).getField(src_lang)) \
              .withColumn("tgt", F.col(col).getField(tgt_lang))
+
+
+def text_words(df: DataFrame, key: str, col: str) -> DataFrame:
+    """``(key, sp, wp, word, special_id)``: special-token segments keep their
+    id, other segments are normalised and pre-tokenised."""
+    specials = {t: i for i, t in enumerate(SPECIAL_TOKENS)}
+    seg = df.select(F.col(key).alias("_k"), F.posexplode(
+        F.regexp_extract_all(F.coalesce(F.col(col), F.lit("")), F.lit(SEGMENT_PATTERN), 0))
+        .alias("sp", "seg"))
+    is_special = F.col("seg").isin(*specials)
+    sp_rows = seg.filter(is_special).select(
+        "_k", "sp", F.lit(0).alias("wp"), F.lit(None).cast("string").alias("word"),
+        F.coalesce(*[F.when(F.col("seg") == t, F.lit(i)) for t, i in specials.items()])
+        .alias("special_id"))
+    txt = normalize_frame(seg.filter(~is_special), "seg", "norm")
+    w_rows = txt.select("_k", "sp", F.posexplode(pretokenize("norm")).alias("wp", "word"),
+                        F.lit(None).cast("int").alias("special_id"))
+    return sp_rows.unionByName(w_rows)
+
+
+def assemble_ids(df: DataFrame, tokens: DataFrame, key: str, out: str) -> DataFrame:
+    """Group ``tokens(_k, sp, wp, ids)`` back to one id array per key; rows
+    without tokens get an empty array."""
+    empty = df.select(F.col(key).alias("_k"), F.lit(-1).alias("sp"), F.lit(-1).alias("wp"),
+                      F.array().cast("array<int>").alias("ids"))
+    allr = tokens.select("_k", "sp", "wp", "ids").unionByName(empty)
+    g = allr.groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("sp", "wp", "ids"))).alias("t"))
+    return g.select(F.col("_k").alias(key), F.flatten(F.transform("t", lambda x: x["ids"])).alias(out))
+
+
+# ---------------------------------------------------------------- BPE
+
+def _bpe_word(word: str, ranks: dict, vocab: dict, unk: int) -> list:
+    """Merge the lowest-rank adjacent pair (leftmost first) until none applies.
+    Characters outside the vocabulary become one [UNK] each."""
+    syms = list(word)
+    while len(syms) > 1:
+        best = None
+        for i in range(len(syms) - 1):
+            r = ranks.get((syms[i], syms[i + 1]))
+            if r is not None and (best is None or r < best[0]):
+                best = (r, i)
+        if best is None:
+            break
+        i = best[1]
+        syms[i:i + 2] = [syms[i] + syms[i + 1]]
+    return [vocab.get(s, unk) for s in syms]
+
+
+def bpe_word_ids(spark: SparkSession, words: DataFrame, vocab: list, merges: list,
+                 unk_id: int = UNK_ID) -> DataFrame:
+    """``(word, ids)`` for distinct words: an Arrow UDF over a broadcast of
+    the (bounded) merge ranks and vocabulary."""
+    bc = spark.sparkContext.broadcast(({(a, b): r for r, (a, b) in enumerate(merges)},
+                                       {t: i for i, t in enumerate(vocab)}))
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def enc(s: pd.Series) -> pd.Series:
+        ranks, vmap = bc.value
+        return s.map(lambda w: _bpe_word(w, ranks, vmap, unk_id))
+
+    return words.select("word", enc("word").alias("ids"))
+
+
+def encode_column(spark: SparkSession, df: DataFrame, key: str, col: str, out: str,
+                  word_table_fn) -> DataFrame:
+    """Encode ``col`` to ``out ARRAY<INT>`` keyed by ``key``.
+
+    ``word_table_fn(distinct_words_df) -> (word, ids)``."""
+    tw = text_words(df, key, col)
+    distinct_words = tw.filter(F.col("word").isNotNull()).select("word").distinct()
+    table = word_table_fn(distinct_words)
+    words = tw.filter(F.col("word").isNotNull()).join(table, "word", "inner") \
+              .select("_k", "sp", "wp", "ids")
+    specials = tw.filter(F.col("special_id").isNotNull()) \
+                 .select("_k", "sp", "wp", F.array(F.col("special_id")).alias("ids"))
+    return assemble_ids(df, words.unionByName(specials), key, out)
+
+
+def bpe_encode(spark: SparkSession, df: DataFrame, key: str, col: str, out: str,
+               vocab: list, merges: list) -> DataFrame:
+    """BPE-encode a text column."""
+    return encode_column(spark, df, key, col, out,
+                         lambda w: bpe_word_ids(spark, w, vocab, merges))
+
+
+# ------------------------------------------------- word-level vocabulary
+
+def word_vocab(word_counts: DataFrame, specials=tuple(SPECIAL_TOKENS)) -> DataFrame:
+    """Word-level vocabulary ``token, id``: the special tokens (ids 0..3),
+    then words with id = specials−1 + rank by (count desc, token) —
+    restatable in SQL, used for oracle checks.
+
+    The rank is a global order over distinct words: a range-partitioned sort
+    plus per-partition offsets (``ordered_index``), no single-task window."""
+    from tandem.operators.batching import ordered_index
+    idx = ordered_index(word_counts.select("word", "n"), [F.desc("n"), F.col("word")], "r")
+    words = idx.select(F.col("word").alias("token"),
+                       (F.col("r") + len(specials)).cast("int").alias("id"))
+    sp = word_counts.sparkSession.createDataFrame([(t, i) for i, t in enumerate(specials)],
+                                                  "token string, id int")
+    return sp.unionByName(words)
+
+
+def word_vocab_encode(spark: SparkSession, df: DataFrame, key: str, col: str, out: str,
+                      vocab: DataFrame) -> DataFrame:
+    """Encode with a word-level vocabulary (unknown word → [UNK])."""
+    def table(words):
+        j = words.join(vocab.select(F.col("token").alias("word"), "id"), "word", "left")
+        return j.select("word", F.array(F.coalesce("id", F.lit(UNK_ID))).alias("ids"))
+    return encode_column(spark, df, key, col, out, table)
+
+
+# ------------------------------------------------- framing
+
+def truncate_ids(col, max_len: int) -> "F.Column":
+    """First ``max_len`` ids."""
+    return F.slice(F.col(col) if isinstance(col, str) else col, 1, max_len)
+
+
+def frame_target(col, max_len: int = MAX_SEQ_LEN, sos: int = SOS_ID, eos: int = EOS_ID):
+    """``[SOS] + ids[:max_len-2] + [EOS]`` (F5 + F6)."""
+    return F.concat(F.array(F.lit(sos)), truncate_ids(col, max_len - 2), F.array(F.lit(eos)))
+
+
+def encode_pairs(spark: SparkSession, pairs: DataFrame, encode_fn,
+                 max_len: int = MAX_SEQ_LEN) -> DataFrame:
+    """``id, src_ids, tgt_ids``: source truncated to ``max_len`` without
+    specials, target truncated to ``max_len-2`` and framed with SOS/EOS."""
+    s = encode_fn(pairs, "id", "src", "src_raw")
+    t = encode_fn(pairs, "id", "tgt", "tgt_raw")
+    return (s.join(t, "id", "inner")
+            .select("id", truncate_ids("src_raw", max_len).alias("src_ids"),
+                    frame_target("tgt_raw", max_len).alias("tgt_ids")))
+
+
+# ---------------------------------------------------- decode side
+
+def ids_to_tokens(df: DataFrame, col: str, vocab: DataFrame, out: str = "tokens",
+                  key: str = "id") -> DataFrame:
+    """Map id arrays to token arrays, order kept.
+
+    The vocabulary is bounded by ``vocab_size`` and broadcast; ids are
+    exploded with their position and re-collected in order."""
+    ex = df.select(key, F.posexplode_outer(col).alias("pos", "tid"))
+    j = ex.join(F.broadcast(vocab.select(F.col("id").alias("tid"), "token")), "tid", "left")
+    g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
+        "pos", F.coalesce("token", F.lit("[UNK]")).alias("token"))))).alias("t"))
+    return g.select(key, F.transform("t", lambda x: x["token"]).alias(out))
+
+
+def bpe_join_decode(tokens) -> "F.Column":
+    """Default decoder: plain concatenation."""
+    return F.array_join(F.col(tokens) if isinstance(tokens, str) else tokens, "")
+
+
+def round_trip_reference(df: DataFrame, vocab: DataFrame, tgt_col: str = "tgt_ids",
+                         key: str = "id") -> DataFrame:
+    """Reference string = labels → tokens → detokenise."""
+    lab = df.select(key, F.slice(tgt_col, 2, F.greatest(F.size(tgt_col) - 1, F.lit(0))).alias("labels"))
+    toks = ids_to_tokens(lab, "labels", vocab, "tokens", key)
+    return toks.select(key, detokenize("tokens").alias("ref"))
