@@ -89,8 +89,9 @@ def corpus_sacrebleu(df: DataFrame, pred: str = "pred", ref: str = "ref") -> Dat
 
 def explode_ngrams(df: DataFrame, key: str, tokens: str, max_n: int = MAX_N) -> DataFrame:
     """``key, n, gram`` for n = 1..max_n."""
-    arr = F.flatten(F.array(*[F.transform(ngrams(tokens, n), lambda g, n=n: F.struct(
-        F.lit(n).alias("n"), g.alias("gram"))) for n in range(1, max_n + 1)]))
+    def tag(n):
+        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+    arr = F.flatten(F.array(*[F.transform(ngrams(tokens, n), tag(n)) for n in range(1, max_n + 1)]))
     return df.select(key, F.explode(arr).alias("g")).select(key, "g.n", "g.gram")
 
 
