@@ -1,12 +1,20 @@
 """Batch translation: request filtering, greedy decoding with a pluggable
-next-token scorer, and table translation (P13, P14, D1-D3)."""
+next-token scorer, table translation and evaluation (P13, P14, D1-D3).
+
+The neural model is out of scope; decoding takes any ``scorer(src_ids,
+prefix) -> next_id``.  The default scorer is a bigram table learned by Spark
+from the training targets (one row per previous id, so bounded by the
+vocabulary size) and broadcast to the decoding tasks.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.functions.text import is_blank, strip_text
+from tandem.config import EOS_ID, MAX_SEQ_LEN, SOS_ID
+from tandem.functions.text import detokenize, is_blank, strip_text
 
 # --- fixed values ---
 CONTROL_WORDS = ("exit", "quit")
@@ -18,3 +26,89 @@ def requests_from_text(df: DataFrame, col: str = "text") -> DataFrame:
     return (df.filter(~is_blank(col))
             .filter(~F.lower(s).isin(*CONTROL_WORDS))
             .withColumn("request", s))
+
+
+def bigram_table(targets: DataFrame, col: str = "tgt_ids") -> DataFrame:
+    """``prev, next``: most frequent successor of every id in the framed
+    target sequences, ties to the smallest id (one partial+final aggregation
+    for the counts, one for the arg-max)."""
+    t = targets.select(F.col(col).alias("s")).filter(F.size("s") >= 2)
+    pairs = t.select(F.explode(F.arrays_zip(F.slice("s", 1, F.size("s") - 1).alias("prev"),
+                                            F.slice("s", 2, F.size("s") - 1).alias("next"))).alias("p"))
+    c = pairs.groupBy(F.col("p.prev").alias("prev"), F.col("p.next").alias("next")).agg(F.count(F.lit(1)).alias("n"))
+    return c.groupBy("prev").agg(F.max_by("next", F.struct(F.col("n"), -F.col("next"))).alias("next"))
+
+
+def greedy_decode_ids(src_ids, scorer, max_len: int = MAX_SEQ_LEN,
+                      sos: int = SOS_ID, eos: int = EOS_ID) -> list:
+    """Start with [SOS]; append the scorer's choice up to ``max_len-1`` times;
+    stop right after [EOS] (D1)."""
+    out = [sos]
+    for _ in range(max_len - 1):
+        nxt = int(scorer(src_ids, out))
+        out.append(nxt)
+        if nxt == eos:
+            break
+    return out
+
+
+def bigram_scorer(table: dict, eos: int = EOS_ID):
+    def score(_src, prefix):
+        return table.get(prefix[-1], eos)
+    return score
+
+
+def greedy_decode(spark: SparkSession, df: DataFrame, scorer_factory, key: str = "id",
+                  src: str = "src_ids", max_len: int = MAX_SEQ_LEN) -> DataFrame:
+    """Decode every row in Arrow batches (``mapInPandas``).  Per-row failures
+    become an ``error`` message and the batch continues (P14).
+
+    ``scorer_factory()`` is called once per task and returns the scorer."""
+    def run(it):
+        scorer = scorer_factory()
+        for pdf in it:
+            preds, errs = [], []
+            for s in pdf[src]:
+                try:
+                    preds.append(greedy_decode_ids(list(s), scorer, max_len))
+                    errs.append(None)
+                except Exception as e:  # noqa: BLE001 - reported per row
+                    preds.append([])
+                    errs.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({key: pdf[key], "pred_ids": preds, "error": errs})
+    schema = f"{key} long, pred_ids array<int>, error string"
+    return df.select(F.col(key).cast("long").alias(key), src).mapInPandas(run, schema)
+
+
+def bigram_factory(spark: SparkSession, table_df: DataFrame, max_entries: int = 10_000_000):
+    """Collect the bigram table (bounded by the vocabulary; checked) into a
+    broadcast variable and return a scorer factory."""
+    n = table_df.count()
+    if n > max_entries:
+        raise ValueError(f"bigram table has {n} rows, above the broadcast bound {max_entries}")
+    bc = spark.sparkContext.broadcast({int(r["prev"]): int(r["next"]) for r in table_df.collect()})
+    return lambda: bigram_scorer(bc.value)
+
+
+def translate_table(spark: SparkSession, encoded_src: DataFrame, vocab: DataFrame, scorer_factory,
+                    key: str = "id", max_len: int = MAX_SEQ_LEN) -> DataFrame:
+    """Encoded sources → greedy decode → tokens → detokenised text."""
+    from tandem.operators.encode import ids_to_tokens
+    dec = greedy_decode(spark, encoded_src, scorer_factory, key, "src_ids", max_len)
+    toks = ids_to_tokens(dec, "pred_ids", vocab, "tokens", key)
+    return (dec.join(toks, key, "inner")
+            .select(key, "pred_ids", detokenize("tokens").alias("translation"), "error"))
+
+
+def evaluate_table(spark: SparkSession, encoded_test: DataFrame, vocab: DataFrame, scorer_factory,
+                   key: str = "id", max_len: int = MAX_SEQ_LEN) -> tuple[DataFrame, DataFrame]:
+    """Translate the test split, round-trip the references, score corpus
+    BLEU and SacreBLEU, and keep the first five examples (D3)."""
+    from tandem.operators.encode import round_trip_reference
+    from tandem.operators.evaluate import corpus_scores
+    preds = translate_table(spark, encoded_test, vocab, scorer_factory, key, max_len)
+    refs = round_trip_reference(encoded_test, vocab, "tgt_ids", key)
+    pr = preds.select(key, F.col("translation").alias("pred")).join(refs, key, "inner")
+    scores = corpus_scores(pr)
+    samples = pr.orderBy(key).limit(5)
+    return scores, samples

@@ -54,10 +54,11 @@ def bleu_stats(df: DataFrame, pred_tokens: str, ref_tokens: str) -> DataFrame:
     return s.agg(*[F.sum(c).cast("long").alias(c) for c in s.columns])
 
 
-def bleu_from_stats(stats: DataFrame, smooth: bool = True) -> DataFrame:
-    """BLEU-4 × 100 from summed statistics (one row in, one row out)."""
-    nums = [F.col(f"num{n}") for n in range(1, MAX_N + 1)]
-    dens = [F.col(f"den{n}") for n in range(1, MAX_N + 1)]
+def bleu_expr(smooth: bool = True, prefix: str = "") -> Column:
+    """BLEU-4 × 100 over summed statistic columns ``{prefix}num1`` …"""
+    c = lambda name: F.col(prefix + name)
+    nums = [c(f"num{n}") for n in range(1, MAX_N + 1)]
+    dens = [c(f"den{n}") for n in range(1, MAX_N + 1)]
     logs = []
     for i, (nu, de) in enumerate(zip(nums, dens)):
         if smooth and i > 0:
@@ -66,11 +67,26 @@ def bleu_from_stats(stats: DataFrame, smooth: bool = True) -> DataFrame:
             p = F.try_divide(nu.cast("double"), de.cast("double"))
         logs.append(F.log(p))
     geo = F.exp(sum(logs) / F.lit(float(MAX_N)))
-    bp = F.when(F.col("pred_len") > F.col("ref_len"), F.lit(1.0)) \
-          .otherwise(F.exp(1 - F.try_divide(F.col("ref_len").cast("double"), F.col("pred_len").cast("double"))))
+    bp = F.when(c("pred_len") > c("ref_len"), F.lit(1.0)) \
+          .otherwise(F.exp(1 - F.try_divide(c("ref_len").cast("double"), c("pred_len").cast("double"))))
     any_zero = F.least(*nums) == 0
-    score = F.when(F.coalesce(any_zero, F.lit(True)), F.lit(0.0)).otherwise(100.0 * bp * geo)
-    return stats.select("*", score.alias("bleu"))
+    return F.when(F.coalesce(any_zero, F.lit(True)), F.lit(0.0)).otherwise(100.0 * bp * geo)
+
+
+def bleu_from_stats(stats: DataFrame, smooth: bool = True) -> DataFrame:
+    """BLEU-4 × 100 from summed statistics (one row in, one row out)."""
+    return stats.select("*", bleu_expr(smooth).alias("bleu"))
+
+
+def corpus_scores(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
+    """BLEU and SacreBLEU in one pass: one row ``bleu, sacrebleu``."""
+    t = df.select(_stats_udf(whitespace_words(pred), whitespace_words(ref)).alias("a"),
+                  _stats_udf(intl_tokenize(pred), intl_tokenize(ref)).alias("b"))
+    names = [f.name for f in _STATS_TYPE.fields]
+    sums = t.agg(*[F.sum(f"a.{n}").cast("long").alias(f"a_{n}") for n in names],
+                 *[F.sum(f"b.{n}").cast("long").alias(f"b_{n}") for n in names])
+    return sums.select(bleu_expr(prefix="a_").alias("bleu"), bleu_expr(prefix="b_").alias("sacrebleu"),
+                       F.col("a_pred_len").alias("n_tokens"))
 
 
 def corpus_bleu(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
