@@ -94,6 +94,8 @@ def q_scan_pairs(spark, sf_dir):
     path = scratch_path(spark, "cleaned")
     A.write_cleaned(cleaned, path)
     assert not A.write_cleaned(cleaned, path)  # second call is skipped
+    final = scratch_path(spark, "final")
+    A.write_final(A.scan_pairs(spark, path), final)  # translation only, new directory
     t = A.scan_pairs(spark, path)
     return t.select("id", F.col("translation.en").alias("en"), F.col("translation.vi").alias("vi"))
 
@@ -119,3 +121,22 @@ GROUP BY split
 def q_split_sizes(spark, sf_dir):
     from tandem.operators.batching import split_sizes
     return split_sizes(FX.splits(FX.pairs(spark, sf_dir, with_score=False)))
+
+
+@query("metrics_append", """
+WITH ev AS (SELECT event_type AS run,
+            row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS step,
+            value AS loss FROM events)
+SELECT run, CAST(floor(step / 100) AS BIGINT) AS epoch, round(avg(loss), 6) AS mean_loss
+FROM ev GROUP BY ALL
+""")
+def q_metrics_append(spark, sf_dir):
+    """Epoch metrics appended to a Parquet log in two sessions (first half
+    of the epochs, then the rest) and read back whole (S11)."""
+    from tandem.operators.runs import epoch_mean_loss
+    m = epoch_mean_loss(FX.runs(spark, sf_dir)).select(
+        "run", F.col("epoch").cast("long").alias("epoch"), F.round("mean_loss", 6).alias("mean_loss"))
+    log = scratch_path(spark, "metrics")
+    A.metrics_append(m.filter(F.col("epoch") < 10), log)
+    A.metrics_append(m.filter(F.col("epoch") >= 10), log)
+    return spark.read.parquet(log).select("run", "epoch", "mean_loss")

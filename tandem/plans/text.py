@@ -357,3 +357,39 @@ def q_context_windows(spark, sf_dir):
     return B.context_windows(d, "doc_id", "text", 3).select(
         "doc_id", F.col("i").cast("long").alias("i"),
         F.array_join("x", " ").alias("x"), F.array_join("y", " ").alias("y"))
+
+
+@query("save_load_vocab", wq("""
+SELECT word AS token, CAST(wid AS BIGINT) AS id FROM wv
+UNION ALL SELECT * FROM (VALUES ('[PAD]', 0::BIGINT), ('[UNK]', 1), ('[SOS]', 2), ('[EOS]', 3)) v(token, id)
+"""))
+def q_save_load_vocab(spark, sf_dir):
+    """Word vocabulary saved as Parquet and reloaded with the special-id
+    check (S10)."""
+    from tandem.session import scratch_path
+    from tandem.sources import aligned as A
+    root = scratch_path(spark, "tokenizer")
+    A.save_vocab(_word_vocab(spark, sf_dir), None, root)
+    v = A.load_vocab(spark, root)
+    return v.select("token", F.col("id").cast("long").alias("id"))
+
+
+@query("normalize_text", with_pairs("""
+SELECT id, lower(en) AS norm FROM p
+"""))
+def q_normalize_text(spark, sf_dir):
+    """NFKC + per-character lowercase of every source sentence (F1, F2);
+    ASCII rows stay in the JVM, the rest go through one Arrow UDF."""
+    from tandem.functions.text import normalize_frame
+    p = _pairs(spark, sf_dir)
+    return normalize_frame(p, "en", "norm").select("id", "norm")
+
+
+@query("pretokenize", with_pairs(f"""
+SELECT id, array_to_string(regexp_extract_all(en, '{PRE}'), ' ') AS tokens FROM p
+"""))
+def q_pretokenize(spark, sf_dir):
+    """Word runs and punctuation runs of every source sentence."""
+    from tandem.functions.text import pretokenize
+    p = _pairs(spark, sf_dir)
+    return p.select("id", F.array_join(pretokenize("en"), " ").alias("tokens"))

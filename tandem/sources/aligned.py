@@ -160,3 +160,29 @@ def write_splits(df: DataFrame, root: str) -> None:
 def metrics_append(df: DataFrame, path: str) -> None:
     """Append metric / sample rows to a Parquet log."""
     df.write.mode("append").parquet(path)
+
+
+def save_vocab(vocab: DataFrame, merges: DataFrame | None, root: str) -> None:
+    """Persist a tokenizer as two Parquet tables ``vocab(token, id)`` and
+    ``merges(rank, left, right)`` (S10)."""
+    vocab.select("token", F.col("id").cast("int").alias("id")).write.mode("overwrite").parquet(f"{root}/vocab")
+    if merges is not None:
+        merges.select(F.col("rank").cast("int").alias("rank"), "left", "right") \
+              .write.mode("overwrite").parquet(f"{root}/merges")
+
+
+def load_vocab(spark: SparkSession, root: str, specials=None) -> DataFrame:
+    """Reload a saved vocabulary and check that the special tokens carry
+    their fixed ids (S10).  The check is one small filtered aggregate."""
+    from tandem.config import SPECIAL_TOKENS
+    specials = list(specials or SPECIAL_TOKENS)
+    v = spark.read.schema("token string, id int").parquet(f"{root}/vocab")
+    want = {t: i for i, t in enumerate(specials)}
+    got = {r["token"]: r["id"] for r in v.filter(F.col("token").isin(*specials)).collect()}
+    if got != want:
+        raise ValueError(f"special token ids {got} differ from {want}")
+    return v
+
+
+def load_merges(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("rank int, left string, right string").parquet(f"{root}/merges")
