@@ -172,10 +172,12 @@ def ids_to_tokens(df: DataFrame, col: str, vocab: DataFrame, out: str = "tokens"
                   key: str = "id") -> DataFrame:
     """Map id arrays to token arrays, order kept.
 
-    The vocabulary is bounded by ``vocab_size`` and broadcast; ids are
-    exploded with their position and re-collected in order."""
+    Ids are exploded with their position, joined to the vocabulary and
+    re-collected in order.  No broadcast hint: a BPE vocabulary is small,
+    but a word-level one grows with the corpus, so AQE decides from the
+    measured size."""
     ex = df.select(key, F.posexplode_outer(col).alias("pos", "tid"))
-    j = ex.join(F.broadcast(vocab.select(F.col("id").alias("tid"), "token")), "tid", "left")
+    j = ex.join(vocab.select(F.col("id").alias("tid"), "token"), "tid", "left")
     g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
         "pos", F.coalesce("token", F.lit("[UNK]")).alias("token"))))).alias("t"))
     return g.select(key, F.transform("t", lambda x: x["token"]).alias(out))

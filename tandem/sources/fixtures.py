@@ -7,7 +7,7 @@ operator runs over whole tables and grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.session import read_table
@@ -65,14 +65,15 @@ def splits(df: DataFrame) -> DataFrame:
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch training log ``run, step, epoch, loss`` (FIXTURES B4).
 
-    One run per event type; the step order is a window per run (partitioned
-    by run, so no single-partition global window).
-    """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    return (ev.select(F.col("event_type").alias("run"),
-                      (F.row_number().over(w) - 1).alias("step"),
-                      F.col("value").alias("loss"))
+    One run per event type; ``step`` is the 0-based position in (ts,
+    event_id) order within the run.  A run can hold a large share of all
+    rows, so the numbering is a range-partitioned sort plus per-partition
+    offsets (``index_within``), not a window partitioned by run."""
+    from tandem.operators.batching import index_within
+    ev = read_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("run"), "ts", "event_id", F.col("value").alias("loss"))
+    idx = index_within(ev, "run", [F.col("ts"), F.col("event_id")], "step")
+    return (idx.select("run", F.col("step").cast("long").alias("step"), "loss")
             .withColumn("epoch", F.floor(F.col("step") / 100).cast("int")))
 
 
