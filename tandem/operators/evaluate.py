@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,28 +31,125 @@ _STATS_TYPE = T.StructType(
 
 
 def _row_stats(pred, ref) -> list:
+    """Clipped n-gram matches, candidate n-gram totals and lengths of one
+    (prediction tokens, reference tokens) pair."""
     pred = list(pred) if pred is not None else []
     ref = list(ref) if ref is not None else []
     out_num, out_den = [], []
     for n in range(1, MAX_N + 1):
-        pc = Counter(tuple(pred[i:i + n]) for i in range(len(pred) - n + 1))
-        rc = Counter(tuple(ref[i:i + n]) for i in range(len(ref) - n + 1))
-        out_num.append(sum(min(c, rc[g]) for g, c in pc.items()))
+        pc = Counter(zip(*[pred[i:] for i in range(n)]))
+        rc = Counter(zip(*[ref[i:] for i in range(n)]))
+        out_num.append(sum(min(c, rc[g]) for g, c in pc.items() if g in rc))
         out_den.append(max(len(pred) - n + 1, 0))
     return out_num + out_den + [len(pred), len(ref)]
 
 
-@F.pandas_udf(_STATS_TYPE)
-def _stats_udf(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    rows = [_row_stats(p, r) for p, r in zip(pred, ref)]
-    cols = [f.name for f in _STATS_TYPE.fields]
-    return pd.DataFrame(np.array(rows, dtype=np.int64).reshape(len(rows), len(cols)), columns=cols)
+_STAT_NAMES = [f.name for f in _STATS_TYPE.fields]
+
+
+def batch_sums_codes(codes: np.ndarray, lp: np.ndarray, lr: np.ndarray) -> np.ndarray:
+    """Exact corpus statistics of a batch from integer token codes: all
+    prediction tokens (row by row) then all reference tokens, with the
+    per-row lengths ``lp`` / ``lr``.  An n-gram key is the (n−1)-gram key
+    combined with the next code and re-factorised (exact, no hashing); per-row
+    n-gram counts of both sides are matched with ``np.unique`` /
+    ``intersect1d``."""
+    out = np.zeros(len(_STAT_NAMES), dtype=np.int64)
+    b = len(lp)
+    out[2 * MAX_N] = lp.sum()
+    out[2 * MAX_N + 1] = lr.sum()
+    for n in range(1, MAX_N + 1):
+        out[MAX_N + n - 1] = np.maximum(lp - n + 1, 0).sum()
+    if len(codes) == 0:
+        return out
+    codes = codes.astype(np.int64)
+    v = int(codes.max()) + 2
+    rid = np.repeat(np.arange(2 * b, dtype=np.int64), np.concatenate([lp, lr]))
+    key = codes
+    for n in range(1, MAX_N + 1):
+        if n > 1:
+            if len(key) < 2:
+                break
+            key = pd.factorize(key[:-1] * v + codes[n - 1:])[0].astype(np.int64)
+            valid = rid[:len(key)] == rid[n - 1:]
+        else:
+            valid = np.ones(len(key), dtype=bool)
+        r0 = rid[:len(key)]
+        is_pred = valid & (r0 < b)
+        is_ref = valid & (r0 >= b)
+        row = np.where(r0 >= b, r0 - b, r0)
+        comb = row * (int(key.max()) + 1) + key
+        up, cp = np.unique(comb[is_pred], return_counts=True)
+        ur, cr = np.unique(comb[is_ref], return_counts=True)
+        _, ip, ir = np.intersect1d(up, ur, assume_unique=True, return_indices=True)
+        out[n - 1] = np.minimum(cp[ip], cr[ir]).sum()
+    return out
+
+
+def batch_sums(preds: list, refs: list) -> np.ndarray:
+    """``batch_sums_codes`` for Python token lists (tests, small inputs)."""
+    lp = np.fromiter(map(len, preds), dtype=np.int64, count=len(preds))
+    lr = np.fromiter(map(len, refs), dtype=np.int64, count=len(refs))
+    flat = list(chain.from_iterable(preds)) + list(chain.from_iterable(refs))
+    codes = pd.factorize(pd.Series(flat, dtype=object))[0] if flat else np.zeros(0, dtype=np.int64)
+    return batch_sums_codes(np.asarray(codes), lp, lr)
+
+
+def _arrow_tokens(series: pd.Series):
+    """Space-joined token strings → (flat token array, per-row lengths),
+    all in Arrow compute."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    arr = pa.array(series.fillna(""), type=pa.string())
+    lists = pc.split_pattern(arr, pattern=" ")
+    lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.equal(arr, "").to_numpy(zero_copy_only=False)
+    lens = np.where(empty, 0, lens)
+    flat = pc.list_flatten(lists)
+    flat = flat.filter(pc.not_equal(flat, ""))
+    return flat, lens
+
+
+def _batch_stats(prefixes):
+    """mapInPandas body: one output row of partial sums per Arrow batch.
+
+    Input columns ``{prefix}p`` / ``{prefix}r`` hold token strings joined by
+    single spaces (tokens never contain whitespace or are empty)."""
+    import pyarrow as pa
+
+    def run(it):
+        for pdf in it:
+            out = {}
+            for pre in prefixes:
+                fp, lp = _arrow_tokens(pdf[pre + "p"])
+                fr, lr = _arrow_tokens(pdf[pre + "r"])
+                both = pa.concat_arrays([fp, fr])
+                codes = (both.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                         if len(both) else np.zeros(0, dtype=np.int64))
+                tot = batch_sums_codes(np.asarray(codes), lp, lr)
+                for name, v in zip(_STAT_NAMES, tot):
+                    out[pre + name] = [int(v)]
+            yield pd.DataFrame(out)
+    return run
+
+
+def _stats_frame(t: DataFrame, prefixes) -> DataFrame:
+    """Per-batch partial sums in Python, then one global Spark sum (a
+    single-row exchange)."""
+    schema = ", ".join(f"{pre}{n} long" for pre in prefixes for n in _STAT_NAMES)
+    part = t.mapInPandas(_batch_stats(prefixes), schema)
+    return part.agg(*[F.sum(f"{pre}{n}").cast("long").alias(f"{pre}{n}")
+                      for pre in prefixes for n in _STAT_NAMES])
+
+
+def _joined(tokens) -> Column:
+    return F.array_join(F.col(tokens) if isinstance(tokens, str) else tokens, " ")
 
 
 def bleu_stats(df: DataFrame, pred_tokens: str, ref_tokens: str) -> DataFrame:
     """Corpus sums ``num1..4, den1..4, pred_len, ref_len`` (one row)."""
-    s = df.select(_stats_udf(pred_tokens, ref_tokens).alias("s")).select("s.*")
-    return s.agg(*[F.sum(c).cast("long").alias(c) for c in s.columns])
+    t = df.select(_joined(pred_tokens).alias("p"), _joined(ref_tokens).alias("r"))
+    return _stats_frame(t, [""])
 
 
 def bleu_expr(smooth: bool = True, prefix: str = "") -> Column:
@@ -80,19 +178,17 @@ def bleu_from_stats(stats: DataFrame, smooth: bool = True) -> DataFrame:
 
 def corpus_scores(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
     """BLEU and SacreBLEU in one pass: one row ``bleu, sacrebleu``."""
-    t = df.select(_stats_udf(whitespace_words(pred), whitespace_words(ref)).alias("a"),
-                  _stats_udf(intl_tokenize(pred), intl_tokenize(ref)).alias("b"))
-    names = [f.name for f in _STATS_TYPE.fields]
-    sums = t.agg(*[F.sum(f"a.{n}").cast("long").alias(f"a_{n}") for n in names],
-                 *[F.sum(f"b.{n}").cast("long").alias(f"b_{n}") for n in names])
+    t = df.select(_joined(whitespace_words(pred)).alias("a_p"), _joined(whitespace_words(ref)).alias("a_r"),
+                  _joined(intl_tokenize(pred)).alias("b_p"), _joined(intl_tokenize(ref)).alias("b_r"))
+    sums = _stats_frame(t, ["a_", "b_"])
     return sums.select(bleu_expr(prefix="a_").alias("bleu"), bleu_expr(prefix="b_").alias("sacrebleu"),
                        F.col("a_pred_len").alias("n_tokens"))
 
 
 def corpus_bleu(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
     """Smoothed BLEU-4 on whitespace tokens, single reference."""
-    t = df.select(whitespace_words(pred).alias("p"), whitespace_words(ref).alias("r"))
-    return bleu_from_stats(bleu_stats(t, "p", "r"))
+    t = df.select(_joined(whitespace_words(pred)).alias("p"), _joined(whitespace_words(ref)).alias("r"))
+    return bleu_from_stats(_stats_frame(t, [""]))
 
 
 def corpus_sacrebleu(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
@@ -140,9 +236,10 @@ def bleu_python(preds: list, refs: list) -> float:
     return 100 * bp * math.exp(sum(math.log(p) for p in ps) / 4)
 
 
-def drop_every(tokens: str, k: int = 7) -> Column:
+def drop_every(tokens, k: int = 7) -> Column:
     """Prediction fixture: tokens at 0-based position ≡ k-1 (mod k) removed."""
-    return F.filter(F.col(tokens), lambda t, i: (i % k) != (k - 1))
+    c = F.col(tokens) if isinstance(tokens, str) else tokens
+    return F.filter(c, lambda t, i: (i % k) != (k - 1))
 
 
 __all__ = ["bleu_stats", "bleu_from_stats", "corpus_bleu", "corpus_sacrebleu", "explode_ngrams",

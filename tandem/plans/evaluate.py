@@ -17,10 +17,13 @@ from tandem.sources import fixtures as FX
 
 def pred_ref(spark, sf_dir):
     """``id, pred, ref``: ref = en; pred = its whitespace tokens without
-    every token at 0-based position ≡ 6 (mod 7) (FIXTURES B3)."""
+    every token at 0-based position ≡ 6 (mod 7), joined by single spaces
+    (FIXTURES B3).  ``pred`` comes out of a one-row generator so later
+    expressions read it instead of re-inlining its computation."""
     p = FX.pairs(spark, sf_dir, with_score=False)
-    t = p.select("id", F.col("en").alias("ref"), whitespace_words("en").alias("rt"))
-    return t.select("id", F.array_join(EV.drop_every("rt", 7), " ").alias("pred"), "ref")
+    pred = F.array_join(EV.drop_every(whitespace_words("en"), 7), " ")
+    return p.select("id", F.col("en").alias("ref"), F.inline(F.array(F.struct(pred.alias("pred"))))) \
+            .select("id", "pred", "ref")
 
 
 PRED_REF_CTE = r"""
