@@ -36,8 +36,9 @@ def ordered_index(df: DataFrame, order_cols: list, name: str = "row_idx") -> Dat
 def index_within(df: DataFrame, part: str, order: list, name: str = "row_idx") -> DataFrame:
     """Index restarting at 0 for every value of ``part``."""
     g = ordered_index(df, [F.col(part)] + order, "_gidx")
-    starts = g.groupBy(part).agg(F.min("_gidx").alias("_start"))  # one row per part value
-    return (g.join(F.broadcast(starts), part, "inner")
+    # one row per part value; AQE broadcasts it when its measured size is small
+    starts = g.groupBy(part).agg(F.min("_gidx").alias("_start"))
+    return (g.join(starts, part, "inner")
             .withColumn(name, F.col("_gidx") - F.col("_start")).drop("_gidx", "_start"))
 
 

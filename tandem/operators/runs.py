@@ -26,10 +26,10 @@ def lr_at(step: Column, total: Column, lr: float = LEARNING_RATE,
 
 
 def with_lr(batches: DataFrame, lr: float = LEARNING_RATE) -> DataFrame:
-    """Add ``total_steps`` per run (a one-row-per-run aggregate, broadcast)
-    and the learning rate at ``step``."""
+    """Add ``total_steps`` per run (a one-row-per-run aggregate that AQE
+    broadcasts by measured size) and the learning rate at ``step``."""
     totals = batches.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"))
-    return (batches.join(F.broadcast(totals), "run", "inner")
+    return (batches.join(totals, "run", "inner")
             .withColumn("lr", lr_at(F.col("step"), F.col("total_steps"), lr)))
 
 
@@ -39,7 +39,7 @@ def sample_every_n_steps(batches: DataFrame, every: int = LOG_EVERY,
     rate is the one after the scheduler step, i.e. at ``step + 1`` (P15)."""
     totals = batches.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"))
     b = batches.filter((F.col("step") + 1) % every == 0)
-    return (b.join(F.broadcast(totals), "run", "inner")
+    return (b.join(totals, "run", "inner")
             .withColumn("lr", lr_at(F.col("step") + 1, F.col("total_steps"), lr)))
 
 
