@@ -119,10 +119,14 @@ def _early_stop_fn(patience: int, min_delta: float):
 
 def stream_early_stop(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                       schema, patience: int = PATIENCE, min_delta: float = MIN_DELTA,
-                      files_per_trigger: int | None = None) -> None:
+                      files_per_trigger: int | None = None, state_partitions: int = 8) -> None:
     """Early stopping as per-run state over an arriving metrics stream
     (ST4): ``applyInPandasWithState`` keyed by run; every processed epoch
-    is appended with the state after it."""
+    is appended with the state after it.
+
+    ``state_partitions`` sizes the state store to the number of runs; it is
+    fixed in the query checkpoint at the first start (Spark takes it from
+    ``spark.sql.shuffle.partitions``, set only while the query starts)."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -130,9 +134,14 @@ def stream_early_stop(spark: SparkSession, source_dir: str, sink_dir: str, check
     out = src.groupBy("run").applyInPandasWithState(
         _early_stop_fn(patience, min_delta), EARLY_STOP_OUT, EARLY_STOP_STATE, "append",
         GroupStateTimeout.NoTimeout)
-    q = (out.writeStream.format("parquet").option("path", sink_dir)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (out.writeStream.format("parquet").option("path", sink_dir)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     _run(q)
 
 
