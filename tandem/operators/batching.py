@@ -150,6 +150,19 @@ def context_windows(df: DataFrame, key: str, text: str, c: int = 3) -> DataFrame
                      F.slice("w", F.col("i") + 2, c).alias("y"))
 
 
-def sample_windows(windows: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """A seeded sample of ``n`` windows (the batch of the LM demo)."""
-    return windows.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in windows.columns[:2]])).limit(n)
+def sample_windows(df: DataFrame, key: str, text: str, c: int = 3, batch: int = 2,
+                   seed: int = 0) -> DataFrame:
+    """Language-model batch per text (W2, sampled form): ``batch`` window
+    starts drawn uniformly *with replacement* from [0, n−c), seeded by
+    ``xxhash64(seed, key, j)`` — row-local, no shuffle, reproducible on any
+    cluster.  Texts with n ≤ c give none."""
+    w = F.split(F.col(text), " ")
+    base = df.select(key, w.alias("w")).filter(F.size("w") > c)
+    span = (F.size("w") - c).cast("long")
+    starts = F.transform(F.sequence(F.lit(0), F.lit(batch - 1)),
+                         lambda j: F.struct(j.alias("j"), F.pmod(F.xxhash64(F.lit(seed), F.col(key), j), span)
+                                            .cast("int").alias("i")))
+    ex = base.select(key, "w", F.explode(starts).alias("d"))
+    return ex.select(key, F.col("d.j").alias("draw"), F.col("d.i").alias("i"),
+                     F.slice("w", F.col("d.i") + 1, c).alias("x"),
+                     F.slice("w", F.col("d.i") + 2, c).alias("y"))

@@ -393,3 +393,12 @@ def q_pretokenize(spark, sf_dir):
     from tandem.functions.text import pretokenize
     p = _pairs(spark, sf_dir)
     return p.select("id", F.array_join(pretokenize("en"), " ").alias("tokens"))
+
+
+@query("sample_context_windows")
+def q_sample_context_windows(spark, sf_dir):
+    """Two seeded windows (context 3) per document (W2, sampled form)."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = B.sample_windows(d, "doc_id", "text", 3, 2, seed=0)
+    return s.select("doc_id", F.col("draw").cast("long").alias("draw"), F.col("i").cast("long").alias("i"),
+                    F.array_join("x", " ").alias("x"), F.array_join("y", " ").alias("y"))

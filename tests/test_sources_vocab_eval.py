@@ -140,3 +140,13 @@ def test_lr_schedule(spark):
     df = spark.createDataFrame([("r", s) for s in range(160)], "run string, step int")
     rows = {r.step: r.lr for r in R.with_lr(df).collect()}
     assert rows[0] == 0.0 and abs(rows[8] - 5e-4 * 8 / 16) < 1e-15 and abs(rows[16] - 5e-4) < 1e-15
+
+
+def test_sample_windows_are_valid_windows(spark):
+    df = spark.createDataFrame([(1, "Hello darkness my old friend"), (2, "a b c")], "doc_id long, text string")
+    rows = B.sample_windows(df, "doc_id", "text", 3, 2, seed=0).collect()
+    words = "Hello darkness my old friend".split(" ")
+    assert len(rows) == 2 and all(r.doc_id == 1 for r in rows)
+    for r in rows:
+        assert 0 <= r.i < len(words) - 3
+        assert r.x == words[r.i:r.i + 3] and r.y == words[r.i + 1:r.i + 4]
