@@ -29,6 +29,17 @@ DETOK_CONTRACTION_PATTERN = r"(?U)(\w)\s('\w)"
 
 _STRIP_PATTERN = f"^{WS_CLASS}+|{WS_CLASS}+$"
 
+# The same 29 whitespace code points as single characters (for translate).
+WS_CHARS = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                                    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
+def spaces_only(col) -> Column:
+    """Map every whitespace code point to a plain space (character map, no
+    regex): splitting the result on spaces and dropping empty pieces equals
+    Python's ``str.split()``."""
+    return F.translate(F.coalesce(_c(col), F.lit("")), WS_CHARS, " " * len(WS_CHARS))
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col

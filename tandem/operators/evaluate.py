@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandem.functions.text import NGRAM_SEP, intl_tokenize, ngrams, whitespace_words
+from tandem.functions.text import NGRAM_SEP, intl_tokenize, ngrams, spaces_only, whitespace_words
 
 MAX_N = 4
 
@@ -96,17 +96,18 @@ def batch_sums(preds: list, refs: list) -> np.ndarray:
 
 
 def _arrow_tokens(series: pd.Series):
-    """Space-joined token strings → (flat token array, per-row lengths),
-    all in Arrow compute."""
+    """Space-separated token strings → (flat token array, per-row lengths),
+    all in Arrow compute; empty pieces from repeated spaces are dropped."""
     import pyarrow as pa
     import pyarrow.compute as pc
     arr = pa.array(series.fillna(""), type=pa.string())
     lists = pc.split_pattern(arr, pattern=" ")
-    lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    empty = pc.equal(arr, "").to_numpy(zero_copy_only=False)
-    lens = np.where(empty, 0, lens)
+    parents = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
     flat = pc.list_flatten(lists)
-    flat = flat.filter(pc.not_equal(flat, ""))
+    keep = pc.not_equal(flat, "")
+    flat = flat.filter(keep)
+    kept_parents = parents[keep.to_numpy(zero_copy_only=False)]
+    lens = np.bincount(kept_parents, minlength=len(arr)).astype(np.int64)
     return flat, lens
 
 
@@ -178,7 +179,7 @@ def bleu_from_stats(stats: DataFrame, smooth: bool = True) -> DataFrame:
 
 def corpus_scores(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
     """BLEU and SacreBLEU in one pass: one row ``bleu, sacrebleu``."""
-    t = df.select(_joined(whitespace_words(pred)).alias("a_p"), _joined(whitespace_words(ref)).alias("a_r"),
+    t = df.select(spaces_only(pred).alias("a_p"), spaces_only(ref).alias("a_r"),
                   _joined(intl_tokenize(pred)).alias("b_p"), _joined(intl_tokenize(ref)).alias("b_r"))
     sums = _stats_frame(t, ["a_", "b_"])
     return sums.select(bleu_expr(prefix="a_").alias("bleu"), bleu_expr(prefix="b_").alias("sacrebleu"),
@@ -186,8 +187,9 @@ def corpus_scores(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFr
 
 
 def corpus_bleu(df: DataFrame, pred: str = "pred", ref: str = "ref") -> DataFrame:
-    """Smoothed BLEU-4 on whitespace tokens, single reference."""
-    t = df.select(_joined(whitespace_words(pred)).alias("p"), _joined(whitespace_words(ref)).alias("r"))
+    """Smoothed BLEU-4 on whitespace tokens, single reference (A14).  The
+    JVM only maps whitespace to spaces; the split happens in Arrow."""
+    t = df.select(spaces_only(pred).alias("p"), spaces_only(ref).alias("r"))
     return bleu_from_stats(_stats_frame(t, [""]))
 
 
