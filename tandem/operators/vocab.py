@@ -111,16 +111,6 @@ def pair_stats(words: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("nb") >= 0, F.col("c"))), F.lit(0)).alias("bound"))
 
 
-def _positions(words: DataFrame) -> DataFrame:
-    """One row per adjacent position: ``n, a, b, l, r`` (missing neighbour -1)."""
-    w = words.select("n", _sym_array().alias("s")).filter(F.size("s") >= 2)
-    n = F.size("s")
-    z = F.arrays_zip(F.slice("s", 1, n - 1).alias("a"), F.slice("s", 2, n - 1).alias("b"),
-                     F.concat(F.array(F.lit(-1)), F.slice("s", 1, n - 2)).alias("l"),
-                     F.concat(F.slice("s", 3, n - 2), F.array(F.lit(-1))).alias("r"))
-    return w.select("n", F.explode(z).alias("e")).select("n", "e.a", "e.b", "e.l", "e.r")
-
-
 def pair_counts(words_syms: DataFrame) -> DataFrame:
     """Weighted adjacent-pair counts ``a, b, n`` (A12): one partial+final
     aggregation keyed by the pair."""
@@ -131,24 +121,6 @@ def pair_counts(words_syms: DataFrame) -> DataFrame:
     return ev.groupBy(F.col("e.a").alias("a"), F.col("e.b").alias("b")).agg(F.sum("n").alias("n"))
 
 
-def candidate_bounds(words_syms: DataFrame, cands: list) -> dict:
-    """Largest extending-trigram count for each candidate pair.  Only
-    positions whose pair is a candidate (a bounded set, broadcast) reach the
-    aggregation."""
-    spark = words_syms.sparkSession
-    cdf = spark.createDataFrame([(int(a), int(b)) for a, b in cands], "a int, b int")
-    pos = _positions(words_syms).join(F.broadcast(cdf), ["a", "b"], "left_semi")
-    sides = pos.select("a", "b", "n", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("l").alias("nb")),
-        F.struct(F.lit(1).alias("side"), F.col("r").alias("nb")))).alias("x")) \
-        .filter(F.col("x.nb") >= 0)
-    tri = sides.groupBy("a", "b", "x.side", "x.nb").agg(F.sum("n").alias("c"))
-    rows = tri.groupBy("a", "b").agg(F.max("c").alias("bound")).collect()
-    out = {(a, b): 0 for a, b in cands}
-    out.update({(r["a"], r["b"]): r["bound"] for r in rows})
-    return out
-
-
 def best_pair(stats: DataFrame) -> DataFrame:
     """Pair with the highest count, ties → smallest (a, b)."""
     return stats.orderBy(F.desc("n"), "a", "b").limit(1)
