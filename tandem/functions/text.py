@@ -50,23 +50,28 @@ def strip_text(col) -> Column:
     return F.regexp_replace(_c(col), _STRIP_PATTERN, "")
 
 
-def word_count(col) -> Column:
-    """Number of whitespace-separated words, ``len(s.split())``.
+def _spaced(col) -> Column:
+    # every whitespace code point → ' ' (a character map): the regexes below
+    # then use the trivial class [^ ] instead of the 29-code-point class,
+    # measured ~1.7× faster with identical results
+    return F.translate(_c(col), WS_CHARS, " " * len(WS_CHARS))
 
-    Counted as maximal runs of non-whitespace characters: one codegen'd regex,
-    no array materialisation.  NULL counts as 0.
-    """
-    return F.coalesce(F.regexp_count(_c(col), F.lit(NON_WS_CLASS + "+")), F.lit(0))
+
+def word_count(col) -> Column:
+    """Number of whitespace-separated words, ``len(s.split())`` (P2):
+    maximal runs of non-whitespace characters.  NULL counts as 0."""
+    return F.coalesce(F.regexp_count(_spaced(col), F.lit("[^ ]+")), F.lit(0))
 
 
 def is_blank(col) -> Column:
     """True when NULL or only whitespace (NULL ≡ empty, see P3)."""
-    return F.coalesce(~_c(col).rlike(NON_WS_CLASS), F.lit(True))
+    return F.coalesce(~_spaced(col).rlike("[^ ]"), F.lit(True))
 
 
 def whitespace_words(col) -> Column:
-    """``s.split()`` as an array (empty array for blank / NULL)."""
-    return F.coalesce(F.regexp_extract_all(_c(col), F.lit(NON_WS_CLASS + "+"), 0),
+    """``s.split()`` as an array (empty array for blank / NULL).  Tokens
+    contain no whitespace, so the translated text yields them unchanged."""
+    return F.coalesce(F.regexp_extract_all(_spaced(col), F.lit("[^ ]+"), 0),
                       F.array().cast("array<string>"))
 
 
