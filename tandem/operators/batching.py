@@ -135,7 +135,8 @@ def head_n(df: DataFrame, n: int, order: str = "id") -> DataFrame:
     this is a pushed-down filter; otherwise a bounded top-n."""
     if order == "line_id":
         return df.filter(F.col("line_id") < n)
-    return df.orderBy(order).limit(n)
+    from tandem.operators.profile import bounded_top_n
+    return bounded_top_n(df, order, n)
 
 
 def context_windows(df: DataFrame, key: str, text: str, c: int = 3) -> DataFrame:

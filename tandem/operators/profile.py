@@ -107,10 +107,32 @@ def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 0.0) -> DataFra
             .select("g", (F.lit(a) + F.col("g") * F.lit(step)).alias("x"), (F.col("s") * norm).alias("density")))
 
 
+def bounded_top_n(df: DataFrame, order_col: str, n: int, tie_col: str | None = None,
+                  accuracy: int = 10_000) -> DataFrame:
+    """The ``n`` rows with the smallest ``order_col`` (ties by ``tie_col``),
+    exact, without sending n rows per partition into one task.
+
+    A mergeable quantile sketch (``percentile_approx``) gives a cut-off that
+    keeps roughly 2n rows; the kept set is counted, and because it holds every
+    row below the cut-off it contains the true top n whenever it has at
+    least n rows.  Otherwise (or for small inputs) the plain top-n is used."""
+    order = [F.col(order_col)] + ([F.col(tie_col)] if tie_col else [])
+    total = df.count()
+    if total <= 4 * n:
+        return df.orderBy(*order).limit(n)
+    q = min(1.0, 2.0 * n / total + 2.0 / accuracy)
+    cut = df.agg(F.percentile_approx(order_col, F.lit(q), accuracy)).first()[0]
+    kept = df.filter(F.col(order_col) <= F.lit(cut))
+    if kept.count() < n:
+        return df.orderBy(*order).limit(n)
+    return kept.orderBy(*order).limit(n)
+
+
 def sample_n(df: DataFrame, n: int = 50_000, seed: int = 42, key: str = "id") -> DataFrame:
     """``min(n, rows)`` rows without replacement, deterministic on any
     cluster: the n smallest seeded hashes (a bounded top-n) (O4)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    h = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    return bounded_top_n(h, "_h", n, key).drop("_h")
 
 
 def sample_inspect(indexed: DataFrame, k: int = 5, seed: int = 0, index: str = "row_idx") -> DataFrame:
@@ -132,4 +154,4 @@ def tail_n(df: DataFrame, n: int = 10, order: str = "id") -> DataFrame:
 
 def row_at(df: DataFrame, i: int, order: str = "id") -> DataFrame:
     """The row at 0-based position ``i`` (bounded top-(i+1)) (O2)."""
-    return df.orderBy(order).limit(i + 1).orderBy(F.desc(order)).limit(1)
+    return bounded_top_n(df, order, i + 1).orderBy(F.desc(order)).limit(1)

@@ -51,3 +51,11 @@ def test_result_independent_of_shuffle_partitions(spark):
         assert out[0] == out[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_bounded_top_n_exact(spark):
+    from tandem.operators.profile import bounded_top_n
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20011).alias("v"), F.col("id"))
+    got = [r.v for r in bounded_top_n(df, "v", 300, "id").collect()]
+    want = sorted(r.v for r in df.collect())[:300]
+    assert sorted(got) == want
