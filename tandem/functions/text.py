@@ -27,8 +27,6 @@ DETOK_PUNCT_PATTERN = r"(?U)\s([.,!?'\":;])"
 DETOK_CONTRACTION_PATTERN = r"(?U)(\w)\s('\w)"
 # ------------------------------------------------------------------------------
 
-_STRIP_PATTERN = f"^{WS_CLASS}+|{WS_CLASS}+$"
-
 # The same 29 whitespace code points as single characters (for translate).
 WS_CHARS = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
                                     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
@@ -46,8 +44,14 @@ def _c(col) -> Column:
 
 
 def strip_text(col) -> Column:
-    """Python ``str.strip()`` with its full Unicode whitespace set."""
-    return F.regexp_replace(_c(col), _STRIP_PATTERN, "")
+    """Python ``str.strip()`` with its full Unicode whitespace set.
+
+    Trim positions come from the space-translated copy (code points map one
+    to one), the substring from the original, so inner whitespace is kept."""
+    c = _c(col)
+    sp = _spaced(c)
+    lead = F.length(sp) - F.length(F.ltrim(sp))
+    return F.substring(c, lead + 1, F.length(F.trim(sp)))
 
 
 def _spaced(col) -> Column:
