@@ -59,3 +59,27 @@ def test_bounded_top_n_exact(spark):
     got = [r.v for r in bounded_top_n(df, "v", 300, "id").collect()]
     want = sorted(r.v for r in df.collect())[:300]
     assert sorted(got) == want
+
+
+def test_ordered_index_contiguous_and_sorted(spark):
+    from tandem.operators.batching import index_within, ordered_index
+    df = spark.range(0, 2000).select(F.col("id"), (F.col("id") * 7919 % 2003).alias("k")).repartition(7)
+    rows = ordered_index(df, [F.col("k"), F.col("id")], "r").collect()
+    assert sorted(r.r for r in rows) == list(range(2000))
+    assert [r.k for r in sorted(rows, key=lambda r: r.r)] == sorted(r.k for r in rows)
+    g = df.withColumn("g", F.col("id") % 3)
+    per = index_within(g, "g", [F.col("k"), F.col("id")], "r").collect()
+    for part in range(3):
+        assert sorted(r.r for r in per if r.g == part) == list(range(sum(1 for r in per if r.g == part)))
+
+
+def test_line_index_over_directory(spark):
+    import os
+    import tempfile
+    from tandem.sources.aligned import read_lines
+    d = tempfile.mkdtemp(prefix="tandem-dir-")
+    for i in range(3):
+        with open(os.path.join(d, f"part-{i:05d}.txt"), "w") as f:
+            f.write("".join(f"f{i} l{j}\n" for j in range(4)))
+    rows = sorted((r.line_id, r.value) for r in read_lines(spark, d).collect())
+    assert rows == [(i * 4 + j, f"f{i} l{j}") for i in range(3) for j in range(4)]
