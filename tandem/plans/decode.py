@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tandem.operators import decode as D
 from tandem.plans.registry import query
-from tandem.plans.text import _encoded, _ids_str, _key, _word_vocab
+from tandem.plans.text import ENCODED, _encoded, _ids_str, _key, _word_vocab, wq
 
 _CACHE: dict = {}
 
@@ -21,11 +21,19 @@ def _factory(spark, sf_dir):
     return _CACHE[k]
 
 
-@query("bigram_table")
+@query("bigram_table", wq("""
+, bg AS (SELECT tgt[i] AS prev, tgt[i + 1] AS nxt
+         FROM (SELECT tgt, unnest(range(1, len(tgt))) AS i FROM enc WHERE split = 'train')),
+bc AS (SELECT prev, nxt, count(*) AS n FROM bg GROUP BY ALL)
+SELECT CAST(prev AS BIGINT) AS prev, CAST(nxt AS BIGINT) AS next FROM bc
+QUALIFY row_number() OVER (PARTITION BY prev ORDER BY n DESC, nxt) = 1
+""", ENCODED))
 def q_bigram_table(spark, sf_dir):
-    """Most frequent successor per id over the training targets."""
+    """Most frequent successor per id over the training targets (ties →
+    smallest id): the default decoding scorer."""
     enc = _encoded(spark, sf_dir)
-    return D.bigram_table(enc.filter(F.col("split") == "train"))
+    t = D.bigram_table(enc.filter(F.col("split") == "train"))
+    return t.select(F.col("prev").cast("long").alias("prev"), F.col("next").cast("long").alias("next"))
 
 
 @query("greedy_decode")
