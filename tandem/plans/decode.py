@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tandem.operators import decode as D
 from tandem.plans.registry import query
-from tandem.plans.text import ENCODED, _encoded, _ids_str, _key, _word_vocab, wq
+from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, ENCODED, _encoded, _ids_str, _key, _word_vocab, wq
 
 _CACHE: dict = {}
 
@@ -61,7 +61,17 @@ def q_greedy_decode(spark, sf_dir):
                       F.size("pred_ids").cast("long").alias("n_ids"), "error")
 
 
-@query("translate_table")
+_TRANSLATE_SQL = _DECODE_SQL.split("dec AS (")[0] + f"""toks AS (SELECT step, coalesce(w.word, CASE tok WHEN 0 THEN '[PAD]' WHEN 1 THEN '[UNK]'
+                   WHEN 2 THEN '[SOS]' WHEN 3 THEN '[EOS]' END) AS t
+         FROM path LEFT JOIN wv w ON w.wid = path.tok),
+tr AS (SELECT list(t ORDER BY step) AS tl FROM toks)
+SELECT enc.id, {DETOK_SQL.format(t=DROP_SPECIALS_SQL.format(t='tl'))} AS translation,
+       CAST(NULL AS VARCHAR) AS error
+FROM enc, tr WHERE enc.split = 'test'
+"""
+
+
+@query("translate_table", _TRANSLATE_SQL)
 def q_translate_table(spark, sf_dir):
     """Encode → decode → tokens → detokenised text for the test split."""
     enc = _encoded(spark, sf_dir).filter(F.col("split") == "test")
