@@ -235,13 +235,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs`` left when one document of each component stays
-    (the one of smallest id; of repeated rows one; rows without id stay)."""
-    found = near_duplicates(docs, id_col=id_col, **kw)
+    (the one of smallest id; of rows equal in id and text one; different texts
+    under that id all stay, and so do rows without id)."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **kw)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    one = docs.join(kept, docs[f"`{id_col}`"] == kept["_kept_id"], "left_semi").dropDuplicates([id_col])
-    return one.union(docs.where(F.col(f"`{id_col}`").isNull()))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    held = docs.select(F.col(f"`{id_col}`").alias("_id"), F.md5(F.col(f"`{text_col}`")).alias("_text"), row)
+    one = held.join(kept, held["_id"] == kept["_kept_id"], "left_semi").dropDuplicates(["_id", "_text"])
+    return one.union(held.where("_id is null")).select("row.*")
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):
