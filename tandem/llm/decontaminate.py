@@ -4,14 +4,16 @@ Documents are reduced, in one scan of the texts, to the positions of words
 that occur in the benchmark (no other word can count towards a match), which
 are written to the shared folder.  Passages of PASSAGE words then get TF-IDF
 vectors over the benchmark's words, with document frequencies counted over all
-passages.  A distributed randomised SVD gives a latent space: each of two
-rounds multiplies a thin matrix by A^T A, tasks returning partial products that
-Spark sums.  Overlapping passages covering every document are projected, and
-items of cosine COSINE or more are candidates.  A candidate is confirmed by the
+passages; words in more than COMMON of them are left out of the vectors (not of
+the later comparison).  A distributed randomised SVD of the documents' and the
+items' passages, both given the same total weight, gives a latent space: each
+of two rounds multiplies a thin matrix by A^T A, tasks returning partial
+products that Spark sums.  Overlapping passages covering every document are
+projected, and items of cosine COSINE or more are candidates.  A candidate is confirmed by the
 longest common subsequence of item and surrounding words: nearly the whole item
 (VERBATIM), or a smaller share (PARAPHRASE) if the item's answer, its last
-sentence, is found as well (ANSWER).  Items of fewer than SHORT words need all
-their words in a row.
+sentence, is found as well (ANSWER).  Items of fewer than SHORT words are looked
+up as word sequences instead, all their words in a row.
 
 Benchmark items are taken in blocks of BLOCK, each against all documents; a
 block's words, its latent space and its items are what is broadcast.
@@ -34,13 +36,13 @@ from tandem.llm.common import LOWER_CODE, NOT_WORD, documents, join_small, pytho
 from tandem.session import read_table
 
 PASSAGE, HOP = 64, 32
-RANK, OVERSAMPLE, SEED = 96, 16, 5
-COSINE = 0.4
+RANK, OVERSAMPLE, SEED = 256, 16, 5
+COSINE, COMMON = 0.4, 0.05
 VERBATIM, PARAPHRASE, ANSWER = 0.7, 0.5, 0.6
-SHORT, MIN_HITS = 8, 3
-BLOCK = 1000
+SHORT, LEAST_TERMS = 8, 3
+BLOCK = 200
 ROWS = 64
-_STEP_HITS = 1 << 16
+_STEP_HITS = 1 << 14
 
 
 class Items:
@@ -66,24 +68,44 @@ class Items:
             self.ids.append(ids[i])
             self.seq.append(s)
             self.answer.append(s[max(0, last):])
+        self.masks = [(term_masks(s), term_masks(a)) for s, a in zip(self.seq, self.answer, strict=True)]
+        self.long = np.array([len(s) >= SHORT for s in self.seq], bool)
+        self.short: dict = {}
+        for i in np.flatnonzero(~self.long):
+            self.short.setdefault(len(self.seq[i]), []).append(int(i))
 
     def __len__(self):
         return len(self.ids)
 
+    def vectors(self, idf: np.ndarray):
+        """Entries (item, term, weight) of the items' TF-IDF rows, zero weights left out."""
+        row = np.repeat(np.arange(len(self)), [len(s) for s in self.seq])
+        e, tf = np.unique(row * len(self.vocab) + np.concatenate(self.seq), return_counts=True)
+        row, t = e // len(self.vocab), e % len(self.vocab)
+        used = idf[t] > 0
+        row, t = row[used], t[used]
+        return row, t, _weights(row, t, tf[used], idf)
 
-def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence (bit-parallel over ``a``)."""
+
+def term_masks(a: np.ndarray) -> tuple[int, dict]:
+    """Length of a sequence and, for each term, the bits of its places."""
     where: dict = {}
     for i, x in enumerate(a.tolist()):
         where[x] = where.get(x, 0) | (1 << i)
-    full = (1 << len(a)) - 1
+    return len(a), where
+
+
+def lcs(masks: tuple[int, dict], b: list) -> int:
+    """Length of the longest common subsequence (bit-parallel over the masked sequence)."""
+    n, where = masks
+    full = (1 << n) - 1
     v = full
-    for x in b.tolist():
+    for x in b:
         m = where.get(x)
         if m:
             u = v & m
             v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+    return n - v.bit_count()
 
 
 def _find_hits(vocab):
@@ -127,16 +149,16 @@ def _passages(doc, pos, term, overlap: bool):
         doc, q, term = np.r_[doc, doc[q > 0]], np.r_[q, q[q > 0] - 1], np.r_[term, term[q > 0]]
     key = (doc.astype(np.int64) << 31) | q
     rows, row = np.unique(key, return_inverse=True)
-    width = int(term.max()) + 1 if len(term) else 1
+    width = int(term.max(initial=0)) + 1
     e, tf = np.unique(row.astype(np.int64) * width + term, return_counts=True)
     return e // width, e % width, tf, rows >> 31, rows & ((1 << 31) - 1)
 
 
 def _weights(row, term, tf, idf):
+    """TF-IDF weights of entries in order of row, each row of length one."""
     w = (1 + np.log(tf)) * idf[term]
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
-    norm = np.sqrt(np.add.reduceat(w * w, first)) if len(row) else np.zeros(0)
-    return (w / norm[row]).astype(np.float32), first
+    norm = np.sqrt(np.bincount(row, w * w))
+    return (w / norm[row]).astype(np.float32)
 
 
 def _document_frequency(batches):
@@ -154,24 +176,33 @@ def _document_frequency(batches):
                           ["term", "df"])
 
 
+def _useful(doc, pos, term, idf):
+    used = idf[term] > 0
+    return doc[used], pos[used], term[used]
+
+
 def _gram_product(sent):
-    """Partial A^T A Q of a task, in blocks of ROWS terms."""
+    """Partial A^T A Q of a task, in blocks of ROWS terms; block -1 has the
+    number of passages."""
     def run(batches):
         idf, q = sent.value
-        z = np.zeros(q.shape, np.float64)
+        z, rows = np.zeros(q.shape, np.float64), 0
         for _, doc, pos, term in _hits(batches):
+            doc, pos, term = _useful(doc, pos, term, idf)
             if not len(term):
                 continue
-            row, t, tf, _, _ = _passages(doc, pos, term, False)
-            w, first = _weights(row, t, tf, idf)
+            row, t, tf, row_doc, _ = _passages(doc, pos, term, False)
+            w = _weights(row, t, tf, idf)
+            rows += len(row_doc)
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
             y = np.add.reduceat(w[:, None] * q[t], first)
             order = np.argsort(t, kind="stable")
             t, part = t[order], w[order, None] * y[row[order]]
             first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
             z[t[first]] += np.add.reduceat(part, first)
         some = [s for s in range(0, len(z), ROWS) if z[s:s + ROWS].any()]
-        yield pa.record_batch([pa.array(some, pa.int32()), pa.array([z[s:s + ROWS].tobytes() for s in some], pa.binary())],
-                              ["block", "z"])
+        yield pa.record_batch([pa.array([-1, *some], pa.int32()), pa.array(
+            [np.float64(rows).tobytes(), *(z[s:s + ROWS].tobytes() for s in some)], pa.binary())], ["block", "z"])
     return run
 
 
@@ -180,82 +211,103 @@ def _sum_blocks(parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [parts["block"].iloc[0]], "z": [z.tobytes()]})
 
 
-def latent_space(hits: DataFrame, vocab: int, rank: int = RANK, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, V): inverse document frequencies, and the leading right singular
-    vectors of the TF-IDF passages, by a randomised range finder with one power
-    round and a Rayleigh-Ritz step."""
-    sc = hits.sparkSession.sparkContext
-    df = np.zeros(vocab + 1)
+def term_weights(hits: DataFrame, items: Items) -> np.ndarray:
+    """Inverse document frequencies over all passages, zero for common words
+    (but for those of an item that would keep fewer than LEAST_TERMS)."""
+    df = np.zeros(len(items.vocab) + 1)
     for r in hits.mapInArrow(_document_frequency, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         df[r["term"]] = r["df"]  # -1: the number of passages
-    idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
+    n, df = df[-1], df[:-1]
+    rare = df <= COMMON * n
+    for s in items.seq:
+        if rare[np.unique(s)].sum() < LEAST_TERMS:
+            rare[s] = True
+    return np.where(rare, np.log((n + 1) / (df + 1)) + 1, 0.0)
+
+
+def latent_space(hits: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK, seed: int = SEED) -> np.ndarray:
+    """Leading right singular vectors of the passages of documents and items,
+    by a randomised range finder with one power round and a Rayleigh-Ritz step."""
+    sc = hits.sparkSession.sparkContext
+    row, t, w = items.vectors(idf)
 
     def product(q):
         sent = sc.broadcast((idf, q.astype(np.float32)))
         parts = hits.mapInArrow(_gram_product(sent), "block int, z binary")
-        z = np.zeros(q.shape)
+        z, rows = np.zeros(q.shape), 0.0
         for r in parts.groupBy("block").applyInPandas(_sum_blocks, "block int, z binary").collect():
-            x = np.frombuffer(r["z"]).reshape(-1, q.shape[1])
-            z[r["block"]:r["block"] + len(x)] = x
-        return z
-
-    width = min(vocab, rank + OVERSAMPLE)
-    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((vocab, width)))
+            x = np.frombuffer(r["z"])
+            if r["block"] < 0:
+                rows = float(x[0])
+            else:
+                x = x.reshape(-1, q.shape[1])
+                z[r["block"]:r["block"] + len(x)] = x
+        y = np.zeros((len(items), q.shape[1]))
+        np.add.at(y, row, w[:, None] * q[t])
+        own = np.zeros(q.shape)
+        np.add.at(own, t, w[:, None] * y[row])
+        return z / max(rows, 1.0) + own / len(items)
+
+    width = min(len(idf), rank + OVERSAMPLE)
+    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(idf), width)))
     q, _ = np.linalg.qr(product(q))
     z = product(q)
     value, vec = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
-    keep = np.argsort(-value)[:rank]
-    return idf, q @ vec[:, keep]
+    return q @ vec[:, np.argsort(-value)[:rank]]
 
 
 def _project(row_count, row, t, w, v):
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
     x = np.zeros((row_count, v.shape[1]), np.float32)
-    x[row[first]] = np.add.reduceat(w[:, None] * v[t], first)
+    if len(row):
+        x[row[first]] = np.add.reduceat(w[:, None] * v[t], first)
     n = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(n > 0, n, 1)
 
 
-def _in_a_row(seq, pos, term) -> bool:
-    n = len(seq)
-    for i in np.flatnonzero(term[:len(term) - n + 1] == seq[0]) if len(term) >= n else ():
-        if pos[i + n - 1] - pos[i] == n - 1 and (term[i:i + n] == seq).all():
-            return True
-    return False
+def _sequences(items: Items, doc, pos, term):
+    """(document, item, first word) of short items whose words stand in a row."""
+    for n, some in items.short.items():
+        m = len(term) - n + 1
+        if m < 1:
+            continue
+        row = (doc[:m] == doc[n - 1:]) & (pos[n - 1:] - pos[:m] == n - 1)
+        for i in some:
+            ok = row & (term[:m] == items.seq[i][0])
+            for j in range(1, n):
+                ok &= term[j:j + m] == items.seq[i][j]
+            for at in np.flatnonzero(ok):
+                yield int(doc[at]), i, int(pos[at])
 
 
 def _search(sent):
     def run(batches):
         items, idf, v, latent = sent.value
         for b, doc, pos, term in _hits(batches):
+            best: dict = {}
+            for d, i, at in _sequences(items, doc, pos, term):
+                new = (1.0, 1.0, -at)
+                best[d, i] = max(best.get((d, i), new), new)
+            bound = np.searchsorted(doc, np.arange(len(b) + 1))
+            row, t, tf, row_doc, row_q = _passages(*_useful(doc, pos, term, idf), True)
+            w = _weights(row, t, tf, idf)
+            cos = (_project(len(row_doc), row, t, w, v) @ latent.T) * items.long
+            for p, i in zip(*np.nonzero(cos >= COSINE), strict=True):
+                d, n = int(row_doc[p]), len(items.seq[i])
+                lo, hi = int(row_q[p]) * HOP - n, int(row_q[p]) * HOP + PASSAGE + n
+                a, z = bound[d] + np.searchsorted(pos[bound[d]:bound[d + 1]], (lo, hi))
+                if z - a < n * PARAPHRASE:
+                    continue
+                near = term[a:z].tolist()
+                share = lcs(items.masks[i][0], near) / n
+                if share >= VERBATIM or (share >= PARAPHRASE
+                                         and lcs(items.masks[i][1], near) >= ANSWER * len(items.answer[i])):
+                    new = (share, float(cos[p, i]), -int(row_q[p]) * HOP)
+                    best[d, i] = max(best.get((d, i), new), new)
             out: dict = {c: [] for c in ("doc", "item_id", "cosine", "lcs", "first_word")}
-            if len(term):
-                row, t, tf, row_doc, row_q = _passages(doc, pos, term, True)
-                w, _ = _weights(row, t, tf, idf)
-                cos = _project(len(row_doc), row, t, w, v) @ latent.T
-                bound = np.searchsorted(doc, np.arange(len(b) + 1))
-                best: dict = {}
-                for p, i in zip(*np.nonzero(cos >= COSINE), strict=True):
-                    d, seq = int(row_doc[p]), items.seq[i]
-                    lo, hi = int(row_q[p]) * HOP - len(seq), int(row_q[p]) * HOP + PASSAGE + len(seq)
-                    a, z = bound[d] + np.searchsorted(pos[bound[d]:bound[d + 1]], (lo, hi))
-                    if z - a < min(SHORT, len(seq)) * PARAPHRASE:
-                        continue
-                    near = term[a:z]
-                    if len(seq) < SHORT:
-                        share = float(_in_a_row(seq, pos[a:z], near))
-                        found = share == 1
-                    else:
-                        share = lcs(seq, near) / len(seq)
-                        answer = items.answer[i]
-                        found = share >= VERBATIM or (share >= PARAPHRASE
-                                                      and lcs(answer, near) >= ANSWER * len(answer))
-                    if found:
-                        new = (share, float(cos[p, i]), -int(row_q[p]) * HOP)
-                        best[d, i] = max(best.get((d, i), new), new)
-                for (d, i), (share, c, q) in sorted(best.items()):
-                    for name, x in zip(out, (d, items.ids[i], c, share, -q), strict=True):
-                        out[name].append(x)
+            for (d, i), (share, c, at) in sorted(best.items()):
+                for name, x in zip(out, (d, items.ids[i], c, share, -at), strict=True):
+                    out[name].append(x)
             at = pa.array(out["doc"], pa.int64())
             yield pa.record_batch([b.column("doc_id").take(at), b.column("tkey").take(at),
                                    pa.array(out["item_id"], pa.int64()), pa.array(out["cosine"], pa.float64()),
@@ -284,15 +336,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             vocab = spark.sparkContext.broadcast(items.vocab)
             hits = narrow.mapInArrow(_find_hits(vocab), f"doc_id {kind}, tkey string, n_words long, pos array<int>, term array<int>")
             hits = written(hits, "hits")
-            idf, v = latent_space(hits, len(items.vocab))
-            v = v.astype(np.float32)
-            row = np.repeat(np.arange(len(items)), [len(s) for s in items.seq])
-            e, tf = np.unique(row * len(items.vocab) + np.concatenate(items.seq), return_counts=True)
-            row, t = e // len(items.vocab), e % len(items.vocab)
-            w, _ = _weights(row, t, tf, idf)
-            latent = _project(len(items), row, t, w, v)
+            idf = term_weights(hits, items)
+            v = latent_space(hits, items, idf).astype(np.float32)
+            latent = _project(len(items), *items.vectors(idf), v)
             sent = spark.sparkContext.broadcast((items, idf, v, latent))
-            out = out.union(hits.where(F.size("term") >= MIN_HITS).mapInArrow(_search(sent), schema))
+            out = out.union(hits.where(F.size("term") > 0).mapInArrow(_search(sent), schema))
         if len(rows) < block:
             return out
         last = rows[-1]
