@@ -14,9 +14,10 @@ from __future__ import annotations
 import numpy as np
 
 ID_BITS = 16
-SLOT_BITS = 13
+SLOT_BITS = 12
 ADAPT = 4
 _SLOTS = 1 << SLOT_BITS
+_MOST_WEIGHT = np.int32(1 << 18)
 
 # logistic tables: squash maps -2047..2047 to a 12-bit probability, stretch is its inverse
 _SQUASH = np.clip(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256.0)), 1, 4095).astype(np.int32)
@@ -47,15 +48,17 @@ class _Model:
         self.count = self.table[self.at].astype(np.int32)
         self.st = _STRETCH[self.count >> 4]
         self.w = self.weight[bit, :, :n]
-        dot = (self.w[0].astype(np.int64) * self.st[0] + self.w[1].astype(np.int64) * self.st[1]
-               + self.w[2].astype(np.int64) * self.st[2]) >> 16
-        self.p = _SQUASH[np.clip(dot, -2047, 2047) + 2048]
+        part = self.w * self.st  # weights stay small enough for 32 bits
+        dot = (part[0] + part[1] + part[2]) >> 16
+        self.p = _SQUASH[np.minimum(np.maximum(dot, -2047), 2047) + 2048]
         return self.p
 
     def learn(self, y: np.ndarray) -> None:
         self.table[self.at] = self.count + ((y * 65535 - self.count) >> ADAPT)
         err = ((y << 12) - self.p) * 14
         self.w += (self.st * err + 0x8000) >> 16
+        np.minimum(self.w, _MOST_WEIGHT, out=self.w)
+        np.maximum(self.w, -_MOST_WEIGHT, out=self.w)
         self.node = self.node * np.uint32(2) + y.astype(np.uint32)
 
     def end(self, ids: np.ndarray) -> None:
@@ -74,15 +77,17 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     lengths = np.array([len(b) for b in blocks], np.int64)
     order, running = _lanes(lengths)
     n, most = len(blocks), len(running)
-    ids = np.zeros((most, n), np.int32)
+    ids = np.zeros((most, n), np.uint16)
     for lane, i in enumerate(order):
         ids[:len(blocks[i]), lane] = blocks[i]
     model = _Model(n)
     lo, hi = np.zeros(n, np.uint32), np.full(n, 0xFFFFFFFF, np.uint32)
-    out, at = np.zeros((n, most * 3 + 16), np.uint8), np.zeros(n, np.int64)
+    out, at = np.zeros((n, most * 2 + 64), np.uint8), np.zeros(n, np.int64)
     for t in range(most):
         k = int(running[t])
-        now = ids[t, :k]
+        now = ids[t, :k].astype(np.int32)
+        if int(at.max()) + 32 > out.shape[1]:  # an id takes 24 bytes at most
+            out = np.concatenate((out, np.zeros((n, most + 64), np.uint8)), axis=1)
         model.begin(k)
         for b in range(ID_BITS - 1, -1, -1):
             p = model.predict(b).astype(np.uint32)
@@ -94,13 +99,12 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
             np.copyto(a, mid + np.uint32(1), where=~one)
             move = np.flatnonzero((a ^ z) < np.uint32(1 << 24))
             while len(move):
-                if int(at.max()) + 8 >= out.shape[1]:
-                    out = np.concatenate((out, np.zeros_like(out)), axis=1)
-                out[move, at[move]] = z[move] >> np.uint32(24)
-                at[move] += 1
-                a[move] <<= np.uint32(8)
-                z[move] = (z[move] << np.uint32(8)) | np.uint32(255)
-                move = move[(a[move] ^ z[move]) < np.uint32(1 << 24)]
+                low, high, place = a[move], z[move], at[move]
+                out[move, place] = high >> np.uint32(24)
+                at[move] = place + 1
+                a[move] = low = low << np.uint32(8)
+                z[move] = high = (high << np.uint32(8)) | np.uint32(255)
+                move = move[(low ^ high) < np.uint32(1 << 24)]
             model.learn(y)
         model.end(now.astype(np.uint32))
     coded: list = [b""] * n
@@ -132,11 +136,12 @@ def decode(coded: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
             np.copyto(a, mid + np.uint32(1), where=~one)
             move = np.flatnonzero((a ^ z) < np.uint32(1 << 24))
             while len(move):
-                a[move] <<= np.uint32(8)
-                z[move] = (z[move] << np.uint32(8)) | np.uint32(255)
-                v[move] = (v[move] << np.uint32(8)) | data[move, np.minimum(at[move], data.shape[1] - 1)]
-                at[move] += 1
-                move = move[(a[move] ^ z[move]) < np.uint32(1 << 24)]
+                place = at[move]
+                a[move] = low = a[move] << np.uint32(8)
+                z[move] = high = (z[move] << np.uint32(8)) | np.uint32(255)
+                v[move] = (v[move] << np.uint32(8)) | data[move, np.minimum(place, data.shape[1] - 1)]
+                at[move] = place + 1
+                move = move[(low ^ high) < np.uint32(1 << 24)]
             model.learn(one.astype(np.int32))
         out[t, :k] = model.node & np.uint32((1 << ID_BITS) - 1)
         model.end(out[t, :k])

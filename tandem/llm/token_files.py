@@ -42,8 +42,10 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS, FRAME_BLOCKS = 4096, 32
 #: Blocks coded in step with one another in a task.
-LANES = 512
+LANES = 2048
 TEXT_STEP = 1 << 19
+#: Pre-tokens whose ids a worker keeps at most (about 200 bytes each).
+KEPT_PIECES = 250_000
 _MAGIC = b"TIDF"
 _HEAD = struct.Struct("<4sBII")
 
@@ -54,6 +56,49 @@ def tokenizer(name: str = TOKENIZER):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
+class Encoder:
+    """The library's ids of whole texts, encoding each distinct pre-token once
+    while it is kept.  That equals encoding the text where the tokenizer has
+    no normaliser and a byte-level pre-tokeniser with its own pattern; others,
+    and texts holding a special token's string, go to the library as they are."""
+
+    def __init__(self, name: str = TOKENIZER, kept: int = KEPT_PIECES):
+        import json
+
+        import public_tokenizers
+        import regex
+        self.tok, self.kept, self.cache = tokenizer(name), kept, {}
+        spec = json.loads(self.tok.to_str())
+        pre = spec["pre_tokenizer"] or {}
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.piecewise = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") \
+            and not pre.get("add_prefix_space") and self.tok.get_vocab_size() <= 1 << 16
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        whole = [not self.piecewise or any(x in t for x in self.special) for t in texts]
+        pieces = [[] if w else self.pattern.findall(t) for t, w in zip(texts, whole, strict=True)]
+        if len(self.cache) > self.kept:
+            self.cache.clear()
+        new = list({p for ps in pieces for p in ps if p not in self.cache})
+        for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
+            self.cache[p] = np.array(e.ids, np.uint16).tobytes()
+        get = self.cache.__getitem__
+        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32) if w else
+                np.frombuffer(b"".join(map(get, ps)), np.uint16).astype(np.int32)
+                for t, ps, w in zip(texts, pieces, whole, strict=True)]
+
+
+_encoders: dict = {}
+
+
+def encoder(name: str = TOKENIZER) -> Encoder:
+    """One encoder for each tokenizer in a worker process."""
+    if name not in _encoders:
+        _encoders[name] = Encoder(name)
+    return _encoders[name]
+
+
 def pack_frames(frames: list[tuple[list, list[np.ndarray]]]) -> list[bytes]:
     """Frames from (document ids, id arrays of the documents)."""
     blocks, per = [], []
@@ -111,7 +156,7 @@ def unpack_frames(frames: list[bytes]):
 
 def _encode_part(name: str, end_id: int):
     def run(batches):
-        tok, part = tokenizer(name), TaskContext.get().partitionId()
+        encode_texts, part = encoder(name), TaskContext.get().partitionId()
         frames, ids, docs, size, number = [], [], [], 0, 0
 
         def flush():
@@ -133,10 +178,9 @@ def _encode_part(name: str, end_id: int):
                 while to < len(text) and (held < TEXT_STEP or to == at):
                     held += len(text[to] or "")
                     to += 1
-                for k, e in zip(key[at:to], tok.encode_batch([t or "" for t in text[at:to]], add_special_tokens=False),
-                                strict=True):
+                for k, e in zip(key[at:to], encode_texts([t or "" for t in text[at:to]]), strict=True):
                     ids.append(k)
-                    docs.append(np.array([*e.ids, end_id], np.int32))
+                    docs.append(np.append(e, np.int32(end_id)))
                     size += len(docs[-1])
                     if size >= FRAME_BLOCKS * BLOCK_IDS:
                         frames.append((ids, docs))
