@@ -15,6 +15,8 @@ from tandem.session import read_table, scratch_path, ship_package
 BROADCAST_ROWS = 100_000
 #: Text bytes that one vectorised step works on (bounds a worker's memory).
 STEP_BYTES = 1 << 20
+#: Rows of an Arrow batch that are converted at a time.
+SLICE_ROWS = 256
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,13 +111,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def steps(batches, column: str = "text", most: int = STEP_BYTES):
     """Slices of the incoming Arrow batches holding about ``most`` text bytes,
     as (record batch slice, byte array, document offsets).  A null text is empty."""
-    for batch in batches:
+    for batch in (b.slice(s, SLICE_ROWS) for b in batches for s in range(0, len(b), SLICE_ROWS)):
         text = batch.column(column).cast(pa.large_string())
         if text.null_count:
             text = text.fill_null("")
         n = len(text)
-        if not n:
-            continue
         offs = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + n + 1]
         at = 0
         while at < n:
@@ -169,3 +169,18 @@ def python_ready(df: DataFrame) -> DataFrame:
     """Make this package importable in the session's Python workers."""
     ship_package(df.sparkSession)
     return df
+
+
+def _components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest reachable index of each of n nodes."""
+    lab = np.arange(n)
+    while len(i):
+        low = np.minimum(lab[i], lab[j])
+        new = lab.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == lab).all():
+            break
+        lab = new
+    return lab

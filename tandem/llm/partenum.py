@@ -13,10 +13,11 @@ necessary for similarity; candidates are then verified exactly.
 Equal sets are collapsed before any pair is formed.  Signatures go through one
 exchange, keyed by signature, without text.  A signature group is compared
 with one pivot (its member with the most shared signatures), members of a
-pivot being dealt over several tasks; components are formed; only pairs that
-still lie in different components are then compared one by one, so no link
-between components is lost and a large group of near copies needs a linear
-number of comparisons.
+pivot being dealt over several tasks, and components are formed.  Signature
+groups that still lie in several components are put together to candidate
+groups; each is cut into tiles, and a task compares all sets of two tiles by
+matrix products over their shared shingles.  It returns the local components,
+so the rows stay linear in the documents and no link is lost.
 
 Cases: null or wordless texts have an empty set, no links and are their own
 component; fewer words than k make one shingle of the whole sequence; repeated
@@ -35,11 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tandem.llm.common import (BYTE_CODE, LOWER_CODE, SPACE, _mix, connected_components, documents, ngrams,
-                               python_ready, steps, words, written)
+from tandem.llm.common import (BYTE_CODE, LOWER_CODE, SPACE, _components, _mix, connected_components, documents,
+                               join_small, ngrams, python_ready, steps, words, written)
 
-#: Members compared with one copy of a pivot's text.
-PER_PIVOT = 256
+#: Members compared with one copy of a pivot's text, and sets in a tile.
+PER_PIVOT, TILE = 256, 256
+#: Shingles of one matrix product.
+COLUMNS = 4096
 N2, K2 = 2, 1
 _U = np.uint64
 
@@ -184,13 +187,85 @@ def _verify(k, num, den):
     return run
 
 
+def linked(values: list[np.ndarray], cut: int, num: int, den: int):
+    """Index pairs of similar sets; with ``cut`` only those across it."""
+    n, size = len(values), np.array([len(v) for v in values])
+    who = np.repeat(np.arange(n), size)
+    g, inv, count = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    shared = count[inv] > 1
+    # shingles of one set alone add nothing to an intersection
+    col = (np.cumsum(count > 1) - 1)[inv[shared]]
+    who = who[shared]
+    order = np.argsort(col, kind="stable")
+    col, who = col[order], who[order]
+    split = cut or n
+    both = np.zeros((split, n - cut))
+    for s in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+        a, z = np.searchsorted(col, (s, s + COLUMNS))
+        m = np.zeros((n, COLUMNS), np.float32)
+        m[who[a:z], col[a:z] - s] = 1
+        both += m[:split] @ m[cut:].T
+    both = np.rint(both).astype(np.int64)
+    hit = den * both >= num * (size[:split, None] + size[None, cut:] - both)
+    i, j = np.nonzero(hit if cut else np.triu(hit, 1))
+    return i, j + cut
+
+
+def _compare_tiles(k, num, den):
+    """Rows in order of (grp, ta, tb, tile): every set's local component."""
+    def run(batches):
+        key, held, ids, tiles = None, [], [], []
+
+        def close():
+            cut = 0 if key[1] == key[2] else tiles.count(key[1])
+            i, j = linked(held, cut, num, den) if cut < len(held) else ((), ())
+            low = _components(len(ids), np.asarray(i, np.int64), np.asarray(j, np.int64))
+            sid = np.array(ids, np.int64)
+            hit = low != np.arange(len(ids))
+            yield pa.record_batch([pa.array(sid[hit]), pa.array(sid[low[hit]])], ["a", "b"])
+
+        for part, data, offs in steps(batches):
+            g, bound = shingle_sets(data, offs, k)
+            sid = set_ids(g, bound).view(np.int64)
+            grp, ta, tb, tile, want = (part.column(c).to_pylist() for c in ("grp", "ta", "tb", "tile", "sid"))
+            for i in range(len(grp)):
+                if (grp[i], ta[i], tb[i]) != key:
+                    if held:
+                        yield from close()
+                    key, held, ids, tiles = (grp[i], ta[i], tb[i]), [], [], []
+                if sid[i] == want[i] and (not ids or ids[-1] != want[i]):
+                    held.append(g[bound[i]:bound[i + 1]].copy())
+                    ids.append(want[i])
+                    tiles.append(tile[i])
+        if held:
+            yield from close()
+    return run
+
+
+def _links_in_groups(docs, held, reps, k, num, den) -> DataFrame:
+    """Links among the sets of signature groups ``held`` (sig, sid), as local
+    components of the candidate groups that those form."""
+    star = held.groupBy("sig").agg(F.min("sid").alias("a"))
+    edges = held.join(star, "sig").select("a", F.col("sid").alias("b"))
+    group = written(connected_components(edges).toDF("sid", "grp"), "groups")
+    size = group.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    entry = join_small(group, size, ["grp"]).withColumn(
+        "tile", F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int"))
+    entry = entry.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    entry = entry.select("sid", "grp", "tile", F.least("tile", "other").alias("ta"), F.greatest("tile", "other").alias("tb"))
+    ids = reps.where("doc_id is not null").select("sid", "doc_id")
+    texts = docs.join(ids.join(group.select("sid"), "sid"), "doc_id").select("sid", "text")
+    rows = texts.join(entry, "sid").repartition("grp", "ta", "tb").sortWithinPartitions("grp", "ta", "tb", "tile", "sid")
+    return written(rows.mapInArrow(_compare_tiles(k, num, den), "a long, b long"), "tile-links")
+
+
 def _verified(docs, pairs, reps, k, num, den) -> DataFrame:
     """The pairs (a, b) of set ids whose similarity reaches num/den."""
     size = reps.select("sid", "n_shingles")
     p = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b") \
              .where(den * F.least("na", "nb") >= num * F.greatest("na", "nb")).select("a", "b")
     many = p.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_PIVOT).cast("int").alias("parts"))
-    p = p.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    p = join_small(p, many, ["a"]).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     rows = p.select(F.col("b").alias("sid"), "a", "salt").union(
         p.select(F.col("a").alias("sid"), "a", "salt").distinct())
     need = rows.join(reps.where("doc_id is not null").select("sid", "doc_id"), "sid")
@@ -216,15 +291,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
     pivot = member.groupBy("sig").agg(F.max(F.struct("w", "sid"))["sid"].alias("a"))
     pairs = member.join(pivot, "sig").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
     links = _verified(docs, pairs, reps, k, num, den)
-    # what the pivots did not connect: pairs of a signature in different components
+    # what the pivots did not connect: signatures of several components
     comp = connected_components(links).toDF("sid", "c")
     held = written(member.join(comp, "sid", "left").select("sig", "sid", F.coalesce("c", "sid").alias("c")), "held")
     split = held.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("sig")
-    held = held.join(split, "sig")
-    left, right = held.toDF("sig", "a", "ca"), held.toDF("sig", "b", "cb")
-    rest = left.join(right, "sig").where("ca < cb").select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti").join(pairs.toDF("b", "a"), ["a", "b"], "left_anti")
-    links = links.union(_verified(docs, rest, reps, k, num, den))
+    rest = written(held.join(split, "sig").select("sig", "sid"), "rest")
+    links = links.union(_links_in_groups(docs, rest, reps, k, num, den))
     ids = reps.where("doc_id is not null").select("sid", "doc_id")
     edges = links.join(ids.toDF("a", "da"), "a").join(ids.toDF("b", "db"), "b").select(
         F.col("da").alias("a"), F.col("db").alias("b"))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import connected_components, python_ready, written
+from tandem.llm.common import _components, connected_components, python_ready, written
 from tandem.session import read_table
 
 PIVOTS = 1024
@@ -39,21 +39,6 @@ SHARED = 3
 TILE = 512
 
 
-def _components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest reachable index of each of n nodes."""
-    lab = np.arange(n)
-    while len(i):
-        low = np.minimum(lab[i], lab[j])
-        new = lab.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == lab).all():
-            break
-        lab = new
-    return lab
-
-
 def _describe(pivots: np.ndarray, nearest: int, shared: int):
     combos = np.array(list(combinations(range(min(nearest, len(pivots))), min(shared, len(pivots)))))
 
@@ -82,7 +67,7 @@ def _describe(pivots: np.ndarray, nearest: int, shared: int):
 
 
 def _compare(threshold: float):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         k, ta, tb = key
         pdf = pdf.sort_values(["tile", "cls"])
         x = np.array(pdf["unit"].to_list())
