@@ -261,11 +261,8 @@ def _links_in_groups(docs, held, reps, k, num, den) -> DataFrame:
 
 def _verified(docs, pairs, reps, k, num, den) -> DataFrame:
     """The pairs (a, b) of set ids whose similarity reaches num/den."""
-    size = reps.select("sid", "n_shingles")
-    p = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b") \
-             .where(den * F.least("na", "nb") >= num * F.greatest("na", "nb")).select("a", "b")
-    many = p.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_PIVOT).cast("int").alias("parts"))
-    p = join_small(p, many, ["a"]).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_PIVOT).cast("int").alias("parts"))
+    p = join_small(pairs, many, ["a"]).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     rows = p.select(F.col("b").alias("sid"), "a", "salt").union(
         p.select(F.col("a").alias("sid"), "a", "salt").distinct())
     need = rows.join(reps.where("doc_id is not null").select("sid", "doc_id"), "sid")
@@ -280,8 +277,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
     Jaccard similarity num/den or more are linked."""
     docs = python_ready(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
     sets = written(docs.mapInArrow(_scan_sets(k), "doc_id long, n_shingles long, sid long"), "sets")
-    reps = written(sets.where("sid is not null").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")), "reps")
+    reps = written(sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "reps")
     signed = docs.select("text").mapInArrow(_scan_signatures(k, num, den, n2, k2), "sig long, sid long")
     by_sig = signed.repartition("sig").dropDuplicates(["sig", "sid"])
     by_sig = by_sig.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("n > 1")
@@ -290,6 +286,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
     member = written(member.join(weight, "sid"), "weighted")
     pivot = member.groupBy("sig").agg(F.max(F.struct("w", "sid"))["sid"].alias("a"))
     pairs = member.join(pivot, "sig").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
+    pairs = written(pairs, "pairs")
     links = _verified(docs, pairs, reps, k, num, den)
     # what the pivots did not connect: signatures of several components
     comp = connected_components(links).toDF("sid", "c")
