@@ -2,7 +2,7 @@
 
 Runs the headline queries at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 on ``local[$BENCH_CPUS]`` and prints ONE JSON line.  Every query is forced
-completely (noop sink, or its one-row result), never collected row by row.
+completely (a Parquet write, or its one-row result), never collected row by row.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ _OUT = tempfile.mkdtemp(prefix="tandem-bench-out-")
 _N = [0]
 
 
-def _noop(df) -> None:
+def _write(df) -> None:
     """Materialise a table result the way a pipeline does: a Parquet write."""
     _N[0] += 1
     df.write.mode("overwrite").parquet(os.path.join(_OUT, f"t{_N[0]}"))
@@ -51,9 +51,9 @@ def main() -> None:
     # scale factor (not timed, not the measured input)
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
-        _noop(C.clean_pairs(FX.pairs(spark, warm)))
+        _write(C.clean_pairs(FX.pairs(spark, warm)))
         C.filter_funnel(FX.pairs(spark, warm)).first()
-        _noop(V.word_counts(V.stack_languages(FX.pairs(spark, warm, with_score=False))))
+        _write(V.word_counts(V.stack_languages(FX.pairs(spark, warm, with_score=False))))
         EV.corpus_bleu(pred_ref(spark, warm)).first()
     spark.range(1000).select(F.sum("id")).collect()
 
@@ -66,25 +66,22 @@ def main() -> None:
         times[name] = round(time.time() - t0, 3)
         return out
 
-    timed("clean_pairs", lambda: _noop(C.clean_pairs(FX.pairs(spark, sf_dir))))
+    timed("clean_pairs", lambda: _write(C.clean_pairs(FX.pairs(spark, sf_dir))))
     funnel = timed("filter_funnel", lambda: C.filter_funnel(FX.pairs(spark, sf_dir)).first())
     extra["funnel_n_all"] = funnel["n_all"]
     pairs = FX.pairs(spark, sf_dir, with_score=False)
-    timed("word_counts", lambda: _noop(V.word_counts(V.stack_languages(pairs))))
+    timed("word_counts", lambda: _write(V.word_counts(V.stack_languages(pairs))))
     bleu = timed("corpus_bleu", lambda: EV.corpus_bleu(pred_ref(spark, sf_dir)).first())
     extra["bleu"] = round(bleu["bleu"], 4)
 
     def prepare():
-        wc = V.word_counts(V.stack_languages(pairs)).checkpoint()
-        vocab = E.word_vocab(wc).checkpoint()
+        vocab = E.word_vocab(V.word_counts(V.stack_languages(pairs))).checkpoint()
         p = FX.splits(pairs).withColumnRenamed("en", "src").withColumnRenamed("vi", "tgt")
-        enc = E.encode_pairs(spark, p, lambda d, k, c, o: E.word_vocab_encode(spark, d, k, c, o, vocab))
-        enc = enc.join(p.select("id", "split"), "id")
-        _noop(B.collate(B.batch_assign(enc)))
+        _write(B.prepare_batches(E.word_vocab_encode_pairs(p, vocab)))
     timed("prepare_batches", prepare)
 
-    wc = V.word_counts(V.stack_languages(pairs)).checkpoint()
-    model = timed("bpe_train", lambda: V.bpe_train(spark, wc, vocab_size))
+    model = timed("bpe_train", lambda: V.bpe_train(
+        spark, V.word_counts(V.stack_languages(pairs)).checkpoint(), vocab_size))
     extra["bpe_rounds"] = model.rounds
     extra["bpe_merges"] = len(model.merges)
     extra["bpe_sec_per_round"] = round(times["bpe_train"] / max(1, model.rounds), 3)

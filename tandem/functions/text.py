@@ -1,5 +1,6 @@
 """Text column functions (strip, word count, normalise, pre-tokenise,
-detokenise, n-grams).  All but ``normalize_lower`` are JVM expressions."""
+detokenise, n-grams).  All but ``normalize_lower_python`` are JVM
+expressions."""
 
 from __future__ import annotations
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tandem.config import SPECIAL_TOKENS
+
 # --- fixed values -------------------------------------------------------------
 # The code points Python's str.isspace()/str.split() treat as whitespace:
 # U+0009-000D, U+001C-001F, U+0020, U+0085, U+00A0, U+1680, U+2000-200A,
@@ -104,29 +107,19 @@ def normalize_lower_python(col) -> Column:
 ASCII_ONLY = r"^[\x00-\x7f]*$"
 
 
-def normalize_lower(col) -> Column:
-    """NFKC + per-character lowercase.
-
-    Use ``normalize_frame`` on large inputs: it sends only non-ASCII rows
-    through Python.  This expression form always calls the Arrow UDF.
-    """
-    return normalize_lower_python(col)
-
-
 def normalize_frame(df, col: str, out: str):
     """Add ``out`` = NFKC+lowercase of ``col``.
 
     Pure-ASCII values are unchanged by NFKC and lower-case identically in the
-    JVM, so they stay in whole-stage codegen; only non-ASCII rows take the
-    Arrow hop to Python.  Both branches are unioned back (no shuffle).
+    JVM; Python gets NULL for them and only works on the others.  There is one
+    branch, so the input is evaluated once.
     """
-    ascii_rows = df.filter(F.coalesce(F.col(col).rlike(ASCII_ONLY), F.lit(True)))
-    other_rows = df.filter(~F.coalesce(F.col(col).rlike(ASCII_ONLY), F.lit(True)))
-    return (ascii_rows.withColumn(out, F.lower(F.col(col)))
-            .unionByName(other_rows.withColumn(out, normalize_lower_python(col))))
+    plain = F.col(col).rlike(ASCII_ONLY)
+    return df.withColumn(out, F.coalesce(F.when(plain, F.lower(F.col(col))),
+                                         normalize_lower_python(F.when(~plain, F.col(col)))))
 
 
-def detokenize(tokens, specials=("[PAD]", "[UNK]", "[SOS]", "[EOS]")) -> Column:
+def detokenize(tokens, specials=tuple(SPECIAL_TOKENS)) -> Column:
     """Drop special tokens, join with spaces, glue punctuation."""
     kept = F.filter(_c(tokens), lambda t: ~t.isin(*specials))
     s = F.array_join(kept, " ")
@@ -134,7 +127,7 @@ def detokenize(tokens, specials=("[PAD]", "[UNK]", "[SOS]", "[EOS]")) -> Column:
     return F.regexp_replace(s, DETOK_CONTRACTION_PATTERN, "$1$2")
 
 
-def drop_special_tokens(tokens, specials=("[PAD]", "[UNK]", "[SOS]", "[EOS]")) -> Column:
+def drop_special_tokens(tokens, specials=tuple(SPECIAL_TOKENS)) -> Column:
     """Remove special tokens, keeping duplicates and order."""
     return F.filter(_c(tokens), lambda t: ~t.isin(*specials))
 

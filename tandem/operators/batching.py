@@ -21,24 +21,29 @@ def ordered_index(df: DataFrame, order_cols: list, name: str = "row_idx") -> Dat
     checkpoint_root(df.sparkSession)
     srt = df.orderBy(*order_cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
-    counts = srt.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-    by_pid = {r["p"]: r["n"] for r in counts}
-    offsets, acc = [], 0
-    for p in range(srt.rdd.getNumPartitions()):
-        offsets.append(acc)
-        acc += by_pid.get(p, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
-                       pid + 1)
-    mono = F.monotonically_increasing_id()
-    return srt.withColumn(name, off + mono - F.shiftleft(pid.cast("long"), 33))
+    # one row per partition: its prefix sum is the only unpartitioned window
+    counts = srt.groupBy(pid.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"))
+    here = srt.withColumn("_part", pid).withColumn(
+        "_in", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    return (here.join(F.broadcast(offsets), "_part")
+            .select(*srt.columns, (F.col("_off") + F.col("_in")).alias(name)))
+
+
+def md5_key(seed, *parts) -> Column:
+    """A seeded pseudo-random 60-bit number of the given columns: the first 15
+    hex digits of the MD5 of "seed:part:part..."."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def index_within(df: DataFrame, part: str, order: list, name: str = "row_idx") -> DataFrame:
     """Index restarting at 0 for every value of ``part``."""
+    from tandem.session import join_measured
     g = ordered_index(df, [F.col(part)] + order, "_gidx")
-    # one row per part value; AQE broadcasts it when its measured size is small
-    starts = g.groupBy(part).agg(F.min("_gidx").alias("_start"))
-    return (g.join(starts, part, "inner")
+    starts = g.groupBy(part).agg(F.min("_gidx").alias("_start"))  # one row per part value
+    return (join_measured(g, starts, part)
             .withColumn(name, F.col("_gidx") - F.col("_start")).drop("_gidx", "_start"))
 
 
@@ -54,7 +59,7 @@ def batch_assign(df: DataFrame, train_batch: int = TRAIN_BATCH_SIZE,
     batch kept (W3).  ``shuffle_train`` orders train rows by a seeded hash
     of (seed, epoch, id) first (O5); validation / test stay in id order."""
     if shuffle_train:
-        key = F.when(F.col("split") == "train", F.xxhash64(F.lit(seed), F.lit(epoch), F.col("id"))) \
+        key = F.when(F.col("split") == "train", md5_key(seed, F.lit(epoch), F.col("id"))) \
                .otherwise(F.lit(0).cast("long"))
         df = df.withColumn("_order", key)
         idx = index_within(df, "split", [F.col("_order"), F.col("id")], "pos").drop("_order")
@@ -65,8 +70,9 @@ def batch_assign(df: DataFrame, train_batch: int = TRAIN_BATCH_SIZE,
 
 
 def seeded_shuffle(df: DataFrame, seed: int = SEED, epoch: int = 0) -> DataFrame:
-    """Deterministic random order of the rows."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.lit(epoch), F.col("id")), F.col("id"))
+    """The rows in a deterministic random order, numbered by ``pos``."""
+    held = df.withColumn("_order", md5_key(seed, F.lit(epoch), F.col("id")))
+    return ordered_index(held, [F.col("_order"), F.col("id")], "pos").drop("_order")
 
 
 def shifted_targets(tgt: str = "tgt_ids"):
@@ -122,6 +128,12 @@ def collate(batched: DataFrame, masks: bool = False) -> DataFrame:
     return out
 
 
+def prepare_batches(encoded: DataFrame, masks: bool = False, **kw) -> DataFrame:
+    """Encoded pairs ``id, split, src_ids, tgt_ids`` → padded batches (X8):
+    batch assignment, then padding to each batch's longest row."""
+    return collate(batch_assign(encoded, **kw), masks)
+
+
 def split_sizes(df: DataFrame, train_batch: int = TRAIN_BATCH_SIZE,
                 eval_batch: int = EVAL_BATCH_SIZE) -> DataFrame:
     """Rows per split and batches = ceil(rows / batch size)."""
@@ -155,13 +167,13 @@ def sample_windows(df: DataFrame, key: str, text: str, c: int = 3, batch: int =
                    seed: int = 0) -> DataFrame:
     """Language-model batch per text (W2, sampled form): ``batch`` window
     starts drawn uniformly *with replacement* from [0, n−c), seeded by
-    ``xxhash64(seed, key, j)`` — row-local, no shuffle, reproducible on any
+    ``md5_key(seed, key, j)`` — row-local, no shuffle, reproducible on any
     cluster.  Texts with n ≤ c give none."""
     w = F.split(F.col(text), " ")
     base = df.select(key, w.alias("w")).filter(F.size("w") > c)
     span = (F.size("w") - c).cast("long")
     starts = F.transform(F.sequence(F.lit(0), F.lit(batch - 1)),
-                         lambda j: F.struct(j.alias("j"), F.pmod(F.xxhash64(F.lit(seed), F.col(key), j), span)
+                         lambda j: F.struct(j.alias("j"), F.pmod(md5_key(seed, F.col(key), j), span)
                                             .cast("int").alias("i")))
     ex = base.select(key, "w", F.explode(starts).alias("d"))
     return ex.select(key, F.col("d.j").alias("draw"), F.col("d.i").alias("i"),

@@ -2,9 +2,12 @@
 next-token scorer, table translation and evaluation (P13, P14, D1-D3).
 
 The neural model is out of scope; decoding takes any ``scorer(src_ids,
-prefix) -> next_id``.  The default scorer is a bigram table learned by Spark
-from the training targets (one row per previous id, so bounded by the
-vocabulary size) and broadcast to the decoding tasks.
+prefix) -> next_id``.  The default scorer reads the source: a position-aligned
+lexical table, learned by Spark from the training pairs, names for every
+source id the target id that most often stands at the same position.  The
+table is joined to the source ids (it grows with the vocabulary, so it is
+broadcast only by its counted size), and the loop then reads the row's own
+candidates.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.config import EOS_ID, MAX_SEQ_LEN, SOS_ID
+from tandem.config import EOS_ID, MAX_SEQ_LEN, SOS_ID, UNK_ID
 from tandem.functions.text import detokenize, is_blank, strip_text
 
 # --- fixed values ---
@@ -52,10 +55,33 @@ def greedy_decode_ids(src_ids, scorer, max_len: int = MAX_SEQ_LEN,
     return out
 
 
-def bigram_scorer(table: dict, eos: int = EOS_ID):
-    def score(_src, prefix):
-        return table.get(prefix[-1], eos)
-    return score
+def lexical_table(pairs: DataFrame, src: str = "src_ids", tgt: str = "tgt_ids") -> DataFrame:
+    """``src, next``: the target id most often found at the position of a
+    source id (target without its frame), ties to the smallest id."""
+    body = F.slice(tgt, 2, F.greatest(F.size(tgt) - 2, F.lit(0)))
+    n = F.least(F.size(src), F.size(body))
+    p = pairs.select(F.explode(F.arrays_zip(F.slice(src, 1, n).alias("src"), F.slice(body, 1, n).alias("next")))
+                     .alias("p")).select("p.*")
+    c = p.groupBy("src", "next").agg(F.count(F.lit(1)).alias("n"))
+    return c.groupBy("src").agg(F.max_by("next", F.struct(F.col("n"), -F.col("next"))).alias("next"))
+
+
+def with_candidates(df: DataFrame, table: DataFrame, key: str = "id", src: str = "src_ids",
+                    out: str = "next_ids") -> DataFrame:
+    """``key, src, out``: the table's id for each source position, [UNK] where
+    it has none."""
+    from tandem.session import join_measured
+    ex = df.select(F.col(key), F.col(src), F.posexplode_outer(src).alias("pos", "sid"))
+    j = join_measured(ex, table.select(F.col("src").alias("sid"), "next"), "sid", "left")
+    g = j.groupBy(key, src).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
+        "pos", F.coalesce("next", F.lit(UNK_ID)).alias("t"))))).alias("t"))
+    return g.select(key, src, F.transform("t", lambda x: x["t"]).alias(out))
+
+
+def aligned_scorer(candidates, prefix):
+    """The candidate at the position being written, [EOS] past the source end."""
+    at = len(prefix) - 1
+    return candidates[at] if at < len(candidates) else EOS_ID
 
 
 def greedy_decode(spark: SparkSession, df: DataFrame, scorer_factory, key: str = "id",
@@ -80,33 +106,29 @@ def greedy_decode(spark: SparkSession, df: DataFrame, scorer_factory, key: str =
     return df.select(F.col(key).cast("long").alias(key), src).mapInPandas(run, schema)
 
 
-def bigram_factory(spark: SparkSession, table_df: DataFrame, max_entries: int = 10_000_000):
-    """Collect the bigram table (bounded by the vocabulary; checked) into a
-    broadcast variable and return a scorer factory."""
-    n = table_df.count()
-    if n > max_entries:
-        raise ValueError(f"bigram table has {n} rows, above the broadcast bound {max_entries}")
-    bc = spark.sparkContext.broadcast({int(r["prev"]): int(r["next"]) for r in table_df.collect()})
-    return lambda: bigram_scorer(bc.value)
+def lexical_decode(spark: SparkSession, df: DataFrame, table: DataFrame, key: str = "id",
+                   max_len: int = MAX_SEQ_LEN) -> DataFrame:
+    """Greedy decoding with the lexical table (D1's default scorer)."""
+    held = with_candidates(df, table, key)
+    return greedy_decode(spark, held, lambda: aligned_scorer, key, "next_ids", max_len)
 
 
-def translate_table(spark: SparkSession, encoded_src: DataFrame, vocab: DataFrame, scorer_factory,
+def translate_table(spark: SparkSession, encoded_src: DataFrame, vocab: DataFrame, table: DataFrame,
                     key: str = "id", max_len: int = MAX_SEQ_LEN) -> DataFrame:
     """Encoded sources → greedy decode → tokens → detokenised text."""
     from tandem.operators.encode import ids_to_tokens
-    dec = greedy_decode(spark, encoded_src, scorer_factory, key, "src_ids", max_len)
-    toks = ids_to_tokens(dec, "pred_ids", vocab, "tokens", key)
-    return (dec.join(toks, key, "inner")
-            .select(key, "pred_ids", detokenize("tokens").alias("translation"), "error"))
+    dec = lexical_decode(spark, encoded_src, table, key, max_len)
+    toks = ids_to_tokens(dec, "pred_ids", vocab, "tokens", key, carry=("pred_ids", "error"))
+    return toks.select(key, "pred_ids", detokenize("tokens").alias("translation"), "error")
 
 
-def evaluate_table(spark: SparkSession, encoded_test: DataFrame, vocab: DataFrame, scorer_factory,
+def evaluate_table(spark: SparkSession, encoded_test: DataFrame, vocab: DataFrame, table: DataFrame,
                    key: str = "id", max_len: int = MAX_SEQ_LEN) -> tuple[DataFrame, DataFrame]:
     """Translate the test split, round-trip the references, score corpus
     BLEU and SacreBLEU, and keep the first five examples (D3)."""
     from tandem.operators.encode import round_trip_reference
     from tandem.operators.evaluate import corpus_scores
-    preds = translate_table(spark, encoded_test, vocab, scorer_factory, key, max_len)
+    preds = translate_table(spark, encoded_test, vocab, table, key, max_len)
     refs = round_trip_reference(encoded_test, vocab, "tgt_ids", key)
     pr = preds.select(key, F.col("translation").alias("pred")).join(refs, key, "inner")
     scores = corpus_scores(pr)

@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tandem.config import EOS_ID, MAX_SEQ_LEN, SOS_ID, SPECIAL_TOKENS, UNK_ID
-from tandem.functions.text import detokenize, normalize_frame, pretokenize
+from tandem.functions.text import _nfkc_lower, detokenize, normalize_frame, pretokenize
 
+#: Encoded words a task keeps at most.
+WORDS_KEPT = 1_000_000
+PRETOKEN = re.compile(r"\w+|[^\w\s]+")
 _SPECIAL_ALT = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
 SEGMENT_PATTERN = f"(?s){_SPECIAL_ALT}|(?:(?!{_SPECIAL_ALT}).)+"
 
@@ -33,30 +36,26 @@ def direction_select(df: DataFrame, src_lang: str = "en", tgt_lang: str = "vi",
 
 
 def text_words(df: DataFrame, key: str, col: str) -> DataFrame:
-    """``(key, sp, wp, word, special_id)``: special-token segments keep their
-    id, other segments are normalised and pre-tokenised."""
-    specials = {t: i for i, t in enumerate(SPECIAL_TOKENS)}
-    seg = df.select(F.col(key).alias("_k"), F.posexplode(
+    """``(key, pos, word)``: special-token segments are words of their own
+    (their ids are in every vocabulary), other segments are normalised and
+    pre-tokenised.  A row without words gives one row with NULL.  The input is
+    evaluated once."""
+    seg = df.select(F.col(key).alias("_k"), F.posexplode_outer(
         F.regexp_extract_all(F.coalesce(F.col(col), F.lit("")), F.lit(SEGMENT_PATTERN), 0))
         .alias("sp", "seg"))
-    is_special = F.col("seg").isin(*specials)
-    sp_rows = seg.filter(is_special).select(
-        "_k", "sp", F.lit(0).alias("wp"), F.lit(None).cast("string").alias("word"),
-        F.coalesce(*[F.when(F.col("seg") == t, F.lit(i)) for t, i in specials.items()])
-        .alias("special_id"))
-    txt = normalize_frame(seg.filter(~is_special), "seg", "norm")
-    w_rows = txt.select("_k", "sp", F.posexplode(pretokenize("norm")).alias("wp", "word"),
-                        F.lit(None).cast("int").alias("special_id"))
-    return sp_rows.unionByName(w_rows)
-
-
-def assemble_ids(df: DataFrame, tokens: DataFrame, key: str, out: str) -> DataFrame:
-    """Group ``tokens(_k, sp, wp, ids)`` back to one id array per key; rows
-    without tokens get an empty array."""
-    empty = df.select(F.col(key).alias("_k"), F.lit(-1).alias("sp"), F.lit(-1).alias("wp"),
-                      F.array().cast("array<int>").alias("ids"))
-    allr = tokens.select("_k", "sp", "wp", "ids").unionByName(empty)
-    g = allr.groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("sp", "wp", "ids"))).alias("t"))
+    special = F.col("seg").isin(*SPECIAL_TOKENS)
+    txt = normalize_frame(seg.withColumn("plain", F.when(~special, F.col("seg"))), "plain", "norm")
+    # no word holds a bracket and a letter, so a special token is told apart
+    words = F.when(special, F.array("seg")).otherwise(pretokenize("norm"))
+    w = txt.select("_k", "sp", F.posexplode_outer(words).alias("wp", "word"))
+    return w.select("_k", F.struct("sp", "wp").alias("pos"), "word")
+
+
+def assemble_ids(tokens: DataFrame, key: str, out: str) -> DataFrame:
+    """Group ``tokens(_k, pos, ids)`` back to one id array per key; NULL ids
+    (rows without words) leave an empty array."""
+    g = tokens.groupBy("_k").agg(F.sort_array(F.collect_list(
+        F.when(F.col("ids").isNotNull(), F.struct("pos", "ids")))).alias("t"))
     return g.select(F.col("_k").alias(key), F.flatten(F.transform("t", lambda x: x["ids"])).alias(out))
 
 
@@ -101,19 +100,46 @@ def encode_column(spark: SparkSession, df: DataFrame, key: str, col: str, out: s
     ``word_table_fn(distinct_words_df) -> (word, ids)``."""
     tw = text_words(df, key, col)
     distinct_words = tw.filter(F.col("word").isNotNull()).select("word").distinct()
-    table = word_table_fn(distinct_words)
-    words = tw.filter(F.col("word").isNotNull()).join(table, "word", "inner") \
-              .select("_k", "sp", "wp", "ids")
-    specials = tw.filter(F.col("special_id").isNotNull()) \
-                 .select("_k", "sp", "wp", F.array(F.col("special_id")).alias("ids"))
-    return assemble_ids(df, words.unionByName(specials), key, out)
+    tokens = tw.join(word_table_fn(distinct_words), "word", "left")
+    return assemble_ids(tokens, key, out)
 
 
 def bpe_encode(spark: SparkSession, df: DataFrame, key: str, col: str, out: str,
                vocab: list, merges: list) -> DataFrame:
-    """BPE-encode a text column."""
-    return encode_column(spark, df, key, col, out,
-                         lambda w: bpe_word_ids(spark, w, vocab, merges))
+    """BPE-encode a text column (F4): row-local, no shuffle.
+
+    Rows are normalised and pre-tokenised in the JVM; one Arrow pass applies
+    the broadcast merges (bounded by the vocabulary size), each task keeping
+    the words it has encoded."""
+    seg = F.regexp_extract_all(F.coalesce(F.col(col), F.lit("")), F.lit(SEGMENT_PATTERN), 0)
+    # normalisation works on whole texts: cutting at special tokens first keeps them as they are
+    marked = df.select(F.col(key), F.transform(seg, lambda s: F.when(
+        s.isin(*SPECIAL_TOKENS), F.concat(F.lit("\u0001"), s)).otherwise(s)).alias("_segs"))
+    bc = spark.sparkContext.broadcast(({(a, b): r for r, (a, b) in enumerate(merges)},
+                                       {t: i for i, t in enumerate(vocab)}))
+
+    def run(batches):
+        ranks, vmap = bc.value
+        seen: dict = {}
+        for pdf in batches:
+            ids = []
+            for segs in pdf["_segs"]:
+                row: list = []
+                for s in segs:
+                    if s[:1] == "\u0001" and s[1:] in SPECIAL_TOKENS:
+                        row.append(vmap[s[1:]])
+                        continue
+                    for w in PRETOKEN.findall(_nfkc_lower(s)):
+                        if w not in seen:
+                            if len(seen) >= WORDS_KEPT:
+                                seen.clear()
+                            seen[w] = _bpe_word(w, ranks, vmap, UNK_ID)
+                        row += seen[w]
+                ids.append(row)
+            yield pd.DataFrame({key: pdf[key], out: ids})
+
+    kind = dict(df.dtypes)[key]
+    return marked.mapInPandas(run, f"{key} {kind}, {out} array<int>")
 
 
 # ------------------------------------------------- word-level vocabulary
@@ -134,6 +160,27 @@ def word_vocab(word_counts: DataFrame, specials=tuple(SPECIAL_TOKENS)) -> DataFr
     return sp.unionByName(words)
 
 
+def word_vocab_encode_pairs(pairs: DataFrame, vocab: DataFrame, max_len: int = MAX_SEQ_LEN,
+                            carry: tuple = ("split",)) -> DataFrame:
+    """``id, src_ids, tgt_ids`` and the ``carry`` columns of ``pairs(id, src,
+    tgt, ...)`` with a word-level vocabulary: both sides in one explode, one
+    join with the vocabulary and one regrouping."""
+    both = pairs.select(F.explode(F.array(*[
+        F.struct(F.struct("id", F.lit(i).alias("side"), *carry).alias("key"), F.col(c).alias("text"))
+        for i, c in enumerate(("src", "tgt"))])).alias("s")).select("s.*")
+    tokens = text_words(both, "key", "text").join(
+        vocab.select(F.col("token").alias("word"), "id"), "word", "left")
+    tokens = tokens.select("_k.id", *[f"_k.{c}" for c in carry], F.when(F.col("word").isNotNull(), F.struct(
+        F.col("_k.side").alias("side"), "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("tid"))).alias("t"))
+    g = tokens.groupBy("id", *carry).agg(F.sort_array(F.collect_list("t")).alias("t"))
+
+    def side(i):
+        return F.transform(F.filter("t", lambda x: x["side"] == i), lambda x: x["tid"])
+
+    return g.select("id", *carry, side(0).alias("_s"), side(1).alias("_t")).select(
+        "id", *carry, truncate_ids("_s", max_len).alias("src_ids"), frame_target("_t", max_len).alias("tgt_ids"))
+
+
 def word_vocab_encode(spark: SparkSession, df: DataFrame, key: str, col: str, out: str,
                       vocab: DataFrame) -> DataFrame:
     """Encode with a word-level vocabulary (unknown word → [UNK])."""
@@ -155,32 +202,23 @@ def frame_target(col, max_len: int = MAX_SEQ_LEN, sos: int = SOS_ID, eos: int =
     return F.concat(F.array(F.lit(sos)), truncate_ids(col, max_len - 2), F.array(F.lit(eos)))
 
 
-def encode_pairs(spark: SparkSession, pairs: DataFrame, encode_fn,
-                 max_len: int = MAX_SEQ_LEN) -> DataFrame:
-    """``id, src_ids, tgt_ids``: source truncated to ``max_len`` without
-    specials, target truncated to ``max_len-2`` and framed with SOS/EOS."""
-    s = encode_fn(pairs, "id", "src", "src_raw")
-    t = encode_fn(pairs, "id", "tgt", "tgt_raw")
-    return (s.join(t, "id", "inner")
-            .select("id", truncate_ids("src_raw", max_len).alias("src_ids"),
-                    frame_target("tgt_raw", max_len).alias("tgt_ids")))
-
-
 # ---------------------------------------------------- decode side
 
 def ids_to_tokens(df: DataFrame, col: str, vocab: DataFrame, out: str = "tokens",
-                  key: str = "id") -> DataFrame:
-    """Map id arrays to token arrays, order kept.
+                  key: str = "id", carry: tuple = ()) -> DataFrame:
+    """Map id arrays to token arrays, order kept (J4); the ``carry`` columns
+    go along.
 
     Ids are exploded with their position, joined to the vocabulary and
-    re-collected in order.  No broadcast hint: a BPE vocabulary is small,
-    but a word-level one grows with the corpus, so AQE decides from the
-    measured size."""
-    ex = df.select(key, F.posexplode_outer(col).alias("pos", "tid"))
-    j = ex.join(vocab.select(F.col("id").alias("tid"), "token"), "tid", "left")
-    g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
+    re-collected in order.  The vocabulary is broadcast by its counted size:
+    a BPE vocabulary is small, a word-level one grows with the corpus and is
+    then joined by a shuffle in which AQE splits the commonest ids."""
+    from tandem.session import join_measured
+    ex = df.select(key, *carry, F.posexplode_outer(col).alias("pos", "tid"))
+    j = join_measured(ex, vocab.select(F.col("id").alias("tid"), "token"), "tid", "left")
+    g = j.groupBy(key, *carry).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
         "pos", F.coalesce("token", F.lit("[UNK]")).alias("token"))))).alias("t"))
-    return g.select(key, F.transform("t", lambda x: x["token"]).alias(out))
+    return g.select(key, *carry, F.transform("t", lambda x: x["token"]).alias(out))
 
 
 def bpe_join_decode(tokens) -> "F.Column":

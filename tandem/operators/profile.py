@@ -14,6 +14,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tandem.operators.batching import md5_key
+from tandem.session import join_measured
+
 QUARTILES = [0.25, 0.5, 0.75]
 
 
@@ -41,16 +44,28 @@ def length_describe(df: DataFrame, exact: bool = True) -> DataFrame:
                     F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
-def score_stats(df: DataFrame, col: str = "score", exact: bool = True) -> DataFrame:
+def score_stats(df: DataFrame, col: str = "score") -> DataFrame:
     """mean, median, min, quartiles, max over all scores; NaN is excluded
-    and counted (A3)."""
+    and counted (A3).
+
+    Quartiles are exact and interpolated: a range-partitioned order of the
+    scores gives the values at the six wanted ranks, so no task holds them all."""
+    from tandem.operators.batching import ordered_index
     valid = F.col(col).isNotNull() & ~F.isnan(col)
     v = df.select(F.when(valid, F.col(col).cast("double")).alias("s"),
                   (F.col(col).isNotNull() & F.isnan(col)).alias("is_nan"))
     g = v.agg(F.count("s").alias("n"), F.count_if("is_nan").alias("nan_count"), F.avg("s").alias("mean"),
-              F.min("s").alias("min"), _pct("s", QUARTILES, exact).alias("q"), F.max("s").alias("max"))
-    return g.select("n", "nan_count", "mean", F.col("q")[1].alias("median"), "min",
-                    F.col("q")[0].alias("q1"), F.col("q")[1].alias("q2"), F.col("q")[2].alias("q3"), "max")
+              F.min("s").alias("min"), F.max("s").alias("max"))
+    n = v.agg(F.count("s")).first()[0]
+    spots = {q: (n - 1) * q for q in QUARTILES} if n else {}
+    wanted = sorted({x for at in spots.values() for x in (math.floor(at), math.ceil(at))})
+    ranked = ordered_index(v.select("s").filter(F.col("s").isNotNull()), [F.col("s")], "r")
+    found = {r["r"]: r["s"] for r in ranked.filter(F.col("r").isin(wanted)).collect()} if wanted else {}
+    q = [None if not spots else found[math.floor(a)] + (found[math.ceil(a)] - found[math.floor(a)]) * (a - math.floor(a))
+         for a in (spots.get(x) for x in QUARTILES)]
+    q = [F.lit(x).cast("double") for x in q]
+    return g.select("n", "nan_count", "mean", q[1].alias("median"), "min", q[0].alias("q1"), q[1].alias("q2"),
+                    q[2].alias("q3"), "max")
 
 
 def quantile_cutoff(sample: DataFrame, q: float = 0.999, exact: bool = True) -> DataFrame:
@@ -72,7 +87,7 @@ def histogram(df: DataFrame, value: str, bins: int = 100, group: str | None = No
     width = F.col("hi") - F.col("lo")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) * bins / width), F.lit(bins - 1))).cast("int")
-    joined = v.join(F.broadcast(mm), keys, "inner")
+    joined = join_measured(v, mm, keys)
     counts = joined.select(*keys, b.alias("bin")).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = mm.select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, keys + ["bin"], "left").fillna(0, subset=["count"])
@@ -122,7 +137,8 @@ def bounded_top_n(df: DataFrame, order_col: str, n: int, tie_col: str | None = N
         return df.orderBy(*order).limit(n)
     q = min(1.0, 2.0 * n / total + 2.0 / accuracy)
     cut = df.agg(F.percentile_approx(order_col, F.lit(q), accuracy)).first()[0]
-    kept = df.filter(F.col(order_col) <= F.lit(cut))
+    # NULL sorts first, whatever the size
+    kept = df.filter(F.col(order_col).isNull() | (F.col(order_col) <= F.lit(cut)))
     if kept.count() < n:
         return df.orderBy(*order).limit(n)
     return kept.orderBy(*order).limit(n)
@@ -131,7 +147,7 @@ def bounded_top_n(df: DataFrame, order_col: str, n: int, tie_col: str | None = N
 def sample_n(df: DataFrame, n: int = 50_000, seed: int = 42, key: str = "id") -> DataFrame:
     """``min(n, rows)`` rows without replacement, deterministic on any
     cluster: the n smallest seeded hashes (a bounded top-n) (O4)."""
-    h = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    h = df.withColumn("_h", md5_key(seed, F.col(key)))
     return bounded_top_n(h, "_h", n, key).drop("_h")
 
 
@@ -141,10 +157,10 @@ def sample_inspect(indexed: DataFrame, k: int = 5, seed: int = 0, index: str = "
     spark = indexed.sparkSession
     n = indexed.agg(F.max(index)).first()[0]
     if n is None:
-        return indexed.limit(0)
-    picks = (spark.range(k).select(F.col("id").alias("draw"),
-                                   F.floor(F.rand(seed) * (n + 1)).cast("long").alias(index)))
-    return picks.join(indexed, index, "inner")
+        return indexed.limit(0).withColumn("draw", F.lit(0).cast("long"))
+    picks = spark.range(k).select(F.col("id").alias("draw"),
+                                  F.pmod(md5_key(seed, F.col("id")), F.lit(n + 1)).alias(index))
+    return indexed.join(F.broadcast(picks), index, "inner")  # k rows
 
 
 def tail_n(df: DataFrame, n: int = 10, order: str = "id") -> DataFrame:
@@ -153,5 +169,7 @@ def tail_n(df: DataFrame, n: int = 10, order: str = "id") -> DataFrame:
 
 
 def row_at(df: DataFrame, i: int, order: str = "id") -> DataFrame:
-    """The row at 0-based position ``i`` (bounded top-(i+1)) (O2)."""
-    return bounded_top_n(df, order, i + 1).orderBy(F.desc(order)).limit(1)
+    """The row at 0-based position ``i`` by ``order``, none past the end: a
+    filter on the contiguous index (O2)."""
+    from tandem.operators.batching import ordered_index
+    return ordered_index(df, [F.col(order)], "_at").filter(F.col("_at") == i).drop("_at")

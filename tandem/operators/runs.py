@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.config import LABEL_SMOOTHING, LEARNING_RATE, LOG_EVERY, MIN_DELTA, PAD_ID, PATIENCE, WARMUP_FRACTION
+from tandem.session import join_measured
 
 
 def epoch_mean_loss(batches: DataFrame) -> DataFrame:
@@ -26,10 +27,10 @@ def lr_at(step: Column, total: Column, lr: float = LEARNING_RATE,
 
 
 def with_lr(batches: DataFrame, lr: float = LEARNING_RATE) -> DataFrame:
-    """Add ``total_steps`` per run (a one-row-per-run aggregate that AQE
-    broadcasts by measured size) and the learning rate at ``step``."""
+    """Add ``total_steps`` per run (one row per run, broadcast by its counted
+    size, as a run can hold most rows) and the learning rate at ``step``."""
     totals = batches.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"))
-    return (batches.join(totals, "run", "inner")
+    return (join_measured(batches, totals, "run")
             .withColumn("lr", lr_at(F.col("step"), F.col("total_steps"), lr)))
 
 
@@ -39,7 +40,7 @@ def sample_every_n_steps(batches: DataFrame, every: int = LOG_EVERY,
     rate is the one after the scheduler step, i.e. at ``step + 1`` (P15)."""
     totals = batches.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"))
     b = batches.filter((F.col("step") + 1) % every == 0)
-    return (b.join(totals, "run", "inner")
+    return (join_measured(b, totals, "run")
             .withColumn("lr", lr_at(F.col("step") + 1, F.col("total_steps"), lr)))
 
 
@@ -53,9 +54,10 @@ def early_stop_state(epochs: DataFrame, patience: int = PATIENCE,
 
     improvement ⇔ val < best − min_delta (best starts at +inf, NaN never
     improves); counter resets on improvement, else +1; stop at the first
-    epoch with counter ≥ patience (latched).  Checkpoint epochs are the
-    improvements up to the stop.  One group per run: its size is the number
-    of epochs (bounded by the training length)."""
+    epoch with counter ≥ patience (latched).  A checkpoint is written
+    at every epoch, up to and including the stop, whose loss equals the best
+    loss after the update, so ties with the best write one too.  One group per
+    run: its size is the number of epochs (bounded by the training length)."""
     g = epochs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
         F.col(epoch).cast("int").alias("e"), F.col(val).cast("double").alias("v")))).alias("h"))
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("counter"),
@@ -73,7 +75,7 @@ def early_stop_state(epochs: DataFrame, patience: int = PATIENCE,
             best.alias("best"), counter.alias("counter"),
             F.when(stopped, acc["stop_epoch"]).when(stop_now, x["e"]).alias("stop_epoch"),
             (acc["n"] + 1).alias("n"),
-            F.when(~stopped & improved, F.concat(acc["checkpoints"], F.array(x["e"])))
+            F.when(~stopped & (x["v"] == best), F.concat(acc["checkpoints"], F.array(x["e"])))
              .otherwise(acc["checkpoints"]).alias("checkpoints"),
             F.when(stopped, acc["best_at_stop"]).when(stop_now, best).alias("best_at_stop"),
         ).cast(_FOLD_STATE)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from tandem.config import SPECIAL_TOKENS
 from tandem.functions.text import normalize_frame, pretokenize
+from tandem.session import join_measured
 
 log = logging.getLogger(__name__)
 
@@ -75,8 +76,7 @@ def words_to_symbols(words: DataFrame, alphabet: DataFrame) -> DataFrame:
     """``(word, n, syms)`` with ``syms`` = " id id … " of its characters."""
     exploded = words.select("word", "n", F.posexplode(
         F.regexp_extract_all("word", F.lit(ONE_CHAR), 0)).alias("pos", "token"))
-    # alphabet is one row per distinct character: bounded, broadcast
-    j = exploded.join(F.broadcast(alphabet), "token", "inner")
+    j = join_measured(exploded, alphabet, "token")  # one row per distinct character
     g = j.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("s"))
     return g.select("word", "n", F.concat(F.lit(" "), F.array_join(
         F.transform("s", lambda x: x["id"].cast("string")), " "), F.lit(" ")).alias("syms"))
@@ -111,16 +111,6 @@ def pair_stats(words: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("nb") >= 0, F.col("c"))), F.lit(0)).alias("bound"))
 
 
-def pair_counts(words_syms: DataFrame) -> DataFrame:
-    """Weighted adjacent-pair counts ``a, b, n`` (A12): one partial+final
-    aggregation keyed by the pair."""
-    w = words_syms.select("n", _sym_array().alias("s")).filter(F.size("s") >= 2)
-    n = F.size("s")
-    z = F.arrays_zip(F.slice("s", 1, n - 1).alias("a"), F.slice("s", 2, n - 1).alias("b"))
-    ev = w.select("n", F.explode(z).alias("e"))
-    return ev.groupBy(F.col("e.a").alias("a"), F.col("e.b").alias("b")).agg(F.sum("n").alias("n"))
-
-
 def best_pair(stats: DataFrame) -> DataFrame:
     """Pair with the highest count, ties → smallest (a, b)."""
     return stats.orderBy(F.desc("n"), "a", "b").limit(1)
@@ -142,14 +132,8 @@ class BpeModel:
 
 
 def _apply_merges(col, merges_ids):
-    """Apply merges in order, each left-to-right and non-overlapping.
-
-    Merges accepted in one round never share a conflicting symbol, so one
-    alternation regex per round is equivalent to applying them one after the
-    other; a single pass picks the replacement id from a literal map."""
-    if len(merges_ids) == 1:
-        a, b, new = merges_ids[0]
-        return F.regexp_replace(col, f"(?<= ){a} {b}(?= )", str(new))
+    """Apply merges in order, each left-to-right and non-overlapping: one JVM
+    regex replacement per merge."""
     s = col
     for a, b, new in merges_ids:
         s = F.regexp_replace(s, f"(?<= ){a} {b}(?= )", str(new))

@@ -1,24 +1,21 @@
-"""Decoding queries (D1-D3, P14) — rows-only checks: the scorer is a
-learned table, not an SQL expression."""
+"""Decoding queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tandem.operators import decode as D
+from tandem.plans.evaluate import INTL_SQL, _bleu_sql
 from tandem.plans.registry import query
-from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, ENCODED, _encoded, _ids_str, _key, _word_vocab, wq
+from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, ENCODED, _encoded, _ids_str, _word_vocab, wq
+from tandem.session import cut_lineage
 
-_CACHE: dict = {}
 
-
-def _factory(spark, sf_dir):
-    k = _key(spark, sf_dir, "bigram")
-    if k not in _CACHE:
-        enc = _encoded(spark, sf_dir)
-        table = D.bigram_table(enc.filter(F.col("split") == "train"))
-        _CACHE[k] = D.bigram_factory(spark, table)
-    return _CACHE[k]
+def _model(spark, sf_dir):
+    """(vocabulary, encoded pairs, lexical table of the training pairs)."""
+    vocab = _word_vocab(spark, sf_dir)
+    enc = cut_lineage(_encoded(spark, sf_dir, vocab))
+    return vocab, enc, cut_lineage(D.lexical_table(enc.filter(F.col("split") == "train")))
 
 
 @query("bigram_table", wq("""
@@ -30,59 +27,91 @@ QUALIFY row_number() OVER (PARTITION BY prev ORDER BY n DESC, nxt) = 1
 """, ENCODED))
 def q_bigram_table(spark, sf_dir):
     """Most frequent successor per id over the training targets (ties →
-    smallest id): the default decoding scorer."""
+    smallest id)."""
     enc = _encoded(spark, sf_dir)
     t = D.bigram_table(enc.filter(F.col("split") == "train"))
     return t.select(F.col("prev").cast("long").alias("prev"), F.col("next").cast("long").alias("next"))
 
 
-_DECODE_SQL = wq("""
-, bg AS (SELECT tgt[i] AS prev, tgt[i + 1] AS nxt
-         FROM (SELECT tgt, unnest(range(1, len(tgt))) AS i FROM enc WHERE split = 'train')),
-bc AS (SELECT prev, nxt, count(*) AS n FROM bg GROUP BY ALL),
-bt AS (SELECT prev, nxt FROM bc QUALIFY row_number() OVER (PARTITION BY prev ORDER BY n DESC, nxt) = 1),
-path(step, tok) AS (
-  SELECT 1, 2
-  UNION ALL
-  SELECT path.step + 1, coalesce(bt.nxt, 3) FROM path LEFT JOIN bt ON bt.prev = path.tok
-  WHERE path.tok <> 3 AND path.step < 150),
-dec AS (SELECT string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY step) AS pred_ids, count(*) AS n_ids FROM path)
-SELECT enc.id, dec.pred_ids, CAST(dec.n_ids AS BIGINT) AS n_ids, CAST(NULL AS VARCHAR) AS error
-FROM enc, dec WHERE enc.split = 'test'
-""", ENCODED).replace("WITH ", "WITH RECURSIVE ", 1)
-
-
-@query("greedy_decode", _DECODE_SQL)
+LEXICAL = ENCODED + """
+, lx AS (SELECT src[i] AS s, tgt[i + 1] AS t
+         FROM (SELECT src, tgt, unnest(range(1, least(len(src), len(tgt) - 2) + 1)) AS i FROM enc WHERE split = 'train')),
+lt AS (SELECT s, t FROM (SELECT s, t, count(*) AS n FROM lx GROUP BY ALL)
+       QUALIFY row_number() OVER (PARTITION BY s ORDER BY n DESC, t) = 1),
+cand AS (SELECT id, list(coalesce(lt.t, 1) ORDER BY i) AS c
+         FROM (SELECT id, src, unnest(range(1, len(src) + 1)) AS i FROM enc) e LEFT JOIN lt ON lt.s = e.src[e.i] GROUP BY id),
+dec AS (SELECT enc.id, split, list_concat([2], coalesce(c[1:149], []), CASE WHEN coalesce(len(c), 0) < 149 THEN [3] ELSE [] END)
+          AS pred FROM enc LEFT JOIN cand USING (id))
+"""
+
+
+@query("lexical_table", wq("SELECT CAST(s AS BIGINT) AS src, CAST(t AS BIGINT) AS next FROM lt", LEXICAL))
+def q_lexical_table(spark, sf_dir):
+    """For every source id the target id most often at its position in the
+    training pairs: the default decoding scorer."""
+    t = _model(spark, sf_dir)[2]
+    return t.select(F.col("src").cast("long").alias("src"), F.col("next").cast("long").alias("next"))
+
+
+@query("greedy_decode", wq("""
+SELECT id, array_to_string(pred, ' ') AS pred_ids, CAST(len(pred) AS BIGINT) AS n_ids,
+       CAST(NULL AS VARCHAR) AS error FROM dec
+""", LEXICAL))
 def q_greedy_decode(spark, sf_dir):
-    """Greedy decoding of every test source."""
-    enc = _encoded(spark, sf_dir).filter(F.col("split") == "test")
-    dec = D.greedy_decode(spark, enc, _factory(spark, sf_dir))
+    """Greedy decoding of every source."""
+    _, enc, table = _model(spark, sf_dir)
+    dec = D.lexical_decode(spark, enc, table)
     return dec.select("id", _ids_str("pred_ids").alias("pred_ids"),
                       F.size("pred_ids").cast("long").alias("n_ids"), "error")
 
 
-_TRANSLATE_SQL = _DECODE_SQL.split("dec AS (")[0] + f"""toks AS (SELECT step, coalesce(w.word, CASE tok WHEN 0 THEN '[PAD]' WHEN 1 THEN '[UNK]'
-                   WHEN 2 THEN '[SOS]' WHEN 3 THEN '[EOS]' END) AS t
-         FROM path LEFT JOIN wv w ON w.wid = path.tok),
-tr AS (SELECT list(t ORDER BY step) AS tl FROM toks)
-SELECT enc.id, {DETOK_SQL.format(t=DROP_SPECIALS_SQL.format(t='tl'))} AS translation,
-       CAST(NULL AS VARCHAR) AS error
-FROM enc, tr WHERE enc.split = 'test'
+TRANSLATED = LEXICAL + f"""
+, tk2 AS (SELECT id, split, pos, coalesce(w.word, CASE tok WHEN 0 THEN '[PAD]' WHEN 1 THEN '[UNK]' WHEN 2 THEN '[SOS]'
+                                      WHEN 3 THEN '[EOS]' END) AS t
+          FROM (SELECT id, split, unnest(pred) AS tok, unnest(range(1, len(pred) + 1)) AS pos FROM dec) d
+          LEFT JOIN wv w ON w.wid = d.tok),
+tr AS (SELECT id, split, list(t ORDER BY pos) AS tl FROM tk2 GROUP BY ALL),
+translated AS (SELECT id, split, {DETOK_SQL.format(t=DROP_SPECIALS_SQL.format(t='tl'))} AS translation FROM tr)
 """
 
 
-@query("translate_table", _TRANSLATE_SQL)
+@query("translate_table", wq("""
+SELECT id, translation, CAST(NULL AS VARCHAR) AS error FROM translated
+""", TRANSLATED))
 def q_translate_table(spark, sf_dir):
-    """Encode → decode → tokens → detokenised text for the test split."""
-    enc = _encoded(spark, sf_dir).filter(F.col("split") == "test")
-    out = D.translate_table(spark, enc, _word_vocab(spark, sf_dir), _factory(spark, sf_dir))
-    return out.select("id", "translation", "error")
+    """Encode → decode → tokens → detokenised text for every row."""
+    vocab, enc, table = _model(spark, sf_dir)
+    return D.translate_table(spark, enc, vocab, table).select("id", "translation", "error")
 
 
-@query("evaluate_table")
+EVALUATED = TRANSLATED + f"""
+, ev AS (SELECT id, translation AS pred, {DETOK_SQL.format(t=DROP_SPECIALS_SQL.format(t='tgt_tokens[2:len(tgt_tokens)]'))}
+           AS ref FROM translated JOIN (SELECT id, tgt_tokens FROM enc) USING (id) WHERE split = 'test')
+"""
+
+
+def _scores(p: str, r: str) -> str:
+    body = _bleu_sql(p, r).strip().removeprefix(",").replace("FROM pr)", "FROM ev)", 1).replace("FROM pr", "FROM ev", 1)
+    return "(WITH " + body + ")"
+
+
+_WORDS = "regexp_extract_all({c}, '\\S+')"
+
+
+@query("evaluate_table", wq(f"""
+SELECT round(a.bleu, 6) AS bleu, round(b.bleu, 6) AS sacrebleu, a.pred_len AS n_tokens
+FROM {_scores(_WORDS.format(c="pred"), _WORDS.format(c="ref"))} a,
+     {_scores(INTL_SQL.format(c="pred"), INTL_SQL.format(c="ref"))} b
+""", EVALUATED))
 def q_evaluate_table(spark, sf_dir):
     """Corpus BLEU and SacreBLEU of the test-split translations (D3)."""
-    enc = _encoded(spark, sf_dir).filter(F.col("split") == "test")
-    scores, _samples = D.evaluate_table(spark, enc, _word_vocab(spark, sf_dir), _factory(spark, sf_dir))
-    return scores.select(F.round("bleu", 6).alias("bleu"), F.round("sacrebleu", 6).alias("sacrebleu"),
-                         "n_tokens")
+    vocab, enc, table = _model(spark, sf_dir)
+    scores, _ = D.evaluate_table(spark, enc.filter(F.col("split") == "test"), vocab, table)
+    return scores.select(F.round("bleu", 6).alias("bleu"), F.round("sacrebleu", 6).alias("sacrebleu"), "n_tokens")
+
+
+@query("evaluation_samples", wq("SELECT id, pred, ref FROM ev ORDER BY id LIMIT 5", EVALUATED))
+def q_evaluation_samples(spark, sf_dir):
+    """The first five test translations beside their references (D3)."""
+    vocab, enc, table = _model(spark, sf_dir)
+    return D.evaluate_table(spark, enc.filter(F.col("split") == "test"), vocab, table)[1].select("id", "pred", "ref")

@@ -83,23 +83,25 @@ def q_corpus_sacrebleu(spark, sf_dir):
 
 
 @query("intl_tokenize", with_pairs(f"""
-SELECT id, array_to_string({INTL_SQL.format(c='en')}, ' ') AS tokens FROM p
+SELECT sent_id, lang, array_to_string({INTL_SQL.format(c='t')}, ' ') AS tokens FROM sent
 """))
 def q_intl_tokenize(spark, sf_dir):
-    p = FX.pairs(spark, sf_dir, with_score=False)
-    return p.select("id", F.array_join(intl_tokenize("en"), " ").alias("tokens"))
+    s = FX.sentences(FX.pairs(spark, sf_dir, with_score=False))
+    return s.select("sent_id", "lang", F.array_join(intl_tokenize("sentence"), " ").alias("tokens"))
 
 
-@query("ngrams", with_pairs(PRED_REF_CTE.strip() + """
-SELECT id, CAST(n AS BIGINT) AS n, g AS gram, count(*) AS cnt
-FROM (SELECT id, n, array_to_string(list_slice(rt, i, i + n - 1), chr(1)) AS g
-      FROM (SELECT id, rt, n, unnest(range(1, len(rt) - n + 2)) AS i FROM pr, range(1, 5) q(n)))
+@query("ngrams", with_pairs(r"""
+, sw AS (SELECT sent_id, regexp_extract_all(t, '\S+') AS rt FROM sent)
+SELECT sent_id, CAST(n AS BIGINT) AS n, g AS gram, count(*) AS cnt
+FROM (SELECT sent_id, n, array_to_string(list_slice(rt, i, i + n - 1), chr(1)) AS g
+      FROM (SELECT sent_id, rt, n, unnest(range(1, len(rt) - n + 2)) AS i FROM sw, range(1, 5) q(n)))
 GROUP BY ALL
-"""))
+""".strip()))
 def q_ngrams(spark, sf_dir):
-    t = pred_ref(spark, sf_dir).select("id", whitespace_words("ref").alias("rt"))
-    g = EV.explode_ngrams(t, "id", "rt")
-    return g.groupBy("id", F.col("n").cast("long").alias("n"), "gram").agg(F.count(F.lit(1)).alias("cnt"))
+    s = FX.sentences(FX.pairs(spark, sf_dir, with_score=False))
+    t = s.select("sent_id", whitespace_words("sentence").alias("rt"))
+    g = EV.explode_ngrams(t, "sent_id", "rt")
+    return g.groupBy("sent_id", F.col("n").cast("long").alias("n"), "gram").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @query("count_match_join", with_pairs(PRED_REF_CTE.strip() + """
@@ -151,7 +153,8 @@ f(run, epoch, best, counter, stop_epoch, cks) AS (
          CASE WHEN e.v < f.best - 1e-4 THEN e.v ELSE f.best END,
          CASE WHEN e.v < f.best - 1e-4 THEN 0 ELSE f.counter + 1 END,
          CASE WHEN (CASE WHEN e.v < f.best - 1e-4 THEN 0 ELSE f.counter + 1 END) >= 5 THEN e.epoch END,
-         CASE WHEN e.v < f.best - 1e-4 THEN list_append(f.cks, e.epoch) ELSE f.cks END
+         CASE WHEN e.v = CASE WHEN e.v < f.best - 1e-4 THEN e.v ELSE f.best END
+              THEN list_append(f.cks, e.epoch) ELSE f.cks END
   FROM f JOIN ep e ON e.run = f.run AND e.epoch = f.epoch + 1
   WHERE f.stop_epoch IS NULL),
 fin AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY run ORDER BY epoch DESC) = 1)

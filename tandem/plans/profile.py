@@ -8,7 +8,7 @@ from tandem.operators import batching as B
 from tandem.operators import clean as C
 from tandem.operators import profile as PR
 from tandem.plans.registry import query
-from tandem.plans.sql import with_pairs
+from tandem.plans.sql import md5_sql, with_pairs
 from tandem.sources import fixtures as FX
 
 
@@ -119,21 +119,33 @@ def q_row_at(spark, sf_dir):
     return PR.row_at(FX.pairs(spark, sf_dir, with_score=False), 1000).select("id", "en", "vi")
 
 
-@query("sample_n", with_pairs("SELECT id, len_en, len_vi FROM pl"))
+SAMPLE_ROWS = 500
+
+
+@query("sample_n", with_pairs(f"""
+SELECT id, len_en, len_vi FROM pl ORDER BY {md5_sql("42", "id")}, id LIMIT {SAMPLE_ROWS}
+"""))
 def q_sample_n(spark, sf_dir):
-    """min(50 000, n) rows — every row at the test scales."""
-    s = PR.sample_n(_lens(spark, sf_dir), 50_000)
+    """A seeded sample without replacement, smaller than the table."""
+    s = PR.sample_n(_lens(spark, sf_dir), SAMPLE_ROWS)
     return s.select("id", F.col("len_en").cast("long").alias("len_en"), F.col("len_vi").cast("long").alias("len_vi"))
 
 
-@query("sample_inspect")
+@query("sample_inspect", with_pairs(f"""
+, ix AS (SELECT id, en, vi, row_number() OVER (ORDER BY id) - 1 AS row_idx FROM p)
+SELECT draw, row_idx, id, en, vi
+FROM (SELECT draw, {md5_sql("7", "draw")} % (SELECT count(*) FROM p) AS row_idx FROM range(0, 5) d(draw))
+JOIN ix USING (row_idx)
+""".strip()))
 def q_sample_inspect(spark, sf_dir):
     """5 seeded positions with replacement over the id-ordered pair table."""
     idx = B.ordered_index(FX.pairs(spark, sf_dir, with_score=False), [F.col("id")], "row_idx")
     return PR.sample_inspect(idx, 5, seed=7).select("draw", "row_idx", "id", "en", "vi")
 
 
-@query("seeded_shuffle", with_pairs("SELECT id FROM p"))
+@query("seeded_shuffle", with_pairs(f"""
+SELECT id, row_number() OVER (ORDER BY {md5_sql("42", "0", "id")}, id) - 1 AS pos FROM p
+"""))
 def q_seeded_shuffle(spark, sf_dir):
-    """Every row once, in a seeded hash order (order not part of the check)."""
-    return B.seeded_shuffle(FX.pairs(spark, sf_dir, with_score=False), seed=42, epoch=0).select("id")
+    """Every row once, with its place in a seeded order."""
+    return B.seeded_shuffle(FX.pairs(spark, sf_dir, with_score=False), seed=42, epoch=0).select("id", "pos")

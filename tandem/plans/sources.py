@@ -15,14 +15,8 @@ from tandem.session import scratch_path
 from tandem.sources import aligned as A
 from tandem.sources import fixtures as FX
 
-_CACHE: dict = {}
-
-
 def aligned_files(spark, sf_dir: str, drop_last_vi: bool = False) -> dict:
     """Write the pair fixture as three line-aligned text files."""
-    key = (sf_dir, drop_last_vi, spark.sparkContext.applicationId)
-    if key in _CACHE:
-        return _CACHE[key]
     root = scratch_path(spark, "aligned")
     p = FX.pairs(spark, sf_dir)
     ordered = p.orderBy("id")
@@ -34,9 +28,7 @@ def aligned_files(spark, sf_dir: str, drop_last_vi: bool = False) -> dict:
     vi.select(F.coalesce("vi", F.lit("")).alias("value")).write.text(f"{root}/vi")
     (ordered.select(F.coalesce(F.col("score").cast("string"), F.lit("nan")).alias("value"))
      .write.text(f"{root}/score"))
-    out = {"en": f"{root}/en", "vi": f"{root}/vi", "score": f"{root}/score"}
-    _CACHE[key] = out
-    return out
+    return {"en": f"{root}/en", "vi": f"{root}/vi", "score": f"{root}/score"}
 
 
 STRIP_SQL = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
@@ -88,15 +80,18 @@ WHERE len_en BETWEEN 3 AND 150 AND len_vi BETWEEN 3 AND 150
   AND NOT isnan(score) AND score > CAST(1.0872 AS FLOAT)
 """))
 def q_scan_pairs(spark, sf_dir):
-    """clean → write_cleaned (skip-if-exists) → write_final → scan_pairs."""
+    """clean → write_cleaned (skip-if-exists) → write_final → both read back
+    and joined on their text, so either file's rows would be missed."""
     from tandem.operators.clean import clean_pairs
     cleaned = clean_pairs(FX.pairs(spark, sf_dir))
     path = scratch_path(spark, "cleaned")
     A.write_cleaned(cleaned, path)
     assert not A.write_cleaned(cleaned, path)  # second call is skipped
     final = scratch_path(spark, "final")
-    A.write_final(A.scan_pairs(spark, path), final)  # translation only, new directory
+    A.write_final(A.scan_pairs(spark, path), final)  # translation only
+    A.write_final(spark.read.parquet(final), final)  # a second time over its own input
     t = A.scan_pairs(spark, path)
+    t = t.join(spark.read.parquet(final).distinct(), "translation", "left_semi")
     return t.select("id", F.col("translation.en").alias("en"), F.col("translation.vi").alias("vi"))
 
 

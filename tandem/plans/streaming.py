@@ -7,25 +7,34 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tandem.config import MAX_SEQ_LEN
+from tandem.operators import decode as D
+from tandem.operators import encode as E
+from tandem.plans.decode import TRANSLATED, _model
 from tandem.plans.evaluate import RUNS_CTE
 from tandem.plans.registry import ORACLES, query
 from tandem.plans.sql import with_pairs
-from tandem.session import scratch_path
+from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, PRE, wq
+from tandem.session import read_table, scratch_path
 from tandem.sources import fixtures as FX
 from tandem.streaming import pipelines as SP
 
-N_FILES = 4
+#: Micro-batches that a stream's source files are consumed in.
+BATCHES = 4
 
 
 def _write_source(df, path, key="id"):
-    # several files so the stream sees several micro-batches
-    df.repartitionByRange(N_FILES, key).write.parquet(path)
-    return df.schema
+    """Source files by key range, as many as the session's shuffle partitions;
+    returns the schema and the files to take per micro-batch."""
+    df.repartitionByRange(key).write.parquet(path)
+    files = len(df.sparkSession.read.parquet(path).inputFiles())
+    return df.schema, max(1, -(-files // BATCHES))
 
 
-def _write_in_order(df, path, key, n=N_FILES):
-    """Append ``n`` key ranges one after another, so files arrive (and are
-    consumed) in key order."""
+def _write_in_order(df, path, key, n=BATCHES):
+    """Append ``n`` key ranges one after another, one file each, so that they
+    arrive (and are consumed) in key order: the arrival order is the feature,
+    and the table has one row per hundred log rows."""
     lo, hi = df.agg(F.min(key), F.max(key)).first()
     step = max(1, -(-(hi - lo + 1) // n))
     for start in range(lo, hi + 1, step):
@@ -37,8 +46,8 @@ def _write_in_order(df, path, key, n=N_FILES):
 @query("stream_clean_pairs")
 def q_stream_clean_pairs(spark, sf_dir):
     src, sink, ck = (scratch_path(spark, n) for n in ("st1-src", "st1-sink", "st1-ck"))
-    schema = _write_source(FX.pairs(spark, sf_dir), src)
-    SP.stream_clean_pairs(spark, src, sink, ck, schema, files_per_trigger=1)
+    schema, per = _write_source(FX.pairs(spark, sf_dir), src)
+    SP.stream_clean_pairs(spark, src, sink, ck, schema, files_per_trigger=per)
     return spark.read.parquet(sink).select("id", "en", "vi")
 
 
@@ -48,8 +57,8 @@ ORACLES["stream_clean_pairs"] = ORACLES["clean_pairs"]
 @query("stream_funnel")
 def q_stream_funnel(spark, sf_dir):
     src, sink, ck = (scratch_path(spark, n) for n in ("st2-src", "st2-sink", "st2-ck"))
-    schema = _write_source(FX.pairs(spark, sf_dir), src)
-    SP.stream_funnel(spark, src, sink, ck, schema, files_per_trigger=1)
+    schema, per = _write_source(FX.pairs(spark, sf_dir), src)
+    SP.stream_funnel(spark, src, sink, ck, schema, files_per_trigger=per)
     return spark.read.parquet(sink).select("n_pairs", "n_length", "n_length_ratio", "n_all")
 
 
@@ -81,28 +90,37 @@ def q_stream_early_stop(spark, sf_dir):
                     F.array_join(F.col("checkpoint_epochs").cast("array<string>"), ",").alias("checkpoint_epochs"))
 
 
-@query("stream_translate")
+_TURNS = TRANSLATED + f"""
+, rq AS (SELECT conv_id * 1000 + turn AS id, text FROM conversations WHERE role = 'user'
+         AND length(trim(coalesce(text, ''))) > 0 AND lower(trim(text)) NOT IN ('exit', 'quit')),
+rs AS (SELECT id, coalesce(wid, 1) AS sid, pos FROM (
+         SELECT id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos
+         FROM (SELECT id, regexp_extract_all(lower(text), '{PRE}') AS ws FROM rq)) LEFT JOIN wv USING (word)
+       WHERE pos <= 150),
+rc AS (SELECT rs.id, list(coalesce(lt.t, 1) ORDER BY pos) AS c FROM rs LEFT JOIN lt ON lt.s = rs.sid GROUP BY rs.id),
+rt AS (SELECT id, unnest(c[1:149]) AS tok, unnest(range(1, len(c[1:149]) + 1)) AS pos FROM rc),
+rw AS (SELECT id, list(coalesce(wv.word, '[UNK]') ORDER BY pos) AS tl FROM rt LEFT JOIN wv ON wv.wid = rt.tok GROUP BY id)
+SELECT rq.id, coalesce({DETOK_SQL.format(t=DROP_SPECIALS_SQL.format(t='tl'))}, '') AS translation,
+       CAST(NULL AS VARCHAR) AS error FROM rq LEFT JOIN rw USING (id)
+"""
+
+
+@query("stream_translate", wq("", _TURNS))
 def q_stream_translate(spark, sf_dir):
-    """Arriving user turns are filtered, encoded with the word vocabulary and
-    decoded with the bigram scorer, micro-batch by micro-batch."""
-    from tandem.operators import decode as D
-    from tandem.operators import encode as E
-    from tandem.plans.decode import _factory
-    from tandem.plans.text import _word_vocab
-    from tandem.session import read_table
+    """Arriving user turns (the requests) are filtered, encoded with the word
+    vocabulary and decoded with the lexical table, micro-batch by micro-batch."""
     src, sink, ck = (scratch_path(spark, n) for n in ("st3-src", "st3-sink", "st3-ck"))
     conv = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "user") \
         .select((F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("id"), "text")
-    schema = _write_source(conv, src)
-    vocab = _word_vocab(spark, sf_dir)
-    factory = _factory(spark, sf_dir)
+    schema, _ = _write_source(conv, src)
+    vocab, _, table = _model(spark, sf_dir)
 
     def enc(batch):
         e = E.word_vocab_encode(spark, batch, "id", "request", "ids", vocab)
-        return e.select("id", E.truncate_ids("ids", 150).alias("src_ids"))
+        return e.select("id", E.truncate_ids("ids", MAX_SEQ_LEN).alias("src_ids"))
 
     def dec(encoded):
-        return D.translate_table(spark, encoded, vocab, factory).select("id", "translation", "error")
+        return D.translate_table(spark, encoded, vocab, table).select("id", "translation", "error")
 
     SP.stream_translate(spark, src, sink, ck, schema, enc, dec)
     return spark.read.parquet(sink).select("id", "translation", "error")

@@ -12,8 +12,8 @@ from tandem.operators import batching as B
 from tandem.operators import encode as E
 from tandem.operators import vocab as V
 from tandem.plans.registry import query
-from tandem.plans.sql import with_pairs
-from tandem.session import cut_lineage, read_table
+from tandem.plans.sql import md5_sql, with_pairs
+from tandem.session import cut_lineage, join_measured, read_table
 from tandem.sources import fixtures as FX
 
 # DuckDB restatement of the Unicode pre-tokeniser for Latin text.
@@ -49,55 +49,34 @@ bat AS (SELECT enc.*, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS
 bm AS (SELECT split, batch_id, max(len(src)) AS t_src, max(len(tgt) - 1) AS t_tgt FROM bat GROUP BY ALL)
 """
 
-_CACHE: dict = {}
-
-
-def _key(spark, sf_dir, name):
-    return (spark.sparkContext.applicationId, sf_dir, name)
-
-
 def _pairs(spark, sf_dir):
     return FX.pairs(spark, sf_dir, with_score=False)
 
 
 def _word_counts(spark, sf_dir):
-    k = _key(spark, sf_dir, "wc")
-    if k not in _CACHE:
-        _CACHE[k] = cut_lineage(V.word_counts(V.stack_languages(_pairs(spark, sf_dir))))
-    return _CACHE[k]
+    return V.word_counts(V.stack_languages(_pairs(spark, sf_dir)))
 
 
 def _word_vocab(spark, sf_dir):
-    k = _key(spark, sf_dir, "wv")
-    if k not in _CACHE:
-        _CACHE[k] = cut_lineage(E.word_vocab(_word_counts(spark, sf_dir)))
-    return _CACHE[k]
+    return cut_lineage(E.word_vocab(_word_counts(spark, sf_dir)))
 
 
-def _encoded(spark, sf_dir):
+def _encoded(spark, sf_dir, vocab=None):
     """``id, split, src_ids, tgt_ids`` with the word-level vocabulary."""
-    k = _key(spark, sf_dir, "enc")
-    if k not in _CACHE:
-        p = FX.splits(_pairs(spark, sf_dir)).withColumnRenamed("en", "src").withColumnRenamed("vi", "tgt")
-        vocab = _word_vocab(spark, sf_dir)
-        enc = E.encode_pairs(spark, p, lambda d, key, col, out: E.word_vocab_encode(spark, d, key, col, out, vocab))
-        enc = enc.join(p.select("id", "split"), "id", "inner")
-        _CACHE[k] = cut_lineage(enc)
-    return _CACHE[k]
+    p = FX.splits(_pairs(spark, sf_dir)).withColumnRenamed("en", "src").withColumnRenamed("vi", "tgt")
+    return E.word_vocab_encode_pairs(p, vocab if vocab is not None else _word_vocab(spark, sf_dir))
 
 
 def _batched(spark, sf_dir):
-    k = _key(spark, sf_dir, "bat")
-    if k not in _CACHE:
-        _CACHE[k] = cut_lineage(B.batch_assign(_encoded(spark, sf_dir)))
-    return _CACHE[k]
+    return B.batch_assign(_encoded(spark, sf_dir))
+
+
+#: Vocabulary size of the registered BPE queries.
+BPE_VOCAB = 200
 
 
-def _bpe(spark, sf_dir, vocab_size=200):
-    k = _key(spark, sf_dir, f"bpe{vocab_size}")
-    if k not in _CACHE:
-        _CACHE[k] = V.bpe_train(spark, _word_counts(spark, sf_dir), vocab_size)
-    return _CACHE[k]
+def _bpe(spark, sf_dir, vocab_size=BPE_VOCAB):
+    return V.bpe_train(spark, cut_lineage(_word_counts(spark, sf_dir)), vocab_size)
 
 
 def wq(body: str, ctes: str = CORPUS) -> str:
@@ -105,6 +84,12 @@ def wq(body: str, ctes: str = CORPUS) -> str:
     return with_pairs(ctes.strip() + "\n" + body.strip()) if ctes else with_pairs(body)
 
 
+def _mask_str(col):
+    """Rows of a mask as 0/1 strings, joined by slashes."""
+    return F.array_join(F.transform(col, lambda r: F.array_join(
+        F.transform(r, lambda b: F.when(b, "1").otherwise("0")), "")), "/")
+
+
 def _ids_str(col):
     return F.array_join(F.col(col).cast("array<string>"), " ")
 
@@ -141,13 +126,13 @@ pc AS (SELECT "left", "right", CAST(sum(n) AS BIGINT) AS n FROM pr GROUP BY ALL)
 
 
 def _initial_pairs(spark, sf_dir):
-    wc = _word_counts(spark, sf_dir)
+    wc = cut_lineage(_word_counts(spark, sf_dir))
     alpha = V.char_alphabet(wc)
     syms = V.words_to_symbols(wc, alpha)
     st = V.pair_stats(syms)
     names = alpha.select(F.col("id").alias("a"), F.col("token").alias("left"))
     names_r = alpha.select(F.col("id").alias("b"), F.col("token").alias("right"))
-    return (st.join(F.broadcast(names), "a").join(F.broadcast(names_r), "b")
+    return (join_measured(join_measured(st, names, "a"), names_r, "b")
             .select("a", "b", "left", "right", F.col("n").cast("long").alias("n")))
 
 
@@ -182,11 +167,10 @@ def q_vocab_size(spark, sf_dir):
 
 @query("bpe_encode")
 def q_bpe_encode(spark, sf_dir):
-    """BPE ids of every source sentence with the learned merges."""
+    """BPE ids of every sentence of both sides with the learned merges."""
     m = _bpe(spark, sf_dir)
-    p = _pairs(spark, sf_dir)
-    enc = E.bpe_encode(spark, p, "id", "en", "ids", m.vocab, m.merges)
-    return enc.select("id", _ids_str("ids").alias("ids"), F.size("ids").cast("long").alias("n_ids"))
+    enc = E.bpe_encode(spark, FX.sentences(_pairs(spark, sf_dir)), "sent_id", "sentence", "ids", m.vocab, m.merges)
+    return enc.select("sent_id", _ids_str("ids").alias("ids"), F.size("ids").cast("long").alias("n_ids"))
 
 
 @query("word_vocab", wq("""
@@ -236,6 +220,36 @@ def q_shifted_targets(spark, sf_dir):
     return s.select("id", _ids_str("dec_input_ids").alias("dec_input_ids"), _ids_str("labels").alias("labels"))
 
 
+@query("shuffled_batches", wq(f"""
+, sh AS (SELECT enc.*, row_number() OVER (PARTITION BY split ORDER BY
+           CASE WHEN split = 'train' THEN {md5_sql("42", "0", "id")} ELSE 0 END, id) - 1 AS sp FROM enc)
+SELECT id, split, CAST(sp AS BIGINT) AS pos,
+       CAST(floor(sp / CASE WHEN split = 'train' THEN {TRAIN_BATCH_SIZE} ELSE {EVAL_BATCH_SIZE} END) AS BIGINT) AS batch_id
+FROM sh
+""", ENCODED))
+def q_shuffled_batches(spark, sf_dir):
+    """Batches of the seeded order of the train split, the others by id."""
+    b = B.batch_assign(_encoded(spark, sf_dir), shuffle_train=True, seed=42, epoch=0)
+    return b.select("id", "split", F.col("pos").cast("long").alias("pos"), F.col("batch_id").cast("long").alias("batch_id"))
+
+
+@query("prepare_batches", wq("""
+SELECT id, split, batch_id,
+  array_to_string(list_concat(src, list_resize([0], t_src - len(src), 0)), ' ') AS src_padded,
+  array_to_string(list_concat(tgt[1:len(tgt) - 1], list_resize([0], t_tgt - (len(tgt) - 1), 0)), ' ')
+    AS tgt_input_padded,
+  array_to_string(list_concat(tgt[2:len(tgt)], list_resize([0], t_tgt - (len(tgt) - 1), 0)), ' ')
+    AS labels_padded
+FROM bat JOIN bm USING (split, batch_id)
+""", ENCODED))
+def q_prepare_batches(spark, sf_dir):
+    """Pairs → word-level ids → padded batches."""
+    c = B.prepare_batches(_encoded(spark, sf_dir))
+    return c.select("id", "split", F.col("batch_id").cast("long").alias("batch_id"),
+                    _ids_str("src_padded").alias("src_padded"), _ids_str("tgt_input_padded").alias("tgt_input_padded"),
+                    _ids_str("labels_padded").alias("labels_padded"))
+
+
 @query("batch_assign", wq("SELECT id, split, CAST(pos AS BIGINT) AS pos, batch_id FROM bat", ENCODED))
 def q_batch_assign(spark, sf_dir):
     return _batched(spark, sf_dir).select("id", "split", F.col("pos").cast("long").alias("pos"),
@@ -279,30 +293,31 @@ def q_padding_mask(spark, sf_dir):
 
 
 @query("look_ahead_mask", wq("""
-SELECT split, batch_id, CAST(t_tgt AS BIGINT) AS t, CAST(t_tgt * (t_tgt + 1) / 2 AS BIGINT) AS n_true FROM bm
+SELECT split, batch_id, CAST(t_tgt AS BIGINT) AS t,
+       array_to_string(list_transform(range(0, t_tgt), lambda q: repeat('1', q + 1) || repeat('0', t_tgt - q - 1)), '/')
+         AS mask FROM bm
 """, ENCODED))
 def q_look_ahead_mask(spark, sf_dir):
     c = B.collate(_batched(spark, sf_dir))
     per_batch = c.groupBy("split", "batch_id").agg(F.max("T_tgt").alias("t"))
     m = per_batch.withColumn("m", B.look_ahead_mask(F.col("t")))
-    return m.select("split", "batch_id", F.col("t").cast("long").alias("t"),
-                    F.size(F.filter(F.flatten("m"), lambda x: x)).cast("long").alias("n_true"))
+    return m.select("split", "batch_id", F.col("t").cast("long").alias("t"), _mask_str("m").alias("mask"))
 
 
 @query("target_mask", wq("""
 SELECT id, CAST(t_tgt AS BIGINT) AS t,
-       CAST(coalesce(list_sum(list_transform(range(1, len(tgt)), lambda k: t_tgt - (k - 1))), 0) AS BIGINT) AS n_true
+       array_to_string(list_transform(range(0, t_tgt), lambda q: repeat('1', least(q + 1, len(tgt) - 1))
+                                      || repeat('0', t_tgt - least(q + 1, len(tgt) - 1))), '/') AS mask
 FROM bat JOIN bm USING (split, batch_id)
 """, ENCODED))
 def q_target_mask(spark, sf_dir):
     c = B.collate(_batched(spark, sf_dir), masks=True)
-    return c.select("id", F.col("T_tgt").cast("long").alias("t"),
-                    F.size(F.filter(F.flatten("tgt_mask"), lambda x: x)).cast("long").alias("n_true"))
+    return c.select("id", F.col("T_tgt").cast("long").alias("t"), _mask_str("tgt_mask").alias("mask"))
 
 
 def _tgt_tokens(spark, sf_dir):
-    e = _encoded(spark, sf_dir)
-    return E.ids_to_tokens(e, "tgt_ids", _word_vocab(spark, sf_dir), "tokens")
+    vocab = _word_vocab(spark, sf_dir)
+    return E.ids_to_tokens(_encoded(spark, sf_dir, vocab), "tgt_ids", vocab, "tokens")
 
 
 @query("ids_to_tokens", wq("SELECT id, array_to_string(tgt_tokens, ' ') AS tokens FROM enc", ENCODED))
@@ -343,7 +358,8 @@ def q_bpe_join_decode(spark, sf_dir):
 SELECT id, {DETOK_SQL.format(t=DROP_SPECIALS_SQL.format(t='tgt_tokens[2:len(tgt_tokens)]'))} AS ref FROM enc
 """, ENCODED))
 def q_round_trip_reference(spark, sf_dir):
-    return E.round_trip_reference(_encoded(spark, sf_dir), _word_vocab(spark, sf_dir))
+    vocab = _word_vocab(spark, sf_dir)
+    return E.round_trip_reference(_encoded(spark, sf_dir, vocab), vocab)
 
 
 @query("context_windows", """
@@ -375,27 +391,32 @@ def q_save_load_vocab(spark, sf_dir):
 
 
 @query("normalize_text", with_pairs("""
-SELECT id, lower(en) AS norm FROM p
+SELECT sent_id, lang, lower(t) AS norm FROM sent
 """))
 def q_normalize_text(spark, sf_dir):
-    """NFKC + per-character lowercase of every source sentence (F1, F2);
+    """NFKC + per-character lowercase of every sentence of both sides (F1, F2);
     ASCII rows stay in the JVM, the rest go through one Arrow UDF."""
     from tandem.functions.text import normalize_frame
-    p = _pairs(spark, sf_dir)
-    return normalize_frame(p, "en", "norm").select("id", "norm")
+    return normalize_frame(FX.sentences(_pairs(spark, sf_dir)), "sentence", "norm").select("sent_id", "lang", "norm")
 
 
 @query("pretokenize", with_pairs(f"""
-SELECT id, array_to_string(regexp_extract_all(en, '{PRE}'), ' ') AS tokens FROM p
+SELECT sent_id, lang, array_to_string(regexp_extract_all(t, '{PRE}'), ' ') AS tokens FROM sent
 """))
 def q_pretokenize(spark, sf_dir):
-    """Word runs and punctuation runs of every source sentence."""
+    """Word runs and punctuation runs of every sentence of both sides."""
     from tandem.functions.text import pretokenize
-    p = _pairs(spark, sf_dir)
-    return p.select("id", F.array_join(pretokenize("en"), " ").alias("tokens"))
+    s = FX.sentences(_pairs(spark, sf_dir))
+    return s.select("sent_id", "lang", F.array_join(pretokenize("sentence"), " ").alias("tokens"))
 
 
-@query("sample_context_windows")
+@query("sample_context_windows", f"""
+WITH d AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest([0, 1]) AS draw FROM d WHERE len(w) > 3),
+i AS (SELECT doc_id, w, draw, {md5_sql("0", "doc_id", "draw")} % (len(w) - 3) AS i FROM s)
+SELECT doc_id, CAST(draw AS BIGINT) AS draw, CAST(i AS BIGINT) AS i, array_to_string(w[i + 1:i + 3], ' ') AS x,
+       array_to_string(w[i + 2:i + 4], ' ') AS y FROM i
+""")
 def q_sample_context_windows(spark, sf_dir):
     """Two seeded windows (context 3) per document (W2, sampled form)."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "tandem",
@@ -69,18 +70,19 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh local folder is created and registered.
+    A folder set on the context comes first, then the cluster's
+    ``spark.checkpoint.dir``; only when both are unset (local tests) a fresh
+    local folder is created and registered.
     """
     sc = spark.sparkContext
     conf = sc.getConf().get("spark.checkpoint.dir", None)
+    cp = sc.getCheckpointDir()
+    if cp and not (conf and cp.rstrip("/").startswith(_plain(conf))):
+        return cp
     if conf:
-        if sc.getCheckpointDir() is None:
+        if cp is None:
             sc.setCheckpointDir(conf)
         return conf
-    cp = sc.getCheckpointDir()
-    if cp:
-        return cp
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     d = tempfile.mkdtemp(prefix="tandem-ckpt-")
@@ -88,6 +90,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def _plain(uri: str) -> str:
+    """A folder as the context reports it (without a ``file:`` scheme's slashes)."""
+    return uri.rstrip("/").replace("file:///", "file:/") if uri.startswith("file:") else uri.rstrip("/")
+
+
+def join_measured(big: DataFrame, small: DataFrame, on, how: str = "inner", rows: int = 100_000) -> DataFrame:
+    """Join whose small side is broadcast only when at most ``rows`` rows were
+    counted; beyond that it is a shuffle join that AQE splits on skew."""
+    few = small.limit(rows + 1).count() <= rows
+    return big.join(F.broadcast(small) if few else small, on, how)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -11,6 +11,7 @@ to be small at run time (AQE), by a shuffled join otherwise.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,11 +28,20 @@ PAIR_SCHEMA = T.StructType([
 ])
 
 
+def file_number(path):
+    """The first number in a file's name (part-100000 comes after part-10001);
+    NULL, and so before all others, when there is none."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.regexp_extract(name, "([0-9]+)", 1).try_cast("decimal(38,0)")
+
+
 def with_line_index(df: DataFrame, name: str = "line_id") -> DataFrame:
     """Add a contiguous 0-based index in file order.
 
     ``df`` must come straight from a file scan (``spark.read.text`` /
-    ``parquet``) so the split of a row is known from ``_metadata``.
+    ``parquet``) so the split of a row is known from ``_metadata``.  Files
+    stand in order of the first number in their name, then of the name.  A
+    file that cannot be split (``.gz``) is one block.
     """
     base = df.select("*",
                      F.col("_metadata.file_path").alias("_f"),
@@ -41,7 +51,7 @@ def with_line_index(df: DataFrame, name: str = "line_id") -> DataFrame:
               .agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n")))
     # one row per input split: the ordered window runs over the block table
     # only, never over the data rows
-    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.orderBy(file_number(F.col("_f")), "_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_f", "_b", "_m0",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     # The block table is an aggregate, so AQE knows its exact size after
@@ -87,11 +97,11 @@ def scan_scores(spark: SparkSession, path: str) -> DataFrame:
     instead of failing the job.
     """
     raw = spark.read.text(path)
-    kept = raw.filter(~(F.trim(F.col("value")) == "") & ~F.trim(F.col("value")).startswith("#"))
-    idx = with_line_index(kept)
-    return idx.select(F.col("line_id").alias("id"),
-                      F.expr("try_cast(trim(value) AS FLOAT)").alias("score"),
-                      F.expr("try_cast(trim(value) AS FLOAT) IS NOT NULL").alias("parse_ok"))
+    from tandem.functions.text import is_blank, strip_text
+    kept = raw.filter(~is_blank("value") & ~strip_text("value").startswith("#"))
+    number = strip_text("value").try_cast("float")
+    return with_line_index(kept).select(F.col("line_id").alias("id"), number.alias("score"),
+                                        number.isNotNull().alias("parse_ok"))
 
 
 def score_parse_report(scores: DataFrame) -> DataFrame:
@@ -99,20 +109,25 @@ def score_parse_report(scores: DataFrame) -> DataFrame:
                       F.count_if(~F.col("parse_ok")).alias("n_unparsable"))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path's file system and its Hadoop path."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _hadoop(spark, path)
     return fs.exists(jpath)
 
 
 def write_if_absent(df: DataFrame, path: str) -> bool:
-    """Save unless the output exists; the plan is not executed when it
-    does (S4, S5).  Returns True when written."""
-    if path_exists(df.sparkSession, path):
+    """Save unless a complete output exists; the plan is not executed when it
+    does (S4, S5).  A folder without ``_SUCCESS`` is a broken write and is
+    written anew.  Returns True when written."""
+    if path_exists(df.sparkSession, f"{path}/_SUCCESS"):
         log.info("output exists at %s, skipping", path)
         return False
-    df.write.mode("ignore").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return True
 
 
@@ -123,12 +138,18 @@ def write_cleaned(df: DataFrame, path: str) -> bool:
 
 
 def write_final(df: DataFrame, path: str) -> None:
-    """Project ``translation`` and overwrite (S6).  ``path`` must not be an
-    input of ``df`` — write a new directory rather than overwrite a source."""
+    """Project ``translation`` and replace what is at ``path`` (S6).  The rows
+    are written beside it first and swapped in when complete, so ``path`` may
+    be an input of ``df`` and a failed job leaves the old table."""
     log.warning("overwriting %s", path)
     cols = ["translation"] if "translation" in df.columns else None
     out = df.select(*cols) if cols else to_translation(df).select("translation")
-    out.write.mode("overwrite").parquet(path)
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    out.write.parquet(new)
+    fs, target = _hadoop(df.sparkSession, path)
+    fs.delete(target, True)
+    if not fs.rename(_hadoop(df.sparkSession, new)[1], target):
+        raise OSError(f"could not move {new} to {path}")
 
 
 def scan_pairs(spark: SparkSession, path: str) -> DataFrame:

@@ -12,42 +12,55 @@ from pyspark.sql import functions as F
 
 from tandem.session import read_table
 
-# Pair ids: doc_id * PAIR_ID_STRIDE + k (k = 0-based pair index in the doc).
-PAIR_ID_STRIDE = 100_000
-# Scores: pair k of document d reads event ``d * SCORED_PER_DOC + k``; only
-# the first SCORED_PER_DOC pairs of a document have one (the others are
-# unscored, which the cleaner treats as failing the score test).
-SCORED_PER_DOC = 10
+# Scores: pair k of document d reads event ``(d * SCORE_STEP + k)`` modulo the
+# number of events, so every pair has one.
+SCORE_STEP = 10
 
 
 def pairs(spark: SparkSession, sf_dir: str, with_score: bool = True) -> DataFrame:
-    """Pair table ``id, en, vi[, score]`` over every document (FIXTURES B1).
-
-    All consecutive line pairs of every document (whole texts).  The score
-    comes from ``events`` by a left join; the events side is projected to two
-    columns and AQE broadcasts it only when its runtime size is below the
-    threshold, otherwise both sides shuffle.
+    """Pair table ``id, en, vi[, score]`` over every line of every document
+    (FIXTURES B1); after an odd number of lines the last one is paired with an
+    empty line.
+
+    Pair k of a document has the id ``doc_id * stride + k``, where ``stride``
+    is the largest number of pairs of any document (one aggregate, a scalar
+    subquery), so ids never collide.  The score comes from ``events`` by a left
+    join; the events side is projected to two columns and AQE broadcasts it
+    only when its runtime size is below the threshold, otherwise both sides
+    shuffle.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.split(F.col("text"), "\n")
-    n_pairs = F.floor(F.size(lines) / 2).cast("int")
+    n_pairs = F.ceil(F.size(lines) / 2).cast("int")
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n")))
+    stride = docs.agg(F.max(F.floor(breaks / 2) + 1).cast("long").alias("stride")).scalar()
+    events = read_table(spark, sf_dir, "events")
     p = (docs
          .select("doc_id", lines.alias("a"), n_pairs.alias("n"))
          .select("doc_id", "a", F.explode(
              F.when(F.col("n") >= 1, F.sequence(F.lit(0), F.col("n") - 1))).alias("k"))
-         .select((F.col("doc_id") * PAIR_ID_STRIDE + F.col("k")).cast("long").alias("id"),
+         .select((F.col("doc_id") * stride + F.col("k")).cast("long").alias("id"),
                  F.get(F.col("a"), 2 * F.col("k")).alias("en"),
-                 F.get(F.col("a"), 2 * F.col("k") + 1).alias("vi"),
-                 F.when(F.col("k") < SCORED_PER_DOC,
-                        F.col("doc_id") * SCORED_PER_DOC + F.col("k")).alias("score_key")))
+                 F.coalesce(F.get(F.col("a"), 2 * F.col("k") + 1), F.lit("")).alias("vi"),
+                 (F.col("doc_id") * SCORE_STEP + F.col("k")).alias("score_key")))
     if not with_score:
         return p.drop("score_key")
-    ev = (read_table(spark, sf_dir, "events")
-          .select(F.col("event_id").alias("score_key"),
-                  (F.col("value") / 50).cast("float").alias("score")))
+    n_events = events.agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("n")).scalar()
+    p = p.withColumn("score_key", F.pmod("score_key", n_events))
+    ev = events.select(F.col("event_id").alias("score_key"),
+                       (F.col("value") / 50).cast("float").alias("score"))
     return p.join(ev, "score_key", "left").drop("score_key")
 
 
+def sentences(pairs_: DataFrame) -> DataFrame:
+    """Both sides of every pair as rows ``sent_id, lang, sentence``
+    (``sent_id`` = 2 * id for en, one more for vi)."""
+    return pairs_.select(F.explode(F.array(
+        F.struct((F.col("id") * 2).alias("sent_id"), F.lit("en").alias("lang"), F.col("en").alias("sentence")),
+        F.struct((F.col("id") * 2 + 1).alias("sent_id"), F.lit("vi").alias("lang"), F.col("vi").alias("sentence")),
+    )).alias("s")).select("s.*")
+
+
 def as_translation(df: DataFrame, keep=("id",)) -> DataFrame:
     """Typed pair table: ``id BIGINT, translation STRUCT<en, vi>`` (S3)."""
     return df.select(*[F.col(k) for k in keep],
@@ -87,13 +100,3 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logit rows ``vec_id, logits ARRAY<DOUBLE>, label`` (FIXTURES B5)."""
     e = read_table(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.col("embedding").cast("array<double>").alias("logits"), "label")
-
-
-def dialog_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turn followed by the assistant turn ``turn+1`` (FIXTURES B6)."""
-    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("en"))
-    a = c.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("vi"))
-    return (u.join(a, ["conv_id", "turn"], "inner")
-            .select((F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("id"), "en", "vi"))

@@ -3,7 +3,7 @@ early stopping (ST1-ST4).
 
 Sources are file streams (Parquet) with explicit schemas; sinks are Parquet
 with checkpoint locations in the shared checkpoint folder, so a restarted
-query resumes exactly once.  ``trigger(availableNow=True)`` processes what
+query resumes where it stopped; batch functions replace their own output.  ``trigger(availableNow=True)`` processes what
 has arrived and stops, which makes batch ≡ stream testable.
 """
 
@@ -67,17 +67,18 @@ def stream_funnel(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
 def stream_translate(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                      schema, encode_fn, decode_fn) -> None:
     """Continuous translation of arriving requests (ST3): blank / control
-    requests dropped, each micro-batch encoded and decoded, elapsed time per
-    batch recorded."""
+    dropped, each micro-batch encoded and decoded.  A batch is written to its
+    own folder ``batch=<id>``, replacing it, so a replay after a failure leaves
+    no duplicates; the elapsed seconds of each batch go to ``<sink>.times``."""
     from tandem.operators.decode import requests_from_text
     src = requests_from_text(spark.readStream.schema(schema).parquet(source_dir), "text")
 
     def handle(batch: DataFrame, epoch: int) -> None:
         import time
         t0 = time.time()
-        out = decode_fn(encode_fn(batch))
-        out = out.withColumn("batch", F.lit(epoch)).withColumn("batch_started", F.lit(t0))
-        out.write.mode("append").parquet(sink_dir)
+        decode_fn(encode_fn(batch)).write.mode("overwrite").parquet(f"{sink_dir}/batch={epoch}")
+        batch.sparkSession.createDataFrame([(epoch, time.time() - t0)], "batch long, seconds double") \
+             .coalesce(1).write.mode("overwrite").parquet(f"{sink_dir}.times/batch={epoch}")
 
     q = (src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -85,7 +86,7 @@ def stream_translate(spark: SparkSession, source_dir: str, sink_dir: str, checkp
 
 
 EARLY_STOP_OUT = ("run string, epoch int, val_loss double, best double, counter int, "
-                  "improved boolean, should_stop boolean")
+                  "improved boolean, checkpoint boolean, should_stop boolean")
 EARLY_STOP_STATE = "best double, counter int, stopped boolean, last_epoch int"
 
 
@@ -110,23 +111,24 @@ def _early_stop_fn(patience: int, min_delta: float):
                 counter += 1
             stopped = counter >= patience
             last = ep
-            out.append((run, ep, float(v), best, counter, improved, stopped))
+            out.append((run, ep, float(v), best, counter, improved, bool(v == best), stopped))
         state.update((best, counter, stopped, last))
-        cols = ["run", "epoch", "val_loss", "best", "counter", "improved", "should_stop"]
+        cols = ["run", "epoch", "val_loss", "best", "counter", "improved", "checkpoint", "should_stop"]
         yield pd.DataFrame(out, columns=cols)
     return fn
 
 
 def stream_early_stop(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                       schema, patience: int = PATIENCE, min_delta: float = MIN_DELTA,
-                      files_per_trigger: int | None = None, state_partitions: int = 8) -> None:
+                      files_per_trigger: int | None = None, state_partitions: int | None = None) -> None:
     """Early stopping as per-run state over an arriving metrics stream
     (ST4): ``applyInPandasWithState`` keyed by run; every processed epoch
     is appended with the state after it.
 
-    ``state_partitions`` sizes the state store to the number of runs; it is
-    fixed in the query checkpoint at the first start (Spark takes it from
-    ``spark.sql.shuffle.partitions``, set only while the query starts)."""
+    ``state_partitions`` sizes the state store (the session's shuffle
+    partitions by default); it is fixed in the query checkpoint at the first
+    start (Spark takes it from ``spark.sql.shuffle.partitions``, set only while
+    the query starts)."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -135,7 +137,7 @@ def stream_early_stop(spark: SparkSession, source_dir: str, sink_dir: str, check
         _early_stop_fn(patience, min_delta), EARLY_STOP_OUT, EARLY_STOP_STATE, "append",
         GroupStateTimeout.NoTimeout)
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or old))
     try:
         q = (out.writeStream.format("parquet").option("path", sink_dir)
              .option("checkpointLocation", checkpoint).outputMode("append")
@@ -150,4 +152,4 @@ def early_stop_summary(log: DataFrame) -> DataFrame:
     return log.groupBy("run").agg(
         F.min(F.when(F.col("should_stop"), F.col("epoch"))).alias("stop_epoch"),
         F.max_by("best", "epoch").alias("best_loss"),
-        F.array_sort(F.collect_list(F.when(F.col("improved"), F.col("epoch")))).alias("checkpoint_epochs"))
+        F.array_sort(F.collect_list(F.when(F.col("checkpoint"), F.col("epoch")))).alias("checkpoint_epochs"))

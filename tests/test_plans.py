@@ -35,9 +35,61 @@ def test_no_single_partition_window_in_headline_queries(spark):
            V.word_counts(V.stack_languages(FX.pairs(spark, SF, with_score=False))),
            corpus_bleu(pred_ref(spark, SF))]
     for df in dfs:
-        plan = _plan(df)
-        assert "Window [" not in plan or "partitionBy" in plan  # no unpartitioned window
-        assert "SinglePartition" not in plan or "HashAggregate(keys=[]" in plan  # only final global aggs
+        assert _lonely_windows(df) == []
+
+
+def _walk(df) -> list:
+    """Nodes of the physical plan, as planned before AQE runs."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            todo.append(p.inputPlan())
+            continue
+        out.append(p)
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def _nodes(df) -> list:
+    return [(p.nodeName(), p.simpleString(2000)) for p in _walk(df)]
+
+
+def _lonely_windows(df) -> list:
+    return [p.nodeName() for p in _walk(df) if p.nodeName() == "Window" and p.partitionSpec().isEmpty()]
+
+
+def test_lonely_windows_are_found(spark):
+    from pyspark.sql import Window
+    df = spark.range(10)
+    bad = df.withColumn("r", F.row_number().over(Window.orderBy("id")))
+    good = df.withColumn("r", F.row_number().over(Window.partitionBy(F.col("id") % 2).orderBy("id")))
+    assert len(_lonely_windows(bad)) == 1 and _lonely_windows(good) == []
+
+
+def test_encoding_scans_once_and_batches_do_not_shuffle_by_split(spark):
+    from tandem.operators import batching as B
+    from tandem.operators import encode as E
+    vocab = spark.createDataFrame([("a", 4)], "token string, id int").checkpoint()
+    p = FX.splits(FX.pairs(spark, SF, with_score=False)).withColumnsRenamed({"en": "src", "vi": "tgt"})
+    enc = E.word_vocab_encode_pairs(p, vocab)
+    assert sum("documents" in t for n, t in _nodes(enc) if n.startswith("Scan")) == 1
+    rows = B.batch_assign(enc)
+    keyed = [t for n, t in _nodes(rows) if n == "Exchange" and t.startswith("Exchange hashpartitioning(split")]
+    assert all("functions=" in t for t in keyed)
+
+
+def test_word_counts_scans_once(spark):
+    wc = V.word_counts(V.stack_languages(FX.pairs(spark, SF, with_score=False)))
+    assert sum(n.startswith("Scan parquet") for n, _ in _nodes(wc)) == 1
+
+
+def test_bpe_encoding_does_not_shuffle(spark):
+    from tandem.operators import encode as E
+    s = FX.sentences(FX.pairs(spark, SF, with_score=False))
+    enc = E.bpe_encode(spark, s, "sent_id", "sentence", "ids", ["[PAD]", "[UNK]", "[SOS]", "[EOS]", "a"], [])
+    assert not [n for n, _ in _nodes(enc) if n == "Exchange"]
 
 
 def test_result_independent_of_shuffle_partitions(spark):

@@ -127,7 +127,13 @@ def test_early_stop_latches(spark):
     vals = [5, 4, 4, 4, 4, 4, 4, 3]
     df = spark.createDataFrame([("r", i, float(v)) for i, v in enumerate(vals)], "run string, epoch int, val_loss double")
     s = R.early_stop_state(df).first()
-    assert s.stop_epoch == 6 and s.best_loss == 4.0 and s.checkpoint_epochs == [0, 1]
+    assert s.stop_epoch == 6 and s.best_loss == 4.0 and s.checkpoint_epochs == [0, 1, 2, 3, 4, 5, 6]
+
+
+def test_checkpoints_at_ties_only(spark):
+    vals = [5.0, 4.0, 4.0, 4.0, 4.5]
+    df = spark.createDataFrame([("r", i, v) for i, v in enumerate(vals)], "run string, epoch int, val_loss double")
+    assert R.early_stop_state(df).first().checkpoint_epochs == [0, 1, 2, 3]
 
 
 def test_greedy_decode_never_eos():
@@ -143,10 +149,80 @@ def test_lr_schedule(spark):
 
 
 def test_sample_windows_are_valid_windows(spark):
-    df = spark.createDataFrame([(1, "Hello darkness my old friend"), (2, "a b c")], "doc_id long, text string")
+    texts = {1: "rain fell on the long grey road all day", 2: "two words", 3: "one two three four", 4: None}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     rows = B.sample_windows(df, "doc_id", "text", 3, 2, seed=0).collect()
-    words = "Hello darkness my old friend".split(" ")
-    assert len(rows) == 2 and all(r.doc_id == 1 for r in rows)
+    assert sorted(r.doc_id for r in rows) == [1, 1, 3, 3]
     for r in rows:
+        words = texts[r.doc_id].split(" ")
         assert 0 <= r.i < len(words) - 3
         assert r.x == words[r.i:r.i + 3] and r.y == words[r.i + 1:r.i + 4]
+
+
+def test_row_at_past_the_end_and_null_order(spark):
+    from tandem.operators.profile import bounded_top_n, row_at
+    df = spark.range(10)
+    assert [r.id for r in row_at(df, 3).collect()] == [3] and row_at(df, 50).count() == 0
+    v = spark.range(1000).select(F.when(F.col("id") % 100 == 0, None).otherwise(F.col("id")).alias("v"), "id")
+    for n in (5, 20, 400):  # the sketch and the plain branch treat NULL alike
+        top = [r.v for r in bounded_top_n(v, "v", n, "id").collect()]
+        assert top.count(None) == min(n, 10)
+
+
+def test_sampling_does_not_depend_on_partitions(spark):
+    from tandem.operators.profile import sample_inspect, sample_n
+    df = spark.range(500).select("id", F.col("id").alias("row_idx"))
+    picks = [sorted((r.draw, r.row_idx) for r in sample_inspect(df.repartition(n), 5, 7).collect()) for n in (1, 4, 5)]
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) == 5
+    some = [sorted(r.id for r in sample_n(df.repartition(n), 20).collect()) for n in (1, 6)]
+    assert some[0] == some[1] and len(some[0]) == 20
+
+
+def test_files_in_numeric_order(spark):
+    d = tempfile.mkdtemp(prefix="tandem-order-")
+    for n in ("part-100000.txt", "part-10001.txt", "part-9.txt"):
+        _write(os.path.join(d, n), f"{n}\n".encode())
+    rows = A.read_lines(spark, d).orderBy("line_id").collect()
+    assert [r.value for r in rows] == ["part-9.txt", "part-10001.txt", "part-100000.txt"]
+
+
+def test_merges_round_trip_and_broken_folder(spark):
+    root = tempfile.mkdtemp(prefix="tandem-tok-")
+    m = V.BpeModel(vocab=["[PAD]", "[UNK]", "[SOS]", "[EOS]", "a", "b", "ab"], merges=[("a", "b")])
+    A.save_vocab(m.vocab_df(spark), m.merges_df(spark), root)
+    assert A.load_vocab(spark, root).count() == 7
+    assert [(r.rank, r.left, r.right) for r in A.load_merges(spark, root).collect()] == [(0, "a", "b")]
+    half = os.path.join(root, "half")
+    os.makedirs(half)  # a folder without _SUCCESS is written anew
+    p = spark.createDataFrame([(1, "x", "y")], "id long, en string, vi string")
+    assert A.write_cleaned(p, half) and not A.write_cleaned(p, half)
+
+
+def test_decoding_reads_the_source_and_reports_errors(spark):
+    from tandem.operators import decode as D
+    pairs = spark.createDataFrame([(1, [7, 8], [2, 17, 18, 3]), (2, [7, 9], [2, 17, 19, 3]), (3, [], [2, 3])],
+                                  "id long, src_ids array<int>, tgt_ids array<int>")
+    table = D.lexical_table(pairs)
+    assert {(r.src, r.next) for r in table.collect()} == {(7, 17), (8, 18), (9, 19)}
+    new = spark.createDataFrame([(1, [8, 7, 99]), (2, []), (3, [7] * 150)], "id long, src_ids array<int>")
+    got = {r.id: r.pred_ids for r in D.lexical_decode(spark, new, table).collect()}
+    assert got[1] == [2, 18, 17, 1, 3] and got[2] == [2, 3] and got[3] == [2] + [17] * 149
+
+    def raising(src, prefix):
+        if 99 in list(src):
+            raise ValueError("no such id")
+        return 3
+
+    rows = {r.id: (r.pred_ids, r.error) for r in D.greedy_decode(spark, new, lambda: raising).collect()}
+    assert rows[1] == ([], "ValueError: no such id") and rows[2] == ([2, 3], None)
+
+
+def test_pair_encoding_keeps_specials_and_empty_sides(spark):
+    from tandem.operators import encode as E
+    vocab = spark.createDataFrame([("[PAD]", 0), ("[UNK]", 1), ("[SOS]", 2), ("[EOS]", 3), ("a", 4), (".", 5)],
+                                  "token string, id int")
+    p = spark.createDataFrame([(1, "train", "A. zz [SOS] [sos]", None), (2, "test", "", "a")],
+                              "id long, split string, src string, tgt string")
+    got = {r.id: r for r in E.word_vocab_encode_pairs(p, vocab).collect()}
+    assert got[1].src_ids == [4, 5, 1, 2, 1, 1, 1] and got[1].tgt_ids == [2, 3] and got[1].split == "train"
+    assert got[2].src_ids == [] and got[2].tgt_ids == [2, 4, 3]

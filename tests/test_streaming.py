@@ -25,7 +25,7 @@ def test_stream_clean_equals_batch(spark):
     SP.stream_clean_pairs(spark, src, sink, ck, p.schema, files_per_trigger=1)
     got = {r.id for r in spark.read.parquet(sink).collect()}
     want = {r.id for r in C.clean_pairs(p).collect()}
-    assert got == want and len(got) == 40
+    assert got == want and len(got) == 97
 
 
 def test_stream_early_stop_ignores_late_epochs(spark):
@@ -40,6 +40,16 @@ def test_stream_early_stop_ignores_late_epochs(spark):
     SP.stream_early_stop(spark, src, sink, ck, spark.createDataFrame([], schema).schema, files_per_trigger=1)
     log = spark.read.parquet(sink)
     s = SP.early_stop_summary(log).first()
-    assert s.stop_epoch == 6 and s.best_loss == 4.0 and s.checkpoint_epochs == [0, 1]
+    assert s.stop_epoch == 6 and s.best_loss == 4.0 and s.checkpoint_epochs == [0, 1, 2, 3, 4, 5, 6]
     # latched: epoch 7 (after the stop) is not processed
     assert log.filter(F.col("epoch") == 7).count() == 0
+
+
+def test_stream_translate_replaces_a_replayed_batch(spark):
+    src, sink, ck = _dirs()
+    spark.createDataFrame([(1, "hello"), (2, "  "), (3, "exit")], "id long, text string").coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    for k in ("a", "b"):  # the second run has lost its checkpoint and sees batch 0 again
+        SP.stream_translate(spark, src, sink, ck + k, schema, lambda b: b, lambda e: e.select("id", "request"))
+    assert [(r.id, r.request) for r in spark.read.parquet(sink).collect()] == [(1, "hello")]
+    assert spark.read.parquet(sink + ".times").filter("seconds >= 0").count() == 1

@@ -1,8 +1,6 @@
 """Golden semantics cases (tiny inline tables) for text functions and the
 cleaning predicates."""
 
-import math
-
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -89,12 +87,36 @@ def test_variants_agree_sf001(spark):
     b = {r.id for r in C.clean_pairs_masked(p).collect()}
     c = {r.id for r in C.clean_pairs_sequential(FX.pairs(spark, "/root/testdata/sf0.001", with_score=False),
                                                 p.select("id", "score")).collect()}
-    assert a == b == c and len(a) == 40
+    assert a == b == c and len(a) == 97
 
 
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.count() == 40
+    assert df.count() == 97
     assert df.columns == ["id", "en", "vi"]
-    assert not math.isnan(0.0)
+
+
+def test_no_per_document_cap(spark):
+    """Pairs beyond the tenth of a document have a score and can be kept, ids
+    never collide, and an odd last line is paired with an empty one."""
+    from tandem.sources import fixtures as FX
+    from tandem.session import read_table
+    sf = "/root/testdata/sf0.001"
+    p = FX.pairs(spark, sf)
+    docs = read_table(spark, sf, "documents").toPandas()
+    lines = [t.split("\n") for t in docs.text]
+    assert p.count() == sum((len(a) + 1) // 2 for a in lines) == p.select("id").distinct().count()
+    assert p.filter("score is null").count() == 0
+    stride = max((len(a) + 1) // 2 for a in lines)
+    kept = [r.id % stride for r in C.clean_pairs(p).collect()]
+    assert sum(k >= 10 for k in kept) == 15
+    got = [r.sentence for r in FX.sentences(p).select("sentence").collect()]
+    assert sorted(x for x in got if x) == sorted(x for a in lines for x in a if x)
+
+
+def test_short_score_file_drops_unscored(spark):
+    """Pairs without a score (a short score file) are kept out, not raised."""
+    p = spark.createDataFrame([(0, "a b c", "a b c"), (1, "a b c", "a b c")], "id long, en string, vi string")
+    s = spark.createDataFrame([(0, 2.0)], "id long, score float")
+    assert [r.id for r in C.clean_pairs(C.attach_scores(p, s)).collect()] == [0]
