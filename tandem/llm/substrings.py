@@ -161,7 +161,8 @@ def _route(buckets: int):
             d, a, n, anchor, content, _ = segments(h, doc)
             ids, tk = _ids(part)
             rec = np.empty(len(d), _REC)
-            rec["anchor"], rec["content"] = (anchor >> _U(32)).astype(np.uint32), content ^ (anchor << _U(32))
+            # anchors are minima, so small: mixed again they spread evenly over the buckets
+            rec["anchor"], rec["content"] = (_mix(anchor) >> _U(32)).astype(np.uint32), content ^ (anchor << _U(32))
             rec["doc"], rec["tk"], rec["a"], rec["m"] = ids[d], tk[d], a, n
             if len(rec):
                 held.append(rec)
