@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tandem.llm.common import LOWER_CODE, NOT_WORD, documents, join_small, python_ready, steps, words, written
 from tandem.session import read_table
 
+#: Words of a passage, and of the blocks of which two neighbours make one.
 PASSAGE, HOP = 64, 32
 RANK, OVERSAMPLE, SEED = 256, 16, 5
 COSINE, COMMON = 0.4, 0.05
@@ -141,22 +142,19 @@ def _hits(batches):
             at = to
 
 
-def _passages(doc, pos, term, overlap: bool):
-    """Distinct (passage row, term) entries in order of passage: row of each
-    entry, term, count, and the document and number of each row."""
-    q = pos // HOP if overlap else pos // PASSAGE
-    if overlap:
-        doc, q, term = np.r_[doc, doc[q > 0]], np.r_[q, q[q > 0] - 1], np.r_[term, term[q > 0]]
-    key = (doc.astype(np.int64) << 31) | q
+def _counted(doc, pos, term, width: int):
+    """Distinct (block, term) entries in order of block, for blocks of ``width``
+    words: row of each entry, term, count, and the rows' keys (document, number)."""
+    key = (doc.astype(np.int64) << 31) | (pos // width)
     rows, row = np.unique(key, return_inverse=True)
-    width = int(term.max(initial=0)) + 1
-    e, tf = np.unique(row.astype(np.int64) * width + term, return_counts=True)
-    return e // width, e % width, tf, rows >> 31, rows & ((1 << 31) - 1)
+    terms = int(term.max(initial=0)) + 1
+    e, tf = np.unique(row.astype(np.int64) * terms + term, return_counts=True)
+    return e // terms, e % terms, tf, rows
 
 
 def _weights(row, term, tf, idf):
     """TF-IDF weights of entries in order of row, each row of length one."""
-    w = (1 + np.log(tf)) * idf[term]
+    w = tf * idf[term]
     norm = np.sqrt(np.bincount(row, w * w))
     return (w / norm[row]).astype(np.float32)
 
@@ -167,7 +165,7 @@ def _document_frequency(batches):
     for b, doc, pos, term in _hits(batches):
         total["n"] = total.get("n", 0) + int(np.sum(np.maximum(1, -(-b.column("n_words").to_numpy() // PASSAGE))))
         if len(term):
-            _, t, _, _, _ = _passages(doc, pos, term, False)
+            _, t, _, _ = _counted(doc, pos, term, PASSAGE)
             one = np.bincount(t, minlength=len(df))
             one[:len(df)] += df
             df = one
@@ -191,9 +189,9 @@ def _gram_product(sent):
             doc, pos, term = _useful(doc, pos, term, idf)
             if not len(term):
                 continue
-            row, t, tf, row_doc, _ = _passages(doc, pos, term, False)
+            row, t, tf, keys = _counted(doc, pos, term, PASSAGE)
             w = _weights(row, t, tf, idf)
-            rows += len(row_doc)
+            rows += len(keys)
             first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
             y = np.add.reduceat(w[:, None] * q[t], first)
             order = np.argsort(t, kind="stable")
@@ -261,10 +259,29 @@ def _project(row_count, row, t, w, v):
     x = np.zeros((row_count, v.shape[1]), np.float32)
     if len(row):
         x[row[first]] = np.add.reduceat(w[:, None] * v[t], first)
+    return x
+
+
+def _unit(x):
     n = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(n > 0, n, 1)
 
 
+def _overlapping(doc, pos, term, idf, v):
+    """Latent unit vectors of the overlapping passages: each is the sum of two
+    neighbouring blocks of HOP words, projected once; (vectors, document,
+    number of the first block)."""
+    row, t, tf, keys = _counted(doc, pos, term, HOP)
+    x = _project(len(keys) + 1, row, t, (tf * idf[t]).astype(np.float32), v)  # the last row stays zero
+    own = np.unique(np.r_[keys, keys[keys & ((1 << 31) - 1) > 0] - 1])
+
+    def block(k):
+        at = np.minimum(np.searchsorted(keys, k), max(0, len(keys) - 1))
+        return np.where(keys[at] == k, at, len(keys)) if len(keys) else np.zeros(0, np.int64)
+
+    return _unit(x[block(own)] + x[block(own + 1)]), own >> 31, own & ((1 << 31) - 1)
+
+
 def _sequences(items: Items, doc, pos, term):
     """(document, item, first word) of short items whose words stand in a row."""
     for n, some in items.short.items():
@@ -289,9 +306,8 @@ def _search(sent):
                 new = (1.0, 1.0, -at)
                 best[d, i] = max(best.get((d, i), new), new)
             bound = np.searchsorted(doc, np.arange(len(b) + 1))
-            row, t, tf, row_doc, row_q = _passages(*_useful(doc, pos, term, idf), True)
-            w = _weights(row, t, tf, idf)
-            cos = (_project(len(row_doc), row, t, w, v) @ latent.T) * items.long
+            x, row_doc, row_q = _overlapping(*_useful(doc, pos, term, idf), idf, v)
+            cos = (x @ latent.T) * items.long
             for p, i in zip(*np.nonzero(cos >= COSINE), strict=True):
                 d, n = int(row_doc[p]), len(items.seq[i])
                 lo, hi = int(row_q[p]) * HOP - n, int(row_q[p]) * HOP + PASSAGE + n
@@ -338,7 +354,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             hits = written(hits, "hits")
             idf = term_weights(hits, items)
             v = latent_space(hits, items, idf).astype(np.float32)
-            latent = _project(len(items), *items.vectors(idf), v)
+            latent = _unit(_project(len(items), *items.vectors(idf), v))
             sent = spark.sparkContext.broadcast((items, idf, v, latent))
             out = out.union(hits.where(F.size("term") > 0).mapInArrow(_search(sent), schema))
         if len(rows) < block:
