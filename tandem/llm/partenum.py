@@ -13,7 +13,8 @@ necessary for similarity; candidates are then verified exactly.
 Equal sets are collapsed before any pair is formed.  Signatures go through one
 exchange, keyed by signature, without text.  A signature group is compared
 with one pivot (its member with the most shared signatures), members of a
-pivot being dealt over several tasks, and components are formed.  Signature
+pivot being dealt over several tasks, and components are formed (pairs whose sizes, or whose counts in CELLS parts of the
+domain, rule the similarity out are dropped before any text moves).  Signature
 groups that still lie in several components are put together to candidate
 groups; each is cut into tiles, and a task compares all sets of two tiles by
 matrix products over their shared shingles.  It returns the local components,
@@ -41,6 +42,8 @@ from tandem.llm.common import (BYTE_CODE, LOWER_CODE, SPACE, _components, _mix,
 
 #: Members compared with one copy of a pivot's text, and sets in a tile.
 PER_PIVOT, TILE = 256, 256
+#: Cells of the counts that bound a pair's difference from below.
+CELLS = 256
 #: Shingles of one matrix product.
 COLUMNS = 4096
 N2, K2 = 2, 1
@@ -135,13 +138,42 @@ def signatures(g, bound, num: int, den: int, n2: int = N2, k2: int = K2):
     return np.concatenate(docs), np.concatenate(sigs)
 
 
+def cell_counts(g, bound) -> np.ndarray:
+    """Each set's number of elements in CELLS parts of the domain, 255 at most."""
+    n = len(bound) - 1
+    owner = np.repeat(np.arange(n), np.diff(bound))
+    cell = (_mix(g + _U(0x60BEE2BEE120FC15)) % _U(CELLS)).astype(np.int64)
+    return np.minimum(np.bincount(owner * CELLS + cell, minlength=n * CELLS), 255).astype(np.uint8).reshape(n, CELLS)
+
+
 def _scan_sets(k):
     def run(batches):
         for part, data, offs in steps(batches):
             g, bound = shingle_sets(data, offs, k)
             sid = set_ids(g, bound)
+            cells = pa.array([row.tobytes() for row in cell_counts(g, bound)], pa.binary())
             yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(bound)),
-                                   pa.array(sid.view(np.int64), mask=sid == 0)], ["doc_id", "n_shingles", "sid"])
+                                   pa.array(sid.view(np.int64), mask=sid == 0), cells],
+                                  ["doc_id", "n_shingles", "sid", "cells"])
+    return run
+
+
+def _possible(num, den):
+    """Pairs whose sizes and cell counts allow the similarity: the symmetric
+    difference is at least the sum of the cells' differences."""
+    def run(batches):
+        for b in batches:
+            for s in range(0, len(b), 4096):
+                part = b.slice(s, 4096)
+                if not len(part):
+                    continue
+                na, nb = (part.column(c).to_numpy() for c in ("na", "nb"))
+                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+                        for c in ("xa", "xb"))
+                apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+                ok = (den + num) * apart <= (den - num) * (na + nb)
+                ok &= den * np.minimum(na, nb) >= num * np.maximum(na, nb)
+                yield part.select(["a", "b"]).filter(pa.array(ok))
     return run
 
 
@@ -242,11 +274,53 @@ def _compare_tiles(k, num, den):
     return run
 
 
+def _possible_groups(num, den, block: int = 256):
+    """Rows in order of sig: for every signature group, the local components of
+    the pairs that sizes and cell counts allow."""
+    def run(batches):
+        key, ids, size, cells = None, [], [], []
+
+        def close():
+            x = np.frombuffer(b"".join(cells), np.uint8).reshape(-1, CELLS).astype(np.int16)
+            n, pairs = np.array(size, np.int64), ([], [])
+            for s in range(0, len(n), block):
+                for t in range(s, len(n), block):
+                    a, b = x[s:s + block], x[t:t + block]
+                    apart = np.stack([np.abs(b - row).sum(axis=1, dtype=np.int64) for row in a])
+                    ok = (den + num) * apart <= (den - num) * (n[s:s + block, None] + n[None, t:t + block])
+                    i, j = np.nonzero(np.triu(ok, 1) if s == t else ok)
+                    pairs[0].append(i + s)
+                    pairs[1].append(j + t)
+            i, j = (np.concatenate(p) for p in pairs)
+            low = _components(len(n), i, j)
+            sid = np.array(ids, np.int64)
+            hit = low != np.arange(len(n))
+            return sid[hit], sid[low[hit]]
+
+        out = [], []
+        for b in batches:
+            for sig, sid, n, c in zip(*(b.column(x).to_pylist() for x in ("sig", "sid", "n_shingles", "cells")), strict=True):
+                if sig != key:
+                    if len(ids) > 1:
+                        for o, v in zip(out, close(), strict=True):
+                            o.append(v)
+                    key, ids, size, cells = sig, [], [], []
+                ids.append(sid)
+                size.append(n)
+                cells.append(c)
+            if out[0]:
+                yield pa.record_batch([pa.array(np.concatenate(o)) for o in out], ["a", "b"])
+                out = [], []
+        if len(ids) > 1:
+            yield pa.record_batch([pa.array(v) for v in close()], ["a", "b"])
+    return run
+
+
 def _links_in_groups(docs, held, reps, k, num, den) -> DataFrame:
     """Links among the sets of signature groups ``held`` (sig, sid), as local
-    components of the candidate groups that those form."""
-    star = held.groupBy("sig").agg(F.min("sid").alias("a"))
-    edges = held.join(star, "sig").select("a", F.col("sid").alias("b"))
+    components of the candidate groups that their possible pairs form."""
+    rows = held.join(reps.select("sid", "n_shingles", "cells"), "sid").repartition("sig").sortWithinPartitions("sig")
+    edges = rows.select("sig", "sid", "n_shingles", "cells").mapInArrow(_possible_groups(num, den), "a long, b long")
     group = written(connected_components(edges).toDF("sid", "grp"), "groups")
     size = group.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     entry = join_small(group, size, ["grp"]).withColumn(
@@ -261,6 +335,10 @@ def _links_in_groups(docs, held, reps, k, num, den) -> DataFrame:
 
 def _verified(docs, pairs, reps, k, num, den) -> DataFrame:
     """The pairs (a, b) of set ids whose similarity reaches num/den."""
+    side = reps.select("sid", "n_shingles", "cells")
+    pairs = pairs.join(side.toDF("a", "na", "xa"), "a").join(side.toDF("b", "nb", "xb"), "b") \
+                 .mapInArrow(_possible(num, den), "a long, b long")
+    pairs = written(pairs, "possible")
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_PIVOT).cast("int").alias("parts"))
     p = join_small(pairs, many, ["a"]).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     rows = p.select(F.col("b").alias("sid"), "a", "salt").union(
@@ -276,8 +354,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
     """doc_id, n_shingles, component_id: documents whose word k-gram sets have
     Jaccard similarity num/den or more are linked."""
     docs = python_ready(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
-    sets = written(docs.mapInArrow(_scan_sets(k), "doc_id long, n_shingles long, sid long"), "sets")
-    reps = written(sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "reps")
+    sets = written(docs.mapInArrow(_scan_sets(k), "doc_id long, n_shingles long, sid long, cells binary"), "sets")
+    reps = written(sets.where("sid is not null").groupBy("sid").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("cells").alias("cells")), "reps")
     signed = docs.select("text").mapInArrow(_scan_signatures(k, num, den, n2, k2), "sig long, sid long")
     by_sig = signed.repartition("sig").dropDuplicates(["sig", "sid"])
     by_sig = by_sig.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("n > 1")
@@ -286,7 +365,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
     member = written(member.join(weight, "sid"), "weighted")
     pivot = member.groupBy("sig").agg(F.max(F.struct("w", "sid"))["sid"].alias("a"))
     pairs = member.join(pivot, "sig").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
-    pairs = written(pairs, "pairs")
     links = _verified(docs, pairs, reps, k, num, den)
     # what the pivots did not connect: signatures of several components
     comp = connected_components(links).toDF("sid", "c")
