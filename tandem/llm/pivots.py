@@ -1,11 +1,13 @@
 """Embedding near-dedup by a pivot-permutation index (operator 4).
 
 A vector is described by the order of its nearest reference points (pivots).
-The pivots are a seeded hash sample of the table, PIVOTS at most: the only
-bounded part, and it is broadcast.  The inverted pivot lists are keyed by
-unordered triples of a vector's first NEAREST pivots, so that two vectors meet
-in a list exactly when they share at least three of those pivots (the
-shared-pivot count); every vector is indexed.  Whatever meets is verified by
+The pivots are a seeded hash sample of the table (CANDIDATES rows for each of
+the PIVOTS kept), the only bounded part, and they are broadcast; one that is
+within DISTINCT of an earlier one is passed over, as the order among pivots of
+one dense group would be chance.  The inverted pivot lists are keyed by
+unordered sets of SHARED of a vector's first NEAREST pivots, so that two
+vectors meet in a list exactly when they share at least that many of those
+pivots (the shared-pivot count); every vector is indexed.  Whatever meets is verified by
 cosine in double precision inside the list.
 
 Equal vectors are collapsed to one class first.  A list is cut into tiles, and
@@ -33,12 +35,23 @@ from pyspark.sql import functions as F
 from tandem.llm.common import _components, connected_components, python_ready, written
 from tandem.session import read_table
 
-PIVOTS = 1024
+PIVOTS, CANDIDATES, DISTINCT = 512, 4, 0.9
 NEAREST = 6
-SHARED = 3
+SHARED = 2
 TILE = 512
 
 
+def _distinct(p: np.ndarray, most: int) -> np.ndarray:
+    """The first ``most`` rows that are not within DISTINCT of an earlier one."""
+    near = p @ p.T >= DISTINCT
+    free, kept = np.ones(len(p), bool), []
+    for i in range(len(p)):
+        if free[i] and len(kept) < most:
+            kept.append(i)
+            free &= ~near[i]
+    return p[kept]
+
+
 def _describe(pivots: np.ndarray, nearest: int, shared: int):
     combos = np.array(list(combinations(range(min(nearest, len(pivots))), min(shared, len(pivots)))))
 
@@ -115,10 +128,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     if size is None:
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                         F.lit(True).alias("kept"))
-    picked = classes.where(F.size("v") == size["dim"]).orderBy(F.md5(F.col("digest"))).limit(pivots)
+    picked = classes.where(F.size("v") == size["dim"]).orderBy(F.md5(F.col("digest"))).limit(pivots * CANDIDATES)
     p = np.array([r["v"] for r in picked.select("v").collect()], np.float64)
     p /= np.abs(p).max(axis=1, keepdims=True)
     p /= np.linalg.norm(p, axis=1, keepdims=True)
+    p = _distinct(p, pivots)
     shared_pivots = spark.sparkContext.broadcast(p)
 
     def describe(batches):

@@ -277,6 +277,12 @@ def test_vectors(spark):
     assert sum(n for n, _, _ in got.values()) >= 0.9 * links
     assert all(got[i][0] <= want[i][0] for i in got)
     assert all(got[i] == want[i] for i in range(900, 906)) and got[529][0] >= 29
+    # most vectors in one dense group, from which most of the sample comes
+    dense = [(i, (centre[0] + rng.standard_normal(16) * 0.09).astype("f4").tolist(), 1) for i in range(300)]
+    both = spark.createDataFrame(dense + [(1000 + r[0], r[1], 1) for r in rows[:100]], df.schema)
+    want = brute_vectors([(r.vec_id, r.embedding) for r in both.collect()])
+    got = {r.vec_id: r.n_links for r in pivots.near_vectors(both, pivots=32, tile=64).collect()}
+    assert sum(got.values()) >= 0.95 * sum(n for n, _, _ in want.values())
     assert pivots.near_vectors(df.limit(0)).count() == 0
     assert pivots.near_vectors(df.where("vec_id > 900 and vec_id < 904")).count() == 3
 
