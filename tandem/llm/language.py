@@ -4,11 +4,15 @@ Training counts every character ORDER-gram of every training text, per
 language, in vectorised tasks (partial counts per task step, then a shuffle by
 n-gram).  The lower orders' continuation counts, the context totals and the
 interpolated probabilities follow from that table by grouping and joining.
-Probabilities of all n-grams of all languages are stored as sorted hash arrays,
-one for each order, with one column for each language, so that a character of
-text costs one binary search; n-grams below 2**-FLOOR_BITS of a language's
-count are left out, which bounds an array by 2**FLOOR_BITS entries a language
-at every input size.  Unseen n-grams back off with the context's weight.
+Probabilities of all n-grams of all languages are looked up in sorted hash
+arrays, one for each order, with one column for each language, so that a
+character of text costs one binary search.  No n-gram is left out: a model of
+more than SLICE_BYTES is cut into slices by a hash of the two characters before
+the last, which an n-gram, its context and the n-grams it backs off to have in
+common.  The texts are read once a slice, each time scoring the n-grams that
+belong to it, and the sums are added up; so driver and tasks hold one slice at
+a time.  The tables of single characters and pairs go with every slice.  Unseen
+n-grams back off with the context's weight.
 
 A text's language is that of the lowest cross-entropy per character.  The
 rejection threshold of a language is calibrated on all its training documents
@@ -34,13 +38,15 @@ from pyspark.sql import functions as F
 from tandem.llm.common import BROADCAST_ROWS, documents, join_small, python_ready, written
 
 ORDER = 4
-FLOOR_BITS = 22
+#: Bytes of the arrays that one pass over the texts looks up (orders 1 and 2 come on top).
+SLICE_BYTES = 96 << 20
 CALIBRATE = 4.0
 DISCOUNT = 0.75
 #: Characters (per language model) over which the posterior's evidence counts at most.
 EVIDENCE = 40
 STEP_CHARS = 1 << 18
 _U = np.uint64
+_PRIME = (1 << 31) - 1
 _HASH = _U(0x9E3779B97F4A7C15)
 _letters: list = []
 
@@ -100,7 +106,7 @@ def _count(order: int):
             for lang, parts in held.items():
                 g, n = (np.concatenate(x) for x in zip(*parts, strict=True))
                 g, inv = np.unique(g, return_inverse=True)
-                yield pa.record_batch([pa.array([lang] * len(g)), pa.array(g.view(np.int64)),
+                yield pa.record_batch([pa.array([lang] * len(g), pa.string()), pa.array(g.view(np.int64)),
                                        pa.array(np.bincount(inv, n).astype(np.int64))], ["lang", "g", "n"])
             held.clear()
 
@@ -210,8 +216,9 @@ class Model:
                     m[s:s + (1 << 16)] = self.log2p(u[s:s + (1 << 16)] * inverse, k)
         return self
 
-    def cross_entropy(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """(bits per character [n, languages], number of letters)."""
+    def bits(self, texts: list, n_slices: int = 1, nth: int = 0):
+        """(log2 probability of the n-grams in the slice [n, languages], number
+        of all n-grams, number of letters) of each text."""
         order = len(self.grams)
         codes, doc, n = characters(texts)
         g, d = grams(codes, doc, order)
@@ -222,66 +229,117 @@ class Model:
             c = np.concatenate((np.full(order, 32, _U), c))
             gi, _ = grams(c, np.zeros(len(c), np.int64), order)
             g, d = np.concatenate((g, gi)), np.concatenate((d, np.full(len(gi), i)))
+        count = np.bincount(d, minlength=len(texts))
+        if n_slices > 1:
+            pair = (g >> _U(16)) & _U(0xFFFFFFFF)
+            own = (pair % _U(_PRIME) * _U(48271) % _U(_PRIME) >> _U(8)) % _U(n_slices) == _U(nth)
+            g, d = g[own], d[own]
         p = self.log2p(g, order)
-        count = np.maximum(np.bincount(d, minlength=len(texts)), 1)
-        ce = np.stack([-np.bincount(d, p[:, j], len(texts)) / count for j in range(p.shape[1])], 1)
-        return ce, n
+        return np.stack([np.bincount(d, p[:, j], len(texts)).astype(float) for j in range(p.shape[1])], 1), count, n
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          floor_bits: int = FLOOR_BITS) -> Model | None:
+def _slice_of(pair, n_slices: int):
+    """Slice of two characters (a long of 32 bits), as Model.bits has it."""
+    return F.shiftright(pair % _PRIME * 48271 % _PRIME, 8) % n_slices
+
+
+class Tables:
+    """The whole model as written tables: for each order the probabilities
+    (lang, g, p) and the contexts' back-off weights (lang, ctx, bow)."""
+
+    def __init__(self, langs: list[str], tables: list):
+        self.langs, self.tables = langs, tables
+        rows = sum(df.count() for pair in tables[2:] for df in pair)
+        self.n_slices = max(1, -(-rows * (8 + 4 * len(langs)) // SLICE_BYTES))
+
+    def model(self, nth: int = 0) -> Model:
+        """The arrays of one slice."""
+        index = {x: i for i, x in enumerate(self.langs)}
+        out = ([], [])
+        for k, pair in enumerate(self.tables, 1):
+            for df, key, col, to in zip(pair, ("g", "ctx"), ("p", "bow"), out, strict=True):
+                if k > 2 and self.n_slices > 1:
+                    two = (F.shiftrightunsigned(key, 16) if key == "g" else F.col(key)).bitwiseAND(F.lit(0xFFFFFFFF))
+                    df = df.where(_slice_of(two, self.n_slices) == nth)
+                arrow = df.select(F.col(key).alias("k"), "lang", F.log2(col).cast("float").alias("v")).toArrow()
+                lang = arrow["lang"].combine_chunks().dictionary_encode()
+                number = np.array([index[x] for x in lang.dictionary.to_pylist()], np.int64)
+                to.append(Model.table(arrow["k"].to_numpy(), number[lang.indices.to_numpy()], arrow["v"].to_numpy(),
+                                      len(self.langs)))
+        return Model(self.langs, *out).complete()
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Tables | None:
     """The model of all rows outside the held-out fold that have a language."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
                        & ~held_out(F.col(id_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counts = written(gram_counts(known), "grams")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().limit(BROADCAST_ROWS).collect())
-    if not langs:
-        return None
-    # one language's entries are at most 2**floor_bits, as each is that share of the count
-    total = counts.groupBy("lang").agg(F.sum("n").alias("all"))
-    counts = join_small(counts, total, ["lang"]).where(F.col("n") * float(1 << floor_bits) >= F.col("all")).drop("all")
-    index = {x: i for i, x in enumerate(langs)}
-    tables = ([], [])
-    for probs, bows in probabilities(counts):
-        for df, col, out in ((probs, "p", tables[0]), (bows, "bow", tables[1])):
-            arrow = df.select(F.col(df.columns[1]).alias("k"), "lang", F.log2(col).cast("float").alias("v")).toArrow()
-            lang = np.array([index[x] for x in arrow["lang"].to_pylist()], np.int64)
-            out.append(Model.table(arrow["k"].to_numpy(), lang, arrow["v"].to_numpy(), len(langs)))
-    return Model(langs, *tables).complete()
-
-
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score, cross_entropy, n_letters, rejected."""
-    spark = python_ready(docs).sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    known = F.coalesce(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)), F.lit(False))
+    return Tables(langs, probabilities(counts)) if langs else None
+
+
+def _scored(docs: DataFrame, model: Model | None, n_slices: int, nth: int) -> DataFrame:
+    """Each row's sums for one slice, and md5 of its text in place of the text."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = sent.value
         for b in batches:
             texts = b.column("text").to_pylist()
             for at, to in _slices(texts):
-                part = b.slice(at, to - at)
                 if m is None:
-                    pred, post, low = ["und"] * (to - at), np.zeros(to - at), np.zeros(to - at)
                     n = characters(texts[at:to])[2]
+                    bits, count = np.zeros((to - at, 0)), np.zeros(to - at, np.int64)
                 else:
-                    ce, n = m.cross_entropy(texts[at:to])
-                    best = ce.argmin(axis=1)
-                    low = ce.min(axis=1)
-                    odds = np.exp2(-(ce - low[:, None]) * np.minimum(n, EVIDENCE)[:, None])
-                    post = np.where(n > 0, 1 / odds.sum(axis=1), 0.0)
-                    pred = [m.langs[i] if k else "und" for i, k in zip(best, n, strict=True)]
-                yield pa.record_batch([part.column("doc_id"), part.column("held_out"), part.column("known"),
-                                       pa.array(pred), pa.array(post), pa.array(low), pa.array(n)],
-                                      ["doc_id", "held_out", "known", "lang_pred", "score", "cross_entropy", "n_letters"])
-
-    out = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), known.alias("known"),
-                      F.col(text_col).alias("text"))
-    kind = dict(docs.dtypes)[id_col]
-    out = written(out.mapInArrow(run, f"doc_id {kind}, held_out boolean, known boolean, lang_pred string, score double, "
-                                      "cross_entropy double, n_letters long"), "languages")
+                    bits, count, n = m.bits(texts[at:to], n_slices, nth)
+                sums = pa.ListArray.from_arrays(np.arange(to - at + 1, dtype=np.int32) * bits.shape[1], bits.ravel())
+                part = b.slice(at, to - at)
+                yield pa.record_batch([part.column(c) for c in ("doc_id", "held_out", "known", "tkey")]
+                                      + [pa.array(n), pa.array(count), sums],
+                                      ["doc_id", "held_out", "known", "tkey", "n_letters", "n_grams", "bits"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.mapInArrow(run, f"doc_id {kind}, held_out boolean, known boolean, tkey string, n_letters long, "
+                                "n_grams long, bits array<double>")
+
+
+def identify(docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text_col: str = "text",
+             lang_col: str = "lang") -> DataFrame:
+    """doc_id, held_out, lang_pred, score, cross_entropy, n_letters, rejected."""
+    known = F.coalesce(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)), F.lit(False))
+    n_slices, langs = (model.n_slices, model.langs) if model else (1, [])
+    rows = python_ready(docs).select(
+        F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), known.alias("known"),
+        (F.md5(text_col) if n_slices > 1 else F.lit(None).cast("string")).alias("tkey"), F.col(text_col).alias("text"))
+    if n_slices == 1:
+        out = _scored(rows, model.model() if model else None, 1, 0)
+    else:
+        passes = [written(_scored(rows, model.model(s), n_slices, s).withColumn("nth", F.lit(s)), "language-sums")
+                  for s in range(n_slices)]
+        out = passes[0]
+        for p in passes[1:]:
+            out = out.union(p)
+        # equal rows have equal sums: one row stands for all, and is repeated after
+        key = ["doc_id", "held_out", "known", "tkey"]
+        out = out.groupBy(*key).agg(
+            F.count_if(F.col("nth") == 0).alias("rows"), F.max("n_letters").alias("n_letters"),
+            F.max("n_grams").alias("n_grams"),
+            F.array(*[F.sum(F.col("bits")[i]) for i in range(len(langs))]).alias("bits"))
+        out = out.select(*key, "n_letters", "n_grams", F.transform("bits", lambda x: x / F.col("rows")).alias("bits"),
+                         F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    # one-row generators keep the arrays from being computed anew in every use
+    ce = F.transform("bits", lambda x: F.lit(0.0) - x / F.greatest(F.col("n_grams"), F.lit(1)))
+    out = out.select("doc_id", "held_out", "known", "n_letters", F.inline(F.array(F.struct(ce.alias("ce")))))
+    out = out.select("*", F.inline(F.array(F.struct(F.array_min("ce").alias("low")))))
+    some = F.col("n_letters") > 0
+    odds = F.aggregate("ce", F.lit(0.0), lambda acc, x: acc + F.pow(
+        F.lit(2.0), (F.col("low") - x) * F.least(F.col("n_letters"), F.lit(EVIDENCE))))
+    pred = F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("ce", F.col("low")).cast("int")) \
+        if langs else F.lit("und")
+    out = out.select("doc_id", "held_out", "known", F.when(some, pred).otherwise("und").alias("lang_pred"),
+                     F.when(some & F.lit(bool(langs)), 1 / odds).otherwise(0.0).alias("score"),
+                     F.coalesce("low", F.lit(0.0)).alias("cross_entropy"), "n_letters")
+    out = written(out, "languages")
     limit = out.where("known and n_letters > 0").groupBy("lang_pred").agg(
         (F.avg("cross_entropy") + CALIBRATE * F.coalesce(F.stddev_pop("cross_entropy"), F.lit(0.0))).alias("limit"))
     out = join_small(out, limit, ["lang_pred"], "left")

@@ -330,6 +330,37 @@ def test_language_odd_rows(spark):
     assert language.identify(empty(spark), language.train(empty(spark))).count() == 0
 
 
+def test_language_keeps_rare_grams(spark):
+    """A 4-gram seen once in more than 2**22 characters stays in counts and arrays."""
+    rows = [(i, LONG, "en", "s", 1) for i in range(40)] + [(50, "zqxj", "en", "s", 1), (51, "zqxj", "en", "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = language.train(df)
+    known = df.where(~language.held_out(F.col("doc_id"))).select("lang", "text")
+    counts = {r.g: r.n for r in language.gram_counts(known).collect()}
+    rare = sum(ord(c) << (16 * (3 - j)) for j, c in enumerate("zqxj"))
+    assert 0 < counts[rare] * (1 << 22) < sum(counts.values())
+    assert set(counts) == {r.g for r in model.tables[3][0].collect()}
+    arrays = model.model()
+    assert len(arrays.grams[3][0]) == len(counts)
+    assert not np.isnan(arrays.look(arrays.grams[3], np.array([rare], np.uint64))).any()
+
+
+def test_language_in_slices(spark, monkeypatch):
+    """Many passes over slices of the model give what one pass over all of it gives."""
+    extra = [(20, "12 34 !!", "en", "s", 1), (21, "é", "fr", "s", 1), (22, "a\U0001D4D0", "de", "s", 1)]
+    df = odd_rows(spark, extra).union(documents(spark, SF))
+    rows = lambda m: sorted(((r.doc_id, r.lang_pred, r.rejected, r.n_letters, round(r.score, 6), round(r.cross_entropy, 6))
+                             for r in language.identify(df, m).collect()), key=str)
+    one = language.train(df)
+    monkeypatch.setattr(language, "SLICE_BYTES", 1 << 16)
+    many = language.train(df)
+    assert one.n_slices == 1 and many.n_slices > 2
+    whole, parts = one.model(), [many.model(s) for s in range(many.n_slices)]
+    assert sum(len(m.grams[3][0]) for m in parts) == len(whole.grams[3][0])
+    assert max(len(m.grams[3][0]) for m in parts) < len(whole.grams[3][0])
+    assert rows(many) == rows(one)
+
+
 # -------------------------------------------------------------- 6 token files
 
 def test_range_coder_round_trip():
