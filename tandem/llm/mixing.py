@@ -85,10 +85,8 @@ def mixed(docs: DataFrame, **kw) -> DataFrame:
 
 
 def op8_poisson_mixing(spark, sf_dir):
-    narrow = documents(spark, sf_dir).select("doc_id", "source")
-    out = replicate(narrow)
-    return out.select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"),
-                      "n_copies", "copy", "place")
+    """The whole replicated documents in shuffled order, with n_copies, copy and place."""
+    return replicate(documents(spark, sf_dir)).select("row.*", "n_copies", "copy", "place")
 
 
 OP8_SQL = f"""

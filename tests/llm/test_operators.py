@@ -466,6 +466,16 @@ def test_mixing(spark):
     assert mixing.replicate(empty(spark)).count() == 0
 
 
+def test_mixing_query_carries_whole_documents(spark):
+    docs = documents(spark, SF)
+    got = mixing.op8_poisson_mixing(spark, SF)
+    assert got.columns == docs.columns + ["n_copies", "copy", "place"]
+    rows = {r.doc_id: tuple(r) for r in docs.collect()}
+    got = got.collect()
+    assert got and all(tuple(r)[:len(docs.columns)] == rows[r.doc_id] for r in got)
+    assert [r.place for r in got] == sorted(r.place for r in got)
+
+
 # ----------------------------------------------------------- 9 decontamination
 
 def test_decontamination(spark):
