@@ -360,8 +360,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         if len(rows) < block:
             return out
         last = rows[-1]
-        rest = held.where((F.col("item_id") > last["item_id"])
-                          | ((F.col("item_id") == last["item_id"]) & (F.col("text") > last["text"])))
+        # items without an id stand first
+        after = F.col("item_id").isNotNull() if last["item_id"] is None else F.col("item_id") > last["item_id"]
+        rest = held.where(after | (F.col("item_id").eqNullSafe(F.lit(last["item_id"])) & (F.col("text") > last["text"])))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **kw) -> DataFrame:

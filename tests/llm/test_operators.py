@@ -510,6 +510,16 @@ def test_decontamination(spark):
     assert decontaminate.matches(empty(spark), bench).count() == 0 == decontaminate.matches(docs, bench.limit(0)).count()
 
 
+def test_decontamination_pages_past_null_ids(spark):
+    """More items without an id than a block holds: those after them are searched too."""
+    text = lambda i: " ".join(f"n{i}x{j}" for j in range(20))
+    items = [(None, text(i)) for i in range(5)] + [(i, text(i)) for i in range(5, 9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before {text(i)} after", "en", "s", 1) for i in range(9)], SCHEMA)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, bench, block=3).collect()}
+    assert got == {(i, None if i < 5 else i) for i in range(9)}
+
+
 def test_decontamination_finds_all_exact_passages(spark):
     sf = "/root/testdata/sf0.01"
     flat = lambda t: " " + " ".join(split(lower(t), "[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")) + " "
