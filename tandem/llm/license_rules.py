@@ -12,7 +12,7 @@ from typing import NamedTuple
 
 #: Substrings of which one stands in every text that a rule can match.
 GATES = ("licen", "cc by", "cc0", "gpl", "public domain", "copyright", "permission", "redistribut",
-         "warrant", "all rights", "copyleft", "free software")
+         "warrant", "all rights", "copyleft", "free software", "bsd", "endorse", "advertising materials", "copying")
 
 #: label: base phrase (one label for each phrase)
 BASE = {"gpl": "gnu general public license", "apache": "apache license", "cc-by": "cc by", "mit": "mit license"}
@@ -40,7 +40,8 @@ NAMES = [
     ("agpl", "agpl", r"(?:gnu )?agpl(?:v?3)?"),
     ("gfdl", "documentation", r"gnu free documentation licen[sc]e"),
     ("apache", "apache", r"apache(?: software)? licen[sc]e"),
-    ("mit", "mit", r"(?:mit|expat)(?: x11)? licen[sc]e"),
+    ("mit", "mit", r"mit(?: x11)? licen[sc]e"),
+    ("mit", "expat", r"expat(?: x11)? licen[sc]e"),
     ("mit-0", "mit", r"mit (?:0|no attribution) licen[sc]e"),
     ("bsd", "bsd", r"bsd(?: style)? licen[sc]e"),
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|simplified bsd|freebsd)(?: licen[sc]e)?"),
@@ -127,7 +128,8 @@ NOTICES = [
     ("all-rights-reserved", "all rights", r"all rights reserved", 1, 0.4),
     ("copyleft", "copyleft", r"copyleft", 1, 0.3),
     ("licensed", "licen", r"(?:this work|this software|this document|this text) is licen[sc]ed", 1, 0.3),
-    ("see-license", "licen", r"(?:see|read) (?:the )?(?:licen[sc]e|copying) (?:file|txt|md)", 1, 0.4),
+    ("see-license", "licen", r"(?:see|read) (?:the )?licen[sc]e (?:file|txt|md)", 1, 0.4),
+    ("see-license", "copying", r"(?:see|read) (?:the )?copying (?:file|txt|md)", 1, 0.4),
     ("license-file", "licen", r"licen[sc]e file", 0, 0.2),
 ]
 

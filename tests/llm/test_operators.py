@@ -100,6 +100,46 @@ def test_license_rules_pass_their_gates():
                 assert r.keyword in joined and any(g in joined for g in license_rules.GATES)
 
 
+def generated(parsed, rng):
+    """A random text that the parsed pattern matches."""
+    out = ""
+    for op, av in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(av)
+        elif op == "IN":
+            kind, x = rng.choice(av)
+            out += chr(x if str(kind) == "LITERAL" else rng.randint(*x))
+        elif op == "BRANCH":
+            out += generated(rng.choice(av[1]), rng)
+        elif op == "SUBPATTERN":
+            out += generated(av[3], rng)
+        else:
+            assert op in ("MAX_REPEAT", "MIN_REPEAT"), op
+            out += "".join(generated(av[2], rng) for _ in range(rng.randint(av[0], min(av[1], av[0] + 2))))
+    return out
+
+
+def test_every_branch_of_every_rule_passes_gate_and_keyword():
+    from re import _parser
+    rng = random.Random(3)
+    for r in license_rules.rules():
+        parsed = _parser.parse(r.pattern)
+        for _ in range(300):
+            text = generated(parsed, rng)
+            assert re.fullmatch(r.pattern, text)
+            assert r.keyword in text and any(g in text for g in license_rules.GATES), (r.label, text)
+
+
+def test_licenses_without_the_word(spark):
+    texts = {"see copying file": "see-license", "new BSD": "bsd-3-clause", "FreeBSD": "bsd-2-clause", "original bsd": "bsd-4-clause",
+             "All advertising materials mentioning features or use of this software": "bsd-4-clause",
+             "Neither the name of X nor the names of its contributors may be used to endorse": "bsd-3-clause"}
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.labels for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_licenses_stay_in_the_jvm(spark):
     plan = licenses.op1_license_scan(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
