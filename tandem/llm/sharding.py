@@ -2,7 +2,10 @@
 
 Rows with equal text form one atomic group.  Groups stand in the order of the
 text's MD5 (a null text is a group of its own row id), and are cut into
-``n_shards`` consecutive runs so that the largest run's bytes are least.
+``n_shards`` consecutive runs so that the largest run's bytes are least, and
+under that bound the others are near equal: each run ends at the group end
+nearest to its share of the bytes left, if the rest can still be held.  Groups
+larger than a share count as a shard of their own and are left out of it.
 
 The smallest feasible capacity is found by binary search with a greedy check.
 The check needs only "the last group end at or before x".  Spark summarises
@@ -10,13 +13,15 @@ the ordered line of group ends in equal-width blocks (smallest and largest end
 of each).  Taking ends known exactly gives an upper bound of the capacity,
 taking any place inside an unresolved block a lower bound; only blocks that a
 cut can still fall into are summarised again, 32 times finer, until both
-bounds meet.  The driver holds those block summaries alone (65 536 at first,
-then a few thousand); no group list is collected.
+bounds meet, and then until every cut is known.  The driver holds those block
+summaries (65 536 at first, then a few thousand) and the ``n_shards`` largest
+groups; no group list is collected.
 
 Cases: null text has size 16 and checksum 0; empty text the same, but all
 empty texts are one group; repeated rows and tied ids take consecutive slots;
 null ids are allowed; an empty table gives no rows; other columns are ignored.
-A group larger than the mean fills a shard alone, so later shards can be empty.
+Shards are empty only where groups are fewer than shards or the bound leaves
+no other cut.
 """
 
 from __future__ import annotations
@@ -76,6 +81,44 @@ class _Ends:
                 lo = mid + 1
         return lo
 
+    def at_or_before(self, x: int, doubt: set) -> int:
+        """The last end up to x; a gap that hides it is put in doubt."""
+        k = self.known[bisect_right(self.known, x) - 1]
+        if k < x < self.open.get(k, k):
+            doubt.add((k, self.open[k]))
+        return k
+
+    def at_or_after(self, x: int, doubt: set) -> int:
+        at = bisect_left(self.known, x)
+        k = self.known[at - 1] if at else x
+        if k < x < self.open.get(k, k):
+            doubt.add((k, self.open[k]))
+        return self.known[at]
+
+    def even(self, cap: int, large: list[tuple[int, int]]) -> tuple[list[int], set]:
+        """Cuts near equal under the capacity, and the gaps that leave them in
+        doubt.  ``large``: (start, end) of groups that count as a shard each."""
+        doubt: set = set()
+        least = [self.total]  # the smallest ends from which the rest fits, last shard first
+        for _ in range(self.n - 1):
+            least.append(self.at_or_after(max(0, least[-1] - cap), doubt))
+        cuts, at = [], 0
+        for left in range(self.n, 1, -1):
+            if at == self.total:
+                break
+            ahead = [e - s for s, e in large if s >= at]
+            small = self.total - at - sum(ahead)
+            share = small // (left - len(ahead)) if left > len(ahead) and small else (self.total - at) // left
+            aim = min(at + max(1, share), self.total)
+            a, b = self.at_or_before(aim, doubt), self.at_or_after(aim, doubt)
+            to = a if a > at and aim - a <= b - aim else b
+            if to > at + cap:
+                to = self.at_or_before(at + cap, doubt)
+            to = max(to, least[left - 1])
+            cuts.append(to)
+            at = to
+        return cuts if at == self.total else [*cuts, self.total], doubt
+
     def doubtful(self, lo: int, hi: int) -> list[tuple[int, int]]:
         """Open gaps that a cut can fall into for capacities lo..hi."""
         out, a, b, starts = set(), 0, 0, sorted(self.open)
@@ -88,26 +131,49 @@ class _Ends:
         return sorted(out)
 
 
+def _large(ends: DataFrame, total: int, n_shards: int) -> list[tuple[int, int]]:
+    """(start, end) of the groups above the mean of what the larger ones leave."""
+    top = ends.groupBy("end").agg(F.min("start").alias("start")) \
+              .orderBy(F.desc(F.col("end") - F.col("start")), "end").limit(n_shards).collect()
+    out = []
+    for r in top:
+        if len(out) == n_shards - 1 or (r["end"] - r["start"]) * (n_shards - len(out)) <= total:
+            break
+        out.append((r["start"], r["end"]))
+        total -= r["end"] - r["start"]
+    return out
+
+
 def minimax_cuts(ends: DataFrame, total: int, n_shards: int) -> list[int]:
-    """Ends of the shards (largest group end of each) on the line of prefix sums."""
+    """Ends of the shards (a group end each) on the line of prefix sums."""
     line = _Ends(n_shards, total)
     width = max(1, -(-total // FIRST_BLOCKS))
+    block = F.floor(F.col("end") / width)
+    line.add(ends.groupBy(block).agg(F.min("end").alias("lo"), F.max("end").alias("hi")).collect())
+
+    def finer(gaps) -> None:
+        """Summarise the inside of some gaps again."""
+        parts = F.array(*[F.struct(F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"),
+                                   F.lit(max(1, (hi - lo) // FINER)).cast("long").alias("w")) for lo, hi in gaps])
+        part = ends.where(block.isin(sorted({lo // width for lo, _ in gaps}))).select("end")
+        part = part.select("end", F.explode(F.filter(
+            parts, lambda g: (g["lo"] < F.col("end")) & (F.col("end") < g["hi"]))).alias("g"))
+        for lo, _ in gaps:
+            del line.open[lo]
+        line.add(part.groupBy("g", F.floor((F.col("end") - F.col("g.lo")) / F.col("g.w")))
+                 .agg(F.min("end").alias("lo"), F.max("end").alias("hi")).select("lo", "hi").collect())
 
-    def summary(df: DataFrame, w: int):
-        return df.groupBy(F.floor(F.col("end") / w)).agg(F.min("end").alias("lo"), F.max("end").alias("hi")).collect()
-
-    line.add(summary(ends, width))
     while True:
         lo, hi = line.least(False), line.least(True)
         if lo == hi:
-            return line.greedy(hi, True)
-        gaps = line.doubtful(lo, hi)
-        blocks = sorted({g // width for g, _ in gaps})
-        for g, _ in gaps:
-            del line.open[g]
-        part = ends.where(F.floor(F.col("end") / width).isin(blocks))
-        width = max(1, width // FINER)
-        line.add(summary(part, width))
+            break
+        finer(line.doubtful(lo, hi))
+    large = _large(ends, total, n_shards)
+    while True:
+        cuts, doubt = line.even(hi, large)
+        if not doubt:
+            return cuts
+        finer(sorted(doubt))
 
 
 def assign_shards(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id",

@@ -643,6 +643,23 @@ def test_sharding(spark, monkeypatch):
             assert all(len(s) == 1 for (c, n), s in where.items() if n > 16)
 
 
+@pytest.mark.parametrize("hot", ["a", "b", "c"])
+def test_sharding_spreads_beside_a_hot_group(spark, monkeypatch, hot):
+    """A third of the bytes in one group: the other shards are near equal, wherever it stands."""
+    monkeypatch.setattr(sharding, "FIRST_BLOCKS", 64)
+    rng = random.Random(hot)
+    rows = [(i, f"{i} " + "x" * rng.randrange(400), "en", "s", 1) for i in range(4000)]
+    rows += [(10_000 + i, hot * 200, "en", "s", 1) for i in range(2000)]
+    loads = Counter()
+    for r in sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), 40).collect():
+        loads[r.shard] += r.size
+    hot_load = 2000 * 216
+    assert max(loads.values()) == hot_load and set(loads) == set(range(40))
+    share = (sum(loads.values()) - hot_load) / 39
+    others = sorted(x for x in loads.values() if x != hot_load)
+    assert all(abs(x - share) < 0.3 * share for x in others[1:])  # one is what is left before the hot group
+
+
 def test_sharding_stays_in_the_jvm(spark):
     plan = sharding.op10_sharding(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
