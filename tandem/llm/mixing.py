@@ -76,7 +76,10 @@ def replicate(docs: DataFrame, weights: dict | None = None, rows: int | None = N
     out = j.select("row", F.col("_rate").alias("rate"), "n_copies",
                    F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"))
     key = F.substring(F.md5(F.concat(base, F.lit("#"), F.col("copy").cast("string"))), 1, 16)
-    return out.withColumn("place", key).orderBy("place", f"row.{id_col}")
+    # places are uniform, so equal ranges of them are the partitions: no sampling pass as for orderBy
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.floor(F.conv(F.substring("place", 1, 7), 16, 10).cast("long") * parts / (1 << 28)).cast("int")
+    return out.withColumn("place", key).repartitionById(parts, part).sortWithinPartitions("place", f"row.{id_col}")
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:
@@ -101,9 +104,9 @@ q AS (SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM r
 u AS (SELECT doc_id, source,
         (('0x' || substr(md5('{SEED}:' || doc_id || ':1'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
       FROM documents),
-n AS (SELECT doc_id, u.source, count(*) FILTER (WHERE q.c < u.u)::INT AS n_copies
-      FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source GROUP BY doc_id, u.source)
-SELECT doc_id, source, n_copies, copy::INT AS copy,
+n AS (SELECT doc_id, count(*) FILTER (WHERE q.c < u.u)::INT AS n_copies
+      FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source GROUP BY doc_id)
+SELECT d.*, n_copies, copy::INT AS copy,
        substr(md5('{SEED}:' || doc_id || '#' || copy), 1, 16) AS place
-FROM n, unnest(range(n_copies)) AS x(copy) WHERE n_copies > 0
+FROM documents d JOIN n USING (doc_id), unnest(range(n_copies)) AS x(copy) WHERE n_copies > 0
 """

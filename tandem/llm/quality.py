@@ -1,8 +1,8 @@
 """Quality classifier: a byte-level convolutional network in numpy (operator 7).
 
 A document is covered by chunks of CHUNK bytes overlapping by CHUNK - STRIDE.
-Each byte is embedded, learned filters of WIDTH bytes slide over a chunk, and
-each filter's largest response in the chunk is kept (max-pooling).  A dense
+Each byte is embedded, learned filters of WIDTH bytes slide over a chunk byte by
+byte, and each filter's largest response in the chunk is kept (max-pooling).  A dense
 layer turns these into chunk features, whose mean and maximum over all chunks
 of the document give one probability.
 
@@ -32,11 +32,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tandem.llm.common import documents, python_ready, steps
 from tandem.session import read_table
 
-CHUNK, STRIDE, WIDTH, HOP = 512, 448, 8, 2
+CHUNK, STRIDE, WIDTH = 512, 448, 8
 EMBED, FILTERS, HIDDEN = 8, 48, 24
 PER_CLASS, TRAIN_CHUNKS = 1500, 16
 EPOCHS, BATCH_CHUNKS, RATE, SEED = 12, 128, 0.004, 11
-_POSITIONS = (CHUNK - WIDTH) // HOP + 1
+_POSITIONS = CHUNK - WIDTH + 1
 
 
 def chunk_starts(n: int) -> np.ndarray:
@@ -59,22 +59,37 @@ def chunks_of(data: np.ndarray, offs: np.ndarray, most: int | None = None):
 
 
 def _responses(p: dict, x: np.ndarray):
-    """Pooled filter responses [n, FILTERS] and the positions they stem from."""
+    """Filter responses [n, positions, FILTERS] of a fitting step."""
     e = p["emb"][x].reshape(len(x), CHUNK * EMBED)
-    win = np.lib.stride_tricks.sliding_window_view(e, WIDTH * EMBED, axis=1)[:, ::HOP * EMBED]
-    r = (win.reshape(-1, WIDTH * EMBED) @ p["conv"]).reshape(len(x), _POSITIONS, FILTERS)
-    return r
+    win = np.lib.stride_tricks.sliding_window_view(e, WIDTH * EMBED, axis=1)[:, ::EMBED]
+    return (win.reshape(-1, WIDTH * EMBED) @ p["conv"]).reshape(len(x), _POSITIONS, FILTERS)
 
 
 def chunk_features(p: dict, x: np.ndarray) -> np.ndarray:
-    f = np.concatenate([_responses(p, x[s:s + 32]).max(axis=1) for s in range(0, len(x), 32)])
-    return np.maximum(np.maximum(f + p["bias"], 0) @ p["dense"] + p["dbias"], 0)
+    """Features of each chunk [n, HIDDEN], one by one: a filter's response is a
+    sum of per-byte table entries, added in a fixed order.  (A matrix product's
+    rounding depends on the other rows, so equal texts would get scores that
+    differ in the last digits.)"""
+    table = [p["emb"] @ p["conv"][w * EMBED:(w + 1) * EMBED] for w in range(WIDTH)]
+    out = np.empty((len(x), FILTERS), np.float32)
+    for s in range(0, len(x), 4):
+        at = x[s:s + 4].astype(np.intp)
+        r = table[0][at[:, :_POSITIONS]]
+        for w in range(1, WIDTH):
+            r += np.take(table[w], at[:, w:w + _POSITIONS], axis=0)
+        out[s:s + 4] = r.max(axis=1)
+    a = np.maximum(out + p["bias"], 0)
+    h = np.tile(p["dbias"], (len(x), 1))
+    for k in range(FILTERS):
+        h += a[:, k:k + 1] * p["dense"][k]
+    return np.maximum(h, 0)
 
 
 def document_logits(p: dict, h: np.ndarray, owner: np.ndarray) -> np.ndarray:
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     n = np.diff(np.append(first, len(owner)))[:, None]
-    return (np.add.reduceat(h, first) / n) @ p["mean"] + np.maximum.reduceat(h, first) @ p["max"] + p["out"]
+    mean, top = np.add.reduceat(h.astype(np.float64), first) / n, np.maximum.reduceat(h, first)
+    return (mean * p["mean"]).sum(axis=1) + (top * p["max"]).sum(axis=1) + p["out"]
 
 
 def fit(x: np.ndarray, owner: np.ndarray, label: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> dict:
@@ -126,7 +141,7 @@ def fit(x: np.ndarray, owner: np.ndarray, label: np.ndarray, epochs: int = EPOCH
             da = (dpre @ p["dense"].T) * (pool > 0)
             d["bias"] = da.sum(0)
             # only the window that gave the maximum passes a gradient back
-            idx = np.arange(len(xb))[:, None, None], (where * HOP)[:, :, None] + np.arange(WIDTH)
+            idx = np.arange(len(xb))[:, None, None], where[:, :, None] + np.arange(WIDTH)
             bytes_ = xb[idx]                                     # [n, FILTERS, WIDTH]
             e = p["emb"][bytes_].reshape(len(xb), FILTERS, WIDTH * EMBED)
             d["conv"] = np.einsum("nf,nfk->kf", da, e)

@@ -455,7 +455,7 @@ def test_token_files(spark, tmp_path):
 # ------------------------------------------------------------------ 7 quality
 
 def test_quality_held_out(spark):
-    sf = "/root/testdata/sf0.1"
+    sf = "/root/testdata/sf0.01"
     got = quality.op7_quality_cnn(spark, sf).join(read_table(spark, sf, "labels"), "doc_id").where("held_out").collect()
     good = [r.score for r in got if r.quality == 1]
     bad = [r.score for r in got if r.quality == 0]
@@ -463,6 +463,36 @@ def test_quality_held_out(spark):
     assert auc > 0.98 and np.mean([r.predicted == r.quality for r in got]) > 0.97
 
 
+def plain_quality(p, text):
+    """The score of one text, position by position."""
+    raw = (text or "").encode()
+    feats = []
+    for s in range(0, max(1, len(raw) - (quality.CHUNK - quality.STRIDE)), quality.STRIDE):
+        chunk = raw[s:s + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+        e = p["emb"][list(chunk)].astype(float)
+        best = np.max([e[i:i + quality.WIDTH].reshape(-1) @ p["conv"] for i in range(quality.CHUNK - quality.WIDTH + 1)], axis=0)
+        feats.append(np.maximum(np.maximum(best + p["bias"], 0) @ p["dense"] + p["dbias"], 0))
+    z = np.mean(feats, axis=0) @ p["mean"] + np.max(feats, axis=0) @ p["max"] + p["out"][0]
+    return 1 / (1 + np.exp(-(z * p["scale"] + p["shift"])))
+
+
+def test_quality_equals_the_plain_network_and_equal_texts_get_equal_scores(spark):
+    docs, labels = documents(spark, SF), read_table(spark, SF, "labels")
+    w = quality.train(docs, labels)
+    rows = [r for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id: r.score for r in quality.op7_quality_cnn(spark, SF).collect()}
+    assert all(abs(got[r.doc_id] - plain_quality(w, r.text)) < 1e-4 for r in rows[:40])
+    # the same texts among others, in other steps and at other places of a step
+    mixed_up = spark.createDataFrame([(i, t) for i, t in enumerate([r.text for r in rows[:60]] * 3 + ["#", "", None])],
+                                     "doc_id long, text string").repartition(5)
+    by_text = defaultdict(set)
+    for r in quality.scored(mixed_up, w).collect():
+        by_text[r.row.text or ""].add(r.score)
+    for r in rows[:60]:
+        by_text[r.text or ""].add(got[r.doc_id])
+    assert all(len(v) == 1 for v in by_text.values())
+
+
 def test_quality_covers_whole_texts_and_odd_rows(spark):
     rng = random.Random(5)
     fine = lambda n: " ".join(rng.choice(["the", "river", "ran", "under", "old", "stone", "bridges"]) for _ in range(n))

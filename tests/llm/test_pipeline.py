@@ -70,4 +70,5 @@ def test_mixing_matches_its_sql(spark):
     got = queries.QUERIES["op8_poisson_mixing"](spark, SF)
     want = con.execute(queries.ORACLES["op8_poisson_mixing"])
     cols = [d[0] for d in want.description]
+    assert sorted(cols) == sorted(got.columns)
     assert Counter(tuple(r) for r in got.select(*cols).collect()) == Counter(want.fetchall())
