@@ -1,8 +1,8 @@
-"""Registered queries of the ten operators, and the SQL where SQL can say them."""
+"""Registered queries of the training-data operators, and the SQL where SQL can say them."""
 
 from __future__ import annotations
 
-from tandem.llm import (decontaminate, language, licenses, mixing, partenum, pivots, quality, sharding, substrings,
+from tandem.llm import (decontaminate, language, licenses, mixing, partenum, phrases, pivots, quality, sharding, substrings,
                         token_files)
 
 QUERIES = {
@@ -16,8 +16,10 @@ QUERIES = {
     "op8_poisson_mixing": mixing.op8_poisson_mixing,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_sharding": sharding.op10_sharding,
+    "op11_phrase_mining": phrases.op11_phrase_mining,
 }
 
 ORACLES = {
     "op8_poisson_mixing": mixing.OP8_SQL,
+    "op11_phrase_mining": phrases.OP11_SQL,
 }
