@@ -10,15 +10,16 @@ occurrences in a language are found, with exact counts:
    and last n-1 words are both proposed: those are the proposals and their
    negative border.  Border n-grams that never occur need no counting.
 3. A border n-gram that turns out frequent is a failure of the sample: it joins
-   the proposals, and a further pass counts the n-grams that this admits.  The
-   passes end when none failed; every frequent n-gram has then been counted,
-   since all its parts are frequent too.
+   the proposals, and a further pass counts it and the n-grams that it admits.
+   The passes end when none failed; every frequent n-gram has then been
+   counted, since all its parts are frequent too.
 
 Tasks test "proposed" in a broadcast bit table of two bits a proposal, of 16
 bits a proposal and 2^MOST_BITS bits (64 MB) at most.  A wrong hit only makes a
 pass count an n-gram more, so a table that gets full costs shuffle, not results.
-Counts are keyed by the phrase's text; a 64-bit hash stands for it in the bit
-table and while a task adds up its own counts.
+Proposals are counted by their text.  Border n-grams, which are many and mostly
+rare, are counted by a 64-bit hash: equal hashes of different n-grams could only
+make a failure too many, which the next pass then counts by its text.
 
 A phrase's score is its lowest-scoring cut in two, 1000 * a * n / (l * r) in
 decimal arithmetic.  Phrases inside a longer one that is as frequent are dropped
@@ -37,6 +38,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,31 +153,20 @@ def _sampled(batches):
         yield added()
 
 
-_COUNTED = "lang string, k int, phrase string, key long, known boolean, n long"
+_COUNTED = "key long, phrase string, n long"
 
 
 def _counter(sent):
-    """Counts of all words (in the first pass) and of the n-grams that the new
-    table admits and the old one did not; k = 0 has the number of all words."""
+    """Counts of what the new table admits and the old one did not: proposals
+    by their text after the language and a tab, border n-grams by their key
+    alone; in the first pass also each language (with no text) and its words."""
     def run(batches):
         new, old = sent.value
-        held, size = [], 0
-
-        def added():
-            key = np.concatenate([h[2] for h in held])
-            _, first, of = np.unique(key, return_index=True, return_inverse=True)
-            col = [pa.concat_arrays([h[j] for h in held]).take(pa.array(first)) for j in (0, 1)]
-            k, known = (np.concatenate([h[j] for h in held])[first] for j in (3, 4))
-            n = np.bincount(of, np.concatenate([h[5] for h in held])).astype(np.int64)
-            return pa.record_batch([col[0].cast(pa.string()), pa.array(k.astype(np.int32)), col[1].cast(pa.string()),
-                                    pa.array(key[first].view(np.int64)), pa.array(known), pa.array(n)],
-                                   ["lang", "k", "phrase", "key", "known", "n"])
-
         for part, data, offs in steps(batches):
             st = Step(part, data, offs)
             if not len(st.h):
                 continue
-            ats, keys, ks, flags, counts = [], [], [], [], []
+            ats, ks, keys, counts, border = [], [], [], [], []
             for k, key, ok in st.levels():
                 m = len(key)
                 if k == 1:
@@ -185,34 +176,30 @@ def _counter(sent):
                     before = (in_old[now] & in_old[now + 1]) if old is not None else np.zeros(len(now), bool)
                 if not len(now):
                     break
-                known = new.has(key[now])
-                in_new, in_old = np.zeros(m, bool), np.zeros(m, bool)
-                in_new[now] = known
+                known, was = new.has(key[now]), np.zeros(len(now), bool)
                 if old is not None:
-                    was = now[before]
-                    in_old[was] = old.has(key[was])
-                now, known = now[~before], known[~before]
-                u, first, n = np.unique(key[now], return_index=True, return_counts=True)
-                for to, x in zip((ats, keys, ks, flags, counts), (now[first], u, np.full(len(u), k), known[first], n)):
+                    was[before] = old.has(key[now[before]])
+                in_new, in_old = np.zeros(m, bool), np.zeros(m, bool)
+                in_new[now], in_old[now] = known, was
+                text = now[known & ~was]
+                u, first, n = np.unique(key[text], return_index=True, return_counts=True)
+                for to, x in zip((ats, ks, keys, counts), (text[first], np.full(len(u), k), u, n), strict=True):
                     to.append(x)
-            at, k = np.concatenate(ats), np.concatenate(ks)
-            lang = st.langs.take(pa.array(st.lang[st.doc[at]]))
-            text, key, flag, n = st.texts(at, k), np.concatenate(keys), np.concatenate(flags), np.concatenate(counts)
+                border.append(key[now[~known & ~before]])
+            at, k, rest = np.concatenate(ats), np.concatenate(ks), np.unique(np.concatenate(border), return_counts=True)
+            texts, lang = [st.texts(at, k)], [st.lang[st.doc[at]]]
             if old is None:
-                # one row a language with the number of its words
                 some, total = np.unique(st.lang[st.doc], return_counts=True)
-                lang = pa.concat_arrays([lang, st.langs.take(pa.array(some))])
-                text = pa.concat_arrays([text, pa.array([""] * len(some), pa.large_string())])
-                salt = np.array([st.salt[np.argmax(st.lang[st.doc] == c)] for c in some], np.uint64)
-                key, k = np.r_[key, salt], np.r_[k, np.zeros(len(some), np.int64)]
-                flag, n = np.r_[flag, np.ones(len(some), bool)], np.r_[n, total]
-            held.append((lang, text, key, k, flag, n))
-            size += len(key)
-            if size > HELD:
-                yield added()
-                held, size = [], 0
-        if held:
-            yield added()
+                texts.append(pa.array([""] * len(some), pa.large_string()))
+                lang.append(some)
+                keys.append(np.zeros(len(some), np.uint64))
+                counts.append(total)
+            named = pc.binary_join_element_wise(st.langs.cast(pa.large_string()).take(pa.array(np.concatenate(lang))),
+                                                pa.concat_arrays(texts), pa.scalar("\t", pa.large_string()))
+            yield pa.record_batch([
+                pa.array(np.concatenate((*keys, rest[0])).view(np.int64)),
+                pa.concat_arrays([named.cast(pa.string()), pa.nulls(len(rest[0]), pa.string())]),
+                pa.array(np.concatenate((*counts, rest[1])).astype(np.int64))], ["key", "phrase", "n"])
 
     return run
 
@@ -236,11 +223,10 @@ def frequent_ngrams(docs: DataFrame, least: int = LEAST, text_col: str = "text",
     while True:
         sent = spark.sparkContext.broadcast((new, old))
         rows = narrow.mapInArrow(_counter(sent), _COUNTED)
-        counted = written(rows.groupBy("lang", "k", "phrase").agg(
-            F.sum("n").alias("n"), F.min("key").alias("key"), F.max("known").alias("known"))
-            .where((F.col("n") >= least) | (F.col("k") == 0)), "ngrams")
-        tables.append(counted)
-        failed = counted.where((F.col("k") > 0) & (F.col("k") < LONGEST) & ~F.col("known")).select("key")
+        counted = written(rows.groupBy("key", "phrase").agg(F.sum("n").alias("n"))
+                          .where((F.col("n") >= least) | F.col("phrase").endswith("\t")), "ngrams")
+        tables.append(counted.where("phrase is not null"))
+        failed = counted.where("phrase is null").select("key")
         if failed.isEmpty():
             break
         more = bits_of(failed, power)
@@ -248,7 +234,11 @@ def frequent_ngrams(docs: DataFrame, least: int = LEAST, text_col: str = "text",
     out = tables[0]
     for t in tables[1:]:
         out = out.union(t)
-    return out.select("lang", "k", "phrase", "n")
+    # words hold no tab, so the last one ends the language
+    phrase = F.substring_index("phrase", "\t", -1)
+    return out.select(F.expr("left(phrase, length(phrase) - length(substring_index(phrase, '\t', -1)) - 1)").alias("lang"),
+                      F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("k"),
+                      phrase.alias("phrase"), "n")
 
 
 def _words(lo, hi):
