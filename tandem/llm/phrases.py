@@ -12,7 +12,9 @@ occurrences in a language are found, with exact counts:
 3. A border n-gram that turns out frequent is a failure of the sample: it joins
    the proposals, and a further pass counts it and the n-grams that it admits.
    The passes end when none failed; every frequent n-gram has then been
-   counted, since all its parts are frequent too.
+   counted, since all its parts are frequent too.  When the failures occur
+   seldom (CLOSING), that pass counts all n-grams built on them, to any length,
+   and is the last.
 
 Tasks test "proposed" in a broadcast bit table of two bits a proposal, of 16
 bits a proposal and 2^MOST_BITS bits (64 MB) at most.  A wrong hit only makes a
@@ -46,6 +48,8 @@ from tandem.llm.common import _BASE, LOWER_CODE, _mix, documents, join_small, py
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SAMPLE, LOWERED = 16, 0.5
+#: Share of all words up to which the failures' extensions are counted unasked.
+CLOSING = 0.05
 LEAST_BITS, MOST_BITS = 20, 29
 #: Entries that a task collects before it adds them up and hands them on.
 HELD = 1 << 20
@@ -158,10 +162,11 @@ _COUNTED = "key long, phrase string, n long"
 
 def _counter(sent):
     """Counts of what the new table admits and the old one did not: proposals
-    by their text after the language and a tab, border n-grams by their key
-    alone; in the first pass also each language (with no text) and its words."""
+    (in a closing pass all of it) by their text after the language and a tab,
+    border n-grams by their key alone; in the first pass also each language
+    (with no text) and its words."""
     def run(batches):
-        new, old = sent.value
+        new, old, closing = sent.value
         for part, data, offs in steps(batches):
             st = Step(part, data, offs)
             if not len(st.h):
@@ -179,6 +184,8 @@ def _counter(sent):
                 known, was = new.has(key[now]), np.zeros(len(now), bool)
                 if old is not None:
                     was[before] = old.has(key[now[before]])
+                if closing:
+                    known |= ~before
                 in_new, in_old = np.zeros(m, bool), np.zeros(m, bool)
                 in_new[now], in_old[now] = known, was
                 text = now[known & ~was]
@@ -219,16 +226,19 @@ def frequent_ngrams(docs: DataFrame, least: int = LEAST, text_col: str = "text",
     proposed = written(some.mapInArrow(_sampled, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
                        .where(F.col("n") >= lowered).select("key"), "proposed")
     power = min(MOST_BITS, max(LEAST_BITS, (16 * proposed.count()).bit_length()))
-    new, old, tables = bits_of(proposed, power), None, []
+    new, old, closing, tables = bits_of(proposed, power), None, False, []
     while True:
-        sent = spark.sparkContext.broadcast((new, old))
+        sent = spark.sparkContext.broadcast((new, old, closing))
         rows = narrow.mapInArrow(_counter(sent), _COUNTED)
         counted = written(rows.groupBy("key", "phrase").agg(F.sum("n").alias("n"))
                           .where((F.col("n") >= least) | F.col("phrase").endswith("\t")), "ngrams")
         tables.append(counted.where("phrase is not null"))
-        failed = counted.where("phrase is null").select("key")
-        if failed.isEmpty():
+        failed = counted.where("phrase is null")
+        missed = failed.agg(F.sum("n")).first()[0]
+        if missed is None:
             break
+        total = tables[0].where(F.col("phrase").endswith("\t")).agg(F.sum("n")).first()[0]
+        closing = missed <= CLOSING * total
         more = bits_of(failed, power)
         new, old = Bits(power, new.packed | more.packed), new
     out = tables[0]

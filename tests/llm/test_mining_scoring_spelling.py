@@ -51,9 +51,10 @@ MARKED = [(50 + i, t, "fr", "s", 1) for i, t in enumerate(
      "é è é è é è!? é è", "x" * 3000 + " y z y z"] * 3)]
 
 
-@pytest.mark.parametrize("sample", [1, 16, 100_000])
-def test_phrases(spark, sample):
+@pytest.mark.parametrize("sample,closing", [(1, 0.05), (16, 1.0), (100_000, 0.0)])
+def test_phrases(spark, monkeypatch, sample, closing):
     """Whole, partial and empty samples: the passes over the border mend what a sample misses."""
+    monkeypatch.setattr(phrases, "CLOSING", closing)
     for df, least in ((documents(spark, SF), 20), (clashing(odd_rows(spark, MARKED)), 2), (empty(spark), 2)):
         got = phrases.collocations(df, least=least, sample=sample).drop("cut")
         rows = [tuple(r) for r in got.collect()]
