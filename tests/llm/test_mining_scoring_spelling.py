@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import LONG, SCHEMA, SF, cases, clashing, empty, lower, odd_rows, split
 
-from tandem.llm import phrases
+from tandem.llm import phrases, spelling
 from tandem.llm.common import documents
 
 # ------------------------------------------------------------------ 11 phrases
@@ -69,3 +69,80 @@ def test_phrases_top_and_full_bit_table(spark, monkeypatch):
     rows = {tuple(r) for r in phrases.collocations(df, least=5, top=7).drop("cut").collect()}
     assert rows == brute_phrases([(r.text, r.lang) for r in df.collect()], 5, 7)
     assert max(r[1] for r in rows) == 7
+
+
+# ------------------------------------------------------------------ 13 spelling
+
+def brute_near_words(words):
+    """Near words through single deletions."""
+    words, near, holes = set(words), defaultdict(set), defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            less = w[:i] + w[i + 1:]
+            holes[i, less].add(w)
+            if less in words:
+                near[w].add(less)
+                near[less].add(w)
+    for same in holes.values():
+        for w in same:
+            near[w] |= same - {w}
+    return near
+
+
+def brute_variants(rows):
+    n = Counter()
+    for i, text in rows:
+        for w in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            w = lower(w)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 31 == 0:
+                at = h % len(w)
+                w = w[:at] + w[at + 1:]
+            n[w] += 1
+    n = {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+    near, form = brute_near_words(n), {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 10 * n[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return {(w, form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n}
+
+
+def misspelt(rng, word, edits):
+    for _ in range(edits):
+        i, c = rng.randrange(len(word)), rng.choice("abceñßÿz")
+        word = rng.choice((word[:i] + word[i + 1:], word[:i] + c + word[i:], word[:i] + c + word[i + 1:]))
+    return word
+
+
+def test_spelling(spark):
+    rng = random.Random(9)
+    base = ["Straßenbahn", "aaaaaaaa", "abababababab", "mississippi", "ÉTÉÉTÉÉTÉ", "nebenwirkung", "x" * 300]
+    texts = [" ".join(rng.choice(base) for _ in range(40)) for _ in range(100)]
+    texts += [" ".join([misspelt(rng, w, rng.choice((1, 1, 2)))] * rng.choice((2, 3, 30))) for w in base for _ in range(60)]
+    extra = [(100 + i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    for df in (documents(spark, SF), clashing(odd_rows(spark, extra)), empty(spark)):
+        got = spelling.variants(spelling.written(spelling.vocabulary(df), "v"))
+        assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len({r[0] for r in rows})
+        assert set(rows) == brute_variants([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+    chained = [r for r in brute_variants([(i, t) for i, t, *_ in extra]) if r[1] and r[2] != r[1]]
+    assert chained  # some root is two steps away
+
+
+def test_near_words_over_split_shards(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "SHARD", 50)
+    monkeypatch.setattr(spelling, "HOT", 7)
+    rng = random.Random(10)
+    words = sorted({misspelt(rng, rng.choice(("verzeichnis", "verzeichnet", "aufverzeichnis", "abc", "anna")), 2) for _ in range(900)})
+    words = [w for w in words if len(w) > 1]
+    df = spark.createDataFrame([(w, 1 + len(w) % 4) for w in words], "word string, n long")
+    got = Counter((r.word, r.near) for r in spelling.near_words(df).collect())
+    assert set(got.values()) == {1}
+    assert set(got) == {(w, x) for w, some in brute_near_words(words).items() for x in some}
