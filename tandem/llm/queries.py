@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tandem.llm import (decontaminate, language, licenses, mixing, partenum, phrases, pivots, quality, sharding, spelling,
-                        substrings, token_files)
+from tandem.llm import (decontaminate, language, licenses, mixing, partenum, phrases, pivots, quality, scoring, sharding,
+                        spelling, substrings, token_files)
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_sharding": sharding.op10_sharding,
     "op11_phrase_mining": phrases.op11_phrase_mining,
+    "op12_lm_scoring": scoring.op12_lm_scoring,
     "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 

@@ -1,6 +1,7 @@
 """Phrase mining, language-model scoring and spelling variants against plain
 versions."""
 
+import math
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import LONG, SCHEMA, SF, cases, clashing, empty, lower, odd_rows, split
 
-from tandem.llm import phrases, spelling
+from tandem.llm import phrases, scoring, spelling
 from tandem.llm.common import documents
 
 # ------------------------------------------------------------------ 11 phrases
@@ -146,3 +147,70 @@ def test_near_words_over_split_shards(spark, monkeypatch):
     got = Counter((r.word, r.near) for r in spelling.near_words(df).collect())
     assert set(got.values()) == {1}
     assert set(got) == {(w, x) for w, some in brute_near_words(words).items() for x in some}
+
+
+# ------------------------------------------------------------------- 12 scoring
+
+def brute_scores(rows, m2=scoring.M2, m3=scoring.M3):
+    """The smoothed probabilities by their formulas, token by token."""
+    docs = [(i, lower(t)) for i, t in rows]
+    docs = [(i, split(t) + [None]) for i, t in docs]  # None: the end
+    held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in docs]
+    c = Counter()
+    for (_, w), h in zip(docs, held, strict=True):
+        if not h:
+            s = ["<start>", *w]
+            for k in (1, 2, 3):
+                c.update((k, *s[j:j + k]) for j in range(1 if k == 1 else 0, len(s) - k + 1))
+            c[1, "<start>"] += 1
+    n = sum(v for g, v in c.items() if g[0] == 1 and g[1] != "<start>")
+    v = sum(1 for g in c if g[0] == 1 and g[1] != "<start>")
+    out = []
+    for (i, w), h in zip(docs, held, strict=True):
+        s, base, score = ["<start>", *w], 0.0, 0.0
+        for j in range(1, len(s)):
+            p = (c[1, s[j]] + 0.5) / (n + 0.5 * (v + 1))
+            base += math.log10(p)
+            p = (c[2, s[j - 1], s[j]] + m2 * p) / (c[1, s[j - 1]] + m2)
+            if j > 1:
+                p = (c[3, s[j - 2], s[j - 1], s[j]] + m3 * p) / (c[2, s[j - 2], s[j - 1]] + m3)
+            score += math.log10(p)
+        out.append((i, h, len(w), sum(c[1, x] > 0 for x in w), n, base, score))
+    return out
+
+
+def same_scores(got, want):
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[5], 3), round(r[6], 3))
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-6, rel=1e-9) and a[6] == pytest.approx(b[6], abs=1e-6, rel=1e-9)
+
+
+def test_scoring(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "SHARD", 40_000)  # many small shards
+    for df in cases(spark):
+        same_scores(scoring.scored(df).collect(), brute_scores([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]))
+    copies = spark.createDataFrame([(i, t) for i, t in enumerate([LONG, "a b  A b"] * 20)], "doc_id long, text string")
+    got = defaultdict(set)
+    for r in scoring.scored(copies).collect():
+        got[r.n_tokens].add(r.score)
+    assert {len(v) for v in got.values()} == {1}
+
+
+def test_scoring_query_and_held_out_gain(spark):
+    got = scoring.op12_lm_scoring(spark, "/root/testdata/sf0.01")
+    assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    rows = got.where("held_out").collect()
+    assert sum(r.score for r in rows) > 0.97 * sum(r.base_score for r in rows)  # both negative
+    docs = documents(spark, "/root/testdata/sf0.01")
+    same_scores(got.collect(), brute_scores([(r.doc_id, r.text) for r in docs.collect()]))
+
+
+def test_scoring_without_training_documents_and_unstable_input(spark):
+    one = spark.createDataFrame([(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1], "doc_id long, text string")
+    assert {(r.train_tokens, r.n_known, r.score, r.base_score) for r in scoring.scored(one).collect()} == {(0, 0, 0.0, 0.0)}
+    drawn = F.udf(lambda i: f"{i} {random.random()}").asNondeterministic()
+    moving = spark.range(200).select(F.col("id").alias("doc_id"), drawn("id").alias("text"))
+    with pytest.raises(Exception, match="another order"):
+        scoring.scored(moving).collect()
