@@ -73,9 +73,9 @@ class Block:
     """Some documents' token sequences (start mark, words, end mark) and their
     distinct n-grams."""
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray):
-        _, _, doc, h = words(data, offs, code=LOWER_CODE)
-        n = np.bincount(doc, minlength=len(offs) - 1)
+    def __init__(self, h: np.ndarray, n: np.ndarray):
+        """``h``: the hashes of all words; ``n``: the number of each document's."""
+        doc = np.repeat(np.arange(len(n)), n)
         self.n = n + 1                                   # tokens a document
         self.first = np.cumsum(n + 2) - (n + 2)          # place of its start mark
         seq = np.empty(int((n + 2).sum()), np.uint64)
@@ -84,56 +84,66 @@ class Block:
         seq[np.arange(len(h)) + 2 * doc + 1] = h
         self.seq = seq
         self.doc = np.repeat(np.arange(len(n)), n + 2)
-        self.word = np.setdiff1d(np.arange(len(seq)), self.first, assume_unique=True)  # all tokens
-        self.third = self.word[self.doc[self.word] == self.doc[np.maximum(self.word - 2, 0)]]
-        self.third = self.third[self.third - 2 >= self.first[self.doc[self.third]]]
+        token = np.ones(len(seq), bool)
+        token[self.first] = False
+        self.word = np.flatnonzero(token)                # all tokens
+        token[self.first + 1] = False
+        self.third = np.flatnonzero(token)               # those with two before them
         with np.errstate(over="ignore"):
             two = seq[self.word - 1] * _U(_BASE) + seq[self.word]
             three = (seq[self.third - 2] * _U(_BASE) + seq[self.third - 1]) * _U(_BASE) + seq[self.third]
-        # the two lowest bits tell the order
-        self.key, self.at, self.of = np.unique(np.concatenate(
-            [_mix(x) & ~_U(3) | _U(k) for k, x in ((1, seq[self.word]), (2, two), (3, three))]),
-            return_index=True, return_inverse=True)
+        # the order stands in the two highest bits, so the three parts together are sorted
+        each = [np.unique(_mix(x) >> _U(2) | _U(k << 62), return_inverse=True)
+                for k, x in ((1, seq[self.word]), (2, two), (3, three))]
+        self.key = np.concatenate([u for u, _ in each])
+        self.of = np.concatenate([of + at for (_, of), at in zip(each, np.cumsum([0] + [len(u) for u, _ in each]), strict=False)])
+        #: a place where each n-gram ends
+        self.at = np.empty(len(self.key), np.int64)
+        self.at[self.of] = np.concatenate((self.word, self.word, self.third))
 
     def training_counts(self, learns: np.ndarray) -> np.ndarray:
         at = np.concatenate((self.word, self.word, self.third))
         return np.bincount(self.of, learns[self.doc[at]], len(self.key)).astype(np.int64)
 
-    def cuts(self, shards: int) -> np.ndarray:
-        """Bounds of the shards' ranges within the sorted keys."""
-        low = [-(-(i << 64) // shards) for i in range(1, shards)]
-        return np.concatenate(([0], np.searchsorted(self.key, np.array(low, np.uint64)), [len(self.key)]))
+    def parts(self, shards: int) -> list[np.ndarray]:
+        """The numbers of each shard's keys: an equal range of each order."""
+        low = [(k << 62) + -(-(i << 62) // shards) for k in (1, 2, 3) for i in range(shards)]
+        cut = np.append(np.searchsorted(self.key, np.array(low, np.uint64)), len(self.key))
+        return [np.concatenate([np.arange(cut[j], cut[j + 1]) for j in (i, i + shards, i + 2 * shards)]) for i in range(shards)]
 
 
 def _blocks(batches):
-    """(number, ids, held_out, bytes, offsets) of each block of a partition."""
-    part = TaskContext.get().partitionId()
-    number, held, size = 0, [], 0
-
-    def joined():
-        ids = pa.concat_arrays([h[0] for h in held])
-        out = np.concatenate([h[1] for h in held])
-        offs = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(h[3]) for h in held]))])
-        return (part << 32) + number, ids, out, np.concatenate([h[2] for h in held]), offs
-
-    for rows, data, offs in steps(batches):
-        held.append((rows.column("id"), rows.column("held_out").to_numpy(zero_copy_only=False), data, offs))
-        size += len(data)
+    """(number, steps) of each block of a partition."""
+    part = TaskContext.get().partitionId() << 32
+    held, size = [], 0
+    for step in steps(batches):
+        held.append(step)
+        size += len(step[1])
         if size >= BLOCK:
-            yield joined()
-            number, held, size = number + 1, [], 0
+            yield part, held
+            part, held, size = part + 1, [], 0
     if held:
-        yield joined()
+        yield part, held
+
+
+def _hashed(some) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and numbers of words of (bytes, offsets) one after another."""
+    h, n = [], []
+    for data, offs in some:
+        _, _, doc, x = words(data, offs, code=LOWER_CODE)
+        h.append(x)
+        n.append(np.bincount(doc, minlength=len(offs) - 1))
+    return np.concatenate(h), np.concatenate(n)
 
 
 def _send_keys(shards: int):
     def run(batches):
-        for number, _, out, data, offs in _blocks(batches):
-            b = Block(data, offs)
-            n, cut = b.training_counts(~out), b.cuts(shards)
-            some = np.flatnonzero(np.diff(cut))
-            rows = [(int(i), number, cut[i + 1] - cut[i], pack(np.diff(b.key[cut[i]:cut[i + 1]], prepend=_U(0))),
-                     pack(n[cut[i]:cut[i + 1]])) for i in some]
+        for number, held in _blocks(batches):
+            b = Block(*_hashed((data, offs) for _, data, offs in held))
+            out = np.concatenate([rows.column("held_out").to_numpy(zero_copy_only=False) for rows, _, _ in held])
+            n = b.training_counts(~out)
+            rows = [(i, number, len(p), pack(np.diff(b.key[p], prepend=_U(0))), pack(n[p]))
+                    for i, p in enumerate(b.parts(shards)) if len(p)]
             names = ["shard", "block", "size", "keys", "counts"]
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -151,7 +161,7 @@ def _add_up(rows: pa.Table) -> pa.Table:
     key, of = np.unique(np.concatenate(key), return_inverse=True)
     total = np.bincount(of, count.astype(np.float64)).astype(np.int64)
     cut = np.concatenate(([0], np.cumsum(size)))
-    word = (key & _U(3)) == 1
+    word = key >> _U(62) == 1
     stats = np.array([total[word].sum(), (total[word] > 0).sum()])
     m = rows.num_rows
     return pa.table({
@@ -171,8 +181,8 @@ class Automaton:
     the start mark), the states after these have the block's known bigrams."""
 
     def __init__(self, b: Block, total: np.ndarray, n_tokens: int, n_words: int, m2: float = M2, m3: float = M3):
-        order = b.key & _U(3)
-        place = np.concatenate((b.word, b.word, b.third))[b.at]          # where each n-gram stands first
+        order = (b.key >> _U(62)).astype(np.int64)
+        place = b.at
         number = np.cumsum(order == 1) - 1                               # of a word among words
         one = np.full(len(b.seq), -1)
         one[b.word] = number[b.of[:len(b.word)]]
@@ -259,29 +269,31 @@ class Automaton:
 
 
 def _send_texts(batches):
-    for number, ids, out, data, offs in _blocks(batches):
-        raw = data.tobytes()
+    for number, held in _blocks(batches):
+        ids = pa.concat_arrays([rows.column("id") for rows, _, _ in held])
+        out = np.concatenate([rows.column("held_out").to_numpy(zero_copy_only=False) for rows, _, _ in held])
+        raw = [data.tobytes() for _, data, _ in held]
         yield pa.record_batch([
             pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids),
-            pa.array([out.tolist()], pa.list_(pa.bool_())), pa.array([len(raw)], pa.int64()),
-            pa.array([pa.compress(raw, codec="zstd", asbytes=True) if raw else b""], pa.binary()),
-            pa.array([pack(offs)], pa.binary())], ["block", "ids", "held_out", "size", "text", "offs"])
+            pa.array([out.tolist()], pa.list_(pa.bool_())), pa.array([[len(x) for x in raw]], pa.list_(pa.int64())),
+            pa.array([[pa.compress(x, codec="zstd", asbytes=True) for x in raw]], pa.list_(pa.binary())),
+            pa.array([[pack(offs) for _, _, offs in held]], pa.list_(pa.binary())),
+            pa.array([[len(offs) for _, _, offs in held]], pa.list_(pa.int64()))], ["block", "ids", "held_out", "size", "text", "offs", "rows"])
 
 
 def _traverse(shards: int, n_tokens: int, n_words: int, m2: float, m3: float):
     def run(texts: pa.Table, totals: pa.Table) -> pa.Table:
-        row = {c: texts.column(c)[0].as_py() for c in ("held_out", "size", "text", "offs")}
+        row = {c: texts.column(c)[0].as_py() for c in ("held_out", "size", "text", "offs", "rows")}
         ids = texts.column("ids").combine_chunks().flatten()
-        raw = pa.decompress(row["text"], row["size"], codec="zstd", asbytes=True) if row["size"] else b""
-        offs = unpack(row["offs"], len(ids) + 1).astype(np.int64)
-        b = Block(np.frombuffer(raw, np.uint8), offs)
-        cut, total, seen = b.cuts(shards), np.zeros(len(b.key), np.int64), 0
+        b = Block(*_hashed((np.frombuffer(pa.decompress(t, n, codec="zstd", asbytes=True), np.uint8), unpack(o, m).astype(np.int64))
+                           for t, n, o, m in zip(row["text"], row["size"], row["offs"], row["rows"], strict=True)))
+        parts, total, seen = b.parts(shards), np.zeros(len(b.key), np.int64), 0
         for shard, check, packed in zip(*(totals.column(c).to_pylist() for c in ("shard", "check", "totals")), strict=True):
-            a, z = cut[shard], cut[shard + 1]
-            if a == z or int(np.bitwise_xor.reduce(b.key[a:z]).view(np.int64)) != check:
+            p = parts[shard]
+            if not len(p) or int(np.bitwise_xor.reduce(b.key[p]).view(np.int64)) != check:
                 raise RuntimeError("the documents came in another order when read again; write them to a table first")
-            total[a:z] = unpack(packed, z - a).astype(np.int64)
-            seen += z - a
+            total[p] = unpack(packed, len(p)).astype(np.int64)
+            seen += len(p)
         if seen != len(b.key):
             raise RuntimeError("the documents came in another order when read again; write them to a table first")
         auto = Automaton(b, total, n_tokens, n_words, m2, m3)
@@ -316,7 +328,8 @@ def scored(docs: DataFrame, held: Column | None = None, id_col: str = "doc_id",
     totals = written(keys.groupBy("shard").applyInArrow(
         _add_up, "block long, shard int, check long, n_tokens long, n_words long, totals binary"), "totals")
     n = totals.where("block = -1").agg(F.sum("n_tokens"), F.sum("n_words")).first()
-    texts = rows.mapInArrow(_send_texts, f"block long, ids array<{kind}>, held_out array<boolean>, size long, text binary, offs binary")
+    texts = rows.mapInArrow(_send_texts, f"""block long, ids array<{kind}>, held_out array<boolean>,
+                              size array<long>, text array<binary>, offs array<binary>, rows array<long>""")
     back = totals.where("block >= 0").select("block", "shard", "check", "totals")
     return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         _traverse(shards, n[0] or 0, n[1] or 0, m2, m3),
