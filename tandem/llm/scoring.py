@@ -47,7 +47,7 @@ from tandem.llm.common import _BASE, _mix, LOWER_CODE, documents, python_ready,
 #: Dirichlet strengths of the bigram and trigram level.
 M2, M3 = 1000.0, 100.0
 #: Text bytes of a block, text bytes whose n-grams a shard holds, tokens of a lane.
-BLOCK, SHARD, LANE = 8 << 20, 16 << 20, 256
+BLOCK, SHARD, LANE = 4 << 20, 16 << 20, 256
 _U = np.uint64
 START, END = (_mix(np.array([x], np.uint64))[0] for x in (0x5354415254, 0x454E44))
 
@@ -112,35 +112,35 @@ class Block:
         return [np.concatenate([np.arange(cut[j], cut[j + 1]) for j in (i, i + shards, i + 2 * shards)]) for i in range(shards)]
 
 
-def _blocks(batches):
-    """(number, steps) of each block of a partition."""
-    part = TaskContext.get().partitionId() << 32
+def _blocks(batches, take):
+    """(number, what ``take`` makes of each step) of each block of a partition."""
+    block = TaskContext.get().partitionId() << 32
     held, size = [], 0
-    for step in steps(batches):
-        held.append(step)
-        size += len(step[1])
+    for rows, data, offs in steps(batches):
+        held.append(take(rows, data, offs))
+        size += len(data)
         if size >= BLOCK:
-            yield part, held
-            part, held, size = part + 1, [], 0
+            yield block, held
+            block, held, size = block + 1, [], 0
     if held:
-        yield part, held
+        yield block, held
 
 
-def _hashed(some) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and numbers of words of (bytes, offsets) one after another."""
-    h, n = [], []
-    for data, offs in some:
-        _, _, doc, x = words(data, offs, code=LOWER_CODE)
-        h.append(x)
-        n.append(np.bincount(doc, minlength=len(offs) - 1))
-    return np.concatenate(h), np.concatenate(n)
+def _hashed(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All words' hashes, and each document's number of words."""
+    _, _, doc, h = words(data, offs, code=LOWER_CODE)
+    return h, np.bincount(doc, minlength=len(offs) - 1)
+
+
+def _out(rows) -> np.ndarray:
+    return rows.column("held_out").to_numpy(zero_copy_only=False)
 
 
 def _send_keys(shards: int):
     def run(batches):
-        for number, held in _blocks(batches):
-            b = Block(*_hashed((data, offs) for _, data, offs in held))
-            out = np.concatenate([rows.column("held_out").to_numpy(zero_copy_only=False) for rows, _, _ in held])
+        for number, held in _blocks(batches, lambda rows, data, offs: (_out(rows), *_hashed(data, offs))):
+            out, h, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            b = Block(h, n)
             n = b.training_counts(~out)
             rows = [(i, number, len(p), pack(np.diff(b.key[p], prepend=_U(0))), pack(n[p]))
                     for i, p in enumerate(b.parts(shards)) if len(p)]
@@ -269,24 +269,27 @@ class Automaton:
 
 
 def _send_texts(batches):
-    for number, held in _blocks(batches):
-        ids = pa.concat_arrays([rows.column("id") for rows, _, _ in held])
-        out = np.concatenate([rows.column("held_out").to_numpy(zero_copy_only=False) for rows, _, _ in held])
-        raw = [data.tobytes() for _, data, _ in held]
-        yield pa.record_batch([
-            pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids),
-            pa.array([out.tolist()], pa.list_(pa.bool_())), pa.array([[len(x) for x in raw]], pa.list_(pa.int64())),
-            pa.array([[pa.compress(x, codec="zstd", asbytes=True) for x in raw]], pa.list_(pa.binary())),
-            pa.array([[pack(offs) for _, _, offs in held]], pa.list_(pa.binary())),
-            pa.array([[len(offs) for _, _, offs in held]], pa.list_(pa.int64()))], ["block", "ids", "held_out", "size", "text", "offs", "rows"])
+    def take(rows, data, offs):
+        raw = data.tobytes()
+        return (pa.array(rows.column("id").to_pylist(), rows.column("id").type), _out(rows).tolist(), len(raw),
+                pa.compress(raw, codec="zstd", asbytes=True), pack(offs), len(offs))
+
+    for number, held in _blocks(batches, take):
+        ids, out, size, text, offs, rows = zip(*held, strict=True)
+        ids = pa.concat_arrays(ids)
+        lists = [pa.array([list(x)], pa.list_(t)) for x, t in (
+            (sum(out, []), pa.bool_()), (size, pa.int64()), (text, pa.binary()), (offs, pa.binary()), (rows, pa.int64()))]
+        yield pa.record_batch([pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids), *lists],
+                              ["block", "ids", "held_out", "size", "text", "offs", "rows"])
 
 
 def _traverse(shards: int, n_tokens: int, n_words: int, m2: float, m3: float):
     def run(texts: pa.Table, totals: pa.Table) -> pa.Table:
         row = {c: texts.column(c)[0].as_py() for c in ("held_out", "size", "text", "offs", "rows")}
         ids = texts.column("ids").combine_chunks().flatten()
-        b = Block(*_hashed((np.frombuffer(pa.decompress(t, n, codec="zstd", asbytes=True), np.uint8), unpack(o, m).astype(np.int64))
-                           for t, n, o, m in zip(row["text"], row["size"], row["offs"], row["rows"], strict=True)))
+        h = [_hashed(np.frombuffer(pa.decompress(t, n, codec="zstd", asbytes=True), np.uint8), unpack(o, m).astype(np.int64))
+             for t, n, o, m in zip(row["text"], row["size"], row["offs"], row["rows"], strict=True)]
+        b = Block(*(np.concatenate(x) for x in zip(*h, strict=True)))
         parts, total, seen = b.parts(shards), np.zeros(len(b.key), np.int64), 0
         for shard, check, packed in zip(*(totals.column(c).to_pylist() for c in ("shard", "check", "totals")), strict=True):
             p = parts[shard]
