@@ -17,11 +17,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from tandem.config import VOCAB_SIZE  # noqa: E402
 from tandem.operators import batching as B  # noqa: E402
 from tandem.operators import clean as C  # noqa: E402
 from tandem.operators import encode as E  # noqa: E402
 from tandem.operators import evaluate as EV  # noqa: E402
 from tandem.operators import vocab as V  # noqa: E402
+from tandem.operators.bpe import bpe_train  # noqa: E402
 from tandem.plans.evaluate import pred_ref  # noqa: E402
 from tandem.session import build_session  # noqa: E402
 from tandem.sources import fixtures as FX  # noqa: E402
@@ -40,7 +42,7 @@ def _write(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    vocab_size = int(os.environ.get("BENCH_BPE_VOCAB", "200"))
+    vocab_size = int(os.environ.get("BENCH_BPE_VOCAB", VOCAB_SIZE))
     spark = build_session(f"local[{cpus}]", app="tandem-bench", shuffle_partitions=max(8, cpus * 2),
                           extra={"spark.driver.memory": "16g"})
     if spark.sparkContext.getCheckpointDir() is None and not spark.sparkContext.getConf().get(
@@ -80,7 +82,7 @@ def main() -> None:
         _write(B.prepare_batches(E.word_vocab_encode_pairs(p, vocab)))
     timed("prepare_batches", prepare)
 
-    model = timed("bpe_train", lambda: V.bpe_train(
+    model = timed("bpe_train", lambda: bpe_train(
         spark, V.word_counts(V.stack_languages(pairs)).checkpoint(), vocab_size))
     extra["bpe_rounds"] = model.rounds
     extra["bpe_merges"] = len(model.merges)

@@ -1,40 +1,19 @@
-"""Vocabulary: word counts, alphabet, pair counts, best pair and BPE
-training (A10-A13, A19, O7, U1, U3).
-
-BPE training is an iterative Spark job over the table of *distinct* words
-``(word, n, syms)`` where ``syms`` is the word's current symbol ids as a
-space-delimited string (" 12 7 9 ").  Each round:
-
-1. one distributed aggregation counts every adjacent pair together with its
-   largest left- and right-neighbour trigram count;
-2. the top ``candidates`` pairs (bounded) come to the driver, which accepts
-   a strict prefix of merges that a one-merge-per-round loop would also pick
-   (a merge can only create pairs whose count is bounded by its trigram
-   counts, and accepted merges must not touch each other's symbols);
-3. the accepted merges rewrite ``syms`` with JVM regex replacements, words
-   reduced to one symbol leave the table, and lineage is cut with a reliable
-   checkpoint every few rounds.
+"""Vocabulary: word counts, alphabet, pair counts and best pair (A10-A12, O7,
+U1).  The trainer on top of them is in ``bpe.py``.
 
 The scale-dependent part (counting words over the whole corpus) is a single
-partial+final hash aggregation; the loop runs over distinct words only.
+partial+final hash aggregation; all else runs over distinct words only.
 """
 
 from __future__ import annotations
 
-import logging
-import time
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tandem.config import SPECIAL_TOKENS
 from tandem.functions.text import normalize_frame, pretokenize
 from tandem.session import join_measured
 
-log = logging.getLogger(__name__)
-
 UNICODE_WS_SPLIT = r"(?U)\s+"
 ONE_CHAR = r"(?s)."
 
@@ -114,110 +93,3 @@ def pair_stats(words: DataFrame) -> DataFrame:
 def best_pair(stats: DataFrame) -> DataFrame:
     """Pair with the highest count, ties → smallest (a, b)."""
     return stats.orderBy(F.desc("n"), "a", "b").limit(1)
-
-
-@dataclass
-class BpeModel:
-    vocab: list  # index = id, value = token string
-    merges: list  # (left_token, right_token) in rank order
-    rounds: int = 0
-
-    def vocab_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(t, i) for i, t in enumerate(self.vocab)],
-                                     "token string, id int")
-
-    def merges_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(r, a, b) for r, (a, b) in enumerate(self.merges)],
-                                     "rank int, left string, right string")
-
-
-def _apply_merges(col, merges_ids):
-    """Apply merges in order, each left-to-right and non-overlapping: one JVM
-    regex replacement per merge."""
-    s = col
-    for a, b, new in merges_ids:
-        s = F.regexp_replace(s, f"(?<= ){a} {b}(?= )", str(new))
-    return s
-
-
-WORDS_PER_PARTITION = 200_000
-
-
-def bpe_train(spark: SparkSession, words: DataFrame, vocab_size: int,
-              specials=tuple(SPECIAL_TOKENS), candidates: int = 256,
-              checkpoint_every: int = 8, max_rounds: int | None = None) -> BpeModel:
-    """Learn BPE merges over ``words(word, n)``.
-
-    Exact w.r.t. a one-merge-at-a-time trainer: highest count first, ties to
-    the smallest (left id, right id); a merge whose string already exists is
-    recorded but does not grow the vocabulary.
-    """
-    from tandem.session import checkpoint_root
-    checkpoint_root(spark)
-    alphabet = char_alphabet(words, len(specials))
-    alpha_rows = alphabet.orderBy("id").collect()  # bounded by the character set
-    vocab = list(specials) + [r["token"] for r in alpha_rows]
-    index = {t: i for i, t in enumerate(vocab)}
-    merges: list = []
-    cur = words_to_symbols(words, alphabet).filter(F.size(_sym_array()) >= 2)
-    cur = cur.checkpoint(eager=True)
-    n_words = cur.count()
-    n_parts = max(spark.sparkContext.defaultParallelism, -(-n_words // WORDS_PER_PARTITION))
-    if cur.rdd.getNumPartitions() > n_parts:
-        cur = cur.coalesce(n_parts)
-    rounds = 0
-    cached: list = []
-    while len(vocab) < vocab_size:
-        if max_rounds is not None and rounds >= max_rounds:
-            break
-        t0 = time.time()
-        # one aggregation gives every pair's count and its trigram bound
-        top = pair_stats(cur).orderBy(F.desc("n"), "a", "b").limit(candidates).collect()
-        # the job above materialised ``cur``; older cached rounds can go
-        while len(cached) > 1:
-            cached.pop(0).unpersist()
-        if not top or top[0]["n"] is None or top[0]["n"] < 1:
-            break
-        bounds = {(r["a"], r["b"]): r["bound"] for r in top}
-        log.debug("bpe round %d: %d candidates in %.2fs", rounds, len(top), time.time() - t0)
-        accepted = []  # (a, b, new_id)
-        bound = -1
-        lefts, rights = set(), set()
-        for r in top:
-            a, b, n = r["a"], r["b"], r["n"]
-            new_tok = vocab[a] + vocab[b]
-            if accepted:
-                # stop at the first candidate a sequential trainer might not
-                # pick next: vocabulary full, a created pair could outrank
-                # it, an accepted merge changes its count, or its string
-                # exists already
-                if len(vocab) >= vocab_size or not n > bound:
-                    break
-                if a in rights or b in lefts or new_tok in index:
-                    break
-            if new_tok in index:
-                merges.append((vocab[a], vocab[b]))
-                accepted.append((a, b, index[new_tok]))
-                break  # existing string: this merge alone in its round
-            new_id = len(vocab)
-            vocab.append(new_tok)
-            index[new_tok] = new_id
-            merges.append((vocab[a], vocab[b]))
-            accepted.append((a, b, new_id))
-            lefts.add(a)
-            rights.add(b)
-            if (a, b) not in bounds:
-                break  # no bound computed: stop the batch here
-            bound = max(bound, bounds[(a, b)])
-        rounds += 1
-        nxt = (cur.withColumn("syms", _apply_merges(F.col("syms"), accepted))
-               .filter(F.size(_sym_array()) >= 2))
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)  # reliable: survives executor loss
-        else:
-            nxt = nxt.persist()
-            cached.append(nxt)
-        cur = nxt
-    for c in cached:
-        c.unpersist()
-    return BpeModel(vocab=vocab, merges=merges, rounds=rounds)

@@ -11,6 +11,7 @@ from tandem.functions.text import detokenize, drop_special_tokens
 from tandem.operators import batching as B
 from tandem.operators import encode as E
 from tandem.operators import vocab as V
+from tandem.operators.bpe import bpe_train
 from tandem.plans.registry import query
 from tandem.plans.sql import md5_sql, with_pairs
 from tandem.session import cut_lineage, join_measured, read_table
@@ -71,12 +72,9 @@ def _batched(spark, sf_dir):
     return B.batch_assign(_encoded(spark, sf_dir))
 
 
-#: Vocabulary size of the registered BPE queries.
-BPE_VOCAB = 200
-
-
-def _bpe(spark, sf_dir, vocab_size=BPE_VOCAB):
-    return V.bpe_train(spark, cut_lineage(_word_counts(spark, sf_dir)), vocab_size)
+def _bpe(spark, sf_dir, **kw):
+    """The BPE model of all sentences, with ``config.VOCAB_SIZE`` tokens at most."""
+    return bpe_train(spark, cut_lineage(_word_counts(spark, sf_dir)), **kw)
 
 
 def wq(body: str, ctes: str = CORPUS) -> str:
@@ -149,11 +147,45 @@ def q_best_pair(spark, sf_dir):
 
 @query("bpe_train")
 def q_bpe_train(spark, sf_dir):
-    """Merges learned to a 200-token vocabulary (checked against the public
+    """All merges up to the full vocabulary size (checked against the public
     ``tokenizers`` trainer in tests)."""
     return _bpe(spark, sf_dir).merges_df(spark)
 
 
+def _first_merges_sql(rounds: int) -> str:
+    """The trainer's definition, one materialised table of words a merge.
+    Symbols stand between chr(1) and chr(2), so a replacement merges from left
+    to right."""
+    sql = PAIR_SQL.strip() + """
+, w0 AS MATERIALIZED (SELECT n, list_transform(c, lambda x: chr(1) || x || chr(2)) AS c, array_to_string(
+    list_transform(c, lambda x: chr(1) || x || chr(2)), '') AS s FROM cw),
+v0 AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) AS id
+                    FROM (SELECT DISTINCT unnest(c) AS token FROM w0))"""
+    for r in range(rounds):
+        sql += f"""
+, b{r} AS MATERIALIZED (
+  SELECT l.token AS a, r.token AS b, chr(1) || l.token[2:-2] || r.token[2:-2] || chr(2) AS ab
+  FROM (SELECT c[i] AS a, c[i + 1] AS b, sum(n) AS n
+        FROM (SELECT n, c, unnest(range(1, len(c))) AS i FROM (
+          SELECT n, regexp_extract_all(s, '\x01[^\x02]*\x02') AS c FROM w{r})) GROUP BY ALL) p
+  JOIN v{r} l ON l.token = p.a JOIN v{r} r ON r.token = p.b ORDER BY p.n DESC, l.id, r.id LIMIT 1)
+, w{r + 1} AS MATERIALIZED (SELECT n, replace(s, (SELECT a || b FROM b{r}), (SELECT ab FROM b{r})) AS s FROM w{r})
+, v{r + 1} AS MATERIALIZED (SELECT * FROM v{r} UNION ALL SELECT ab, 1 + (SELECT max(id) FROM v{r}) FROM b{r}
+    WHERE ab NOT IN (SELECT token FROM v{r}))"""
+    return wq("" .join(sql) + " " + " UNION ALL ".join(
+        f'SELECT {r}::BIGINT AS rank, a[2:-2] AS "left", b[2:-2] AS "right" FROM b{r}' for r in range(rounds)), CORPUS)
+
+
+FIRST_MERGES = 100
+
+
+@query("bpe_first_merges", _first_merges_sql(FIRST_MERGES))
+def q_bpe_first_merges(spark, sf_dir):
+    """The first 100 merges, restated in SQL one merge after the other."""
+    m = _bpe(spark, sf_dir, max_merges=FIRST_MERGES).merges_df(spark)
+    return m.select(F.col("rank").cast("long").alias("rank"), "left", "right")
+
+
 @query("vocab_union")
 def q_vocab_union(spark, sf_dir):
     """Specials, alphabet, then each merge result unless it already exists."""

@@ -108,6 +108,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tandem-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete tables of ``scratch_path`` that no later step reads."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     checkpoint_root(df.sparkSession)

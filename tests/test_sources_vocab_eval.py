@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tandem.operators import batching as B
 from tandem.operators import runs as R
 from tandem.operators import vocab as V
+from tandem.operators.bpe import BpeModel
 from tandem.sources import aligned as A
 
 
@@ -62,23 +63,25 @@ def test_score_file_junk(spark):
 
 
 def test_bpe_matches_tokenizers_package(spark):
-    tokenizers = pytest.importorskip("tokenizers")
+    pytest.importorskip("tokenizers")
     from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
     import json
+    from tandem.operators.bpe import bpe_train
     from tandem.sources import fixtures as FX
-    p = FX.pairs(spark, "/root/testdata/sf0.001", with_score=False)
+    p = FX.pairs(spark, "/root/testdata/sf0.01", with_score=False)
     wc = V.word_counts(V.stack_languages(p)).checkpoint()
-    m = V.bpe_train(spark, wc, 150)
+    m = bpe_train(spark, wc, 2000)
     tok = Tokenizer(models.BPE(unk_token="[UNK]"))
     tok.normalizer = normalizers.Sequence([normalizers.NFKC(), normalizers.Lowercase()])
     tok.pre_tokenizer = pre_tokenizers.Whitespace()
-    tr = trainers.BpeTrainer(vocab_size=150, special_tokens=["[PAD]", "[UNK]", "[SOS]", "[EOS]"],
+    tr = trainers.BpeTrainer(vocab_size=2000, special_tokens=["[PAD]", "[UNK]", "[SOS]", "[EOS]"],
                              show_progress=False)
     rows = p.select("en", "vi").toPandas()
     tok.train_from_iterator(list(rows.en) + list(rows.vi), tr)
     j = json.loads(tok.to_str())
     hm = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in j["model"]["merges"]]
-    assert hm == [tuple(x) for x in m.merges]
+    assert hm == [tuple(x) for x in m.merges] and len(hm) > 1900
+    assert m.rounds < 20
     assert j["model"]["vocab"] == {t: i for i, t in enumerate(m.vocab)}
     # encoding with the learned merges equals the library's
     from tandem.operators.encode import bpe_encode
@@ -88,6 +91,59 @@ def test_bpe_matches_tokenizers_package(spark):
     assert got[2] == []
 
 
+def plain_bpe(words, vocab_size, specials=("[PAD]", "[UNK]", "[SOS]", "[EOS]")):
+    """One merge at a time over all words."""
+    vocab = [*specials, *sorted({c for w in words for c in w})]
+    index = {t: i for i, t in enumerate(vocab)}
+    state, merges = [([index[c] for c in w], n) for w, n in words.items()], []
+    while len(vocab) < vocab_size:
+        count = {}
+        for s, n in state:
+            for p in zip(s, s[1:]):
+                count[p] = count.get(p, 0) + n
+        if not count:
+            break
+        a, b = min(count, key=lambda p: (-count[p], p))
+        token = vocab[a] + vocab[b]
+        merges.append((vocab[a], vocab[b]))
+        if token not in index:
+            index[token] = len(vocab)
+            vocab.append(token)
+        for s, _ in state:
+            i = 0
+            while i + 1 < len(s):
+                if (s[i], s[i + 1]) == (a, b):
+                    s[i:i + 2] = [index[token]]
+                i += 1
+    return merges, vocab
+
+
+@pytest.mark.parametrize("heavy,segments,letters", [(1, 50_000, "ab"), (3, 4, "ab"), (256, 50_000, "abc"), (5, 12, "abé𝄞")])
+def test_bpe_batches_equal_single_merges(spark, heavy, segments, letters):
+    """Runs of equal letters, ties and strings made in two ways, in batches of any size."""
+    import random
+    from tandem.operators.bpe import bpe_train
+    rng = random.Random(heavy)
+    words = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))): rng.randrange(1, 9) for _ in range(60)}
+    df = spark.createDataFrame(list(words.items()), "word string, n long").repartition(3)
+    size = 40 if heavy < 256 else 10_000
+    m = bpe_train(spark, df, size, heavy=heavy, segments=segments)
+    assert (m.merges, m.vocab) == plain_bpe(words, size)
+
+
+def test_bpe_without_words_and_scratch_dropped(spark):
+    from tandem.operators.bpe import bpe_train
+    from tandem.session import checkpoint_root
+    from pathlib import Path
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.glob("tandem-bpe-*"))
+    assert bpe_train(spark, spark.createDataFrame([], "word string, n long")).merges == []
+    assert bpe_train(spark, spark.createDataFrame([("a", 3)], "word string, n long")).vocab[-1] == "a"
+    m = bpe_train(spark, spark.createDataFrame([("abab", 3), ("ba", 9)], "word string, n long"), max_merges=1)
+    assert m.merges == [("b", "a")]
+    assert set(root.glob("tandem-bpe-*")) == before
+
+
 def test_pair_tie_break(spark):
     w = spark.createDataFrame([("ab", 1, " 4 5 "), ("cd", 1, " 6 7 ")], "word string, n long, syms string")
     best = V.best_pair(V.pair_stats(w)).first()
@@ -188,7 +244,7 @@ def test_files_in_numeric_order(spark):
 
 def test_merges_round_trip_and_broken_folder(spark):
     root = tempfile.mkdtemp(prefix="tandem-tok-")
-    m = V.BpeModel(vocab=["[PAD]", "[UNK]", "[SOS]", "[EOS]", "a", "b", "ab"], merges=[("a", "b")])
+    m = BpeModel(vocab=["[PAD]", "[UNK]", "[SOS]", "[EOS]", "a", "b", "ab"], merges=[("a", "b")])
     A.save_vocab(m.vocab_df(spark), m.merges_df(spark), root)
     assert A.load_vocab(spark, root).count() == 7
     assert [(r.rank, r.left, r.right) for r in A.load_merges(spark, root).collect()] == [(0, "a", "b")]
