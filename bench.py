@@ -18,9 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tandem.config import VOCAB_SIZE  # noqa: E402
-from tandem.operators import batching as B  # noqa: E402
 from tandem.operators import clean as C  # noqa: E402
-from tandem.operators import encode as E  # noqa: E402
+from tandem.operators import epochs as EP  # noqa: E402
 from tandem.operators import evaluate as EV  # noqa: E402
 from tandem.operators import vocab as V  # noqa: E402
 from tandem.operators.bpe import bpe_train  # noqa: E402
@@ -76,17 +75,16 @@ def main() -> None:
     bleu = timed("corpus_bleu", lambda: EV.corpus_bleu(pred_ref(spark, sf_dir)).first())
     extra["bleu"] = round(bleu["bleu"], 4)
 
-    def prepare():
-        vocab = E.word_vocab(V.word_counts(V.stack_languages(pairs))).checkpoint()
-        p = FX.splits(pairs).withColumnRenamed("en", "src").withColumnRenamed("vi", "tgt")
-        _write(B.prepare_batches(E.word_vocab_encode_pairs(p, vocab)))
-    timed("prepare_batches", prepare)
-
     model = timed("bpe_train", lambda: bpe_train(
         spark, V.word_counts(V.stack_languages(pairs)).checkpoint(), vocab_size))
     extra["bpe_rounds"] = model.rounds
     extra["bpe_merges"] = len(model.merges)
-    extra["bpe_sec_per_round"] = round(times["bpe_train"] / max(1, model.rounds), 3)
+
+    def prepare():
+        root = os.path.join(_OUT, "dataset")
+        EP.save_dataset(FX.splits(pairs), root)
+        _write(EP.prepare_batches(spark, root, model))
+    timed("prepare_batches", prepare)
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",

@@ -152,27 +152,33 @@ def q_bpe_train(spark, sf_dir):
     return _bpe(spark, sf_dir).merges_df(spark)
 
 
-def _first_merges_sql(rounds: int) -> str:
-    """The trainer's definition, one materialised table of words a merge.
-    Symbols stand between chr(1) and chr(2), so a replacement merges from left
-    to right."""
-    sql = PAIR_SQL.strip() + """
-, w0 AS MATERIALIZED (SELECT n, list_transform(c, lambda x: chr(1) || x || chr(2)) AS c, array_to_string(
-    list_transform(c, lambda x: chr(1) || x || chr(2)), '') AS s FROM cw),
+def merge_chain_sql(words: str, rounds: int) -> str:
+    """The trainer's definition over a table ``(word, n, c)`` of words, counts
+    and characters (words of count 0 are merged along): materialised tables of
+    words w0, w1, ..., tokens v0, v1, ... and merges b0, b1, ....  Symbols stand
+    between chr(1) and chr(2), so a replacement merges from left to right."""
+    sql = f"""
+, w0 AS MATERIALIZED (SELECT word, n, list_transform(c, lambda x: chr(1) || x || chr(2)) AS c, array_to_string(
+    list_transform(c, lambda x: chr(1) || x || chr(2)), '') AS s FROM {words}),
 v0 AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) AS id
-                    FROM (SELECT DISTINCT unnest(c) AS token FROM w0))"""
+                    FROM (SELECT DISTINCT unnest(c) AS token FROM w0 WHERE n > 0))"""
     for r in range(rounds):
         sql += f"""
 , b{r} AS MATERIALIZED (
   SELECT l.token AS a, r.token AS b, chr(1) || l.token[2:-2] || r.token[2:-2] || chr(2) AS ab
   FROM (SELECT c[i] AS a, c[i + 1] AS b, sum(n) AS n
         FROM (SELECT n, c, unnest(range(1, len(c))) AS i FROM (
-          SELECT n, regexp_extract_all(s, '\x01[^\x02]*\x02') AS c FROM w{r})) GROUP BY ALL) p
+          SELECT n, regexp_extract_all(s, '\\x01[^\\x02]*\\x02') AS c FROM w{r} WHERE n > 0)) GROUP BY ALL) p
   JOIN v{r} l ON l.token = p.a JOIN v{r} r ON r.token = p.b ORDER BY p.n DESC, l.id, r.id LIMIT 1)
-, w{r + 1} AS MATERIALIZED (SELECT n, replace(s, (SELECT a || b FROM b{r}), (SELECT ab FROM b{r})) AS s FROM w{r})
+, w{r + 1} AS MATERIALIZED (SELECT word, n, replace(s, (SELECT a || b FROM b{r}), (SELECT ab FROM b{r})) AS s FROM w{r})
 , v{r + 1} AS MATERIALIZED (SELECT * FROM v{r} UNION ALL SELECT ab, 1 + (SELECT max(id) FROM v{r}) FROM b{r}
     WHERE ab NOT IN (SELECT token FROM v{r}))"""
-    return wq("" .join(sql) + " " + " UNION ALL ".join(
+    return sql
+
+
+def _first_merges_sql(rounds: int) -> str:
+    chain = ", cw AS (SELECT word, n, regexp_extract_all(word, '.') AS c FROM wc)" + merge_chain_sql("cw", rounds)
+    return wq(chain + " " + " UNION ALL ".join(
         f'SELECT {r}::BIGINT AS rank, a[2:-2] AS "left", b[2:-2] AS "right" FROM b{r}' for r in range(rounds)), CORPUS)
 
 
