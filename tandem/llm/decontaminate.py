@@ -159,6 +159,24 @@ def _weights(row, term, tf, idf):
     return (w / norm[row]).astype(np.float32)
 
 
+def _sums(group, weight, at, m):
+    """The groups (given in order) and, for each, the sum of weight * m[at]:
+    the groups' first entries together, then their second ones, and so on."""
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    size = np.diff(np.append(first, len(group)))
+    order = np.argsort(-size, kind="stable")
+    start, left = first[order], np.searchsorted(-size[order], -np.arange(size.max()), "left")
+    out = np.zeros((len(first), m.shape[1]), m.dtype)
+    for k, n in enumerate(left.tolist()):
+        e = start[:n] + k
+        part = m[at[e]]
+        part *= weight[e, None]
+        out[:n] += part
+    back = np.empty_like(out)
+    back[order] = out
+    return group[first], back
+
+
 def _document_frequency(batches):
     total: dict = {}
     df = np.zeros(0, np.int64)
@@ -192,12 +210,10 @@ def _gram_product(sent):
             row, t, tf, keys = _counted(doc, pos, term, PASSAGE)
             w = _weights(row, t, tf, idf)
             rows += len(keys)
-            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            y = np.add.reduceat(w[:, None] * q[t], first)
+            _, y = _sums(row, w, t, q)
             order = np.argsort(t, kind="stable")
-            t, part = t[order], w[order, None] * y[row[order]]
-            first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-            z[t[first]] += np.add.reduceat(part, first)
+            some, part = _sums(t[order], w[order], row[order], y)
+            z[some] += part
         some = [s for s in range(0, len(z), ROWS) if z[s:s + ROWS].any()]
         yield pa.record_batch([pa.array([-1, *some], pa.int32()), pa.array(
             [np.float64(rows).tobytes(), *(z[s:s + ROWS].tobytes() for s in some)], pa.binary())], ["block", "z"])
@@ -255,10 +271,10 @@ def latent_space(hits: DataFrame, items: Items, idf: np.ndarray, rank: int = RAN
 
 
 def _project(row_count, row, t, w, v):
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
     x = np.zeros((row_count, v.shape[1]), np.float32)
     if len(row):
-        x[row[first]] = np.add.reduceat(w[:, None] * v[t], first)
+        some, sums = _sums(row, w, t, v)
+        x[some] = sums
     return x
 
 
