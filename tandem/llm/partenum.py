@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from tandem.llm.common import (BYTE_CODE, LOWER_CODE, SPACE, _components, _mix, connected_components, documents,
                                join_small, ngrams, python_ready, steps, words, written)
 
-#: Members compared with one copy of a pivot's text, and sets in a tile.
-PER_PIVOT, TILE = 256, 256
+#: Members compared with one copy of a pivot's text, sets in a tile of texts,
+#: and sets in a tile of cell counts.
+PER_PIVOT, TILE, GROUP_TILE = 256, 256, 4096
 #: Cells of the counts that bound a pair's difference from below.
 CELLS = 256
 #: Shingles of one matrix product.
@@ -275,39 +276,45 @@ def _compare_tiles(k, num, den):
 
 
 def _possible_groups(num, den, block: int = 256):
-    """Rows in order of sig: for every signature group, the local components of
-    the pairs that sizes and cell counts allow."""
+    """Rows in order of (sig, ta, tb, tile): for every pair of a signature
+    group's tiles, the local components of the pairs that sizes and cell counts
+    allow.  Pairs are folded into the components block by block."""
     def run(batches):
-        key, ids, size, cells = None, [], [], []
+        key, ids, size, cells, tiles = None, [], [], [], []
 
         def close():
             x = np.frombuffer(b"".join(cells), np.uint8).reshape(-1, CELLS).astype(np.int16)
-            n, pairs = np.array(size, np.int64), ([], [])
-            for s in range(0, len(n), block):
-                for t in range(s, len(n), block):
-                    a, b = x[s:s + block], x[t:t + block]
+            n, low = np.array(size, np.int64), np.arange(len(ids))
+            own = key[1] == key[2]
+            cut = len(n) if own else tiles.count(key[1])
+            for s in range(0, cut, block):
+                first = slice(s, min(s + block, cut))
+                for t in range(s if own else cut, len(n), block):
+                    a, b = x[first], x[t:t + block]
                     apart = np.stack([np.abs(b - row).sum(axis=1, dtype=np.int64) for row in a])
-                    ok = (den + num) * apart <= (den - num) * (n[s:s + block, None] + n[None, t:t + block])
-                    i, j = np.nonzero(np.triu(ok, 1) if s == t else ok)
-                    pairs[0].append(i + s)
-                    pairs[1].append(j + t)
-            i, j = (np.concatenate(p) for p in pairs)
-            low = _components(len(n), i, j)
+                    ok = (den + num) * apart <= (den - num) * (n[first, None] + n[None, t:t + block])
+                    i, j = np.nonzero(np.triu(ok, 1) if own and s == t else ok)
+                    i, j = low[i + s], low[j + t]
+                    new = i != j
+                    if new.any():
+                        low = _components(len(n), i[new], j[new])[low]
             sid = np.array(ids, np.int64)
             hit = low != np.arange(len(n))
             return sid[hit], sid[low[hit]]
 
         out = [], []
         for b in batches:
-            for sig, sid, n, c in zip(*(b.column(x).to_pylist() for x in ("sig", "sid", "n_shingles", "cells")), strict=True):
-                if sig != key:
+            for *k, tile, sid, n, c in zip(*(b.column(x).to_pylist() for x in (
+                    "sig", "ta", "tb", "tile", "sid", "n_shingles", "cells")), strict=True):
+                if k != key:
                     if len(ids) > 1:
                         for o, v in zip(out, close(), strict=True):
                             o.append(v)
-                    key, ids, size, cells = sig, [], [], []
+                    key, ids, size, cells, tiles = k, [], [], [], []
                 ids.append(sid)
                 size.append(n)
                 cells.append(c)
+                tiles.append(tile)
             if out[0]:
                 yield pa.record_batch([pa.array(np.concatenate(o)) for o in out], ["a", "b"])
                 out = [], []
@@ -316,11 +323,25 @@ def _possible_groups(num, den, block: int = 256):
     return run
 
 
+def possible_links(held: DataFrame, reps: DataFrame, num, den, tile: int | None = None) -> DataFrame:
+    """Edges among the sets of each signature of ``held`` (sig, sid) that join
+    all pairs which sizes and cell counts allow.  A group above ``tile`` sets is
+    cut by a hash into tiles, and each pair of tiles is a group of its own, so
+    that a task holds two tiles at most."""
+    big = held.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / (tile or GROUP_TILE)).cast("int").alias("tiles")).where("tiles > 1")
+    rows = join_small(held, big, ["sig"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("sid", F.lit(7)), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select("sig", "sid", "tile", F.least("tile", "other").alias("ta"), F.greatest("tile", "other").alias("tb"))
+    rows = rows.join(reps.select("sid", "n_shingles", "cells"), "sid").repartition("sig", "ta", "tb")
+    rows = rows.sortWithinPartitions("sig", "ta", "tb", "tile").select("sig", "ta", "tb", "tile", "sid", "n_shingles", "cells")
+    return rows.mapInArrow(_possible_groups(num, den), "a long, b long")
+
+
 def _links_in_groups(docs, held, reps, k, num, den) -> DataFrame:
     """Links among the sets of signature groups ``held`` (sig, sid), as local
     components of the candidate groups that their possible pairs form."""
-    rows = held.join(reps.select("sid", "n_shingles", "cells"), "sid").repartition("sig").sortWithinPartitions("sig")
-    edges = rows.select("sig", "sid", "n_shingles", "cells").mapInArrow(_possible_groups(num, den), "a long, b long")
+    edges = possible_links(held, reps, num, den)
     group = written(connected_components(edges).toDF("sid", "grp"), "groups")
     size = group.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     entry = join_small(group, size, ["grp"]).withColumn(

@@ -261,6 +261,35 @@ def test_near_copies_at_the_threshold(spark):
         assert got == brute_near(((r[0], r[1]) for r in rows), 3, 90, 100)
 
 
+def test_large_signature_groups_are_tiled(spark):
+    """Groups over several tiles give the same components as all their pairs,
+    and no task holds more than two tiles of a group."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 3, (40, partenum.CELLS))
+    rows, member = [], []
+    for i in range(900):
+        x = base[rng.integers(40)].copy()
+        x[rng.integers(0, partenum.CELLS, rng.integers(0, 40))] += 1
+        rows.append((i, int(x.sum()), bytes(x.astype(np.uint8))))
+        member.append((i % 3 if i < 200 else 3, i))
+    reps = spark.createDataFrame(rows, "sid long, n_shingles long, cells binary").repartition(4)
+    held = spark.createDataFrame(member, "sig long, sid long").repartition(3)
+    edges = set()
+    cells = np.array([list(r[2]) for r in rows], np.int64)
+    size = cells.sum(axis=1)
+    for sig in range(4):
+        ids = np.array([i for s, i in member if s == sig])
+        for i in ids:
+            apart = np.abs(cells[ids] - cells[i]).sum(axis=1)
+            edges |= {(int(i), int(j)) for j in ids[9 * apart <= size[ids] + size[i]] if j > i}
+    want = partenum._components(900, *np.array(sorted(edges)).T)
+    for tile in (60, 10_000):
+        df = partenum.possible_links(held, reps, 4, 5, tile)
+        got = np.array([(r.a, r.b) for r in df.collect()])
+        assert (partenum._components(900, *got.T) == want).all()
+    assert len(set(want.tolist())) < 900
+
+
 def test_near_duplicates_odd_rows(spark):
     df = clashing(odd_rows(spark))
     got = Counter((r.doc_id, r.component_id) for r in partenum.near_duplicates(df, 3, 90, 100).collect())
