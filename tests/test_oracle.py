@@ -9,7 +9,7 @@ from tools.oracle_check import TABLES, _digest
 
 SF = "/root/testdata/sf0.001"
 # every query with an oracle but the ones that take longest (they run in tools/oracle_check.py)
-SLOW = {"stream_translate", "evaluate_samples", "stream_early_stop", "stream_funnel", "corpus_sacrebleu",
+SLOW = {"stream_translate", "stream_early_stop", "stream_funnel", "corpus_sacrebleu",
         "lexical_table", "bigram_table", "save_load_vocab", "round_trip_reference", "bpe_join_decode",
         "drop_special_tokens", "truncate_ids", "add_sos_eos", "padding_mask", "pad_batch", "batch_max_len"}
 FAST = [k for k in sorted(E.oracle_sql()) if k not in SLOW and k.split("_")[0].rstrip("0123456789") != "op"]
