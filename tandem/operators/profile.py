@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.operators.batching import md5_key
+from tandem.operators.ranks import SKETCH_K, quantiles
 from tandem.session import join_measured
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -44,28 +47,23 @@ def length_describe(df: DataFrame, exact: bool = True) -> DataFrame:
                     F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
-def score_stats(df: DataFrame, col: str = "score") -> DataFrame:
+def score_stats(df: DataFrame, col: str = "score", **kw) -> DataFrame:
     """mean, median, min, quartiles, max over all scores; NaN is excluded
     and counted (A3).
 
-    Quartiles are exact and interpolated: a range-partitioned order of the
-    scores gives the values at the six wanted ranks, so no task holds them all."""
-    from tandem.operators.batching import ordered_index
+    Quartiles are exact and interpolated, found by counting between the bounds a
+    sketch proposes (``operators.ranks``): nothing is sorted, and the first
+    pass gives the other figures too."""
     valid = F.col(col).isNotNull() & ~F.isnan(col)
     v = df.select(F.when(valid, F.col(col).cast("double")).alias("s"),
                   (F.col(col).isNotNull() & F.isnan(col)).alias("is_nan"))
+    k = kw.get("k", SKETCH_K)
     g = v.agg(F.count("s").alias("n"), F.count_if("is_nan").alias("nan_count"), F.avg("s").alias("mean"),
-              F.min("s").alias("min"), F.max("s").alias("max"))
-    n = v.agg(F.count("s")).first()[0]
-    spots = {q: (n - 1) * q for q in QUARTILES} if n else {}
-    wanted = sorted({x for at in spots.values() for x in (math.floor(at), math.ceil(at))})
-    ranked = ordered_index(v.select("s").filter(F.col("s").isNotNull()), [F.col("s")], "r")
-    found = {r["r"]: r["s"] for r in ranked.filter(F.col("r").isin(wanted)).collect()} if wanted else {}
-    q = [None if not spots else found[math.floor(a)] + (found[math.ceil(a)] - found[math.floor(a)]) * (a - math.floor(a))
-         for a in (spots.get(x) for x in QUARTILES)]
-    q = [F.lit(x).cast("double") for x in q]
-    return g.select("n", "nan_count", "mean", q[1].alias("median"), "min", q[0].alias("q1"), q[1].alias("q2"),
-                    q[2].alias("q3"), "max")
+              F.min("s").alias("min"), F.max("s").alias("max"), F.kll_sketch_agg_double("s", F.lit(k)).alias("k")).first()
+    q1, q2, q3 = quantiles(v, "s", QUARTILES, g.n, g.k, **kw)
+    return df.sparkSession.createDataFrame(
+        [(g.n, g.nan_count, g["mean"], q2, g["min"], q1, q2, q3, g["max"])],
+        "n long, nan_count long, mean double, median double, min double, q1 double, q2 double, q3 double, max double")
 
 
 def quantile_cutoff(sample: DataFrame, q: float = 0.999, exact: bool = True) -> DataFrame:
@@ -97,13 +95,29 @@ def histogram(df: DataFrame, value: str, bins: int = 100, group: str | None = No
     return out.drop("_g")
 
 
+KDE_TERMS = 14    # terms of the series of a bin
+KDE_BINS = 2      # bins a bandwidth
+
+
+def kde_error(terms: int = KDE_TERMS, bins: int = KDE_BINS) -> float:
+    """Bound of the density's error by binning, in units of the highest density
+    one value can have (1 / (n h sqrt(2 pi)) for each of n values, so the whole
+    is at most this bound / (h sqrt(2 pi))): the tail of
+    sum |He_k(u)| exp(-u*u/2) t**k / k! with |He_k(u)| exp(-u*u/4) <= 1.09 sqrt(k!),
+    where t = 1 / (2 bins) is the largest distance from a bin's middle."""
+    t = 1 / (2 * bins)
+    return sum(1.09 * t ** k / math.sqrt(math.factorial(k)) for k in range(terms, terms + 40))
+
+
 def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 0.0) -> DataFrame:
     """Gaussian KDE with Scott's bandwidth h = std · n^(−1/5) on a grid of
     ``grid`` points over [min − cut·h, max + cut·h] (A7).
 
-    Values are first collapsed to (value, multiplicity) — a partial/final
-    aggregation — and each distinct value adds its contribution to all grid
-    points from one generated array, summed per grid point."""
+    Values are summed into bins of half a bandwidth: each keeps the power sums
+    of its values' distances from its middle, which the map side already adds up, so
+    what is shuffled grows with the range in bandwidths and not with the rows.
+    A grid point then adds, for each bin, the Hermite series of the kernel around
+    the bin's middle: a value's share is exact but for ``kde_error``."""
     v = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     st = v.agg(F.count("v").alias("n"), F.stddev_samp("v").alias("sd"),
                F.min("v").alias("lo"), F.max("v").alias("hi")).first()  # one row
@@ -114,11 +128,27 @@ def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 0.0) -> DataFra
     a, b = lo - cut * h, hi + cut * h
     step = (b - a) / (grid - 1)
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    d = v.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    pts = d.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
-    x = F.lit(a) + F.col("g") * F.lit(step)
-    contrib = F.col("w") * F.exp(-0.5 * F.pow((x - F.col("v")) / F.lit(h), 2))
-    return (pts.select("g", contrib.alias("c")).groupBy("g").agg(F.sum("c").alias("s"))
+    scaled = (F.col("v") - F.lit(lo)) / F.lit(h) * KDE_BINS
+    bins = (v.select(F.floor(scaled).alias("bin"), scaled.alias("z"))
+            .select("bin", ((F.col("z") - F.col("bin") - 0.5) / KDE_BINS).alias("d"))
+            .groupBy("bin").agg(*[F.sum(F.pow("d", F.lit(k)) if k else F.lit(1.0)).alias(f"m{k}")
+                                  for k in range(KDE_TERMS)]))
+    at = (a - lo) / h + np.arange(grid) * (step / h)
+
+    def add(batches):
+        total = np.zeros(grid)
+        for t in batches:
+            middle = (t.column("bin").to_numpy() + 0.5) / KDE_BINS
+            for i in range(0, t.num_rows, 1024):
+                u = at[None, :] - middle[i:i + 1024, None]
+                he, last, near = np.ones_like(u), np.zeros_like(u), np.zeros_like(u)
+                for k in range(KDE_TERMS):
+                    near += he * (t.column(f"m{k}").to_numpy()[i:i + 1024, None] / math.factorial(k))
+                    he, last = u * he - k * last, he
+                total += (near * np.exp(-0.5 * u * u)).sum(0)
+        yield pa.RecordBatch.from_pydict({"g": np.arange(grid, dtype=np.int32), "s": total})
+
+    return (bins.mapInArrow(add, "g int, s double").groupBy("g").agg(F.sum("s").alias("s"))
             .select("g", (F.lit(a) + F.col("g") * F.lit(step)).alias("x"), (F.col("s") * norm).alias("density")))
 
 

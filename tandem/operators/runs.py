@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.config import LABEL_SMOOTHING, LEARNING_RATE, LOG_EVERY, MIN_DELTA, PAD_ID, PATIENCE, WARMUP_FRACTION
+from tandem.operators.fold import fold_slices
 from tandem.session import join_measured
 
 
@@ -44,9 +45,6 @@ def sample_every_n_steps(batches: DataFrame, every: int = LOG_EVERY,
             .withColumn("lr", lr_at(F.col("step") + 1, F.col("total_steps"), lr)))
 
 
-_FOLD_STATE = "struct<best:double,counter:int,stop_epoch:int,n:int,checkpoints:array<int>,best_at_stop:double>"
-
-
 def early_stop_state(epochs: DataFrame, patience: int = PATIENCE,
                      min_delta: float = MIN_DELTA, key: str = "run",
                      epoch: str = "epoch", val: str = "val_loss") -> DataFrame:
@@ -56,40 +54,21 @@ def early_stop_state(epochs: DataFrame, patience: int = PATIENCE,
     improves); counter resets on improvement, else +1; stop at the first
     epoch with counter ≥ patience (latched).  A checkpoint is written
     at every epoch, up to and including the stop, whose loss equals the best
-    loss after the update, so ties with the best write one too.  One group per
-    run: its size is the number of epochs (bounded by the training length)."""
-    g = epochs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
-        F.col(epoch).cast("int").alias("e"), F.col(val).cast("double").alias("v")))).alias("h"))
-    init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("counter"),
-                    F.lit(None).cast("int").alias("stop_epoch"), F.lit(0).alias("n"),
-                    F.array().cast("array<int>").alias("checkpoints"),
-                    F.lit(None).cast("double").alias("best_at_stop")).cast(_FOLD_STATE)
-
-    def step(acc, x):
-        stopped = acc["stop_epoch"].isNotNull()
-        improved = x["v"] < acc["best"] - F.lit(min_delta)
-        best = F.when(improved, x["v"]).otherwise(acc["best"])
-        counter = F.when(improved, F.lit(0)).otherwise(acc["counter"] + 1)
-        stop_now = ~stopped & (counter >= patience)
-        return F.struct(
-            best.alias("best"), counter.alias("counter"),
-            F.when(stopped, acc["stop_epoch"]).when(stop_now, x["e"]).alias("stop_epoch"),
-            (acc["n"] + 1).alias("n"),
-            F.when(~stopped & (x["v"] == best), F.concat(acc["checkpoints"], F.array(x["e"])))
-             .otherwise(acc["checkpoints"]).alias("checkpoints"),
-            F.when(stopped, acc["best_at_stop"]).when(stop_now, best).alias("best_at_stop"),
-        ).cast(_FOLD_STATE)
-
-    f = g.select(key, F.aggregate("h", init, step).alias("s"))
-    return f.select(key, F.col("s.n").alias("n_epochs"), F.col("s.stop_epoch").alias("stop_epoch"),
-                    F.coalesce("s.best_at_stop", "s.best").alias("best_loss"),
-                    F.col("s.checkpoints").alias("checkpoint_epochs"))
+    loss after the update, so ties with the best write one too.
+
+    The epochs stream through a state of constant size (``operators.fold``); the
+    only list made is the result's, of the epochs that write a checkpoint
+    (``best_checkpoints`` gives them as rows, without a list)."""
+    slices = fold_slices(epochs, patience, min_delta, key, epoch, val)
+    kept = F.array_sort(F.flatten(F.collect_list("checkpoints")))
+    return slices.groupBy(key).agg(F.sum("n").alias("n_epochs"), F.max("stop_epoch").alias("stop_epoch"),
+                                   F.max_by("best", "place").alias("best_loss"), kept.alias("checkpoint_epochs"))
 
 
 def best_checkpoints(epochs: DataFrame, **kw) -> DataFrame:
     """One row per (run, epoch) at which a checkpoint is written."""
-    s = early_stop_state(epochs, **kw)
-    return s.select("run", F.explode("checkpoint_epochs").alias("epoch"))
+    key = kw.get("key", "run")
+    return fold_slices(epochs, **kw).select(key, F.explode("checkpoints").alias("epoch"))
 
 
 def smoothed_cross_entropy(logits: DataFrame, eps: float = LABEL_SMOOTHING,
