@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tandem.operators.batching import md5_key
 from tandem.operators.ranks import SKETCH_K, quantiles
-from tandem.session import join_measured
+from tandem.session import join_measured, scratch_path
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -199,7 +199,10 @@ def tail_n(df: DataFrame, n: int = 10, order: str = "id") -> DataFrame:
 
 
 def row_at(df: DataFrame, i: int, order: str = "id") -> DataFrame:
-    """The row at 0-based position ``i`` by ``order``, none past the end: a
-    filter on the contiguous index (O2)."""
-    from tandem.operators.batching import ordered_index
-    return ordered_index(df, [F.col(order)], "_at").filter(F.col("_at") == i).drop("_at")
+    """The row at 0-based position ``i`` by ``order``, none past the end (O2).
+    The table is saved in that order first; for more than one lookup, save it once
+    with ``sources.saved.save_rows`` and ask ``SavedRows``."""
+    from tandem.sources.saved import SavedRows, save_rows
+    path = scratch_path(df.sparkSession, "ordered-rows")
+    save_rows(df, path, [order])
+    return SavedRows(df.sparkSession, path, df.schema).row_at(i)

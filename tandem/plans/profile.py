@@ -9,7 +9,9 @@ from tandem.operators import clean as C
 from tandem.operators import profile as PR
 from tandem.plans.registry import query
 from tandem.plans.sql import md5_sql, with_pairs
+from tandem.session import scratch_path
 from tandem.sources import fixtures as FX
+from tandem.sources.saved import SavedRows, save_rows
 
 
 def _lens(spark, sf_dir):
@@ -22,6 +24,14 @@ def _r6(df, cols):
     return df
 
 
+def _saved_pairs(spark, sf_dir):
+    """The pair table saved in order of id, with its row-offset index."""
+    p = FX.pairs(spark, sf_dir, with_score=False)
+    path = scratch_path(spark, "saved-pairs")
+    save_rows(p, path, ["id"])
+    return SavedRows(spark, path, p.schema)
+
+
 LONG = """
 ,lg AS (SELECT 'en' AS lang, len_en AS len FROM pl UNION ALL SELECT 'vi', len_vi FROM pl)
 """
@@ -109,6 +119,14 @@ def q_head_n(spark, sf_dir):
     return B.head_n(FX.pairs(spark, sf_dir, with_score=False), 1000).select("id", "en", "vi")
 
 
+@query("saved_tail", with_pairs("""
+SELECT row_number() OVER (ORDER BY id) - 1 AS row_idx, id, en, vi FROM p ORDER BY id DESC LIMIT 10
+"""))
+def q_saved_tail(spark, sf_dir):
+    """The last ten rows of the saved table, read from its last files."""
+    return _saved_pairs(spark, sf_dir).tail(10).select("row_idx", "id", "en", "vi")
+
+
 @query("tail_n", with_pairs("SELECT id, en, vi FROM p ORDER BY id DESC LIMIT 10"))
 def q_tail_n(spark, sf_dir):
     return PR.tail_n(FX.pairs(spark, sf_dir, with_score=False), 10).select("id", "en", "vi")
@@ -116,7 +134,7 @@ def q_tail_n(spark, sf_dir):
 
 @query("row_at", with_pairs("SELECT id, en, vi FROM p ORDER BY id LIMIT 1 OFFSET 1000"))
 def q_row_at(spark, sf_dir):
-    return PR.row_at(FX.pairs(spark, sf_dir, with_score=False), 1000).select("id", "en", "vi")
+    return _saved_pairs(spark, sf_dir).row_at(1000).select("id", "en", "vi")
 
 
 SAMPLE_ROWS = 500
@@ -138,9 +156,8 @@ FROM (SELECT draw, {md5_sql("7", "draw")} % (SELECT count(*) FROM p) AS row_idx
 JOIN ix USING (row_idx)
 """.strip()))
 def q_sample_inspect(spark, sf_dir):
-    """5 seeded positions with replacement over the id-ordered pair table."""
-    idx = B.ordered_index(FX.pairs(spark, sf_dir, with_score=False), [F.col("id")], "row_idx")
-    return PR.sample_inspect(idx, 5, seed=7).select("draw", "row_idx", "id", "en", "vi")
+    """5 seeded positions with replacement of the pair table saved in order of id."""
+    return _saved_pairs(spark, sf_dir).sample(5, seed=7).select("draw", "row_idx", "id", "en", "vi")
 
 
 @query("seeded_shuffle", with_pairs(f"""

@@ -13,6 +13,7 @@ from tandem.plans.registry import query
 from tandem.plans.sql import with_pairs
 from tandem.session import scratch_path
 from tandem.sources import aligned as A
+from tandem.sources import aligned_reader as AR
 from tandem.sources import fixtures as FX
 
 def aligned_files(spark, sf_dir: str, drop_last_vi: bool = False) -> dict:
@@ -63,6 +64,31 @@ def q_zip_join(spark, sf_dir):
     return A.ingest_aligned_text(spark, f["en"], f["vi"], strip=False)
 
 
+_ZIP_SQL = with_pairs("""
+SELECT row_number() OVER (ORDER BY id) - 1 AS id, en, vi FROM p
+QUALIFY lead(id) OVER (ORDER BY id) IS NOT NULL
+""")
+
+
+@query("aligned_reader", _ZIP_SQL)
+def q_aligned_reader(spark, sf_dir):
+    """The zip of ``zip_join`` by the data source: no join, blocks of 64 KB here
+    so that the lines of a block lie across files and blocks of the other side."""
+    f = aligned_files(spark, sf_dir, drop_last_vi=True)
+    return AR.read_aligned(spark, {"en": f["en"], "vi": f["vi"]}, block=1 << 16)
+
+
+@query("aligned_stream", _ZIP_SQL)
+def q_aligned_stream(spark, sf_dir):
+    """The same lines arriving as a stream and appended to a table."""
+    f = aligned_files(spark, sf_dir, drop_last_vi=True)
+    marks, sink, ck = (scratch_path(spark, n) for n in ("line-marks", "aligned-out", "aligned-ck"))
+    AR.mark_lines(spark, {"en": f["en"], "vi": f["vi"]}, marks, block=1 << 16)
+    (AR.stream_aligned(spark, ["en", "vi"], marks).writeStream.format("parquet").option("path", sink)
+     .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema("id long, en string, vi string").parquet(sink)
+
+
 @query("scan_scores", with_pairs("""
 SELECT row_number() OVER (ORDER BY id) - 1 AS id,
        round(CAST(coalesce(score, 'nan'::FLOAT) AS DOUBLE), 6) AS score FROM ps

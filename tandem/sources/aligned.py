@@ -137,19 +137,39 @@ def write_cleaned(df: DataFrame, path: str) -> bool:
                            else df.select("id", "translation"), path)
 
 
+def restore(spark: SparkSession, path: str) -> None:
+    """Finish a swap of ``write_final`` that was broken off: the old table comes
+    back if ``path`` is missing, and goes if the new one stands."""
+    fs, target = _hadoop(spark, path)
+    old = _hadoop(spark, f"{path.rstrip('/')}.old")[1]
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, target)
+
+
 def write_final(df: DataFrame, path: str) -> None:
     """Project ``translation`` and replace what is at ``path`` (S6).  The rows
-    are written beside it first and swapped in when complete, so ``path`` may
-    be an input of ``df`` and a failed job leaves the old table."""
+    are written beside it first, so ``path`` may be an input of ``df`` and a
+    failed job leaves the old table.  The old table is moved to ``<path>.old`` and
+    deleted only when the new one stands: at every moment one complete table is
+    there, and ``restore`` (called first) brings it back after a crash."""
+    spark = df.sparkSession
+    restore(spark, path)
     log.warning("overwriting %s", path)
     cols = ["translation"] if "translation" in df.columns else None
     out = df.select(*cols) if cols else to_translation(df).select("translation")
-    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    base = path.rstrip("/")
+    new = f"{base}.new-{uuid.uuid4().hex[:8]}"
     out.write.parquet(new)
-    fs, target = _hadoop(df.sparkSession, path)
-    fs.delete(target, True)
-    if not fs.rename(_hadoop(df.sparkSession, new)[1], target):
+    fs, target = _hadoop(spark, path)
+    old = _hadoop(spark, f"{base}.old")[1]
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(_hadoop(spark, new)[1], target):
         raise OSError(f"could not move {new} to {path}")
+    fs.delete(old, True)
 
 
 def scan_pairs(spark: SparkSession, path: str) -> DataFrame:
