@@ -17,6 +17,7 @@ from tandem.plans.sql import with_pairs
 from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, PRE, wq
 from tandem.session import read_table, scratch_path
 from tandem.sources import fixtures as FX
+from tandem.streaming import ordered_stop as OS
 from tandem.streaming import pipelines as SP
 
 #: Micro-batches that a stream's source files are consumed in.
@@ -90,6 +91,21 @@ def q_stream_early_stop(spark, sf_dir):
                     F.array_join(F.col("checkpoint_epochs").cast("array<string>"), ",").alias("checkpoint_epochs"))
 
 
+@query("stream_ordered_stop", ORACLES["stream_early_stop"])
+def q_stream_ordered_stop(spark, sf_dir):
+    """The same runs with their epochs dealt to files by hash, so that they arrive
+    out of order, several files a micro-batch."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("st5-src", "st5-sink", "st5-ck"))
+    ep = FX.epoch_losses(spark, sf_dir).select("run", F.col("epoch").cast("int").alias("epoch"), "val_loss")
+    ep.repartition(2 * BATCHES, "epoch").write.parquet(src)
+    files = len(spark.read.parquet(src).inputFiles())
+    OS.stream_ordered_stop(spark, src, sink, ck, ep.schema, files_per_trigger=max(1, -(-files // BATCHES)))
+    s = SP.early_stop_summary(spark.read.parquet(sink))
+    return s.select("run", F.col("stop_epoch").cast("long").alias("stop_epoch"),
+                    F.round("best_loss", 6).alias("best_loss"),
+                    F.array_join(F.col("checkpoint_epochs").cast("array<string>"), ",").alias("checkpoint_epochs"))
+
+
 _TURNS = TRANSLATED + f"""
 , rq AS (SELECT conv_id * 1000 + turn AS id, text FROM conversations WHERE role = 'user'
          AND length(trim(coalesce(text, ''))) > 0 AND lower(trim(text)) NOT IN ('exit', 'quit')),

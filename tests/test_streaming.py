@@ -53,3 +53,54 @@ def test_stream_translate_replaces_a_replayed_batch(spark):
         SP.stream_translate(spark, src, sink, ck + k, schema, lambda b: b, lambda e: e.select("id", "request"))
     assert [(r.id, r.request) for r in spark.read.parquet(sink).collect()] == [(1, "hello")]
     assert spark.read.parquet(sink + ".times").filter("seconds >= 0").count() == 1
+
+
+EPOCHS = "run string, epoch int, val_loss double"
+
+
+def _file(spark, src, rows):
+    spark.createDataFrame(rows, EPOCHS).coalesce(1).write.mode("append").parquet(src)
+
+
+def test_ordered_stop_takes_epochs_in_any_order(spark):
+    from tandem.streaming import ordered_stop as OS
+    src, sink, ck = _dirs()
+    vals = [5.0, 4.0, 4.0, 4.0, 4.0, 4.0, 4.0, 3.0]
+    _file(spark, src, [("r", e, vals[e]) for e in (3, 1)] + [("s", 0, 1.0), ("s", None, 0.1)])
+    _file(spark, src, [("r", e, vals[e]) for e in (7, 0, 5)] + [("s", 1, None), (None, 0, 2.0)])
+    # a replayed epoch with a better loss, one that waits already, and the rest
+    _file(spark, src, [("r", 1, 0.5), ("r", 5, 0.5), ("r", 2, vals[2]), ("r", 4, vals[4]), ("r", 6, vals[6])])
+    schema = spark.createDataFrame([], EPOCHS).schema
+    OS.stream_ordered_stop(spark, src, sink, ck, schema, files_per_trigger=1)
+    log = spark.read.parquet(sink)
+    s = SP.early_stop_summary(log.filter("run = 'r'")).first()
+    assert s.stop_epoch == 6 and s.best_loss == 4.0 and s.checkpoint_epochs == [0, 1, 2, 3, 4, 5, 6]
+    assert [(r.epoch, r.val_loss) for r in log.filter("run = 'r'").orderBy("epoch").collect()] == list(enumerate(vals[:7]))
+    assert sorted(r.epoch for r in log.filter("run = 's'").collect()) == [0, 1]
+    assert log.filter("run is null").count() == 1
+    # a restart resumes from the state: the stop is latched
+    _file(spark, src, [("r", 7, 0.1), ("s", 2, 0.5)])
+    OS.stream_ordered_stop(spark, src, sink, ck, schema, files_per_trigger=1)
+    log = spark.read.parquet(sink)
+    assert log.filter("run = 'r'").count() == 7 and log.filter("run = 's' and epoch = 2").first().best == 0.5
+
+
+def test_ordered_stop_ends_silent_runs(spark):
+    import time
+    from tandem.streaming import ordered_stop as OS
+    src, sink, ck = _dirs()
+    _file(spark, src, [("gap", 0, 3.0), ("gap", 2, 2.0), ("gap", 4, 2.5), ("whole", 0, 1.0)])
+    q = OS.start_ordered_stop(spark, src, sink, ck, spark.createDataFrame([], EPOCHS).schema, silent_ms=2000,
+                              trigger={"processingTime": "500 milliseconds"})
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+            if q.lastProgress and spark.read.schema(OS.OUT).parquet(sink).filter("by_timer").count() == 2:
+                break
+    finally:
+        q.stop()
+    got = sorted(spark.read.parquet(sink).select("run", "epoch", "best", "counter", "by_timer").collect())
+    assert [tuple(r) for r in got] == [("gap", 0, 3.0, 0, False), ("gap", 2, 2.0, 0, True), ("gap", 4, 2.0, 1, True),
+                                       ("whole", 0, 1.0, 0, False)]
