@@ -30,9 +30,13 @@ def lr_at(step: Column, total: Column, lr: float = LEARNING_RATE,
 def with_lr(batches: DataFrame, lr: float = LEARNING_RATE) -> DataFrame:
     """Add ``total_steps`` per run (one row per run, broadcast by its counted
     size, as a run can hold most rows) and the learning rate at ``step``."""
+    return with_total_steps(batches).withColumn("lr", lr_at(F.col("step"), F.col("total_steps"), lr))
+
+
+def with_total_steps(batches: DataFrame) -> DataFrame:
+    """Adds ``total_steps``, the number of batches of the run."""
     totals = batches.groupBy("run").agg(F.count(F.lit(1)).alias("total_steps"))
-    return (join_measured(batches, totals, "run")
-            .withColumn("lr", lr_at(F.col("step"), F.col("total_steps"), lr)))
+    return join_measured(batches, totals, "run")
 
 
 def sample_every_n_steps(batches: DataFrame, every: int = LOG_EVERY,

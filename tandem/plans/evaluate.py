@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tandem.functions.text import NGRAM_SEP, intl_tokenize, ngrams, whitespace_words
 from tandem.operators import evaluate as EV
 from tandem.operators import runs as R
+from tandem.operators.runlog import RunLog
 from tandem.plans.registry import query
 from tandem.plans.sql import with_pairs
+from tandem.session import scratch_path
 from tandem.sources import fixtures as FX
 
 # ----------------------------------------------------------- fixtures
@@ -217,6 +219,35 @@ def q_sample_every_n_steps(spark, sf_dir):
                     F.round("lr", 12).alias("lr"))
 
 
+@query("run_log_batches", RUNS_CTE.replace("WITH RECURSIVE", "WITH").split("f(run")[0].rstrip().rstrip(",") + f"""
+,tt AS (SELECT run, count(*) AS t FROM ev GROUP BY run)
+SELECT run, CAST(floor(step / 100) AS BIGINT) AS epoch, CAST(step AS BIGINT) AS step, round(loss, 6) AS loss,
+       round({LR_SQL.format(s='(step + 1)')}, 12) AS lr
+FROM ev JOIN tt USING (run) WHERE (step + 1) % 20 = 0
+""")
+def q_run_log_batches(spark, sf_dir):
+    """Every 20th batch logged in two jobs, the second of which is repeated."""
+    log = RunLog(spark, scratch_path(spark, "run-log"))
+    rows = R.with_total_steps(FX.runs(spark, sf_dir))
+    for some in (F.col("epoch") < 10, F.col("epoch") >= 10, F.col("epoch") >= 10):
+        log.batches(rows.filter(some), F.col("total_steps"), every=20)
+    return log.read("batches").select("run", F.col("epoch").cast("long").alias("epoch"), "step",
+                                      F.round("loss", 6).alias("loss"), F.round("lr", 12).alias("lr"))
+
+
+@query("run_log_samples", with_pairs(PRED_REF_CTE.strip() + """
+SELECT 'evaluation' AS run, CAST(epoch AS BIGINT) AS epoch, id, ref, pred
+FROM (SELECT id, ref, array_to_string(pt, ' ') AS pred FROM pr ORDER BY id LIMIT 5), range(0, 2) e(epoch)
+"""))
+def q_run_log_samples(spark, sf_dir):
+    """The first five translations logged after two epochs, the second one twice."""
+    log = RunLog(spark, scratch_path(spark, "run-log"))
+    rows = pred_ref(spark, sf_dir)
+    for epoch in (0, 1, 1):
+        log.samples(rows, "evaluation", epoch)
+    return log.read("samples").withColumn("epoch", F.col("epoch").cast("long"))
+
+
 @query("smoothed_cross_entropy", """
 WITH x AS (SELECT label, CAST(embedding AS DOUBLE[]) AS l FROM embeddings WHERE label <> 0),
 y AS (SELECT label, l, list_max(l) AS m FROM x),

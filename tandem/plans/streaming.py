@@ -15,7 +15,7 @@ from tandem.plans.evaluate import RUNS_CTE
 from tandem.plans.registry import ORACLES, query
 from tandem.plans.sql import with_pairs
 from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, PRE, wq
-from tandem.session import read_table, scratch_path
+from tandem.session import cut_lineage, read_table, scratch_path
 from tandem.sources import fixtures as FX
 from tandem.streaming import ordered_stop as OS
 from tandem.streaming import pipelines as SP
@@ -128,8 +128,9 @@ def q_stream_translate(spark, sf_dir):
     src, sink, ck = (scratch_path(spark, n) for n in ("st3-src", "st3-sink", "st3-ck"))
     conv = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "user") \
         .select((F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("id"), "text")
-    schema, _ = _write_source(conv, src)
+    schema, per = _write_source(conv, src)
     vocab, _, table = _model(spark, sf_dir)
+    vocab = cut_lineage(vocab)  # every micro-batch reads it
 
     def enc(batch):
         e = E.word_vocab_encode(spark, batch, "id", "request", "ids", vocab)
@@ -138,5 +139,5 @@ def q_stream_translate(spark, sf_dir):
     def dec(encoded):
         return D.translate_table(spark, encoded, vocab, table).select("id", "translation", "error")
 
-    SP.stream_translate(spark, src, sink, ck, schema, enc, dec)
+    SP.stream_translate(spark, src, sink, ck, schema, enc, dec, files_per_trigger=per)
     return spark.read.parquet(sink).select("id", "translation", "error")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ def build_session(master: str | None = None, app: str = "tandem",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     }
@@ -102,10 +104,31 @@ def join_measured(big: DataFrame, small: DataFrame, on, how: str = "inner", rows
     return big.join(F.broadcast(small) if few else small, on, how)
 
 
+_SCOPES: list = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tandem-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tandem-{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes at its end what was written to scratch paths inside it, whether it
+    ends well or not.  Write a query's result to its place inside: a DataFrame
+    that is read later may still need its scratch tables.  Scopes nest; the files of
+    ``DataFrame.checkpoint`` go when Spark's cleaner finds them unused
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``, on in ``build_session``)."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        paths = _SCOPES.pop()
+        drop_scratch(spark, *paths, *[f"{p}.times" for p in paths])
 
 
 def drop_scratch(spark: SparkSession, *paths: str) -> None:

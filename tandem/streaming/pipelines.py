@@ -65,13 +65,16 @@ def stream_funnel(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
 
 
 def stream_translate(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                     schema, encode_fn, decode_fn) -> None:
+                     schema, encode_fn, decode_fn, files_per_trigger: int | None = None) -> None:
     """Continuous translation of arriving requests (ST3): blank / control
     dropped, each micro-batch encoded and decoded.  A batch is written to its
     own folder ``batch=<id>``, replacing it, so a replay after a failure leaves
     no duplicates; the elapsed seconds of each batch go to ``<sink>.times``."""
     from tandem.operators.decode import requests_from_text
-    src = requests_from_text(spark.readStream.schema(schema).parquet(source_dir), "text")
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = requests_from_text(reader.parquet(source_dir), "text")
 
     def handle(batch: DataFrame, epoch: int) -> None:
         import time

@@ -55,6 +55,16 @@ def test_stream_translate_replaces_a_replayed_batch(spark):
     assert spark.read.parquet(sink + ".times").filter("seconds >= 0").count() == 1
 
 
+def test_stream_translate_takes_files_in_several_batches(spark):
+    src, sink, ck = _dirs()
+    for i in range(3):
+        spark.createDataFrame([(i, f"hello {i}")], "id long, text string").coalesce(1).write.mode("append").parquet(src)
+    SP.stream_translate(spark, src, sink, ck, spark.read.parquet(src).schema, lambda b: b,
+                        lambda e: e.select("id", "request"), files_per_trigger=1)
+    assert sorted(n for n in os.listdir(sink) if n.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == [0, 1, 2]
+
+
 EPOCHS = "run string, epoch int, val_loss double"
 
 
