@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ from tandem.functions.text import _nfkc_lower, detokenize, normalize_frame, pret
 
 #: Encoded words a task keeps at most.
 WORDS_KEPT = 1_000_000
+#: Largest vocabulary, in bytes, that goes to every task whole.
+VOCAB_BYTES = 32 << 20
 PRETOKEN = re.compile(r"\w+|[^\w\s]+")
 _SPECIAL_ALT = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
 SEGMENT_PATTERN = f"(?s){_SPECIAL_ALT}|(?:(?!{_SPECIAL_ALT}).)+"
@@ -205,19 +209,40 @@ def frame_target(col, max_len: int = MAX_SEQ_LEN, sos: int = SOS_ID, eos: int =
 # ---------------------------------------------------- decode side
 
 def ids_to_tokens(df: DataFrame, col: str, vocab: DataFrame, out: str = "tokens",
-                  key: str = "id", carry: tuple = ()) -> DataFrame:
+                  key: str = "id", carry: tuple = (), most: int = VOCAB_BYTES) -> DataFrame:
     """Map id arrays to token arrays, order kept (J4); the ``carry`` columns
-    go along.
-
-    Ids are exploded with their position, joined to the vocabulary and
-    re-collected in order.  The vocabulary is broadcast by its counted size:
-    a BPE vocabulary is small, a word-level one grows with the corpus and is
-    then joined by a shuffle in which AQE splits the commonest ids."""
-    from tandem.session import join_measured
+    go along.  Unknown and NULL ids give [UNK], a NULL array an empty one.
+
+    A vocabulary of at most ``most`` measured bytes goes to every task whole and
+    each Arrow batch looks its tokens up in place: no token is exploded or
+    shuffled.  A larger one, as a word-level vocabulary that grows with the corpus,
+    is joined to the exploded ids by a shuffle in which AQE splits the commonest
+    ids."""
+    size = vocab.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"),
+                     F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("bytes")).first()
+    unk = F.lit("[UNK]")
+    if size.n == size.ids and size["bytes"] + 16 * size.n <= most:
+        table = vocab.select(F.col("id").cast("long").alias("id"), "token").orderBy("id").toArrow()
+        known = df.sparkSession.sparkContext.broadcast((table["id"].to_numpy(), table["token"].combine_chunks()))
+
+        @F.arrow_udf("array<string>")
+        def look_up(ids: pa.Array) -> pa.Array:
+            numbers, tokens = known.value
+            flat = ids.flatten().cast(pa.int64())
+            wanted = flat.fill_null(0).to_numpy(zero_copy_only=False)
+            at = np.searchsorted(numbers, wanted)
+            hit = np.zeros(len(at), bool)
+            inside = at < len(numbers)
+            hit[inside] = numbers[at[inside]] == wanted[inside]
+            place = pa.array(at, pa.int64(), mask=~hit | flat.is_null().to_numpy(zero_copy_only=False))
+            ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), tokens.take(place).fill_null("[UNK]"))
+
+        return df.select(key, *carry, look_up(col).alias(out))
     ex = df.select(key, *carry, F.posexplode_outer(col).alias("pos", "tid"))
-    j = join_measured(ex, vocab.select(F.col("id").alias("tid"), "token"), "tid", "left")
+    j = ex.join(vocab.select(F.col("id").alias("tid"), "token"), "tid", "left")
     g = j.groupBy(key, *carry).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
-        "pos", F.coalesce("token", F.lit("[UNK]")).alias("token"))))).alias("t"))
+        "pos", F.coalesce("token", unk).alias("token"))))).alias("t"))
     return g.select(key, *carry, F.transform("t", lambda x: x["token"]).alias(out))
 
 

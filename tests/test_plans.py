@@ -92,6 +92,23 @@ def test_bpe_encoding_does_not_shuffle(spark):
     assert not [n for n, _ in _nodes(enc) if n == "Exchange"]
 
 
+def test_ids_become_tokens_in_place(spark):
+    from tandem.operators import encode as E
+    vocab = spark.createDataFrame([(2, "c"), (0, "a"), (1, "b"), (3, None)], "id int, token string").checkpoint()
+    df = spark.createDataFrame([(1, [2, 0, 9, None, -1, 3], "x"), (2, [], "y"), (3, None, "z"), (4, [1] * 5, None)],
+                               "id long, ids array<int>, note string")
+    want = {1: (["c", "a", "[UNK]", "[UNK]", "[UNK]", "[UNK]"], "x"), 2: ([], "y"), 3: ([], "z"), 4: (["b"] * 5, None)}
+    here = E.ids_to_tokens(df, "ids", vocab, carry=("note",))
+    assert not [n for n, _ in _nodes(here) if n in ("Exchange", "Generate")]
+    gaps = vocab.filter("id <> 1").union(spark.createDataFrame([(7, "b")], "id int, token string"))
+    assert {r.id: (r.tokens, r.note) for r in here.collect()} == want
+    joined = E.ids_to_tokens(df, "ids", vocab, carry=("note",), most=0)
+    assert {r.id: (r.tokens, r.note) for r in joined.collect()} == want
+    other = E.ids_to_tokens(df, "ids", gaps)
+    assert {r.id: r.tokens for r in other.collect()}[4] == ["[UNK]"] * 5
+    assert E.ids_to_tokens(df, "ids", vocab.limit(0)).filter("id = 4").first().tokens == ["[UNK]"] * 5
+
+
 def test_result_independent_of_shuffle_partitions(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
