@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.common import BROADCAST_ROWS, documents, join_small, python_ready, written
+from tandem.llm.common import documents, join_small, python_ready, written
 
 ORDER = 4
 #: Bytes of the arrays that one pass over the texts looks up (orders 1 and 2 come on top).
@@ -274,7 +274,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
                        & ~held_out(F.col(id_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counts = written(gram_counts(known), "grams")
-    langs = sorted(r["lang"] for r in counts.select("lang").distinct().limit(BROADCAST_ROWS).collect())
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     return Tables(langs, probabilities(counts)) if langs else None
 
 
