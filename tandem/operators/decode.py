@@ -5,9 +5,8 @@ The neural model is out of scope; decoding takes any ``scorer(src_ids,
 prefix) -> next_id``.  The default scorer reads the source: a position-aligned
 lexical table, learned by Spark from the training pairs, names for every
 source id the target id that most often stands at the same position.  The
-table is joined to the source ids (it grows with the vocabulary, so it is
-broadcast only by its counted size), and the loop then reads the row's own
-candidates.
+table is looked up for the source ids (``lookup.map_arrays``: it grows with the
+vocabulary), and the loop then reads the row's own candidates.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tandem.config import EOS_ID, MAX_SEQ_LEN, SOS_ID, UNK_ID
 from tandem.functions.text import detokenize, is_blank, strip_text
+from tandem.operators.lookup import MOST_BYTES, map_arrays
 
 # --- fixed values ---
 CONTROL_WORDS = ("exit", "quit")
@@ -67,15 +67,10 @@ def lexical_table(pairs: DataFrame, src: str = "src_ids", tgt: str = "tgt_ids")
 
 
 def with_candidates(df: DataFrame, table: DataFrame, key: str = "id", src: str = "src_ids",
-                    out: str = "next_ids") -> DataFrame:
+                    out: str = "next_ids", most: int = MOST_BYTES) -> DataFrame:
     """``key, src, out``: the table's id for each source position, [UNK] where
     it has none."""
-    from tandem.session import join_measured
-    ex = df.select(F.col(key), F.col(src), F.posexplode_outer(src).alias("pos", "sid"))
-    j = join_measured(ex, table.select(F.col("src").alias("sid"), "next"), "sid", "left")
-    g = j.groupBy(key, src).agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
-        "pos", F.coalesce("next", F.lit(UNK_ID)).alias("t"))))).alias("t"))
-    return g.select(key, src, F.transform("t", lambda x: x["t"]).alias(out))
+    return map_arrays(df.select(key, src), src, out, table, "src", "next", UNK_ID, "src", most)
 
 
 def aligned_scorer(candidates, prefix):

@@ -8,13 +8,13 @@ from tandem.operators import decode as D
 from tandem.plans.evaluate import INTL_SQL, _bleu_sql
 from tandem.plans.registry import query
 from tandem.plans.text import DETOK_SQL, DROP_SPECIALS_SQL, ENCODED, _encoded, _ids_str, _word_vocab, wq
-from tandem.session import cut_lineage
+from tandem.session import cut_lineage, written
 
 
 def _model(spark, sf_dir):
     """(vocabulary, encoded pairs, lexical table of the training pairs)."""
     vocab = _word_vocab(spark, sf_dir)
-    enc = cut_lineage(_encoded(spark, sf_dir, vocab))
+    enc = written(_encoded(spark, sf_dir, vocab), "encoded")
     return vocab, enc, cut_lineage(D.lexical_table(enc.filter(F.col("split") == "train")))
 
 

@@ -2,6 +2,7 @@
 filters reach the scans, no single-partition window in headline queries,
 and results do not depend on the shuffle partition count."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tandem.operators import clean as C
@@ -152,3 +153,39 @@ def test_line_index_over_directory(spark):
             f.write("".join(f"f{i} l{j}\n" for j in range(4)))
     rows = sorted((r.line_id, r.value) for r in read_lines(spark, d).collect())
     assert rows == [(i * 4 + j, f"f{i} l{j}") for i in range(3) for j in range(4)]
+
+
+@pytest.mark.parametrize("most", [0, 128 * 6, 32 << 20])
+def test_only_words_outside_the_commonest_are_shuffled(spark, most, monkeypatch):
+    """Whole, partly and not held by every task: the same ids, tokens and candidates."""
+    from tandem.operators import decode as D
+    from tandem.operators import encode as E
+    from tandem.operators import lookup as L
+    words = ["a", "the", "b", "c", "é", "x" * 70, "."]
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(["[PAD]", "[UNK]", "[SOS]", "[EOS]", *words])],
+                                  "token string, id int").checkpoint()
+    texts = {1: ("The b c. " + "x" * 70, "É zz"), 2: ("", None), 3: ("[EOS] a[PAD]É", "no " * 200), 4: ("the " * 200, "a")}
+    df = spark.createDataFrame([(i, "train", s, t) for i, (s, t) in texts.items()], "id long, split string, src string, tgt string")
+    moved = []
+    keep = L.written
+
+    def counted(rows, name):
+        out = keep(rows, name)
+        moved.append(out.select(F.explode("_k")).count())
+        return out
+    monkeypatch.setattr(L, "written", counted)
+    enc = E.word_vocab_encode_pairs(df, vocab, most=most)
+    got = {r.id: (r.src_ids, r.tgt_ids) for r in enc.collect()}
+    assert got == {1: ([5, 6, 7, 10, 9], [2, 8, 1, 3]), 2: ([], [2, 3]),
+                   3: ([3, 4, 0, 8], [2] + [1] * 148 + [3]), 4: ([5] * 150, [2, 4, 3])}
+    toks = {r.id: r.tokens for r in E.ids_to_tokens(enc, "src_ids", vocab, most=most).collect()}
+    assert toks[1] == ["the", "b", "c", ".", "x" * 70] and toks[2] == [] and toks[3] == ["[EOS]", "a", "[PAD]", "é"]
+    table = spark.createDataFrame([(5, 9), (10, 4), (3, 3)], "src int, next int").checkpoint()
+    cand = {r.id: r.next_ids for r in D.with_candidates(enc, table, most=most).collect()}
+    assert cand == {1: [9, 1, 1, 4, 1], 2: [], 3: [3, 1, 1, 1], 4: [9] * 150}
+    one = E.word_vocab_encode(spark, df, "id", "src", "ids", vocab, most)
+    assert {r.id: r.ids for r in one.collect()}[4] == [5] * 200
+    elements = sum(len(s) + len(t) - 2 for s, t in got.values())
+    assert (moved[0] == elements) if most == 0 else (moved[0] < elements if moved else True)
+    spread = D.with_candidates(enc, table, most=0)  # rows do not travel with each of their elements
+    assert not [t for n, t in _nodes(spread) if n == "Generate" and "src_ids" in t]
