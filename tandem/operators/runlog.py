@@ -1,18 +1,23 @@
 """The log of training runs as Parquet tables: batch rows, epoch means and
 translation samples (S11, P15, O8).
 
-Each table is partitioned by run and epoch, and what is logged for an epoch of a run
-replaces what was logged for it before: a job that is repeated after a failure
-leaves no rows twice, and other runs and epochs stay untouched.
+What is logged for an epoch of a run replaces what was logged for it before: a job
+that is repeated after a failure leaves no rows twice, and other runs and epochs
+stay untouched.  Each job writes a folder of its own, numbered in order, with a few
+files however many epochs it logs; a reader takes of each run and epoch the rows of
+the last whole folder that has it.  ``compact`` rewrites the folders as one.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.config import LEARNING_RATE, LOG_EVERY
 from tandem.operators.runs import epoch_mean_loss, lr_at
+from tandem.session import drop_scratch
 from tandem.sources.aligned import path_exists
 
 TABLES = {
@@ -28,18 +33,41 @@ class RunLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _folders(self, table: str) -> list:
+        """Names of the whole folders of a table, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        names = sorted(x.getPath().getName() for x in fs.listStatus(path))
+        return [n for n in names if path_exists(self.spark, f"{self.root}/{table}/{n}/_SUCCESS")]
+
     def read(self, table: str) -> DataFrame:
-        path = f"{self.root}/{table}"
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], TABLES[table])
         cols = [c.strip().split()[0] for c in TABLES[table].split(",")]
-        return self.spark.read.schema(TABLES[table]).parquet(path).select(*cols)
+        folders = self._folders(table)
+        if not folders:
+            return self.spark.createDataFrame([], TABLES[table])
+        rows = self.spark.read.schema(TABLES[table]).parquet(*[f"{self.root}/{table}/{n}" for n in folders])
+        if len(folders) == 1:
+            return rows.select(*cols)
+        rows = rows.withColumn("_job", F.element_at(F.split("_metadata.file_path", "/"), -2))
+        last = rows.groupBy("run", "epoch").agg(F.max("_job").alias("_last"))
+        same = rows["run"].eqNullSafe(last["run"]) & rows["epoch"].eqNullSafe(last["epoch"]) & (rows["_job"] == last["_last"])
+        return rows.join(last, same, "left_semi").select(*cols)
 
     def _write(self, rows: DataFrame, table: str) -> None:
         names = [c.strip().split() for c in TABLES[table].split(",")]
-        (rows.select(*[F.col(n).cast(t).alias(n) for n, t in names]).repartition("run", "epoch")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "epoch")
-         .parquet(f"{self.root}/{table}"))
+        before = self._folders(table)
+        nth = 1 + int(before[-1].split("-")[0]) if before else 0
+        (rows.select(*[F.col(n).cast(t).alias(n) for n, t in names])
+         .write.mode("errorifexists").parquet(f"{self.root}/{table}/{nth:010d}-{uuid.uuid4().hex[:12]}"))
+
+    def compact(self, table: str) -> None:
+        """Rewrite a table's folders as one; not while another job logs to it."""
+        old = self._folders(table)
+        if len(old) > 1:
+            self._write(self.read(table), table)
+            drop_scratch(self.spark, *[f"{self.root}/{table}/{n}" for n in old])
 
     def batches(self, batches: DataFrame, total_steps: Column, every: int = LOG_EVERY, lr: float = LEARNING_RATE) -> None:
         """Log ``run, epoch, step, loss``: the rows whose 1-based batch index is a

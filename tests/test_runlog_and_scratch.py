@@ -61,3 +61,22 @@ def test_scratch_tables_go_with_their_scope(spark, tmp_path, name):
             spark.range(3).write.parquet(scratch_path(spark, "broken"))
             raise RuntimeError
     assert _scratch(spark) == before
+
+
+def test_files_do_not_grow_with_epochs(spark, tmp_path):
+    """Many epochs in a job: a few files; a job that broke off is not read; the log can be compacted."""
+    log = RunLog(spark, str(tmp_path / "log"))
+    steps = spark.range(0, 3000, 1, 3).select(F.lit("r").alias("run"), F.floor(F.col("id") / 10).cast("int").alias("epoch"),
+                                              F.col("id").alias("step"), F.lit(0.5).alias("loss"))
+    log.batches(steps, F.lit(3000), every=5)
+    log.batches(steps.filter("epoch >= 100 and step % 10 < 5"), F.lit(3000), every=5)
+    files = [f for _, _, fs in os.walk(tmp_path) for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 6
+    want = sorted([s for s in range(4, 1000, 5)] + [s for s in range(1004, 3000, 10)])
+    assert sorted(r.step for r in log.read("batches").collect()) == want
+    broken = tmp_path / "log" / "batches" / "9999999999-x"
+    steps.limit(1).write.parquet(str(broken))
+    os.remove(broken / "_SUCCESS")
+    assert sorted(r.step for r in log.read("batches").collect()) == want
+    log.compact("batches")
+    assert sorted(r.step for r in log.read("batches").collect()) == want and len(log._folders("batches")) == 1
