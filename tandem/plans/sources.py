@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tandem.plans.registry import query
 from tandem.plans.sql import with_pairs
-from tandem.session import scratch_path
+from tandem.session import scratch_path, written
 from tandem.sources import aligned as A
 from tandem.sources import aligned_reader as AR
 from tandem.sources import fixtures as FX
@@ -19,7 +19,7 @@ from tandem.sources import fixtures as FX
 def aligned_files(spark, sf_dir: str, drop_last_vi: bool = False) -> dict:
     """Write the pair fixture as three line-aligned text files."""
     root = scratch_path(spark, "aligned")
-    p = FX.pairs(spark, sf_dir)
+    p = written(FX.pairs(spark, sf_dir), "pairs")  # each file sorts it anew
     ordered = p.orderBy("id")
     ordered.select(F.coalesce("en", F.lit("")).alias("value")).write.text(f"{root}/en")
     vi = ordered

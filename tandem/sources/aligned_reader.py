@@ -2,8 +2,9 @@
 beside line i of the other without a join or a shuffle.
 
 A first Spark job (``mark_lines``) counts the lines that start in each byte block of
-either side and writes one row a block.  A partition of the source is then one
-block of the first side; the marks say in which bytes of the second side its lines
+either side and writes one row a block.  A partition of the source is then some
+consecutive blocks of the first side (so many that small blocks don't make many
+partitions); the marks say in which bytes of the second side its lines
 lie, and the task reads both ranges in bounded steps.  As a batch,
 ``read_aligned`` gives all lines up to the end of the shorter side; as a stream,
 the offset is a number of lines, and lines arrive when the marks are renewed
@@ -33,6 +34,7 @@ from tandem.sources.aligned import file_number
 BLOCK = 64 << 20   # bytes of a block
 STEP = 4 << 20     # bytes read at once
 ROWS = 8192        # rows of a batch
+PARTS = 64         # tasks of small files; of large ones a task has BLOCK bytes
 PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".xz", ".deflate")
 MARKS = "side string, file string, nth long, start long, size long, lines long, first long"
 
@@ -96,8 +98,10 @@ def mark_lines(spark: SparkSession, sides: dict, marks: str, block: int = BLOCK)
     blocks = (spark.createDataFrame(rows, "side string, file string, nth long, size long")
               .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(block).cast("long"))).alias("start"),
                       F.lit(block).cast("long").alias("block")))
-    (blocks.repartition(max(1, min(n, 20_000))).mapInArrow(_count, MARKS)
-     .coalesce(max(1, n // 50_000)).write.mode("overwrite").parquet(marks))
+    tasks = max(PARTS, sum(r[3] for r in rows) // BLOCK)
+    # a coalesce would count all blocks in the few tasks that write the marks
+    (blocks.repartition(max(1, min(n, tasks, 20_000))).mapInArrow(_count, MARKS)
+     .repartition(max(1, n // 50_000)).write.mode("overwrite").parquet(marks))
 
 
 # ------------------------------------------------------------------ ranges
@@ -152,12 +156,20 @@ def load_sides(marks: str, names: list) -> list:
 
 def ranges(sides: list, lo: int = 0, hi: int | None = None) -> list:
     """Partitions of lines ``lo`` to ``hi`` (default: to the shorter side's end),
-    cut where the first side's blocks begin."""
+    cut where blocks of the first side begin: PARTS of them, or one for each BLOCK bytes."""
     end = min(s.n for s in sides)
     hi = end if hi is None else min(hi, end)
     if lo >= hi:
         return []
-    edges = [lo, *(s for s in sides[0].starts if lo < s < hi), hi]
+    inside = [(s, p.end - p.start) for s, p in zip(sides[0].starts, sides[0].pieces) if lo < s < hi]
+    part = min(BLOCK, sum(n for _, n in inside) / PARTS)
+    edges, held = [lo], 0.0
+    for s, n in inside:
+        if held >= part:
+            edges.append(s)
+            held = 0.0
+        held += n
+    edges.append(hi)
     return [Lines(a, b, [s.cut(a, b) for s in sides]) for a, b in zip(edges, edges[1:])]
 
 

@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,25 @@ def test_final_table_survives_a_broken_swap(spark, monkeypatch):
     assert spark.read.parquet(path).count() == 1
     A.write_final(pairs.union(pairs), path)
     assert spark.read.parquet(path).count() == 2 and not A.path_exists(spark, f"{path}.old")
+
+
+def test_small_blocks_do_not_make_many_tasks(spark, monkeypatch):
+    """Blocks of 64 bytes: bounded partitions, and the counting is not left to one task."""
+    root = tempfile.mkdtemp(prefix="tandem-many-")
+    sides = {s: write_parts(f"{root}/{s}", {i: b"".join(b"%d %d\n" % (i, j) for j in range(900)) for i in range(4)})
+             for s in ("en", "vi")}
+    df = AR.read_aligned(spark, sides, marks=f"{root}/marks", block=64)
+    assert spark.read.parquet(f"{root}/marks").count() > 500
+    assert df.rdd.getNumPartitions() <= 2 * AR.PARTS
+    rows = sorted(map(tuple, df.collect()))
+    assert len(rows) == 3600 and all(r[0] == i and r[1] == r[2] == f"{i // 900} {i % 900}" for i, r in enumerate(rows))
+    count = AR._count
+
+    def marked(batches):
+        from pyspark import TaskContext
+        for b in count(batches):
+            at = b.schema.get_field_index("first")
+            yield b.set_column(at, "first", pa.array([TaskContext.get().partitionId()] * len(b), pa.int64()))
+    monkeypatch.setattr(AR, "_count", marked)
+    AR.mark_lines(spark, sides, f"{root}/tasks", block=64)
+    assert spark.read.parquet(f"{root}/tasks").select("first").distinct().count() > 8
