@@ -43,6 +43,8 @@ log = logging.getLogger(__name__)
 
 #: Heavy pairs of the first round and at most, and segments that the driver takes.
 HEAVY, MOST_HEAVY, SEGMENTS = 256, 8192, 50_000
+#: Words that a task takes at once, and pairs or segments it holds before it passes on their sums.
+TAKE, HOLD = 8192, 1 << 19
 
 
 @dataclass
@@ -61,6 +63,13 @@ class BpeModel:
 
 # ------------------------------------------------------------------ in tasks
 
+def _slices(batches):
+    """The batches in slices of at most TAKE words."""
+    for b in batches:
+        for s in range(0, len(b), TAKE):
+            yield b.slice(s, TAKE)
+
+
 def _flat(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols of all words, their bounds, counts) of a batch."""
     s = batch.column("syms")
@@ -92,6 +101,19 @@ def _count(parts) -> pa.RecordBatch:
     return pa.record_batch([pa.array(key), pa.array(total)], ["key", "n"])
 
 
+def _sums(parts):
+    """``_count`` of an iterator, in pieces of about HOLD pairs: a later grouping adds them up."""
+    held, n = [], 0
+    for p in parts:
+        held.append(p)
+        n += len(p[0])
+        if n >= HOLD:
+            yield _count(held)
+            held, n = [], 0
+    if held:
+        yield _count(held)
+
+
 def _word_pairs(sym, offs, n):
     key, inside = _pairs(sym, offs)
     word = np.repeat(np.arange(len(n)), np.diff(offs))[:-1]
@@ -101,7 +123,7 @@ def _word_pairs(sym, offs, n):
 def _to_symbols(points: np.ndarray, first: int):
     """Words to the ids of their characters."""
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             text = b.column("word").to_pylist()
             flat = np.frombuffer("".join(text).encode("utf-32-le"), np.uint32)
             ids = (np.searchsorted(points, flat) + first).astype(np.int32)
@@ -111,14 +133,21 @@ def _to_symbols(points: np.ndarray, first: int):
 
 
 def _count_pairs(batches):
-    yield _count([_word_pairs(*_flat(b)) for b in batches if len(b)])
+    yield from _sums(_word_pairs(*_flat(b)) for b in _slices(batches))
 
 
 def _cut(heavy: np.ndarray):
     """Distinct runs of symbols joined by heavy pairs, as bytes."""
     def run(batches):
         total: dict = defaultdict(int)
-        for b in batches:
+
+        def sums():
+            return pa.record_batch([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["seg", "n"])
+
+        for b in _slices(batches):
+            if len(total) >= HOLD:
+                yield sums()
+                total.clear()
             sym, offs, n = _flat(b)
             if len(sym) < 2:
                 continue
@@ -130,7 +159,7 @@ def _cut(heavy: np.ndarray):
             raw = np.ascontiguousarray(sym.astype("<i4")).tobytes()
             for a, z, c in zip((start * 4).tolist(), (end * 4).tolist(), n[word].tolist(), strict=True):
                 total[raw[a:z]] += c
-        yield pa.record_batch([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["seg", "n"])
+        yield sums()
     return run
 
 
@@ -170,7 +199,7 @@ def _apply(merges: list):
 
     def run(batches):
         seen = dict(ranks)
-        for batch in batches:
+        for batch in _slices(batches):
             sym, offs, n = _flat(batch)
             key, inside = _pairs(sym, offs)
             hit = np.flatnonzero(inside & _is_in(key, some)) if len(key) else np.zeros(0, np.int64)
@@ -187,15 +216,15 @@ def _apply(merges: list):
 
 def _changes(batches):
     """New pairs of changed words, less their old ones."""
-    parts = []
-    for b in batches:
-        n = b.column("n")
-        for name, sign in (("syms", 1), ("old", -1)):
-            sym, offs, c = _flat(pa.record_batch([n, b.column(name)], ["n", "syms"]))
-            if len(sym) > 1:
-                key, w = _word_pairs(sym, offs, c)
-                parts.append((key, sign * w))
-    yield _count(parts)
+    def parts():
+        for b in _slices(batches):
+            n = b.column("n")
+            for name, sign in (("syms", 1), ("old", -1)):
+                sym, offs, c = _flat(pa.record_batch([n, b.column(name)], ["n", "syms"]))
+                if len(sym) > 1:
+                    key, w = _word_pairs(sym, offs, c)
+                    yield key, sign * w
+    yield from _sums(parts())
 
 
 # ----------------------------------------------------------------- on the driver
