@@ -21,6 +21,8 @@ from tandem.operators.lookup import MOST_BYTES, map_arrays
 
 # --- fixed values ---
 CONTROL_WORDS = ("exit", "quit")
+#: Rows whose ids are Python lists at once.
+DECODE_ROWS = 1024
 
 
 def requests_from_text(df: DataFrame, col: str = "text") -> DataFrame:
@@ -87,7 +89,7 @@ def greedy_decode(spark: SparkSession, df: DataFrame, scorer_factory, key: str =
     ``scorer_factory()`` is called once per task and returns the scorer."""
     def run(it):
         scorer = scorer_factory()
-        for pdf in it:
+        for pdf in (b[s:s + DECODE_ROWS] for b in it for s in range(0, len(b), DECODE_ROWS)):
             preds, errs = [], []
             for s in pdf[src]:
                 try:
