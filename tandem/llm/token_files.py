@@ -3,12 +3,12 @@
 Documents are range-partitioned and sorted by id (null first, ties by text),
 tokenised, and an end id follows each.  A part's id stream is cut into frames
 of whole documents (about FRAME_BLOCKS blocks), and a frame into blocks of
-BLOCK_IDS ids, each coded from a reset state by the range coder and carrying a
-CRC-32 of its ids.  A frame is one binary value:
+BLOCK_IDS ids, each coded by the range coder from the state that its frame's
+prior gives, and carrying a CRC-32 of its ids.  A frame is one binary value:
 
-    magic "TIDF", version u8, u32 documents, u32 blocks,
+    magic "TIDF", version u8, u32 documents, u32 blocks, u32 bytes of the prior,
     i64 ids and u8 null marks of the documents, u32 ids per document,
-    per block: u32 ids, u32 bytes, u32 crc32;  then the blocks' bytes
+    per block: u32 ids, u32 bytes, u32 crc32;  the prior;  the blocks' bytes
 
 (little-endian).  Frames are written by Spark as rows (part, frame, n_docs,
 n_ids, data) of a Parquet table in the shared folder, so a lost task is simply
@@ -25,8 +25,10 @@ table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +37,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tandem.llm.common import documents, join_small, python_ready
-from tandem.llm.range_coder import decode, encode
+from tandem.llm.range_coder import Prior, decode, encode
 from tandem.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-BLOCK_IDS, FRAME_BLOCKS = 4096, 32
+BLOCK_IDS, FRAME_BLOCKS = 2048, 1024
 #: Blocks coded in step with one another in a task.
-LANES = 2048
-TEXT_STEP = 1 << 19
+LANES = 4096
+#: Frames that are decoded together at most.
+FRAMES = 32
+#: Characters of text that are cut in one step.
+TEXT_STEP = 1 << 21
 #: Pre-tokens whose ids a worker keeps at most (about 200 bytes each).
-KEPT_PIECES = 250_000
+KEPT_PIECES = 600_000
 _MAGIC = b"TIDF"
-_HEAD = struct.Struct("<4sBII")
+_HEAD = struct.Struct("<4sBIII")
 
 
 def tokenizer(name: str = TOKENIZER):
@@ -64,29 +69,88 @@ class Encoder:
 
     def __init__(self, name: str = TOKENIZER, kept: int = KEPT_PIECES):
         import json
-
-        import public_tokenizers
-        import regex
-        self.tok, self.kept, self.cache = tokenizer(name), kept, {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tok, self.kept, self.new, self.old = tokenizer(name), kept, {}, {}
         spec = json.loads(self.tok.to_str())
         pre = spec["pre_tokenizer"] or {}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.piecewise = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") \
             and not pre.get("add_prefix_space") and self.tok.get_vocab_size() <= 1 << 16
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.kinds = _kinds()
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, as bytes.  The pieces last used are kept in
+        two halves: when the newer is full it replaces the older."""
+        if len(self.new) > self.kept // 2:
+            self.old, self.new = self.new, {}
+        found = [self.new.get(p) or self.old.get(p) for p in pieces]
+        missing = [p for p, f in zip(pieces, found, strict=True) if f is None]
+        coded = iter(self.tok.encode_batch_fast(missing, add_special_tokens=False))
+        found = [array("H", next(coded).ids).tobytes() if f is None else f for f in found]
+        self.new.update(zip(pieces, found, strict=True))
+        return found
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         whole = [not self.piecewise or any(x in t for x in self.special) for t in texts]
-        pieces = [[] if w else self.pattern.findall(t) for t, w in zip(texts, whole, strict=True)]
-        if len(self.cache) > self.kept:
-            self.cache.clear()
-        new = list({p for ps in pieces for p in ps if p not in self.cache})
-        for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, np.uint16).tobytes()
-        get = self.cache.__getitem__
-        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32) if w else
-                np.frombuffer(b"".join(map(get, ps)), np.uint16).astype(np.int32)
-                for t, ps, w in zip(texts, pieces, whole, strict=True)]
+        pieces, ends = _cut(["" if w else t for t, w in zip(texts, whole, strict=True)], self.kinds)
+        ids = self._ids(pieces.dictionary.to_pylist())
+        size, piece = np.fromiter(map(len, ids), np.int64, len(ids)) >> 1, pieces.indices.to_numpy()
+        n = size[piece]
+        n[ends] = 0  # the separators
+        to = np.cumsum(n)
+        at = np.repeat((np.cumsum(size) - size)[piece] - (to - n), n)
+        at += np.arange(len(at))
+        flat = np.frombuffer(b"".join(ids), np.uint16)[at].astype(np.int32)
+        to = to[ends].tolist()
+        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32) if w else flat[a:z]
+                for t, w, a, z in zip(texts, whole, [0, *to], to, strict=False)]
+
+
+_LETTER, _NUMBER, _SPACE, _SEPARATOR = 1, 2, 3, 4
+
+
+def _kinds() -> np.ndarray:
+    """The pattern's kind of every code point: letter, number, space, other."""
+    import regex
+    points = np.arange(0x110000, dtype="<u4")
+    points[0xD800:0xE000] = 0xE000  # surrogates are in no text
+    text, kinds = points.tobytes().decode("utf-32-le"), np.zeros(len(points), np.uint8)
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        for m in regex.finditer(pattern, text):
+            kinds[m.start():m.end()] = kind
+    return kinds
+
+
+def _cut(texts: list[str], kinds: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All texts cut by the byte-level pattern
+    's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
+    with one separator piece after each text, and where the separators are."""
+    joined = "".join(t + "\0" for t in texts)
+    data, point = joined.encode(), np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    kind = kinds[point]
+    after = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+    kind[after] = _SEPARATOR
+    space, begin = kind == _SPACE, np.ones(len(point), bool)
+    # a run of one kind begins a piece, unless the blank before it does so for it;
+    # so does the last space before something else
+    begin[1:] = (kind[1:] != kind[:-1]) & (space[1:] | (point[:-1] != 32))
+    begin[:-1] |= space[:-1] & ~space[1:] & (kind[1:] != _SEPARATOR)
+    begin[after] = True
+    quote = np.flatnonzero((point == 39) & begin)
+    one, two = point[quote + 1], point[np.minimum(quote + 2, len(point) - 1)]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    begin[quote[short | long] + 1] = False
+    begin[quote[short] + 2] = True
+    begin[quote[long] + 3] = True
+    at = np.flatnonzero(begin)
+    ends = np.searchsorted(at, after)
+    if len(data) != len(point):  # places in UTF-8
+        width = (point >= 0x80).astype(np.uint8) + (point >= 0x800) + (point >= 0x10000) + np.uint8(1)
+        at = (np.cumsum(width, dtype=np.int64) - width)[at]
+    offsets = np.append(at, len(data)).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+    return pieces.dictionary_encode(), ends
 
 
 _encoders: dict = {}
@@ -101,34 +165,35 @@ def encoder(name: str = TOKENIZER) -> Encoder:
 
 def pack_frames(frames: list[tuple[list, list[np.ndarray]]]) -> list[bytes]:
     """Frames from (document ids, id arrays of the documents)."""
-    blocks, per = [], []
-    for _, docs in frames:
+    blocks, priors, which = [], [], []
+    for f, (_, docs) in enumerate(frames):
         flat = np.concatenate(docs)
+        priors.append(Prior.fit(flat))
         cut = [flat[s:s + BLOCK_IDS] for s in range(0, len(flat), BLOCK_IDS)]
         blocks += cut
-        per.append(len(cut))
+        which += [f] * len(cut)
     coded = []
     for s in range(0, len(blocks), LANES):
-        coded += encode(blocks[s:s + LANES])
+        coded += encode(blocks[s:s + LANES], priors, which[s:s + LANES])
     out, at = [], 0
-    for (ids, docs), n in zip(frames, per, strict=True):
-        mine, code = blocks[at:at + n], coded[at:at + n]
+    for (ids, docs), prior, n in zip(frames, priors, np.bincount(which).tolist(), strict=True):
+        mine, code, start = blocks[at:at + n], coded[at:at + n], prior.pack()
         at += n
-        head = _HEAD.pack(_MAGIC, 1, len(ids), n)
+        head = _HEAD.pack(_MAGIC, 2, len(ids), n, len(start))
         index = np.array([0 if x is None else x for x in ids], "<i8").tobytes() + bytes(x is None for x in ids) \
             + np.array([len(d) for d in docs], "<u4").tobytes()
         table = np.array([[len(b), len(c), zlib.crc32(b.astype("<u4").tobytes())] for b, c in
                           zip(mine, code, strict=True)], "<u4").tobytes()
-        out.append(head + index + table + b"".join(code))
+        out.append(head + index + table + start + b"".join(code))
     return out
 
 
 def unpack_frames(frames: list[bytes]):
     """For each frame: (document ids, ids per document, all ids)."""
-    parsed, coded, lengths, crcs = [], [], [], []
+    parsed, coded, lengths, crcs, priors, which = [], [], [], [], [], []
     for f in frames:
-        magic, version, n, k = _HEAD.unpack_from(f)
-        if magic != _MAGIC or version != 1:
+        magic, version, n, k, start = _HEAD.unpack_from(f)
+        if magic != _MAGIC or version != 2:
             raise ValueError("not a token-id frame")
         at = _HEAD.size
         ids = np.frombuffer(f, "<i8", n, at)
@@ -136,6 +201,9 @@ def unpack_frames(frames: list[bytes]):
         size = np.frombuffer(f, "<u4", n, at + 9 * n)
         table = np.frombuffer(f, "<u4", 3 * k, at + 13 * n).reshape(k, 3)
         at += 13 * n + 12 * k
+        which += [len(priors)] * k
+        priors.append(Prior.unpack(f[at:at + start]))
+        at += start
         for m, length, crc in table.tolist():
             coded.append(f[at:at + length])
             lengths.append(m)
@@ -144,7 +212,7 @@ def unpack_frames(frames: list[bytes]):
         parsed.append(([None if z else int(x) for x, z in zip(ids, null, strict=True)], size, k))
     plain: list = []
     for s in range(0, len(coded), LANES):
-        plain += decode(coded[s:s + LANES], lengths[s:s + LANES])
+        plain += decode(coded[s:s + LANES], lengths[s:s + LANES], priors, which[s:s + LANES])
     for b, crc in zip(plain, crcs, strict=True):
         if zlib.crc32(b.astype("<u4").tobytes()) != crc:
             raise ValueError("a block's checksum is wrong")
@@ -197,8 +265,12 @@ def _encode_part(name: str, end_id: int):
 
 def _decode_part(batches):
     for b in batches:
-        for s in range(0, len(b), LANES // FRAME_BLOCKS):
-            part = b.slice(s, LANES // FRAME_BLOCKS)
+        full = np.cumsum(np.ceil(b.column("n_ids").to_numpy() / BLOCK_IDS))
+        to = 0
+        while to < len(b):  # frames that fill the lanes; each also brings its prior
+            s, done = to, full[to - 1] if to else 0
+            to = min(max(int(np.searchsorted(full, done + LANES, "right")), s + 1), s + FRAMES)
+            part = b.slice(s, to - s)
             where = zip(part.column("part").to_pylist(), part.column("frame").to_pylist(), strict=True)
             for (p, f), (ids, size, flat) in zip(where, unpack_frames([x.as_py() for x in part.column("data")]), strict=True):
                 end = np.cumsum(size.astype(np.int64))
@@ -228,7 +300,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.select("part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
     starts = frames.withColumn("off", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
     starts = join_small(starts, parts, ["part"]).select("part", "frame", (F.col("base") + F.col("off")).alias("at"))
-    found = table.select("part", "frame", "data").mapInArrow(
+    found = table.select("part", "frame", "n_ids", "data").mapInArrow(
         _decode_part, "doc_id long, part int, frame int, inner long, n_tokens long, ids_crc32 long")
     return join_small(found, starts, ["part", "frame"]).select(
         "doc_id", (F.col("at") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
