@@ -2,15 +2,16 @@
 
 A whole id is one coding step.  Three predictors are mixed: order 0 is a table
 of frequencies; order 1 and order 2 (contexts of one and two previous ids, in
-hashed slots) each name the id they expect, with an adaptive probability.  The
-mixture of the three distributions,
+hashed slots) each name the id they expect, with a probability.  The mixture of
+the three distributions,
 
     f(s) = W0 * f0(s) + W1 * [s = c1] + W2 * [s = c2],
 
-is coded by a 64-bit range coder.  The weights are trained for each pair of
-probability levels of the two contexts.  Order 0 and the states that the
-contexts and weights start from are a ``Prior``, fitted to many blocks and
-stored beside them; without one, order 0 is uniform and the contexts are empty.
+is coded by a 64-bit range coder.  The weights are trained while coding, for
+each pair of probability levels of the two contexts.  Order 0, the contexts and
+the weights at the start are a ``Prior``, fitted to many blocks and stored
+beside them.  Without one, order 0 is uniform, and the contexts begin empty and
+learn within the block.
 
 Every block starts from the same state, so blocks are independent; many blocks
 are coded in step with one another, one numpy lane each.  Only integers are
@@ -24,7 +25,7 @@ import zlib
 
 import numpy as np
 
-SLOT_BITS = 11
+SLOT_BITS = 12
 _SLOTS = 1 << SLOT_BITS
 _LEVELS = 128  # 8 levels of each context, and whether they expect the same id
 _ONE = 1 << 16  # total of order 0
@@ -69,6 +70,8 @@ class Prior:
     with frequencies that add up to 2 ** 16), each slot's expected id and
     probability, and the weights.  Ids are known by their place in order 0."""
 
+    fitted = True
+
     def __init__(self, ids: np.ndarray, freq: np.ndarray, one: np.ndarray, two: np.ndarray, weights: np.ndarray):
         self.ids, self.freq, self.one, self.two, self.weights = ids, freq, one, two, weights
         self.places = np.zeros(_ONE, np.uint16)
@@ -85,7 +88,9 @@ class Prior:
         two = (level[1] * 2 + 1) * 3800
         one = np.where(same == 1, 0, ((level[0] * 2 + 1) * (61000 - two)) >> 4)
         slots = np.full(_SLOTS, _NEW, np.int32)
-        return Prior(np.arange(_ONE), np.ones(_ONE, np.int32), slots, slots, np.array([one, two], np.int32))
+        prior = Prior(np.arange(_ONE), np.ones(_ONE, np.int32), slots, slots, np.array([one, two], np.int32))
+        prior.fitted = False
+        return prior
 
     @staticmethod
     def fit(ids: np.ndarray) -> Prior:
@@ -143,9 +148,12 @@ class _Model:
         self.found = np.concatenate([p.found for p in priors])
         self.sums_at, self.found_at = which * (_ONE + 1), which * _ONE
         # lane after lane within a slot or level: the frequent ones stay in the cache
-        self.slots = [np.stack(t)[which].ravel() for t in ([p.one for p in priors], [p.two for p in priors])]
+        self.fitted = priors[0].fitted
+        self.slots = [np.concatenate([p.one for p in priors]), np.concatenate([p.two for p in priors])]
+        if not self.fitted:  # every lane learns its own
+            self.slots = [np.tile(t, n) for t in self.slots]
         self.weight = [np.stack([p.weights[r] for p in priors])[which].ravel() for r in (0, 1)]
-        self.base, self.weight_at = np.arange(n) * _SLOTS, np.arange(n) * _LEVELS
+        self.base, self.weight_at = (which if self.fitted else np.arange(n)) * _SLOTS, np.arange(n) * _LEVELS
         self.at1, self.at2 = self.base.copy(), self.base.copy()
         self.hash2 = np.zeros(n, np.uint32)  # the previous id's part in the next slot of order 2
 
@@ -183,11 +191,13 @@ class _Model:
         return self.found[self.found_at[:k] + rest // w0]
 
     def learn(self, s: np.ndarray) -> None:
-        k, new, u = len(s), (s << 8) | _NEW, s.view(np.uint32)
-        for slots, at, e, hit in ((self.slots[0], self.at1, self.e1, self.hit1), (self.slots[1], self.at2, self.e2, self.hit2)):
-            e += _CHANGE[(e & 255) + hit * np.int32(256)]
-            np.copyto(e, new, where=(e & 255) < _WEAK)
-            slots[at[:k]] = e
+        k, u = len(s), s.view(np.uint32)
+        if not self.fitted:
+            new = (s << 8) | _NEW
+            for slots, at, e, hit in ((self.slots[0], self.at1, self.e1, self.hit1), (self.slots[1], self.at2, self.e2, self.hit2)):
+                e += _CHANGE[(e & 255) + hit * np.int32(256)]
+                np.copyto(e, new, where=(e & 255) < _WEAK)
+                slots[at[:k]] = e
         for weight, q, hit in ((self.weight[0], self.q1, self.hit1 & self.other), (self.weight[1], self.q2, self.hit2)):
             weight[self.g] = q + ((hit * np.int32(65535) - q) >> _RATE)
         np.add(self.base[:k], s & (_SLOTS - 1), out=self.at1[:k])

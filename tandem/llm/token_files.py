@@ -29,6 +29,7 @@ import os
 import struct
 import zlib
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ FRAMES = 32
 #: Characters of text that are cut in one step.
 TEXT_STEP = 1 << 21
 #: Pre-tokens whose ids a worker keeps at most (about 200 bytes each).
-KEPT_PIECES = 600_000
+KEPT_PIECES = 1_000_000
 _MAGIC = b"TIDF"
 _HEAD = struct.Struct("<4sBIII")
 
@@ -70,42 +71,70 @@ class Encoder:
     def __init__(self, name: str = TOKENIZER, kept: int = KEPT_PIECES):
         import json
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tok, self.kept, self.new, self.old = tokenizer(name), kept, {}, {}
+        self.tok, self.kept = tokenizer(name), kept
         spec = json.loads(self.tok.to_str())
         pre = spec["pre_tokenizer"] or {}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.piecewise = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") \
             and not pre.get("add_prefix_space") and self.tok.get_vocab_size() <= 1 << 16
         self.kinds = _kinds()
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces, as bytes.  The pieces last used are kept in
-        two halves: when the newer is full it replaces the older."""
-        if len(self.new) > self.kept // 2:
-            self.old, self.new = self.new, {}
-        found = [self.new.get(p) or self.old.get(p) for p in pieces]
-        missing = [p for p, f in zip(pieces, found, strict=True) if f is None]
-        coded = iter(self.tok.encode_batch_fast(missing, add_special_tokens=False))
-        found = [array("H", next(coded).ids).tobytes() if f is None else f for f in found]
-        self.new.update(zip(pieces, found, strict=True))
+        # the library's model alone, for pieces already cut and written in its byte letters
+        self.model, self.letters = type(self.tok)(self.tok.model), _byte_letters()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Nothing kept: numbers of the pieces, all their ids, where each one's end."""
+        self.known, self.ids, self.ends = {}, array("H"), array("q", [0])
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of distinct pieces; those not kept are encoded."""
+        if len(self.known) > self.kept:
+            self._forget()
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            found[missing] = numbers = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(new, numbers.tolist(), strict=True))
+            data = np.frombuffer(b"\xff".join(map(str.encode, new)), np.uint8)  # a byte that UTF-8 never has
+            letters = self.letters[data].tobytes().decode("utf-32-le").split("\n")
+            coded = self.model.encode(letters, is_pretokenized=True, add_special_tokens=False)
+            last = self.ends[-1]
+            self.ids.extend(coded.ids)
+            size = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(new))
+            self.ends.frombytes((last + np.cumsum(size)).astype(np.int64).tobytes())
         return found
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         whole = [not self.piecewise or any(x in t for x in self.special) for t in texts]
         pieces, ends = _cut(["" if w else t for t, w in zip(texts, whole, strict=True)], self.kinds)
-        ids = self._ids(pieces.dictionary.to_pylist())
-        size, piece = np.fromiter(map(len, ids), np.int64, len(ids)) >> 1, pieces.indices.to_numpy()
-        n = size[piece]
+        number, piece = self._numbers(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()), pieces.indices.to_numpy()
+        kept, all_ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.uint16)
+        start = kept[number]
+        n = (kept[number + 1] - start).astype(np.int32)[piece]
         n[ends] = 0  # the separators
-        to = np.cumsum(n)
-        at = np.repeat((np.cumsum(size) - size)[piece] - (to - n), n)
+        to = np.cumsum(n, dtype=np.int64)
+        at = np.repeat(start[piece] - (to - n), n)
         at += np.arange(len(at))
-        flat = np.frombuffer(b"".join(ids), np.uint16)[at].astype(np.int32)
+        flat = all_ids[at].astype(np.int32)
+        del kept, all_ids  # arrays in use cannot grow
         to = to[ends].tolist()
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32) if w else flat[a:z]
                 for t, w, a, z in zip(texts, whole, [0, *to], to, strict=False)]
 
 
+def _byte_letters() -> np.ndarray:
+    """The letter (code point) that a byte-level model knows each byte by:
+    printable ones themselves, the others in turn from 256; a line end for 255."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = np.zeros(256, "<u4")
+    letters[plain] = plain
+    rest = np.setdiff1d(np.arange(256), plain)
+    letters[rest] = 256 + np.arange(len(rest))
+    letters[255] = ord("\n")
+    return letters
+
+
 _LETTER, _NUMBER, _SPACE, _SEPARATOR = 1, 2, 3, 4
 
 

@@ -452,6 +452,53 @@ def test_frames_check_their_blocks():
         list(token_files.unpack_frames([frame[:-6] + bytes([frame[-6] ^ 1]) + frame[-5:]]))
 
 
+def test_frames_take_less_than_order_0(spark, monkeypatch):
+    texts = [r.text or "" for r in documents(spark, "/root/testdata/sf0.01").select("text").limit(300).collect()]
+    docs = token_files.Encoder()(texts)
+    steps = []
+    predict = range_coder._Model.predict
+    monkeypatch.setattr(range_coder._Model, "predict", lambda self, *a: (steps.append(1), predict(self, *a))[1])
+    frame = token_files.pack_frames([(list(range(len(docs))), docs)])[0]
+    assert len(steps) <= token_files.BLOCK_IDS  # one an id, not one a bit
+    flat = np.concatenate(docs)
+    n = np.bincount(flat)
+    entropy = -(n[n > 0] * np.log2(n[n > 0] / len(flat))).sum() / 8
+    index = 13 * len(docs) + 12 * -(-len(flat) // token_files.BLOCK_IDS)
+    assert len(frame) - index < entropy
+    assert (next(token_files.unpack_frames([frame]))[2] == flat).all()
+
+
+def test_broken_prior_is_an_error():
+    prior = range_coder.Prior.fit(np.arange(500, dtype=np.int32) % 11).pack()
+    with pytest.raises(ValueError):
+        range_coder.Prior.unpack(prior[:20] + bytes([prior[20] ^ 255]) + prior[21:])
+
+
+def test_priors_of_any_number_of_ids():
+    rng = np.random.default_rng(1)
+    every = rng.permutation(1 << 16).astype(np.int32)  # each id once: no frequency to spare
+    skewed = np.minimum(rng.geometric(0.3, 70_000), 65_535).astype(np.int32)
+    for ids in (every, skewed, np.full(1, 65_535, np.int32), np.zeros(50_000, np.int32)):
+        prior = range_coder.Prior.unpack(range_coder.Prior.fit(ids).pack())
+        cut = [ids[s:s + 1000] for s in range(0, len(ids), 1000)]
+        coded = range_coder.encode(cut, [prior], [0] * len(cut))
+        back = range_coder.decode(coded, [len(c) for c in cut], [prior], [0] * len(cut))
+        assert (np.concatenate(back) == ids).all()
+
+
+def test_cut_equals_the_pattern():
+    import public_tokenizers
+    import regex
+    pattern, kinds, rng = regex.compile(public_tokenizers.PATTERN), token_files._kinds(), random.Random(2)
+    for chars in ("ab '\n\t\u00a0\u3000\u200b\x85\x1cé1²½_-.,!?sS'tll'ré中😀\x00\r\uffff\U0010ffff", " ''stremvld\nx1"):
+        texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(30))) for _ in range(4000)]
+        pieces, ends = token_files._cut(texts, kinds)
+        pieces, begin = pieces.to_pylist(), 0
+        for text, end in zip(texts, ends.tolist(), strict=True):
+            assert pieces[begin:end] == pattern.findall(text)
+            begin = end + 1
+
+
 def test_piecewise_encoding_equals_the_library():
     rng = random.Random(1)
     chars = "ab '\n\t\u00a0\u3000\u200b\x85\x1cé1²½_-.,!?sS'tll'ré中😀\x00\r"
