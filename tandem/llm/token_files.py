@@ -25,7 +25,6 @@ table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from array import array
@@ -70,7 +69,6 @@ class Encoder:
 
     def __init__(self, name: str = TOKENIZER, kept: int = KEPT_PIECES):
         import json
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tok, self.kept = tokenizer(name), kept
         spec = json.loads(self.tok.to_str())
         pre = spec["pre_tokenizer"] or {}
