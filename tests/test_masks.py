@@ -3,6 +3,9 @@
 from pyspark.sql import functions as F
 
 from tandem.operators import batching as B
+from tandem.plans import QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_masks_and_their_text(spark):
@@ -24,3 +27,22 @@ def test_no_test_of_the_padding_for_each_cell(spark):
     df = spark.createDataFrame([([2, 0],)], "ids array<int>").select(B.target_mask("ids").alias("m"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "slice(" in plan and plan.count("transform(") == 3 and plan.index("transform(ids") < plan.index("slice(")
+
+
+def test_packed_masks_are_the_same_text(spark):
+    """Packed masks give the text of the arrays, also where padding stands in the middle, and
+    where an id or all ids are missing."""
+    rows = [(1, [2, 7, 0, 0]), (2, [2]), (3, []), (4, [0, 5, 0]), (5, [9] * 30), (6, [4, None, 0, 6]), (7, None)]
+    df = spark.createDataFrame(rows, "id long, ids array<int>")
+    text = [{r.id: r.m for r in B.mask_strings(df.select("id", B.target_mask("ids", p).alias("m")), "m").collect()}
+            for p in (False, True)]
+    assert text[0] == text[1] and text[1][4] == "000/010/010" and text[1][6] == "1000/1000/1000/1001"
+    assert text[1][3] == text[1][7] == ""
+    null = spark.createDataFrame([(1, None)], "id long, m array<binary>")
+    assert B.mask_strings(null, "m").first().m is None
+
+
+def test_query_makes_no_object_for_each_cell(spark):
+    """The query's masks are not arrays of arrays, and their text does not pass through Python."""
+    plan = QUERIES["target_mask"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join(" in plan and "array<array<boolean>>" not in plan and "mapinarrow" not in plan.lower()
