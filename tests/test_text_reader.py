@@ -62,3 +62,20 @@ def test_words_are_counted_in_one_pass(spark):
     assert plan.count("Exchange") == 1 and "MapInArrow" in plan and "Generate" not in plan
     norm = spark.createDataFrame([(E._nfkc_lower(t),) for t in TEXTS], "t string").select(F.explode(pretokenize("t")).alias("w"))
     assert {r.word: r.n for r in wc.collect()} == {w: 3 * n for w, n in Counter(r.w for r in norm.collect()).items()}
+
+
+def test_words_are_cut_in_arrow(spark, monkeypatch):
+    """Texts are cut together, as many as a number of characters, and each keeps its own words."""
+    from tandem.functions import text as X
+    cut = X.cutter(X.pretoken_classes(spark))
+    want = [X.re.findall(X.pretoken_classes(spark)[1], E._nfkc_lower(t or "")) for t in TEXTS]
+    for most in (1, 40, 1 << 19):
+        monkeypatch.setattr(X, "READ_CHARS", most)
+        words, size = cut(TEXTS * 3)
+        assert isinstance(words, pa.StringArray) and words.to_pylist() == [w for t in want * 3 for w in t]
+        assert size.tolist() == [len(t) for t in want * 3]
+    words, size = cut([])
+    assert len(words) == len(size) == 0
+    read = E.text_reader(spark, [2])
+    flat, bounds, _ = read(pa.array([["[PAD][SOS]a b"], ["x"], ["a[EOS]b"], ["[sos]"]], pa.list_(pa.string())))
+    assert flat.to_pylist() == ["[PAD]", "[SOS]", "x", "a", "[EOS]", "[", "sos"] and bounds.tolist() == [0, 2, 3, 5, 7]
