@@ -46,3 +46,16 @@ def test_query_makes_no_object_for_each_cell(spark):
     """The query's masks are not arrays of arrays, and their text does not pass through Python."""
     plan = QUERIES["target_mask"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "array_join(" in plan and "array<array<boolean>>" not in plan and "mapinarrow" not in plan.lower()
+
+
+def test_sorted_rows_are_stored_with_their_places(spark):
+    """Stored rows get the places of the checkpointed ones, and a step that needs one column
+    of a batch reads no other array."""
+    df = spark.range(0, 2000).select("id", (F.col("id") * 7919 % 2003).alias("k"), F.concat(F.lit("s"), F.col("id") % 3).alias(
+        "split"), F.array(F.col("id").cast("int")).alias("src_ids"), F.array(F.lit(2), F.lit(3)).alias("tgt_ids")).repartition(7)
+    got = [sorted((r.id, r.r) for r in B.index_within(df, "split", [F.col("k"), F.col("id")], "r", stored).collect())
+           for stored in (False, True)]
+    assert got[0] == got[1]
+    b = B.collate(B.batch_assign(df), masks=True, packed=True).select("id", "tgt_mask")
+    scans = [x for x in b._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in x]
+    assert scans and not any("src_ids" in x for x in scans)
